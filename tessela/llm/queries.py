@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tessela.llm import line_dedup, mixing
+from tessela.llm import line_dedup, mixing, quality
 
 QUERIES = {
+    "op1_quality": quality.op1,
     "op2_mixing": mixing.op2,
     "op6_line_dedup": line_dedup.op6,
 }
