@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tessela.llm import line_dedup, mixing, quality
+from tessela.llm import line_dedup, mixing, near_dup, quality
 
 QUERIES = {
     "op1_quality": quality.op1,
     "op2_mixing": mixing.op2,
     "op6_line_dedup": line_dedup.op6,
+    "op7_near_dup": near_dup.op7,
 }
 ORACLE_SQL = {
     "op6_line_dedup": line_dedup.OP6_SQL,
