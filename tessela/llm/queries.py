@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tessela.llm import line_dedup, mixing, near_dup, quality
+from tessela.llm import line_dedup, mixing, near_dup, quality, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1,
     "op2_mixing": mixing.op2,
     "op6_line_dedup": line_dedup.op6,
     "op7_near_dup": near_dup.op7,
+    "op10_toxicity": toxicity.op10,
 }
 ORACLE_SQL = {
     "op6_line_dedup": line_dedup.OP6_SQL,
