@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessela.llm import decontam, line_dedup, mixing, near_dup, quality, toxicity
+from tessela.llm import decontam, licenses, line_dedup, mixing, near_dup, quality, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_decontam": decontam.op4,
     "op6_line_dedup": line_dedup.op6,
     "op7_near_dup": near_dup.op7,
+    "op8_licenses": licenses.op8,
     "op10_toxicity": toxicity.op10,
 }
 ORACLE_SQL = {

@@ -22,7 +22,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 #: The bytes that are not part of a word.
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
-NOT_ALNUM = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
+NOT_ALNUM = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
