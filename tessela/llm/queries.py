@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tessela.llm import decontam, licenses, line_dedup, mixing, near_dup, quality, toxicity
+from tessela.llm import decontam, licenses, line_dedup, mixing, near_dup, quality, secrets, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1,
     "op2_mixing": mixing.op2,
     "op4_decontam": decontam.op4,
+    "op5_secrets": secrets.op5,
     "op6_line_dedup": line_dedup.op6,
     "op7_near_dup": near_dup.op7,
     "op8_licenses": licenses.op8,
