@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from tessela.llm import decontam, licenses, line_dedup, mixing, near_dup, quality, secrets, toxicity
+from tessela.llm import decontam, licenses, line_dedup, mixing, near_dup, pii, quality, secrets, toxicity, warc
 
 QUERIES = {
     "op1_quality": quality.op1,
     "op2_mixing": mixing.op2,
+    "op3_warc": warc.op3,
     "op4_decontam": decontam.op4,
     "op5_secrets": secrets.op5,
     "op6_line_dedup": line_dedup.op6,
     "op7_near_dup": near_dup.op7,
     "op8_licenses": licenses.op8,
+    "op9_pii": pii.op9,
     "op10_toxicity": toxicity.op10,
 }
 ORACLE_SQL = {
+    "op3_warc": warc.OP3_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
 }
