@@ -22,6 +22,8 @@ together; other columns pass through; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +43,11 @@ def _uniform(*cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total_share: float = TOTAL_SHARE, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """(source, source_size) to (source, source_size, target); one row for each source, so the windows are small."""
     w = F.element_at(F.array(*map(F.lit, weights)), (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights) + 1)
@@ -62,24 +69,37 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> C
     Counts are listed from the mode outwards with weights by the ratio of neighbours, as far as 12 standard
     deviations: what lies beyond has less mass than a double resolves.
     """
-    low, high = F.greatest(F.lit(0), drawn - (total - marked)), F.least(drawn, marked)
+    low, high = F.greatest(F.lit(0), drawn - (total - marked)).cast("bigint"), F.least(drawn, marked).cast("bigint")
     mode = F.least(F.greatest(F.floor((drawn + 1) * (marked + 1) / (total + 2)), low), high).cast("bigint")
     share = marked / F.greatest(total, F.lit(1))
     reach = (F.sqrt(drawn * share * (F.lit(1) - share)) * 12 + 4).cast("bigint")
-    ks = F.concat(F.sequence(mode, F.least(high, mode + reach)), F.when(mode > low, F.sequence(mode - 1, F.greatest(low, mode - reach), F.lit(-1).cast("bigint"))).otherwise(F.array().cast("array<bigint>")))
 
-    def step(acc: Column, k: Column, goal: Column | None) -> Column:
+    def step(acc: Column, k: Column) -> Column:
         up = acc["w"] * (marked - k + 1) * (drawn - k + 1) / (k * (total - marked - drawn + k))
-        down_from = F.when(k == mode - 1, F.lit(1.0)).otherwise(acc["w"])
+        down_from = F.when(k == acc["mode"] - 1, F.lit(1.0)).otherwise(acc["w"])
         down = down_from * (k + 1) * (total - marked - drawn + k + 1) / ((marked - k) * (drawn - k))
-        w = F.when(k == mode, F.lit(1.0)).when(k > mode, up).otherwise(down)
-        cum = acc["cum"] + w
-        pick = acc["pick"] if goal is None else F.when(acc["pick"].isNull() & (cum > goal), k).otherwise(acc["pick"])
-        return F.struct(w.alias("w"), cum.alias("cum"), pick.alias("pick"))
-
-    start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("cum"), F.lit(None).cast("bigint").alias("pick"))
-    mass = F.aggregate(ks, start, lambda acc, k: step(acc, k, None), lambda acc: acc["cum"])
-    return F.coalesce(F.aggregate(ks, start, lambda acc, k: step(acc, k, u * mass), lambda acc: acc["pick"]), mode)
+        return _let(
+            F.when(k == acc["mode"], F.lit(1.0)).when(k > acc["mode"], up).otherwise(down),
+            lambda w: F.struct(
+                w.alias("w"),
+                (acc["cum"] + w).alias("cum"),
+                F.when(acc["pick"].isNull() & (acc["cum"] + w > acc["goal"]), k).otherwise(acc["pick"]).alias("pick"),
+                acc["mode"].alias("mode"),
+                acc["goal"].alias("goal"),
+            ),
+        )
+
+    def start(mode: Column, goal: Column) -> Column:
+        return F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("cum"), F.lit(None).cast("bigint").alias("pick"), mode.alias("mode"), goal.alias("goal"))
+
+    def draw(x: Column) -> Column:
+        mode = x["mode"]
+        downward = F.when(mode > x["low"], F.sequence(mode - 1, F.greatest(x["low"], mode - x["reach"]), F.lit(-1).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+        ks = F.concat(F.sequence(mode, F.least(x["high"], mode + x["reach"])), downward)
+        mass = F.aggregate(ks, start(mode, F.lit(1e300)), step, lambda acc: acc["cum"])
+        return F.coalesce(F.aggregate(ks, start(mode, u * mass), step, lambda acc: acc["pick"]), mode)
+
+    return _let(F.struct(low.alias("low"), high.alias("high"), mode.alias("mode"), reach.alias("reach")), draw)
 
 
 def split(quotas: DataFrame, depth: int = TREE_DEPTH, seed: int = SEED) -> DataFrame:
@@ -97,8 +117,8 @@ def split(quotas: DataFrame, depth: int = TREE_DEPTH, seed: int = SEED) -> DataF
 
         def take(acc: Column, x: Column) -> Column:
             part = hypergeometric(acc["total"], x["quota"], acc["left"], _uniform(F.lit(seed), F.col("node"), x["source_no"])).cast("bigint")
-            row = F.struct(x["source_no"].alias("source_no"), x["quota"].alias("quota"), part.alias("part"))
-            return F.struct((acc["total"] - x["quota"]).alias("total"), (acc["left"] - part).alias("left"), F.concat(acc["out"], F.array(row)).alias("out"))
+            row = lambda p: F.struct(x["source_no"].alias("source_no"), x["quota"].alias("quota"), p.alias("part"))
+            return _let(part, lambda p: F.struct((acc["total"] - x["quota"]).alias("total"), (acc["left"] - p).alias("left"), F.concat(acc["out"], F.array(row(p))).alias("out")))
 
         parts = written(held.select("node", F.explode(F.aggregate("held", start, take, lambda acc: acc["out"])).alias("x")).select("node", "x.*"))
         nodes = parts.select(F.explode(F.array(F.struct((F.col("node") * 2).alias("node"), "source_no", F.col("part").alias("quota")), F.struct((F.col("node") * 2 + 1).alias("node"), "source_no", (F.col("quota") - F.col("part")).alias("quota")))).alias("x")).select("x.*")
@@ -154,7 +174,7 @@ def shards(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TRE
     return draws.select(*docs.columns, F.col("__draw.shard").alias("__shard"), F.col("__draw.key").alias("__key")).repartition("__shard").sortWithinPartitions("__shard", "__key")
 
 
-def digest(mixed: DataFrame) -> tuple[Column, ...]:
+def digest() -> tuple[Column, ...]:
     return (
         F.col("__size").alias("size"),
         F.col("__source_size").alias("source_size"),
@@ -167,4 +187,4 @@ def digest(mixed: DataFrame) -> tuple[Column, ...]:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of each document."""
     mixed = mix(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"))
-    return mixed.select("doc_id", *digest(mixed))
+    return mixed.select("doc_id", *digest())
