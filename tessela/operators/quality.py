@@ -41,10 +41,11 @@ def without_outliers(df: DataFrame, value: str, by: list[str] | None = None, lea
     Groups of fewer than ``least_rows`` rows stay whole; so do, with ``guard_zero``, those whose range is zero or
     null. Groups are compared null-safe. The limits are one row per group.
     """
-    by = by or []
+    if not by:
+        return without_outliers(df.withColumn("__all", F.lit("")), value, ["__all"], least_rows, guard_zero, factor).drop("__all")
     limits = df.groupBy(*by).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("__q"), F.count(F.lit(1)).alias("__n"))
     limits = limits.select(*[F.col(c).alias(f"__{c}") for c in by], "__q", "__n")
-    joined = df.join(limits, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by])) if by else df.join(F.broadcast(limits), how="cross")
+    joined = df.join(limits, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]))
     spread = F.col("__q")[1] - F.col("__q")[0]
     inside = F.col(value).between(F.col("__q")[0] - factor * spread, F.col("__q")[1] + factor * spread)
     stays = F.col("__n") < least_rows

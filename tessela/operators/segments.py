@@ -110,6 +110,7 @@ def grouped_by_sets(df: DataFrame, sets: list[list[str]], aggs: list[Column], na
     return agg.withColumn("segmento", label).drop("__gid")
 
 
-def with_empty(labels: DataFrame, groups: DataFrame, agg: DataFrame, keys: list[str], count: str) -> DataFrame:
+def with_empty(labels: list[str], name: str, groups: DataFrame, agg: DataFrame, keys: list[str], count: str) -> DataFrame:
     """Every label in every group that occurs; where no row fell, the count is 0 and the rest null."""
-    return groups.join(F.broadcast(labels), how="cross").join(agg, keys, "left").na.fill(0, [count])
+    every = groups.withColumn(name, F.explode(F.array(*map(F.lit, labels))))
+    return every.join(agg, [*keys, name], "left").na.fill(0, [count])
