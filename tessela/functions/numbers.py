@@ -48,3 +48,8 @@ def per_area_if_missing(value: Column, price: Column, area: Column) -> Column:
     """The given value per area unless it is missing or not above zero, and can be worked out."""
     lacks = (F.coalesce(value, F.lit(0.0)) <= 0) & (price > 0) & (area > 0)
     return F.when(lacks, F.try_divide(price, area)).otherwise(value)
+
+
+def rounded(c: Column | str, digits: int = 4, margin: float = 1e-7) -> Column:
+    """Rounded half up, with a margin that swallows the noise of binary fractions: an exact half never falls."""
+    return F.round((F.col(c) if isinstance(c, str) else c) + F.lit(margin), digits)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessela.functions.numbers import rounded
 from tessela.functions.text import person
 
 
@@ -38,7 +39,7 @@ def role_rows(df: DataFrame, value: str, commission: str, keep: tuple[str, ...]
 
 def ranking(roles: DataFrame, by: tuple[str, ...] = ("lista",), top: int | None = None) -> DataFrame:
     """Sums per person with places by value and by commission; names break ties."""
-    sums = roles.groupBy(*by, "nome").agg(F.sum(F.col("vgv").cast("decimal(18,2)")).alias("vgv"), F.round(F.sum("vgc"), 2).alias("vgc"))
+    sums = roles.groupBy(*by, "nome").agg(F.sum(F.col("vgv").cast("decimal(18,2)")).alias("vgv"), rounded(F.sum("vgc"), 2, 3e-6).alias("vgc"))
     place = lambda c: F.row_number().over(Window.partitionBy(*by).orderBy(F.col(c).desc(), F.col("nome")))
     out = sums.withColumn("pos_vgv", place("vgv")).withColumn("pos_vgc", place("vgc"))
     return out if top is None else out.filter((F.col("pos_vgv") <= top) | (F.col("pos_vgc") <= top))
@@ -63,7 +64,7 @@ def sections(rank: DataFrame, top: int = 30) -> DataFrame:
     long = rank.select("equipe", "lista", "nome", F.expr("stack(2, 'VGV', cast(vgv as double), 'VGC', vgc) as (medida, valor)"))
     section = F.concat_ws(" ", "equipe", "medida", "lista")
     pos = F.row_number().over(Window.partitionBy("equipe", "medida", "lista").orderBy(F.col("valor").desc(), F.col("nome")))
-    return long.withColumn("pos", pos).filter(F.col("pos") <= top).select(section.alias("secao"), "pos", "nome", F.round("valor", 2).alias("valor"))
+    return long.withColumn("pos", pos).filter(F.col("pos") <= top).select(section.alias("secao"), "pos", "nome", rounded("valor", 2).alias("valor"))
 
 
 def managed(df: DataFrame, contract: str, value: str, commission: str, brokers: list[tuple[str, str, str]], managers: DataFrame) -> DataFrame:
@@ -93,14 +94,14 @@ def manager_commission(rows: DataFrame) -> DataFrame:
     each = one.join(per_side, ["contrato", "lado"]).join(n_sides, "contrato")
     share = F.col("vgc").cast("double") / F.col("lados") / F.col("k")
     each = each.select("gerente", F.explode(F.array("lado", F.lit("GERAL"))).alias("lista"), share.alias("vgc"))
-    return each.groupBy("lista", "gerente").agg(F.round(F.sum("vgc"), 2).alias("vgc"))
+    return each.groupBy("lista", "gerente").agg(rounded(F.sum("vgc"), 2, 3e-6).alias("vgc"))
 
 
 def broker_contracts(roles: DataFrame) -> DataFrame:
     """(corretor, vgv, vgc, contratos): a broker's totals with the contracts that paid commission."""
     each = roles.groupBy("nome", "contrato").agg(F.sum(F.col("vgv").cast("decimal(18,2)")).alias("vgv"), F.sum("vgc").alias("vgc"))
-    paid = F.array_sort(F.array_compact(F.collect_list(F.when(F.col("vgc") > 0, F.struct("contrato", "vgv", F.round("vgc", 2).alias("vgc"))))))
-    return each.groupBy(F.col("nome").alias("corretor")).agg(F.sum("vgv").alias("vgv"), F.round(F.sum("vgc"), 2).alias("vgc"), paid.alias("contratos"))
+    paid = F.array_sort(F.array_compact(F.collect_list(F.when(F.col("vgc") > 0, F.struct("contrato", "vgv", rounded("vgc", 2).alias("vgc"))))))
+    return each.groupBy(F.col("nome").alias("corretor")).agg(F.sum("vgv").alias("vgv"), rounded(F.sum("vgc"), 2, 3e-6).alias("vgc"), paid.alias("contratos"))
 
 
 def combined(*rankings: DataFrame) -> DataFrame:

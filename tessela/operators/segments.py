@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessela.functions.numbers import rounded
+
 #: Limits of the bands of the monthly study, and of the studies of apartments and houses.
 AREA_LEFT = (0, 30, 50, 70, 90, 120, 160, 200, 300, 500, 1000)
 AREA_APARTMENT = (0, 50, 75, 100, 150, 200, 300, 400)
@@ -48,10 +50,10 @@ def bundle() -> list[Column]:
     """Size, mean and median per area, mean price and mean area."""
     return [
         F.count(F.lit(1)).alias("amostra"),
-        F.round(F.avg("valor_m2"), 4).alias("m2_medio"),
-        F.round(F.percentile("valor_m2", 0.5), 4).alias("m2_mediana"),
-        F.round(F.avg("preco"), 4).alias("preco_medio"),
-        F.round(F.avg("area_util"), 4).alias("area_media"),
+        rounded(F.avg("valor_m2"), 4).alias("m2_medio"),
+        rounded(F.percentile("valor_m2", 0.5), 4).alias("m2_mediana"),
+        rounded(F.avg("preco"), 4).alias("preco_medio"),
+        rounded(F.avg("area_util"), 4).alias("area_media"),
     ]
 
 
@@ -60,14 +62,14 @@ def summary() -> list[Column]:
     q = F.percentile("valor_m2", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
     return [
         F.count(F.lit(1)).alias("n"),
-        F.round(F.avg("valor_m2"), 4).alias("m2_medio"),
-        F.round(q[1], 4).alias("m2_mediana"),
-        F.round(q[0], 4).alias("m2_p10"),
-        F.round(q[2], 4).alias("m2_p90"),
-        F.round(F.avg("preco"), 4).alias("preco_medio"),
-        F.round(F.percentile("preco", 0.5), 4).alias("preco_mediana"),
-        F.round(F.avg("area_util"), 4).alias("area_media"),
-        F.round(F.percentile("area_util", 0.5), 4).alias("area_mediana"),
+        rounded(F.avg("valor_m2"), 4).alias("m2_medio"),
+        rounded(q[1], 4).alias("m2_mediana"),
+        rounded(q[0], 4).alias("m2_p10"),
+        rounded(q[2], 4).alias("m2_p90"),
+        rounded(F.avg("preco"), 4).alias("preco_medio"),
+        rounded(F.percentile("preco", 0.5), 4).alias("preco_mediana"),
+        rounded(F.avg("area_util"), 4).alias("area_media"),
+        rounded(F.percentile("area_util", 0.5), 4).alias("area_mediana"),
     ]
 
 

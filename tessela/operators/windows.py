@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessela.functions.numbers import rounded
 from tessela.functions.dates import month
 
 
@@ -34,7 +35,7 @@ def training_span(spans: DataFrame, months: int) -> DataFrame:
 def change_to_previous(df: DataFrame, value: str, order: str = "mes") -> DataFrame:
     """Percent change against the row before (not the calendar month before); the table has a row per month."""
     before = F.lag(value).over(Window.orderBy(order))
-    return df.withColumn("variacao_pct", F.round(F.try_divide(F.col(value) - before, before) * 100, 4))
+    return df.withColumn("variacao_pct", rounded(F.try_divide(F.col(value) - before, before) * 100, 4))
 
 
 def box(value: str) -> list[Column]:
@@ -49,7 +50,7 @@ def box_plot(df: DataFrame, value: str, by: str) -> DataFrame:
     inside = F.col(value).between(F.col("__q")[0] - 1.5 * spread, F.col("__q")[2] + 1.5 * spread)
     return df.join(F.broadcast(q), by).groupBy(by).agg(
         F.first("n").alias("n"),
-        *[F.round(F.first("__q")[i], 4).alias(n) for i, n in enumerate(("q1", "mediana", "q3"))],
-        F.round(F.min(F.when(inside, F.col(value))), 4).alias("bigode_min"),
-        F.round(F.max(F.when(inside, F.col(value))), 4).alias("bigode_max"),
+        *[rounded(F.first("__q")[i], 4).alias(n) for i, n in enumerate(("q1", "mediana", "q3"))],
+        rounded(F.min(F.when(inside, F.col(value))), 4).alias("bigode_min"),
+        rounded(F.max(F.when(inside, F.col(value))), 4).alias("bigode_max"),
     )

@@ -6,5 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from tessela.plans import market, sales, upkeep
+
+_PARTS = (market, sales, upkeep)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {name: sql for part in _PARTS for name, sql in part.ORACLE_SQL.items()}

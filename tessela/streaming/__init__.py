@@ -1,0 +1 @@
+"""The jobs of this library are batches over dated snapshots; nothing here reads a stream."""
