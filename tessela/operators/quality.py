@@ -30,9 +30,9 @@ def offered(df: DataFrame, target: str | None, others: tuple[str, ...] = ("PUBLI
 
 def offered_where_found(df: DataFrame, target: str, by: str = "vaga") -> DataFrame:
     """Filters by offer only in those groups in which the wanted offer occurs at all."""
-    has = df.groupBy(by).agg(F.max((F.col("oferta") == target).cast("int")).alias("__has"))
-    joined = df.join(has, df[by].eqNullSafe(has[by]), "left").drop(has[by])
-    return joined.filter((F.coalesce("__has", F.lit(0)) == 0) | (F.col("oferta") == target)).drop("__has")
+    has = df.groupBy(F.col(by).alias("__by")).agg(F.max((F.col("oferta") == target).cast("int")).alias("__has"))
+    joined = df.join(has, F.col(by).eqNullSafe(F.col("__by")), "left")
+    return joined.filter((F.coalesce("__has", F.lit(0)) == 0) | (F.col("oferta") == target)).select(*df.columns)
 
 
 def without_outliers(df: DataFrame, value: str, by: list[str] | None = None, least_rows: int = 0, guard_zero: bool = True, factor: float = 1.5) -> DataFrame:

@@ -160,5 +160,5 @@ ORACLE_SQL = {
     "broker_contracts": f"{_ROLES} SELECT nome AS corretor, CAST(sum(vgv) AS DOUBLE) AS vgv, round(3e-6 + sum(vgc), 2) AS vgc, count_if(vgc > 0) AS n_contratos, min(contrato) FILTER (vgc > 0) AS primeiro, max(contrato) FILTER (vgc > 0) AS ultimo FROM roles WHERE lista = 'GERAL' GROUP BY nome",
     "registry_compare": f"{_REGISTRY} SELECT * FROM f",
     "registry_invalid": f"{_REGISTRY} SELECT anunciante, count(DISTINCT codigo) AS anuncios, count(*) AS linhas FROM a0 WHERE length(creci) < 4 GROUP BY anunciante",
-    "registry_totals": f"{_REGISTRY} SELECT 'linhas_a' AS medida, count(*) AS total FROM a0 UNION ALL SELECT 'validas_a', count_if(length(creci) >= 4) FROM a0 UNION ALL SELECT 'invalidas_a', count_if(length(creci) < 4) FROM a0 UNION ALL SELECT 'linhas_b', count(*) FROM b0 UNION ALL SELECT 'validas_b', count_if(length(creci) >= 4) FROM b0 UNION ALL SELECT 'invalidas_b', count_if(length(creci) < 4) FROM b0 UNION ALL SELECT 'creci_a', count_if(origem = 'A') FROM f UNION ALL SELECT 'creci_b', count_if(origem = 'B') FROM f UNION ALL SELECT 'creci_ambos', count_if(origem = 'AMBOS') FROM f",
+    "registry_totals": f"{_REGISTRY} SELECT 'linhas_a' AS medida, count(*) AS total FROM a0 UNION ALL SELECT 'validas_a', coalesce(count_if(length(creci) >= 4), 0) FROM a0 UNION ALL SELECT 'invalidas_a', coalesce(count_if(length(creci) < 4), 0) FROM a0 UNION ALL SELECT 'linhas_b', count(*) FROM b0 UNION ALL SELECT 'validas_b', coalesce(count_if(length(creci) >= 4), 0) FROM b0 UNION ALL SELECT 'invalidas_b', coalesce(count_if(length(creci) < 4), 0) FROM b0 UNION ALL SELECT 'creci_a', coalesce(count_if(origem = 'A'), 0) FROM f UNION ALL SELECT 'creci_b', coalesce(count_if(origem = 'B'), 0) FROM f UNION ALL SELECT 'creci_ambos', coalesce(count_if(origem = 'AMBOS'), 0) FROM f",
 }

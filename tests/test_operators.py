@@ -1,0 +1,83 @@
+"""Outliers, tables and sinks on small literal tables, and what must hold between results."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessela.operators import awards, quality, stock, tiers
+from tessela.sources import schema, sinks, tables
+
+
+def test_outliers_guards(spark):
+    same = spark.createDataFrame([(5.0,)] * 8 + [(90.0,)], "v double")
+    assert quality.without_outliers(same, "v").count() == 9
+    assert quality.without_outliers(same, "v", guard_zero=False).count() == 8
+    few = spark.createDataFrame([(float(i),) for i in range(18)] + [(900.0,)], "v double")
+    assert quality.without_outliers(few, "v", least_rows=20).count() == 19
+    assert quality.without_outliers(few, "v").count() == 18
+    assert quality.without_outliers(spark.createDataFrame([(None,)] * 3, "v double"), "v").count() == 3
+
+
+def test_offer_filter_only_where_found(spark):
+    df = spark.createDataFrame([("COM", "VENDA"), ("COM", "ALUGUEL"), ("SEM", "ALUGUEL")], "vaga string, oferta string")
+    assert sorted(map(tuple, quality.offered_where_found(df, "VENDA").collect())) == [("COM", "VENDA"), ("SEM", "ALUGUEL")]
+
+
+def test_commission_of_sides_is_general(spark):
+    df = spark.createDataFrame([("a", "b", "b", None, 100.0, 6.0), ("a", None, "-", "", 50.0, 3.0)], "v1 string, v2 string, c1 string, c2 string, valor double, com double")
+    roles = awards.role_rows(awards.sides(df, ["v1", "v2"], ["c1", "c2"]), "valor", "com")
+    sums = {r["lista"]: r["s"] for r in roles.groupBy("lista").agg(F.sum("vgc").alias("s")).collect()}
+    assert sums["CAP"] + sums["VEND"] == pytest.approx(sums["GERAL"]) == pytest.approx(9.0)
+
+
+def test_upsert_twice_is_once(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
+    once = stock.upsert(old, new, ["k"])
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, stock.upsert(once, new, ["k"]).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_tables_are_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert sinks.current(spark, path, "k int").count() == 0
+    sinks.replace(spark.createDataFrame([(1,)], "k int"), path)
+    sinks.replace(stock.upsert(sinks.current(spark, path, "k int"), spark.createDataFrame([(2,)], "k int"), ["k"]), path)
+    assert sorted(r["k"] for r in sinks.current(spark, path, "k int").collect()) == [1, 2]
+
+
+def test_csv_sources(spark, tmp_path):
+    path = tmp_path / "base_2025-03-01.csv"
+    path.write_text("﻿Código;Preço \n1;2,5\n", encoding="utf-8")
+    df = tables.csv(spark, str(path), required=("Código",))
+    assert df.columns == ["Código", "Preço"]
+    assert schema.standardised(df).columns == ["codigo", "preco"]
+    assert schema.column(df, "PRECO") == "Preço"
+    assert tables.dated_csv(spark, [str(path)]).first()["arquivo_origem"] == path.name
+    with pytest.raises(ValueError, match="creci"):
+        tables.csv(spark, str(path), required=("creci",))
+    sinks.to_csv(df, str(tmp_path / "out"), ";")
+    assert tables.csv(spark, str(tmp_path / "out"), ";").count() == 1
+
+
+def test_html_keeps_the_largest_table(spark):
+    page = "<html><table><tr><td>x</td></tr></table><TABLE class=a><tr><th>A</th><th>B</th></tr><tr><td>1&nbsp;<b>m</b></td><td>2</td></tr></TABLE></html>"
+    rows = tables.html_rows(spark.createDataFrame([("p", page)], "path string, html string")).orderBy("line").collect()
+    assert [r["cells"] for r in rows] == [["A", "B"], ["1 m", "2"]]
+
+
+def test_available(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"quantidade": 3, "lista": [{"codigo": 7}, {"codigo": "x"}, {"codigo": "7"}, {"codigo": 9}]}')
+    assert [r["codigo"] for r in tables.available(spark, str(tmp_path)).collect()] == [7, 9]
+
+
+def test_fit_needs_rows_and_pick_three(spark):
+    assert tiers.fit_centres(spark.createDataFrame([(1.0, 2.0)] * 5, "a double, b double"), ["a", "b"]) is None
+    df = spark.createDataFrame([(1, 10.0), (2, 100.0), (3, 104.0), (4, 200.0)], "cluster int, media double").withColumn("g", F.lit("x"))
+    picked = {r["cluster"]: r["cluster_nome"] for r in tiers.pick_three(df, ["g"]).collect()}
+    assert picked == {1: tiers.TIERS[0], 3: tiers.TIERS[1], 4: tiers.TIERS[2]}
+
+
+def test_new_keys_number_on(spark):
+    dim = spark.createDataFrame([("B7", "Asa Sul")], "id string, nome string")
+    names = spark.createDataFrame([("asa sul", 1), ("Guará", 2), ("GUARA", 3), ("Lago", 4), (None, 5)], "n string, row int")
+    rows = {r["nome"]: r["id"] for r in stock.new_keys(names, "n", "row", dim, "nome", "id").collect()}
+    assert rows == {"Asa Sul": "B7", "Guará": "B8", "Lago": "B9"}
