@@ -46,8 +46,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document with what the mix takes of it, and the shards that get it."""
-    return mixing.mix(docs).select(*docs.columns, *mixing.digest())
+    """Each document with what the mix takes of it, and the shards that get it; columns of such names give way."""
+    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "shards")]
+    return mixing.mix(docs).select(*own, *mixing.digest())
 
 
 STAGES = [
