@@ -201,11 +201,14 @@ def _leaks(texts: DataFrame, items: DataFrame, index) -> DataFrame:  # noqa: ANN
     windows = written(texts.mapInArrow(run, "doc_id long, length int, a long, b long, blocks array<int>, shingles array<long>, weights array<double>"))
     one = windows.groupBy("length", "a", "b").agg(F.first("blocks").alias("blocks"), F.first("shingles").alias("shingles"), F.first("weights").alias("weights"))
     one = written(one)
-    probes = one.select("length", "a", "b", F.col("blocks").alias("ours"), F.posexplode("blocks").alias("block", "value"))
+    probes = one.select("length", "a", "b", F.posexplode("blocks").alias("block", "value"))
     masks = F.split(F.lit(",".join(map(str, _MASKS))), ",").cast("array<int>")
-    near = items.select("item_id", "length", F.col("blocks").alias("theirs"), F.posexplode("blocks").alias("block", "v")).select("item_id", "length", "theirs", "block", F.explode(F.transform(masks, lambda m: F.col("v").bitwiseXOR(m))).alias("value"))
-    close = probes.join(near, ["length", "block", "value"]).filter(_distance("ours", "theirs") <= RADIUS).select("a", "b", "item_id").distinct()
-    full = close.join(one.select("a", "b", "shingles", "weights"), ["a", "b"]).join(items.select("item_id", F.col("shingles").alias("s2"), F.col("weights").alias("w2")), "item_id")
+    near = items.select("item_id", "length", F.posexplode("blocks").alias("block", "v")).select("item_id", "length", "block", F.explode(F.transform(masks, lambda m: F.col("v").bitwiseXOR(m))).alias("value"))
+    # the neighbours are many times the items, which the planner can't know
+    close = probes.join(near.hint("merge"), ["length", "block", "value"]).select("a", "b", "item_id").distinct()
+    full = close.join(one.select("a", "b", "blocks", "shingles", "weights"), ["a", "b"])
+    full = full.join(items.select(F.col("item_id").alias("i2"), F.col("length").alias("l2"), F.col("blocks").alias("theirs"), F.col("shingles").alias("s2"), F.col("weights").alias("w2")), F.col("item_id").eqNullSafe(F.col("i2")))
+    full = full.filter((F.size("shingles") == F.size("s2")) & (_distance("blocks", "theirs") <= RADIUS))
     sure = full.select("a", "b", "item_id", "shingles", "weights", "s2", "w2").mapInArrow(_similar, "a long, b long, item_id long, similarity double").filter(F.col("similarity") >= SIMILARITY)
     return windows.select("doc_id", "a", "b").join(sure, ["a", "b"]).groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
 
