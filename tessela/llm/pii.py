@@ -3,7 +3,7 @@ r"""Personal data in documents: base patterns, and a character-level bidirection
 The network reads classes of characters, a forward and a backward layer of ``HIDDEN`` cells each; their states give
 a score for each of the tags (outside, email, ip, card, phone), and a CRF's transitions between tags are learned
 with them. It is trained in numpy on the driver, by exact gradients through time, from at most ``TRAIN_DOCS``
-documents (those with the least hashes of doc_id that hold a digit or an @, whose labels are the base spans) and
+documents (of those that hold a digit or an @ one for each bucket of a hash of doc_id; labels are the base spans) and
 from written-out examples.
 
 Every kind of span holds a digit or an @, so a stretch of text farther than ``REACH`` characters from any of these
@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessela.llm.shared import sampled, texts_of
 from tessela.llm.spans import Span, apart_from, rows_of, span_batches, span_schema
 from tessela.llm.tokens import pieces
 
@@ -250,10 +251,9 @@ def _examples(n: int = 240) -> list[str]:
 
 def fit(docs: DataFrame, rows: int = TRAIN_DOCS) -> Network:
     """Learns from the base spans of a bounded sample, and from examples."""
-    texts = docs.select("doc_id", F.substring(F.col("text"), 1, TRAIN_CHARS).alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    found = texts.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
+    ids = sampled(docs.filter(F.col("text").rlike("[0-9@]") & F.col("doc_id").isNotNull()).select("doc_id"), "doc_id", rows)
     xs, ys = [], []
-    for text in [*_examples(), *(r["text"] for r in found)]:
+    for text in [*_examples(), *texts_of(docs, ids, TRAIN_CHARS)]:
         kind, parts = stretches(text)
         y = np.zeros(len(kind), dtype=np.int64)
         for name, a, b in base_spans(text):

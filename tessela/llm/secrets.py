@@ -4,7 +4,7 @@ Tokens are runs of letters, digits and ``+/_.-``. The field tags them B (begins
 features of a token (shape: length, share of digits, mix of cases, hexadecimal, known beginnings), its neighbours
 (the words before, what stands between) and its file (how many tokens have digits). Weights are learned in numpy
 on the driver, by gradients of the exact log-likelihood (forward-backward), from at most ``TRAIN_DOCS`` documents
-(those with the least hashes of doc_id, half of them with a base span) whose labels are the base spans, and from
+(one for each bucket of a hash of doc_id, at most half of them with a hint of a secret) whose labels are the base spans, and from
 written-out examples of further kinds.
 
 Decoding is Viterbi over whole texts. Where O leads by more than any change of transitions could win, the best
@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessela.llm.shared import sampled, texts_of
 from tessela.llm.spans import Span, apart_from, places, rows_of, span_batches, span_schema
 from tessela.llm.tokens import LOWER, Piece, char_at, mix64, pieces
 
@@ -237,12 +238,10 @@ def _examples(n: int = 240) -> list[tuple[np.ndarray, np.ndarray]]:
 def fit(docs: DataFrame, rows: int = TRAIN_DOCS) -> Field:
     """Learns from a bounded sample: half of it holds what base patterns look for."""
     hints = r"(?i)(passw|secret|token|api_?key)|AKIA|[0-9a-f]{24}"
-    order = (F.xxhash64("doc_id"), "doc_id")
-    texts = docs.select("doc_id", F.substring(F.col("text"), 1, TRAIN_CHARS).alias("text")).filter("text is not null")
-    some = texts.filter(F.col("text").rlike(hints)).orderBy(*order).limit(rows // 2).collect()
-    rest = texts.orderBy(*order).limit(rows // 2).collect()
+    marked = docs.filter("text is not null and doc_id is not null").select("doc_id", F.col("text").rlike(hints).alias("hint"))
+    ids = sampled(marked, "doc_id", rows // 2, "hint")
     field = Field()
-    field.fit(_labelled([r["text"] for r in some + rest]) + _examples())
+    field.fit(_labelled(texts_of(docs, ids, TRAIN_CHARS)) + _examples())
     return field
 
 

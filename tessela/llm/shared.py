@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,3 +26,21 @@ def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
         out = out.partitionBy(partition_by)
     out.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sampled(df: DataFrame, key: str, rows: int, *also: str) -> DataFrame:
+    """At most ``rows`` of the rows (for each value of ``also``): of each of as many hash buckets of ``key`` the least.
+
+    Sums up before the shuffle, so neither the driver nor a task meets more than one row for each bucket and task.
+    """
+    h = F.xxhash64(key)
+    best = F.min_by(F.struct(*df.columns), F.struct(h, F.col(key)))
+    return df.groupBy(F.pmod(h, F.lit(rows)).alias("__bucket"), *also).agg(best.alias("__best")).select("__best.*")
+
+
+def texts_of(docs: DataFrame, ids: DataFrame, chars: int) -> list[str]:
+    """The beginnings of the texts of a bounded set of ids, in the order of the ids, one for each id."""
+    ids = ids.select(F.col("doc_id").alias("__id")).distinct()
+    some = docs.select("doc_id", F.substring("text", 1, chars).alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("__id"))
+    rows = some.groupBy("doc_id").agg(F.max("text").alias("text")).filter("text is not null").orderBy("doc_id").collect()
+    return [r["text"] for r in rows]

@@ -9,7 +9,7 @@ A hit counts by its context: ``CONTEXT`` words to both sides are searched for qu
 words of reporting. A quoted hit has a quarter of the weight. A logistic model over a document's hits (exact,
 fuzzy and stem evidence, per document and per word) gives the score.
 
-Labels come from at most ``TRAIN_ROWS`` labelled documents (those with the least hashes of doc_id), none of them
+Labels come from at most ``TRAIN_ROWS`` labelled documents (one for each bucket of a hash of doc_id), none of them
 with crc32(doc_id) mod 3 = 1, which are held out. Score and lexicon see the text alone. Edits are counted in UTF-8
 bytes; A-Z is lower-cased, words are runs of letters.
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tessela.llm.columns import lower_ascii
-from tessela.llm.shared import written
+from tessela.llm.shared import sampled, written
 from tessela.llm.tokens import LOWER, Piece, pieces
 
 TRAIN_ROWS = 8000
@@ -201,7 +201,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, y, text) of at most ``rows`` labelled documents that are not held out; the ids are few, so they are sent to the texts."""
     ids = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max("toxic").alias("y"))
-    ids = ids.orderBy(F.xxhash64("__id"), "__id").limit(rows)
+    ids = sampled(ids, "__id", rows)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("__id")).select("doc_id", "y", "text")
 
 
