@@ -1,17 +1,20 @@
 r"""Near-duplicate documents by a chosen-path set similarity join over minwise tokens.
 
 A document is the set of its distinct shingles of five words. Documents with the same set are one vertex. Each
-vertex has a signature: for each of ``TOKENS`` hash functions the least hash of its shingles. The join grows
-``TREES`` trees: a node branches by ``BRANCHES`` positions of the signature, and its documents go to the child of
+vertex has minwise tokens: for each of ``TOKENS`` hash functions the least hash of its shingles. The join grows
+``TREES`` trees: a node branches by ``BRANCHES`` positions of the tokens, and its documents go to the child of
 their token there. Two documents of similarity s follow each other into a child with probability s, so at 0.75 and
 two branches the chance to stay together never falls below 0.88 for a tree, at any depth, and six trees miss one
-link in half a million. A node with at most ``SMALL`` documents is compared exhaustively. Signatures only pass a
-pair on (estimates below ``ESTIMATE`` are more than four standard deviations under the threshold); links are
-confirmed on the full sets, read again from the texts.
+link in half a million. A node is compared exhaustively once it is small: at most ``SMALL`` documents or, once its
+pivots are compared, at most ``CROSS`` pairs that lie in different components (pairs within one need no comparison). A sketch only
+passes a pair on: the hash range is cut into ``BINS`` bins, and a set keeps two bits of its least hash in each, which
+gives the similarity or (by chance hits) more, to 0.02; estimates below ``ESTIMATE`` are four deviations under what
+the threshold gives.
+Links are confirmed on the full sets, read again from the texts, and no pair is confirmed twice.
 
-Large nodes are never brought together: the documents of a node are compared with a few pivots of it, and after
-each level those already in one component need no more comparison. A node whose documents are all in one component
-ends; the others branch on. What is still large at ``DEPTH`` is compared across components, in blocks.
+Large nodes are never brought together: their documents are compared with a few pivots of the node, which leaves
+few components in a group of copies. A node whose documents are all in one component ends, one that has become
+small is compared, the others branch on. What is still large at ``DEPTH`` is compared in blocks.
 
 Defined results: words are runs without white space, A-Z lower-cased; fewer than five words are one shingle; null
 and blank texts have no shingle, link with nothing and are kept; rows that share a doc_id are one vertex; a null
@@ -34,20 +37,34 @@ from tessela.llm.tokens import PIECE_ROWS, bytes_of, mix64, pieces, shingle_sets
 
 SHINGLE = 5
 PERCENT = 75
-TOKENS = 64
+TOKENS = 32
+#: Parts of the hash range; a set's sketch has two bits of its least hash in each, or none.
+BINS = 256
 TREES = 6
 BRANCHES = 2
+#: Positions that the roots branch by; the deeper nodes choose among the others.
+ROOTS = TREES * BRANCHES
 SMALL = 32
+CROSS = 2_000_000
 DEPTH = 10
 PIVOTS = 4
-ESTIMATE = 0.5
-BLOCKS = 64
+ESTIMATE = 0.69
+BLOCKS = 16
 
 _U = np.uint64
 _FACTORS = mix64(np.arange(1, TOKENS + 1, dtype=_U)) | _U(1)
 _SHIFTS = mix64(np.arange(1001, TOKENS + 1001, dtype=_U))
 
 
+def _sketch(keys: np.ndarray, rows: int) -> np.ndarray:
+    """Of sorted keys (row, hash): for each bin of the hash range 1 to 3 by the first hash in it, 0 if there is none."""
+    place = (keys >> _U(52 - BINS.bit_length() + 1)).astype(np.int64)  # row and bin
+    first = np.r_[True, place[1:] != place[:-1]] if len(place) else np.zeros(0, bool)
+    codes = np.zeros(rows * BINS, dtype=np.uint8)
+    codes[place[first]] = (mix64(keys[first] & _U((1 << 52) - 1)) % _U(3)).astype(np.uint8) + 1
+    return (codes.reshape(rows, -1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=2, dtype=np.uint8).view(np.int64)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
@@ -64,13 +81,13 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for j in range(TOKENS):
                     hashed = ((token * _FACTORS[j] + _SHIFTS[j]) >> _U(32)).astype(np.uint32)
                     least[full, j] = np.minimum.reduceat(hashed, at).view(np.int32)
-            signature = pa.ListArray.from_arrays(pa.array(np.arange(0, piece.rows + 1, dtype=np.int32) * TOKENS), pa.array(least.ravel()))
-            yield pa.RecordBatch.from_arrays([ids.slice(piece.first_row, piece.rows), pa.array(n.astype(np.int64)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), signature], names=["doc_id", "n", "a", "b", "sig"])
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, piece.rows + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel())) for x in (least, _sketch(keys, piece.rows))]
+            yield pa.RecordBatch.from_arrays([ids.slice(piece.first_row, piece.rows), pa.array(n.astype(np.int64)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), *lists], names=["doc_id", "n", "a", "b", "sig", "packed"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, a, b, sig): size, 128-bit name and signature of each document's shingle set."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sets, "doc_id long, n long, a long, b long, sig array<int>")
+    """(doc_id, n, a, b, sig, packed): size, 128-bit name and minwise tokens and sketch of each document's shingle set."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sets, "doc_id long, n long, a long, b long, sig array<int>, packed array<bigint>")
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,61 +126,82 @@ def _alike(a: str, b: str) -> Column:
 
 
 def _estimate(a: str, b: str) -> Column:
-    same = F.aggregate(F.zip_with(F.col(f"{a}.sig"), F.col(f"{b}.sig"), lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return same / F.lit(float(TOKENS))
+    """The similarity of two sets by their sketches: bins with equal codes over bins in use. Chance hits only raise it."""
+    low = F.lit(0x5555555555555555)
+    equal, used = F.lit(0), F.lit(0)
+    for k in range(BINS // 32):
+        x, y = F.get(f"{a}.packed", F.lit(k)), F.get(f"{b}.packed", F.lit(k))
+        both = x.bitwiseOR(y)
+        full = both.bitwiseOR(F.shiftrightunsigned(both, 1)).bitwiseAND(low)
+        other = x.bitwiseXOR(y)
+        other = other.bitwiseOR(F.shiftrightunsigned(other, 1)).bitwiseAND(low)
+        used = used + F.bit_count(full)
+        equal = equal + F.bit_count(full) - F.bit_count(other)
+    return F.try_divide(equal, used)
 
 
 def _children(rows: DataFrame) -> DataFrame:
     """The rows of the next level: each goes to the node of its token at ``BRANCHES`` positions that its node names."""
-    position = lambda k: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(TOKENS)).cast("int")
+    position = lambda k: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(TOKENS - ROOTS)).cast("int")
     go = F.array(*[F.xxhash64(F.col("node"), F.lit(k), F.get("sig", position(k))) for k in range(BRANCHES)])
     return rows.withColumn("node", F.explode(go))
 
 
+_ROW = ("node", "rep", "n", "sig", "packed", "comp")
+
+
+def _measured(rows: DataFrame, cross: int = CROSS) -> DataFrame:
+    """Adds ``top``, a node's largest component, and ``small``; nodes of one component end."""
+    each = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("k"))
+    state = each.groupBy("node").agg(F.sum("k").alias("size"), F.sum(F.col("k") * F.col("k")).alias("squares"), F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+    small = (F.col("size") <= SMALL) | ((F.col("size") * F.col("size") - F.col("squares")) / 2 <= cross)
+    return rows.select(*_ROW).join(state.select("node", F.col("m.comp").alias("top"), small.alias("small")), "node")
+
+
 def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, component) over all vertices that have a link. ``sets`` has (rep, n, sig)."""
+    """(node, component) over all vertices that have a link. ``sets`` has (rep, n, sig, packed)."""
     # the roots branch by positions of their own, so that no two trees begin alike
-    roots = F.array(*[F.xxhash64(F.lit(j), F.get("sig", F.lit(j))) for j in range(TREES * BRANCHES)])
+    roots = F.array(*[F.xxhash64(F.lit(j), F.get("sig", F.lit(j))) for j in range(ROOTS)])
     slim = sets.select("rep", F.explode(roots).alias("node"))
-    shared = slim.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    rows = slim.join(shared, "node").join(sets, "rep").withColumn("comp", F.col("rep"))
-    comps, texts = None, None
+    shared = slim.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("top")).filter("size > 1")
+    shared = shared.select("node", "top", (F.col("size") <= SMALL).alias("small"))
+    deeper = sets.withColumn("sig", F.slice("sig", ROOTS + 1, TOKENS - ROOTS)).withColumn("comp", F.col("rep"))
+    rows = written(slim.join(shared, "node").join(deeper, "rep").select(*_ROW, "top", "small"))
+    comps = texts = tried = None
     for depth in range(DEPTH + 1):
-        if depth:
-            rows = _children(rows).join(comps.select(F.col("node").alias("__n"), "component"), F.col("rep") == F.col("__n"), "left").withColumn("comp", F.coalesce("component", "rep"))
-            rows = rows.select("node", "rep", "n", "sig", "comp")
-            rows = written(rows)
-            state = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("node", "size")
-            rows = rows.join(state, "node")
-        rows = written(rows.select("node", "rep", "n", "sig", "comp", "size"))
-        small, large = rows.filter(F.col("size") <= SMALL), rows.filter(F.col("size") > SMALL)
-        pairs = _exhaustive(small)
-        if depth < DEPTH:
-            pairs = pairs.unionByName(_pivots(large))
-        else:
-            pairs = pairs.unionByName(_blocks(large))
-        pairs = written(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+        small, large = rows.filter("small"), rows.filter("not small")
+        pairs = _exhaustive(small).unionByName(_pivots(large) if depth < DEPTH else _blocks(large))
+        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        pairs = written(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
+        tried = pairs if tried is None else tried.unionByName(pairs)
         if texts is None:
             ids = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).unionByName(large.select(F.col("rep").alias("id"))).distinct()
             texts = written(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(ids, "id"))
-        found = confirmed(pairs, texts)
-        if comps is not None:
-            found = found.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v")))
-        comps = components(found)
-        rows = large.drop("size")
-        if large.isEmpty():
+        found = written(confirmed(pairs, texts))
+        if comps is None:
+            comps = components(found)
+        elif not found.isEmpty():
+            comps = components(found.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+        if depth == DEPTH or large.isEmpty():
             break
+        # what the pivots have made small is compared as it is, the rest goes on to the children
+        now = lambda r: r.drop("comp").join(comps.select(F.col("node").alias("__n"), F.col("component")), F.col("rep") == F.col("__n"), "left").withColumn("comp", F.coalesce("component", "rep")).select(*_ROW)
+        after = written(_measured(written(now(large))))
+        rows = after.filter("small").unionByName(_measured(_children(after.filter("not small")).select(*_ROW), 0))
+        rows = written(rows)
     return comps
 
 
 def _exhaustive(rows: DataFrame) -> DataFrame:
-    """All pairs of nodes of bounded size that lie in different components."""
-    return rows.alias("a").join(rows.alias("b"), (F.col("a.node") == F.col("b.node")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.comp") != F.col("b.comp")) & _alike("a", "b")).select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v"))
+    """The pairs of small nodes that lie in different components: what is not in a node's largest one, with all."""
+    rows = rows.select("node", "rep", "n", "packed", "comp", "top")
+    once = (F.col("b.comp") == F.col("b.top")) | (F.col("a.rep") < F.col("b.rep"))
+    return rows.filter("comp <> top").alias("a").join(rows.alias("b"), (F.col("a.node") == F.col("b.node")) & (F.col("a.comp") != F.col("b.comp")) & once & _alike("a", "b")).select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v"))
 
 
 def _pivots(rows: DataFrame) -> DataFrame:
     """For each document of a large node the pivot that resembles it most, of another component."""
-    one = F.struct("rep", "n", "sig", "comp")
+    one = F.struct("rep", "n", "packed", "comp")
     pivots = rows.groupBy("node", F.pmod(F.xxhash64("rep"), F.lit(PIVOTS)).alias("k")).agg(F.min_by(one, F.xxhash64("node", "rep")).alias("p"))
     pivots = pivots.select(F.col("node").alias("node"), "p.*")
     met = rows.alias("a").join(pivots.alias("b"), (F.col("a.node") == F.col("b.node")) & (F.col("a.comp") != F.col("b.comp")) & _alike("a", "b"))
@@ -172,20 +210,21 @@ def _pivots(rows: DataFrame) -> DataFrame:
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """All pairs of a node's components, dealt out in blocks."""
-    left = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(BLOCKS)).cast("int"))
-    right = rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
-    return left.alias("a").join(right.alias("b"), (F.col("a.node") == F.col("b.node")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.comp") != F.col("b.comp")) & _alike("a", "b")).select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v"))
+    """The same as for small nodes, dealt out in blocks."""
+    salted = rows.filter("comp <> top").withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(BLOCKS)).cast("int"))
+    every = rows.select("node", "rep", "n", "packed", "comp", "top", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("salt"))
+    once = (F.col("b.comp") == F.col("b.top")) | (F.col("a.rep") < F.col("b.rep"))
+    return salted.alias("a").join(every.alias("b"), (F.col("a.node") == F.col("b.node")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.comp") != F.col("b.comp")) & once & _alike("a", "b")).select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for each document."""
     each = written(signatures(docs))
-    full = each.filter("n > 0")
-    classes = full.groupBy("a", "b", "n").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.first("sig").alias("sig"))
-    classes = written(classes)
-    sets = classes.filter("rep is not null").select("rep", "n", "sig")
-    # copies whose doc_ids differ are one class; a doc_id with several texts ties its classes together as it is one vertex
+    classes = written(each.filter("n > 0").groupBy("a", "b", "n").agg(F.min("doc_id").alias("rep")))
+    # of rows that share a representative's doc_id any one gives tokens, as they are one vertex
+    of_rep = (F.col("doc_id") == F.col("rep")) & (F.col("a") == F.col("a_")) & (F.col("b") == F.col("b_"))
+    chosen = each.select("doc_id", "n", "a", "b", "sig", "packed").join(classes.select("rep", F.col("a").alias("a_"), F.col("b").alias("b_")), of_rep)
+    sets = written(chosen.select("rep", "n", "sig", "packed"))
     comps = links(sets, docs)
     named = classes.select("a", "b", "n", "rep").join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("a", "b", "n", F.coalesce("component", "rep").alias("component"))
     out = each.select("doc_id", "n", "a", "b").join(named, ["a", "b", "n"], "left")
