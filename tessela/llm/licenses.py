@@ -1,16 +1,20 @@
 r"""License texts in documents, by an exact set-similarity join with license templates.
 
-A template is a set of words; a block of a document is what stands between line ends and sentence ends. A block
-matches a template if it holds at least ``THRESHOLD`` of the template's words. The join is exact:
+A template is a set of words. Blocks of a document are what stands between line ends and sentence ends and, for each
+template, every run of ``SPAN`` times as many words as its text has, whatever line and sentence ends lie in it (so
+wrapped templates and those of several sentences are met). A block matches a template if it holds at least
+``THRESHOLD`` of the template's words. The join is exact:
 
 - words are ordered by how often all documents hold them, the rarest first (one pass over the corpus);
 - prefix filter: a template of n words that must share a of them meets a match in its n - a + 1 rarest words;
 - length filter: a block of fewer than a distinct words can't match;
 - positional filter: if the rarest shared word is the i-th of a template, at most n - i of its words are shared.
 
-Blocks that pass are compared in full. Templates are few and come as a parameter; they go to the tasks.
+Blocks that pass are compared in full; runs are looked at only around the words of a prefix. Templates are few and
+come as a parameter; they go to the tasks.
 
-Beside this, base phrases are counted wherever their words stand side by side. Both give labels.
+Beside this, base phrases are counted wherever their words stand side by side. ``labels`` and ``score`` are by the
+phrases and the blocks within line and sentence ends, ``all_labels`` and ``all_score`` by the runs as well.
 
 Defined results: null and empty texts have no words and no label; words are runs of ASCII letters, digits and
 non-ASCII characters, A-Z lower-cased; repeated rows are scanned one by one; an empty table gives an empty table.
@@ -30,6 +34,8 @@ from pyspark.sql import functions as F
 from tessela.llm.tokens import NOT_ALNUM, Piece, pieces
 
 THRESHOLD = 0.95
+#: Words of a run over those of the template's text: room for some that are put in between.
+SPAN = 1.25
 
 #: The base phrases with their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -102,6 +108,7 @@ def frequencies(docs: DataFrame, vocabulary: Vocabulary) -> dict[str, int]:
 
 class Matcher:
     def __init__(self, templates: tuple[tuple[str, str], ...], phrases: tuple[tuple[str, str], ...], frequency: dict[str, int], threshold: float = THRESHOLD) -> None:
+        spans = [math.ceil(SPAN * len(words_of(text)) - 1e-9) for _, text in templates]
         sets = [(label, sorted(set(words_of(text)), key=lambda w: (frequency.get(w, 0), w))) for label, text in templates]
         self.phrases = [(words_of(text), label) for text, label in phrases]
         self.vocabulary = Vocabulary([w for _, t in sets for w in t] + [w for p, _ in self.phrases for w in p])
@@ -113,6 +120,13 @@ class Matcher:
             for i, w in enumerate(words[: len(words) - need + 1]):
                 self.prefixes.setdefault(number[w], []).append((len(self.templates), i))
             self.templates.append((label, frozenset(number[w] for w in words), need))
+        # by template: the words of a run, and which words of the vocabulary it holds and has in its prefix
+        self.runs = []
+        for t, (span, (_, words, _)) in enumerate(zip(spans, self.templates, strict=True)):
+            held, first = np.zeros(len(self.vocabulary.words), dtype=bool), np.zeros(len(self.vocabulary.words), dtype=bool)
+            held[list(words)] = True
+            first[[w for w, of in self.prefixes.items() if any(x == t for x, _ in of)]] = True
+            self.runs.append((span, held, first))
 
     def matches(self, block: set[int], size: int) -> dict[int, float]:
         """Template and containment, of the templates that a block meets. ``size``: of all its distinct words."""
@@ -127,6 +141,35 @@ class Matcher:
                 out[t] = both / len(words)
         return out
 
+    def passages(self, at: np.ndarray, word: np.ndarray, word_at: np.ndarray) -> dict[tuple[int, int], float]:
+        """Text and template, and the largest containment in a run of words, of those that meet. ``at`` ascends."""
+        out: dict[tuple[int, int], float] = {}
+        for t, ((_, words, need), (span, held, first)) in enumerate(zip(self.templates, self.runs, strict=True)):
+            mine = held[word]
+            place, number = at[mine], word[mine]
+            hit = place[first[number]]
+            row = np.searchsorted(word_at, hit, side="right") - 1
+            low = np.searchsorted(place, np.maximum(hit - span + 1, word_at[row]), side="left")
+            high = np.searchsorted(place, np.minimum(hit + span, word_at[row + 1]), side="left")
+            enough = (high - low >= need) & (need > 0)
+            for i, a, b in zip(row[enough].tolist(), low[enough].tolist(), high[enough].tolist(), strict=True):
+                if out.get((i, t)) == 1.0:
+                    continue
+                count: dict[int, int] = {}
+                best, left, places, numbers = 0, 0, place[a:b].tolist(), number[a:b].tolist()
+                for p, w in zip(places, numbers, strict=True):
+                    count[w] = count.get(w, 0) + 1
+                    while p - places[left] >= span:
+                        gone = numbers[left]
+                        left += 1
+                        count[gone] -= 1
+                        if not count[gone]:
+                            del count[gone]
+                    best = max(best, len(count))
+                if best >= need:
+                    out[i, t] = max(best / len(words), out.get((i, t), 0.0))
+        return out
+
     def scan(self, piece: Piece, ids: pa.Array) -> pa.RecordBatch:
         n = piece.rows
         count = np.diff(piece.word_at)
@@ -179,7 +222,12 @@ class Matcher:
         joined = lambda sets: pa.array([",".join(sorted(x)) for x in sets], type=pa.string())
         both = [a | b for a, b in zip(base, labels, strict=True)]
         score = np.maximum(score, (n_base > 0) * 1.0)
-        return pa.RecordBatch.from_arrays([ids, pa.array(count.astype(np.int64)), pa.array(n_base), pa.array(first, mask=none), pa.array(last, mask=none), joined(base), joined(both), pa.array(score)], names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
+        every, top = [set(x) for x in both], score.copy()
+        for (i, t), share in self.passages(at, word, piece.word_at).items():
+            every[i].add(self.templates[t][0])
+            top[i] = max(top[i], share)
+        names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "all_labels", "all_score"]
+        return pa.RecordBatch.from_arrays([ids, pa.array(count.astype(np.int64)), pa.array(n_base), pa.array(first, mask=none), pa.array(last, mask=none), joined(base), joined(both), pa.array(score), joined(every), pa.array(top)], names=names)
 
 
 def row_offset(piece: Piece) -> np.ndarray:
@@ -188,7 +236,7 @@ def row_offset(piece: Piece) -> np.ndarray:
 
 
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, phrases: tuple[tuple[str, str], ...] = PHRASES) -> DataFrame:
-    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of each document."""
+    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, all_labels, all_score) of each document."""
     words = Vocabulary([w for _, t in templates for w in words_of(t)])
     matcher = docs.sparkSession.sparkContext.broadcast(Matcher(templates, phrases, frequencies(docs, words)))
 
@@ -198,9 +246,10 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, ph
                 yield matcher.value.scan(piece, batch.column(0).slice(piece.first_row, piece.rows))
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
+    return texts.mapInArrow(run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, all_labels string, all_score double")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's license labels."""
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """Each document's license labels, by blocks of every kind."""
+    found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.select(*found.columns[:6], F.col("all_labels").alias("labels"), F.col("all_score").alias("score"))

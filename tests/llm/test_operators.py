@@ -284,6 +284,26 @@ def test_licenses(spark, docs, rows, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_license_templates_match_their_own_text(spark):
+    texts = []
+    for k, (_, t) in enumerate(licenses.TEMPLATES):
+        w = t.split(" ")
+        wrapped = "\n".join("# " + " ".join(w[i : i + 3]) for i in range(0, len(w), 3))
+        texts += [(3 * k, f"Some words. {t}. More words."), (3 * k + 1, f"Some words.\n{wrapped}\nMore words."), (3 * k + 2, " ".join(w[::2] + ["far"] * 40 + w[1::2]).replace(". ", " "))]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for k, (label, _) in enumerate(licenses.TEMPLATES):
+        for i in (3 * k, 3 * k + 1):
+            assert label in got[i]["all_labels"].split(",")
+            assert got[i]["all_score"] == 1.0
+            assert set(got[i]["labels"].split(",")) <= {"", *got[i]["all_labels"].split(",")}
+    # runs against brute force: every window of each template's span
+    sets = [(label, set(licenses.words_of(t)), math.ceil(licenses.SPAN * len(licenses.words_of(t)))) for label, t in licenses.TEMPLATES]
+    for i, text in texts:
+        w = licenses.words_of(text)
+        want = {label for label, t, n in sets for k in range(max(len(w) - n, 0) + 1) if len(t & set(w[k : k + n])) >= math.ceil(licenses.THRESHOLD * len(t) - 1e-9)}
+        assert got[i]["all_labels"] == ",".join(sorted({x for x in {*want, *got[i]["labels"].split(",")} if x}))
+
+
 def test_pii(spark, docs, rows, empty):
     network = pii.fit(docs)
     text = "é write to a.b1@mail2.example.com or 10.0.300.1 and 10.0.30.1, card 4111-1111-1111-1111, call +1 (415) 555-0199 now"
