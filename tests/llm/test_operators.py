@@ -262,6 +262,14 @@ def test_near_duplicates_of_a_large_group(spark):
     assert {r["doc_id"]: r["component_id"] for r in found} == {i: 0 if i < 1000 else i for i, _ in rows}
 
 
+def test_no_near_duplicate_of_a_short_text_is_refused(spark):
+    rows = []
+    for i in range(1500):  # 3 of 4 shingles are shared
+        rows += [(2 * i, " ".join(f"w{i}-{k}" for k in range(7))), (2 * i + 1, " ".join(f"w{i}-{k}" for k in range(8)))]
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_licenses(spark, docs, rows, empty):
     extra = [(1000 + k, f"Some words. {t}. More words.") for k, (_, t) in enumerate(licenses.TEMPLATES)] + [(2000, "CC-BY and cc by; all RIGHTS reserved")]
     df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
