@@ -4,9 +4,10 @@ r"""Mixes sources to target weights, with SQL functions alone.
    size and the excess is shared again by weight. Sources sorted by cap over weight fill up one after another, so
    the common level is a prefix sum.
 2. Blocks: a seeded hash deals each source's documents to ``BLOCKS`` blocks; the hash is the permutation, so
-   block 0, 1, ... is the order of drawing. The quota of a source is the number of block draws, over whole passes
-   and a part of one, whose words come nearest to the target from below; one document of the blocks not reached
-   in the last pass, the one that fits best, fills up what is missing.
+   block 0, 1, ... is the order of drawing. Each source's blocks are drawn in whole passes and a part of one, which
+   takes the blocks in their order and leaves out those that would exceed the target; the blocks it takes come first
+   in the order of drawing. What is missing then is filled up from the documents of the blocks left out, in an order
+   by another hash, again without those that would exceed, and at last with the one that comes nearest, if any helps.
 3. Splitting tree: at each node the draws of all sources are divided between two halves of the output shards,
    source after source by a hypergeometric draw, so all together multivariate hypergeometric and exact to the
    block. A leaf is a shard: its share of a source's draws is the next range of that source's permuted blocks,
@@ -34,6 +35,8 @@ WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
 MAX_REPEAT = 2
 BLOCKS = 1024
+#: Words of the documents that are looked at to fill up a source, over what is missing.
+SPARE = 16
 TREE_DEPTH = 3
 SEED = 7
 
@@ -125,6 +128,17 @@ def split(quotas: DataFrame, depth: int = TREE_DEPTH, seed: int = SEED) -> DataF
     return nodes.select("source_no", (F.col("node") - (1 << depth)).alias("shard"), "quota")
 
 
+def _fitting(items: str | Column, room: Column, size: str, name: str, kind: str) -> Column:
+    """Of the items in their order those that still fit in ``room``: (cum, took), their sum and their names."""
+    start = F.struct(F.lit(0).cast("bigint").alias("cum"), F.array().cast(f"array<{kind}>").alias("took"))
+
+    def step(acc: Column, x: Column) -> Column:
+        more = F.struct((acc["cum"] + x[size]).alias("cum"), F.concat(acc["took"], F.array(x[name].cast(kind))).alias("took"))
+        return F.when(acc["cum"] + x[size] <= room, more).otherwise(acc)
+
+    return F.aggregate(items, start, step)
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TREE_DEPTH, seed: int = SEED) -> DataFrame:
     """``docs`` with ``__size``, ``__source_size``, ``__target`` and ``__draws``: the (shard, key) of each time the mix takes the document."""
     own = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"))
@@ -134,16 +148,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TREE_D
     blocks = written(blocks.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("block", "words"))).alias("blocks"), F.sum("words").alias("source_size")))
     sources = targets(blocks.select("source", "source_size")).withColumn("source_no", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).cast("int"))
     plan = blocks.drop("source_size").join(sources, blocks["source"].eqNullSafe(sources["source"])).drop(blocks["source"])
-    # whole passes, and of the last pass the blocks that fit: ``cut`` is the first block left out of it
+    # whole passes, and of the last pass the blocks that fit, which come first: ``cut`` is the first block left out of it
     plan = plan.withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint"))
     plan = plan.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
+    fill = _fitting("blocks", F.col("rest"), "words", "block", "int")
+    plan = plan.withColumn("fill", F.when(F.col("rest") > 0, fill).otherwise(_fitting(F.slice("blocks", 1, 0), F.lit(0.0), "words", "block", "int")))
+    taken = lambda x: F.array_contains("fill.took", x["block"])
+    plan = plan.withColumn("blocks", F.concat(F.filter("blocks", taken), F.filter("blocks", lambda x: ~taken(x))))
     plan = plan.withColumn("blocks", F.transform("blocks", lambda x, i: F.struct(i.alias("place"), x["words"].alias("words"), x["block"].alias("hash"))))
-    fits = lambda acc, x: (acc["n"] == x["place"]) & (acc["cum"] + x["words"] <= F.col("rest"))
-    start = F.struct(F.lit(0).cast("bigint").alias("cum"), F.lit(0).alias("n"))
-    fill = F.aggregate("blocks", start, lambda acc, x: F.when(fits(acc, x), F.struct((acc["cum"] + x["words"]).alias("cum"), (acc["n"] + 1).alias("n"))).otherwise(acc))
-    plan = plan.withColumn("fill", fill)
-    plan = plan.withColumn("quota", F.col("passes") * F.size("blocks") + F.col("fill.n")).withColumn("lacks", F.col("rest") - F.col("fill.cum"))
-    plan = written(plan.withColumn("cut", F.col("fill.n")).drop("fill"))
+    plan = plan.withColumn("quota", F.col("passes") * F.size("blocks") + F.size("fill.took")).withColumn("lacks", F.col("rest") - F.col("fill.cum"))
+    plan = written(plan.withColumn("cut", F.size("fill.took")).drop("fill"))
     shards = split(plan.select("source_no", "quota"), depth, seed)
     ranges = shards.groupBy("source_no").agg(F.array_sort(F.collect_list(F.struct("shard", "quota"))).alias("shards"))
     ends = F.transform("shards", lambda x, i: F.struct(x["shard"].alias("shard"), F.aggregate(F.slice("shards", 1, i + 1), F.lit(0).cast("bigint"), lambda a, y: a + y["quota"]).alias("end")))
@@ -154,15 +168,25 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TREE_D
     shard_of = lambda j: F.filter("ends", lambda e: j < e["end"])[0]["shard"]
     each = each.select("source", "source_size", "target", F.col("b.hash").alias("block"), (F.col("place") >= F.col("cut")).alias("spare"), F.transform(draws, shard_of).alias("shards"), "lacks")
     each = written(each)
-    # the document of a block not reached in the last pass that comes nearest to what a source lacks
-    spare = slim.join(each.filter("spare").select(F.col("source").alias("s"), F.col("block").alias("b"), "lacks"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
-    gap = F.abs(F.col("lacks") - F.col("size"))
-    best = spare.filter((F.col("size") > 0) & (gap < F.col("lacks"))).groupBy("source").agg(F.min_by("doc_id", F.struct(gap, F.xxhash64(F.lit(seed + 1), F.col("doc_id")))).alias("top_up"))
-    best = best.select(F.col("source").alias("__top_source"), F.col("top_up").alias("__top_up"))
-    each = each.select(F.col("source").alias("__s"), F.col("block").alias("__b"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), F.col("shards").alias("__shards"))
-    each = each.join(best, F.col("__s").eqNullSafe(F.col("__top_source")), "left")
-    out = sized.join(each, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")), "left")
-    topped = F.when(F.col("doc_id") == F.col("__top_up"), F.array(F.pmod(F.xxhash64(F.lit(seed + 2), F.col("doc_id")), F.lit(1 << depth)))).otherwise(F.array().cast("array<bigint>"))
+    # documents of the blocks left out, in at most 2**20 lots by another hash: of each source's, those that fill up what it lacks
+    lot = F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("source")), 44)
+    left_out = each.filter("spare").select(F.col("source").alias("s"), F.col("block").alias("b"), "lacks")
+    spare = slim.filter("size > 0").join(left_out, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
+    spare = spare.groupBy("source", lot.alias("lot")).agg(F.sum("size").alias("size"), F.first("lacks").alias("lacks")).filter("size < 2 * lacks")
+    spare = written(spare)
+    share = spare.groupBy("source").agg((F.first("lacks") * SPARE * (1 << 20) / F.sum("size")).alias("first")).select(F.col("source").alias("s"), "first")
+    spare = spare.join(share, F.col("source").eqNullSafe(F.col("s"))).filter(F.col("lot") < F.col("first"))
+    spare = spare.groupBy("source").agg(F.first("lacks").alias("lacks"), F.array_sort(F.collect_list(F.struct("lot", "size"))).alias("lots"))
+    spare = spare.withColumn("fill", _fitting("lots", F.col("lacks"), "size", "lot", "bigint")).withColumn("lacks", F.col("lacks") - F.col("fill.cum"))
+    gaps = F.transform("lots", lambda x: F.struct(F.abs(F.col("lacks") - x["size"]).alias("gap"), x["lot"].alias("lot")))
+    last = F.array_min(F.filter(gaps, lambda x: (x["gap"] < F.col("lacks")) & ~F.array_contains("fill.took", x["lot"])))
+    lots = F.when(last.isNotNull(), F.concat("fill.took", F.array(last["lot"]))).otherwise(F.col("fill.took"))
+    best = written(spare.select(F.col("source").alias("__top_source"), F.explode(lots).alias("__top_lot")))
+    each = each.select(F.col("source").alias("__s"), F.col("block").alias("__b"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), F.col("shards").alias("__shards"), "spare")
+    each = each.withColumn("__spare", F.col("spare")).drop("spare")
+    out = sized.withColumn("__lot", lot).join(each, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")), "left")
+    out = out.join(F.broadcast(best), F.col("source").eqNullSafe(F.col("__top_source")) & (F.col("__lot") == F.col("__top_lot")) & F.col("__spare") & (F.col("__size") > 0), "left")
+    topped = F.when(F.col("__top_lot").isNotNull(), F.array(F.pmod(F.xxhash64(F.lit(seed + 2), F.col("doc_id")), F.lit(1 << depth)))).otherwise(F.array().cast("array<bigint>"))
     shards = F.concat(F.coalesce("__shards", F.array().cast("array<bigint>")), topped)
     draws = F.transform(shards, lambda s, i: F.struct(s.alias("shard"), F.xxhash64(F.lit(seed + 3), F.col("doc_id"), i).alias("key")))
     return out.withColumn("__draws", draws).select(*docs.columns, "__size", "__source_size", "__target", "__draws")

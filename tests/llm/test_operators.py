@@ -112,6 +112,14 @@ def test_mixing(spark, docs, rows, empty):
     assert mixing.shards(docs).count() == sum(len(r["__draws"]) for r in found)
 
 
+@pytest.mark.parametrize("long", [30_000, 100_000])
+def test_mix_meets_its_target_beside_a_long_document(spark, long):
+    df = spark.createDataFrame([(i, "w " * (long if i == 250 else 200), "s") for i in range(501)], "doc_id long, text string, source string")
+    for seed in range(5):
+        found = mixing.mix(df, seed=seed).select("__size", F.size("__draws").alias("n"), "__target").collect()
+        assert abs(sum(r["__size"] * r["n"] for r in found) - found[0]["__target"]) <= 200
+
+
 def test_hypergeometric_and_tree(spark):
     u = mixing._uniform(F.lit(1), F.col("id"))
     drawn = spark.range(3000).select(mixing.hypergeometric(F.lit(60).cast("long"), F.lit(20).cast("long"), F.lit(30).cast("long"), u).alias("k"))
