@@ -46,9 +46,15 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document with what the mix takes of it, and the shards that get it; columns of such names give way."""
-    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "shards")]
-    return mixing.mix(docs).select(*own, *mixing.digest())
+    """The mix: a row for each draw, with its shard and its place there; columns of such names give way.
+
+    ``taken`` is the words of the draw; ``size`` is the document's, given with its first draw and null with others, so
+    that sums count a document once.
+    """
+    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "shard", "place")]
+    size = F.when(F.col("__nth") == 0, F.col("__size")).alias("size")
+    known = F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__size").alias("taken")
+    return mixing.placed(docs.select(*own)).select(*own, size, *known, F.col("__shard").alias("shard"), F.col("__place").alias("place"))
 
 
 STAGES = [

@@ -38,6 +38,7 @@ BLOCKS = 1024
 #: Words of the documents that are looked at to fill up a source, over what is missing.
 SPARE = 16
 TREE_DEPTH = 3
+PARTS = 4096
 SEED = 7
 
 
@@ -198,6 +199,23 @@ def shards(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TRE
     return draws.select(*docs.columns, F.col("__draw.shard").alias("__shard"), F.col("__draw.key").alias("__key")).repartition("__shard").sortWithinPartitions("__shard", "__key")
 
 
+def placed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TREE_DEPTH, seed: int = SEED) -> DataFrame:
+    """The mixture with ``__place``, from 0, in each shard's shuffled order, and ``__nth``, from 0, among its document's
+    draws, beside the columns of ``mix``.
+
+    Places are counted in ``PARTS`` ranges of keys for each shard, so that no task gets a whole shard.
+    """
+    own = [*docs.columns, "__size", "__source_size", "__target", "__draws"]
+    draws = mix(docs, weights, depth, seed).select("*", F.posexplode("__draws").alias("__nth", "__draw"))
+    draws = draws.select(*own, "__nth", F.col("__draw.shard").alias("__shard"), F.col("__draw.key").alias("__key"))
+    draws = written(draws.withColumn("__part", F.floor(F.col("__key") / F.lit((1 << 64) // PARTS)).cast("int")))
+    before = Window.partitionBy("__shard").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = draws.groupBy("__shard", "__part").agg(F.count(F.lit(1)).alias("k")).select("__shard", "__part", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("__from"))
+    order = Window.partitionBy("__shard", "__part").orderBy("__key", F.xxhash64(*docs.columns))
+    draws = draws.withColumn("__rank", F.row_number().over(order))
+    return draws.join(F.broadcast(parts), ["__shard", "__part"]).select(*own, "__nth", "__shard", (F.col("__from") + F.col("__rank") - 1).alias("__place"))
+
+
 def digest() -> tuple[Column, ...]:
     return (
         F.col("__size").alias("size"),
@@ -205,10 +223,11 @@ def digest() -> tuple[Column, ...]:
         F.col("__target").alias("target"),
         (F.col("__size") * F.size("__draws")).alias("taken"),
         F.array_join(F.transform("__draws", lambda x: x["shard"].cast("string")), ",").alias("shards"),
+        F.array_join(F.transform("__draws", lambda x: x["key"].cast("string")), ",").alias("keys"),
     )
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document."""
+    """What the mix takes of each document: the shard of each draw, and the key that orders it there."""
     mixed = mix(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"))
     return mixed.select("doc_id", *digest())

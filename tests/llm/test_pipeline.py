@@ -35,3 +35,16 @@ def test_stages(spark):
         docs = out
     sums = docs.groupBy().sum("size", "taken").first()
     assert 1.3 < sums[1] / sums[0] < 1.6
+
+
+def test_the_mix_has_a_row_for_each_draw(spark):
+    docs = spark.createDataFrame([(i, "w " * 20, f"s{i % 3}") for i in range(600)], "doc_id long, text string, source string")
+    want = {r["doc_id"]: r["__draws"] for r in corpus_pipeline.mixing.mix(docs).collect()}
+    assert {len(x) for x in want.values()} >= {0, 2}
+    out = corpus_pipeline.mixed(spark, docs, "").collect()
+    got = sorted((r["shard"], r["place"], r["doc_id"]) for r in out)
+    order = sorted((x["shard"], x["key"], i) for i, d in want.items() for x in d)
+    assert [(s, i) for s, _, i in got] == [(s, i) for s, _, i in order]
+    for shard in {s for s, _, _ in got}:
+        places = [p for s, p, _ in got if s == shard]
+        assert places == list(range(len(places)))
