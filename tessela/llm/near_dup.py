@@ -2,26 +2,29 @@ r"""Near-duplicate documents by a chosen-path set similarity join over minwise t
 
 A document is the set of its distinct shingles of five words. Documents with the same set are one vertex. Each
 vertex has minwise tokens: for each of ``TOKENS`` hash functions the least hash of its shingles. The join grows
-``TREES`` trees: a node branches by ``BRANCHES`` positions of the tokens, and its documents go to the child of
-their token there. Two documents of similarity s follow each other into a child with probability s. The trees share
-the tokens below their roots; simulated with that, links of 0.75 whose nodes stay large are lost in 7 of 100,000 cases
-down to depth 10, 2 down to depth 5, 0.3 down to depth 2. A node is compared exhaustively once it is small: at most ``SMALL`` documents or, once its
-pivots are compared, at most ``CROSS`` pairs that lie in different components (pairs within one need no comparison). A sketch only
-passes a pair on: the hash range is cut into ``BINS`` bins, and a set keeps two bits of its least hash in each. In a
-bin where two sets differ lies a shingle that only one of them has. Sets of up to ``SURE`` shingles are passed on
-unless there are more such bins than a linked pair can have, so no link of theirs is refused. For larger sets the
-share of equal bins gives the similarity or (by chance hits) more, to 0.02; estimates below ``ESTIMATE`` are five
-deviations under what the threshold gives.
-Links are confirmed on the full sets, read again from the texts, and no pair is confirmed twice.
-
-Large nodes are never brought together: their documents are compared with a few pivots of the node, which leaves
-few components in a group of copies. A node whose documents are all in one component ends, one that has become
-small is compared, the others branch on. What is still large at ``DEPTH`` is compared in blocks.
+``TREES`` trees: a node chooses positions of the tokens, and its documents go to the child of their token there, so
+two documents of similarity s follow each other into a child with probability s. Trees begin with two positions of
+their own; down to depth ``WIDE`` nodes choose two, below 4 / 3 on the average, the threshold's inverse.
+
+Nodes of at most ``SMALL`` documents are compared exhaustively. In a larger one the documents are compared with a few
+pivots first, which leaves few components in a group of copies. If the largest component then holds one in ``DENSE``
+of the node, branching would not tell its surroundings apart: what is not in it is compared with all of it, in
+blocks (``_grid``), and the node goes on without it. Other nodes branch as they are. A node whose documents are all
+in one component ends. What is still large at ``DEPTH`` is compared within itself in blocks as well. Blocks give at
+most one link for each document and component, so hot groups make no rows that grow with pairs.
+
+In small nodes and for pivots a sketch passes pairs on: the hash range is cut into ``BINS`` bins, and a set keeps two
+bits of its least hash in each. In a bin where two sets differ lies a shingle that only one of them has. Sets of up to
+``SURE`` shingles are passed on unless there are more such bins than a linked pair can have, so no link of theirs is
+refused. For larger sets the share of equal bins gives the similarity or (by chance hits) more, to 0.02; estimates
+below ``ESTIMATE`` are five deviations under what the threshold gives. Links are confirmed on the full sets, read
+again from the texts, and no pair of these is confirmed twice.
 
 Defined results: words are runs without white space, A-Z lower-cased; fewer than five words are one shingle; null
-and blank texts have no shingle, link with nothing and are kept; rows that share a doc_id are one vertex; a null
-doc_id joins its class but names none (component null if the class has no other, and then kept); other columns
-pass through; an empty table gives an empty table.
+and blank texts have no shingle, link with nothing and are kept; texts may be of any length, a set is compared whole;
+rows that share a doc_id are one vertex, ties go to the least doc_id; a null doc_id joins its class but names none
+(component null if the class has no other, and then kept); other columns, whatever their names, are not looked at;
+an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -43,17 +46,20 @@ TOKENS = 64
 #: Parts of the hash range; a set's sketch has two bits of its least hash in each, or none.
 BINS = 256
 TREES = 6
-BRANCHES = 2
 #: Positions that the roots branch by; the deeper nodes choose among the others.
-ROOTS = TREES * BRANCHES
-SMALL = 32
-CROSS = 2_000_000
+ROOTS = TREES * 2
+WIDE = 3
 DEPTH = 10
+SMALL = 32
 PIVOTS = 4
+DENSE = 4
 #: Sets of more shingles are passed on by estimate.
 SURE = 128
 ESTIMATE = 0.66
-BLOCKS = 16
+#: Shingles of a chunk, the ratio of sizes between classes, and equal shingles looked at together.
+CHUNK = 1 << 16
+SIZE_STEP = 1.4
+PIECE_HITS = 1 << 22
 
 _U = np.uint64
 _FACTORS = mix64(np.arange(1, TOKENS + 1, dtype=_U)) | _U(1)
@@ -151,22 +157,62 @@ def _estimate(a: str, b: str) -> Column:
     return F.try_divide(used - _differ(a, b), used)
 
 
-def _children(rows: DataFrame) -> DataFrame:
-    """The rows of the next level: each goes to the node of its token at ``BRANCHES`` positions that its node names."""
+def _children(rows: DataFrame, depth: int) -> DataFrame:
+    """The rows of the next level: each goes to the nodes of its tokens at the positions that its node chooses.
+
+    Nodes near the root choose two positions; deeper ones choose a second one in a third of all cases, so that the
+    branches shared by two sets of the threshold's similarity neither grow nor die out, and those of others die out.
+    """
     position = lambda k: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(TOKENS - ROOTS)).cast("int")
-    go = F.array(*[F.xxhash64(F.col("node"), F.lit(k), F.get("sig", position(k))) for k in range(BRANCHES)])
+    child = lambda k: F.xxhash64(F.col("node"), F.lit(k), F.get("sig", position(k)))
+    both = F.lit(True) if depth < WIDE else F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(3)) == 0
+    go = F.when(both, F.array(child(0), child(1))).otherwise(F.array(child(0)))
     return rows.withColumn("node", F.explode(go))
 
 
 _ROW = ("node", "rep", "n", "sig", "packed", "comp")
 
 
-def _measured(rows: DataFrame, cross: int = CROSS) -> DataFrame:
-    """Adds ``top``, a node's largest component, and ``small``; nodes of one component end."""
+def _measured(rows: DataFrame) -> DataFrame:
+    """Adds a node's ``size``, its largest component ``top`` and ``held``, how many are in it; nodes of one component end."""
     each = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("k"))
-    state = each.groupBy("node").agg(F.sum("k").alias("size"), F.sum(F.col("k") * F.col("k")).alias("squares"), F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-    small = (F.col("size") <= SMALL) | ((F.col("size") * F.col("size") - F.col("squares")) / 2 <= cross)
-    return rows.select(*_ROW).join(state.select("node", F.col("m.comp").alias("top"), small.alias("small")), "node")
+    state = each.groupBy("node").agg(F.sum("k").alias("size"), F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+    return rows.select(*_ROW).join(state.select("node", "size", F.col("m.comp").alias("top"), F.col("m.k").alias("held")), "node")
+
+
+class _Links:
+    """What is known so far: confirmed links as components, and the pairs that were confirmed or refused."""
+
+    def __init__(self, docs: DataFrame, sets: DataFrame) -> None:
+        self.docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+        self.sets, self.texts, self.comps, self.tried = sets, None, None, None
+
+    def need(self, ids: DataFrame) -> None:
+        """Reads the texts of all that will ever be compared."""
+        self.texts = written(self.docs.join(ids.distinct(), "id"))
+
+    def untried(self, pairs: DataFrame) -> DataFrame:
+        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        pairs = written(pairs if self.tried is None else pairs.join(self.tried, ["u", "v"], "left_anti"))
+        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
+        return pairs
+
+    def add(self, found: DataFrame) -> None:
+        """Takes confirmed links."""
+        found = written(found)
+        if self.comps is None:
+            self.comps = components(found)
+        elif not found.isEmpty():
+            self.comps = components(found.unionByName(self.comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+
+    def now(self, rows: DataFrame) -> DataFrame:
+        """Rows with their component as it is by now."""
+        known = self.comps.select(F.col("node").alias("__n"), F.col("component"))
+        return rows.drop("comp").join(known, F.col("rep") == F.col("__n"), "left").withColumn("comp", F.coalesce("component", "rep")).select(*_ROW)
+
+    def compare(self, members: DataFrame, others: DataFrame) -> None:
+        """Compares each of ``others`` with all ``members`` of its ``group``, both (group, id, comp, n); see ``_grid``."""
+        self.add(_grid(members, others, self.texts))
 
 
 def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
@@ -175,32 +221,35 @@ def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
     roots = F.array(*[F.xxhash64(F.lit(j), F.get("sig", F.lit(j))) for j in range(ROOTS)])
     slim = sets.select("rep", F.explode(roots).alias("node"))
     shared = slim.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("top")).filter("size > 1")
-    shared = shared.select("node", "top", (F.col("size") <= SMALL).alias("small"))
     deeper = sets.withColumn("sig", F.slice("sig", ROOTS + 1, TOKENS - ROOTS)).withColumn("comp", F.col("rep"))
-    rows = written(slim.join(shared, "node").join(deeper, "rep").select(*_ROW, "top", "small"))
-    comps = texts = tried = None
+    rows = written(slim.join(shared, "node").join(deeper, "rep").select(*_ROW, "top", "size"))
+    state = _Links(docs, sets)
     for depth in range(DEPTH + 1):
-        small, large = rows.filter("small"), rows.filter("not small")
-        pairs = _exhaustive(small).unionByName(_pivots(large) if depth < DEPTH else _blocks(large))
-        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        pairs = written(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        if texts is None:
-            ids = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).unionByName(large.select(F.col("rep").alias("id"))).distinct()
-            texts = written(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(ids, "id"))
-        found = written(confirmed(pairs, texts))
-        if comps is None:
-            comps = components(found)
-        elif not found.isEmpty():
-            comps = components(found.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
-        if depth == DEPTH or large.isEmpty():
+        small, large = rows.filter(F.col("size") <= SMALL), rows.filter(F.col("size") > SMALL)
+        pairs = state.untried(_exhaustive(small).unionByName(_pivots(large)))
+        if depth == 0:
+            state.need(pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).unionByName(large.select(F.col("rep").alias("id"))))
+        state.add(confirmed(pairs, state.texts))
+        if large.isEmpty():
             break
-        # what the pivots have made small is compared as it is, the rest goes on to the children
-        now = lambda r: r.drop("comp").join(comps.select(F.col("node").alias("__n"), F.col("component")), F.col("rep") == F.col("__n"), "left").withColumn("comp", F.coalesce("component", "rep")).select(*_ROW)
-        after = written(_measured(written(now(large))))
-        rows = after.filter("small").unionByName(_measured(_children(after.filter("not small")).select(*_ROW), 0))
-        rows = written(rows)
-    return comps
+        after = written(_measured(written(state.now(large))))
+        dense = F.col("held") * DENSE >= F.col("size")
+        apart = after.filter(dense & (F.col("comp") != F.col("top")))
+        # a dense node's largest component is done with: all others are compared with the whole of it
+        asked = written(apart.select(F.col("top").alias("group"), F.col("rep").alias("id"), "comp", "n").distinct())
+        members = state.comps.select(F.col("component").alias("group"), F.col("node").alias("id"), F.col("component").alias("comp"))
+        members = members.join(asked.select("group").distinct(), "group", "left_semi").join(sets.select(F.col("rep").alias("id"), "n"), "id")
+        state.compare(members, asked)
+        rest = written(_measured(written(state.now(apart.unionByName(after.filter(~dense))))))
+        large = rest.filter(F.col("size") > SMALL)
+        if depth == DEPTH:
+            every = large.select(F.col("node").alias("group"), F.col("rep").alias("id"), "comp", "n")
+            state.compare(every, every)
+            large = large.limit(0)
+        rows = written(rest.filter(F.col("size") <= SMALL).select(*_ROW, "top", "size").unionByName(_measured(_children(large, depth).select(*_ROW)).select(*_ROW, "top", "size")))
+        if depth == DEPTH:
+            state.add(confirmed(state.untried(_exhaustive(rows)), state.texts))
+    return state.comps
 
 
 def _exhaustive(rows: DataFrame) -> DataFrame:
@@ -214,18 +263,76 @@ def _pivots(rows: DataFrame) -> DataFrame:
     """For each document of a large node the pivot that resembles it most, of another component."""
     one = F.struct("rep", "n", "packed", "comp")
     pivots = rows.groupBy("node", F.pmod(F.xxhash64("rep"), F.lit(PIVOTS)).alias("k")).agg(F.min_by(one, F.xxhash64("node", "rep")).alias("p"))
-    pivots = pivots.select(F.col("node").alias("node"), "p.*")
+    pivots = written(pivots.select(F.col("node").alias("node"), "p.*"))
     met = rows.alias("a").join(pivots.alias("b"), (F.col("a.node") == F.col("b.node")) & (F.col("a.comp") != F.col("b.comp")) & _alike("a", "b"))
     met = met.select(F.col("a.rep").alias("u"), F.struct(_estimate("a", "b").alias("s"), F.col("b.rep").alias("v")).alias("x"))
     return met.groupBy("u").agg(F.max("x").alias("x")).select("u", F.col("x.v").alias("v"))
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """The same as for small nodes, dealt out in blocks."""
-    salted = rows.filter("comp <> top").withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(BLOCKS)).cast("int"))
-    every = rows.select("node", "rep", "n", "packed", "comp", "top", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("salt"))
-    once = (F.col("b.comp") == F.col("b.top")) | (F.col("a.rep") < F.col("b.rep"))
-    return salted.alias("a").join(every.alias("b"), (F.col("a.node") == F.col("b.node")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.comp") != F.col("b.comp")) & once & _alike("a", "b")).select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v"))
+def _grid(members: DataFrame, others: DataFrame, texts: DataFrame) -> DataFrame:
+    """The links (u, v) between ``others`` and ``members`` of their groups, one for each other, component and block.
+
+    Sets linked differ little in size, so both sides are dealt to classes of size first. Of each group and class the
+    members form chunks of about ``CHUNK`` shingles, the others too, and a task compares one chunk with another in
+    full: what is shuffled grows with members times others over the documents of a chunk, not with pairs.
+    """
+    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(SIZE_STEP))).cast("int")
+    members = members.withColumn("class", size)
+    others = others.withColumn("class", F.explode(F.array(size - 1, size, size + 1)))
+    chunks = lambda df, name: df.groupBy("group", "class").agg(F.ceil(F.sum("n") / CHUNK).cast("int").alias(name))
+    blocks = written(chunks(members, "rows").join(chunks(others, "cols"), ["group", "class"]))
+
+    def dealt(df: DataFrame, own: str, every: str) -> DataFrame:
+        """A side's rows by block, each once for every chunk of the other side; columns are named anew, as both sides share tables."""
+        here = df.join(blocks, ["group", "class"]).join(texts, "id")
+        here = here.select("group", "class", F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.col(every) - 1)).alias(every), "id", "comp", "text")
+        return here.select(*[F.col(c).alias(c) for c in here.columns])
+
+    key = ("group", "class", "rows", "cols")
+    left, right = dealt(members, "rows", "cols"), dealt(others, "cols", "rows")
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_linked, "u long, v long")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def _linked(members: pa.Table, others: pa.Table) -> pa.Table:
+    """Of two chunks (..., id, comp, text): for each other and each component of members one member that it is linked to."""
+    none = pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+    if not len(members) or not len(others):
+        return none
+    ids, comps = ([t.column(c).to_numpy() for t in (members, others)] for c in ("id", "comp"))
+    row, token = _rows_and_tokens(members.column("text"))
+    mine, asked = _rows_and_tokens(others.column("text"))
+    order = np.argsort(token, kind="stable")
+    row, token = row[order], token[order]
+    m, n = np.bincount(row, minlength=len(members)), np.bincount(mine, minlength=len(others))
+    low, high = np.searchsorted(token, asked, side="left"), np.searchsorted(token, asked, side="right")
+    at = np.searchsorted(mine, np.arange(len(others) + 1))
+    total = np.r_[0, np.cumsum(high - low)][at]
+    u, v = [], []
+    i = 0
+    while i < len(others):
+        # as many others at once as meet about PIECE_HITS equal shingles
+        j = max(i + 1, int(np.searchsorted(total, total[i] + PIECE_HITS, side="right")) - 1)
+        span = slice(at[i], at[j])
+        k = high[span] - low[span]
+        hit = np.repeat(low[span] - np.r_[0, np.cumsum(k)[:-1]], k) + np.arange(k.sum())
+        both = np.bincount(np.repeat(mine[span] - i, k) * len(members) + row[hit], minlength=(j - i) * len(members)).reshape(j - i, len(members))
+        good = (both > 0) & (100 * both >= PERCENT * (n[i:j, None] + m[None, :] - both)) & (comps[1][i:j, None] != comps[0][None, :])
+        a, b = np.nonzero(good)
+        _, first = np.unique(np.stack([a, comps[0][b]]), axis=1, return_index=True) if len(a) else (None, np.zeros(0, np.int64))
+        u.append(ids[1][i:j][a[first]])
+        v.append(ids[0][b[first]])
+        i = j
+    return pa.table({"u": pa.array(np.concatenate(u)), "v": pa.array(np.concatenate(v))})
+
+
+def _rows_and_tokens(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, shingle) of the distinct shingles of each text, by text."""
+    parts = []
+    for piece in pieces(column.combine_chunks()):
+        keys = shingle_sets(piece, SHINGLE)
+        parts.append(((keys >> _U(52)).astype(np.int64) + piece.first_row, keys & _U((1 << 52) - 1)))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
