@@ -19,4 +19,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_warc": warc.OP3_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
+    "op7_near_dup": near_dup.OP7_SQL,
 }

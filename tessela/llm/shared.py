@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name below ``spark.checkpoint.dir``; a temporary one is set where none is (tests)."""
+    """A new folder name below ``spark.checkpoint.dir``. Where none is set, a run on this machine alone (tests) gets a
+    temporary one; a cluster has to name a folder that its executors share.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -1,9 +1,9 @@
 r"""WARC archives with dictionary compression: written by tasks, and read back.
 
 Each record is a Zstandard frame of its own, so it can be read alone. A task gathers records up to ``ARCHIVE_BYTES``,
-builds a dictionary from them (trained on at most ``SAMPLE_BYTES`` taken evenly from the archive's records), and
-writes an archive: first a skippable frame that holds the dictionary, then the records. An archive needs nothing
-but itself to be read.
+builds a dictionary from them (trained on at most ``SAMPLE_BYTES`` of pieces taken evenly from the archive's records;
+from records too few or too much alike to train any, a dictionary of their raw content), and writes an archive: first
+a skippable frame that holds the dictionary, then the records. An archive needs nothing but itself to be read.
 
 Among records with equal payloads of at least ``REVISIT_BYTES`` bytes the one with the largest page_id is a
 response, the others are revisits that refer to it and carry no payload. Digests decide; the largest id of a digest
@@ -13,10 +13,11 @@ Tasks write under a name with their attempt's number, first with a suffix, then
 by a manifest table, which only holds rows of attempts that Spark committed, so the files of lost or repeated
 attempts are never read.
 
-Defined results: null html is an empty payload; a null url is written as an empty target; payloads under the limit
-are all responses; rows with equal page_id and payload are both responses if their page_id is the largest; a null
-page_id sorts first, is written as such and refers to nothing if it is a response; an empty table gives no archive
-and an empty table.
+Defined results: null html is an empty payload; a long one makes a record, and an archive, of its own size; a null url
+is written as an empty target; payloads under the limit are all responses; rows with equal page_id and payload are
+both responses if their page_id is the largest; a null page_id sorts first, is written as such and refers to nothing
+if it is a response; other columns, whatever their names, are not looked at; an empty table gives no archive and an
+empty table.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import struct
 from collections.abc import Iterator
 
@@ -39,6 +41,7 @@ from tessela.llm.shared import shared_dir, written
 ARCHIVE_BYTES = 16 << 20
 SAMPLE_BYTES = 2 << 20
 DICTIONARY_BYTES = 64 << 10
+PIECE_BYTES = 16 << 10
 REVISIT_BYTES = 1000
 LEVEL = 3
 
@@ -69,21 +72,28 @@ def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to
 
 
 def dictionary(records: list[bytes]) -> bytes:
-    """Trained from records taken evenly; from few or tiny ones, which can't train any, a plain one."""
-    step = max(1, -(-sum(map(len, records)) // SAMPLE_BYTES))
-    some = [r[: SAMPLE_BYTES // 4] for r in records[::step]]
+    """Trained from pieces of the records taken evenly; where that can't be done (few or all alike), the pieces themselves,
+    which serve as a dictionary of raw content.
+    """
+    pieces = [r[i : i + PIECE_BYTES] for r in records for i in range(0, len(r), PIECE_BYTES)]
+    step = max(1, -(-sum(map(len, pieces)) // SAMPLE_BYTES))
+    some = pieces[::step]
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, sum(map(len, some)) // 8)), some).as_bytes()
     except zstandard.ZstdError:
-        return b""
+        return b"".join(some)[-DICTIONARY_BYTES:]
+
+
+def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict:
+    trained = len(raw) >= 4 and struct.unpack("<I", raw[:4])[0] == DICTIONARY
+    return zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT)
 
 
 def compress(records: list[bytes]) -> bytes:
     """An archive."""
     raw = dictionary(records)
-    out = [struct.pack("<II", SKIPPABLE, len(raw)), raw]
-    made = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(raw)) if raw else zstandard.ZstdCompressor(level=LEVEL)
-    return b"".join([*out, *map(made.compress, records)])
+    made = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw))
+    return b"".join([struct.pack("<II", SKIPPABLE, len(raw)), raw, *map(made.compress, records)])
 
 
 def records(source: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -92,7 +102,7 @@ def records(source: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]
     if magic != SKIPPABLE:
         raise ValueError("the archive does not start with a dictionary")
     raw = source.read(size)
-    made = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw)) if raw else zstandard.ZstdDecompressor()
+    made = zstandard.ZstdDecompressor(dict_data=_dictionary(raw))
     stream = io.BufferedReader(made.stream_reader(source, read_across_frames=True), 1 << 16)
     while line := stream.readline():
         if line != b"WARC/1.1\r\n":
@@ -116,12 +126,20 @@ def decided(pages: DataFrame) -> DataFrame:
     return pages.join(again, "digest", "left").select("page_id", "url", "html", "digest", refers_to.alias("refers_to"))
 
 
+def _store(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder as Spark names it (a path, file:/..., hdfs://, s3a://, gs://), and the path there."""
+    scheme, _, rest = folder.partition(":") if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", folder) else ("file", "", folder)
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{rest}")
+
+
 def write(pages: DataFrame, folder: str) -> DataFrame:
     """Writes archives into ``folder``; the manifest (path, records, bytes) of what was written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        store, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        store, root = _store(folder)
         store.create_dir(root)
         held: list[bytes] = []
         size = number = 0
@@ -154,7 +172,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
         return int(name[len("<urn:page:") : -1]) if name and name != "<urn:page:>" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        store, _ = _store(folder)
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 with store.open_input_file(path) as source:

@@ -1,6 +1,7 @@
 """Each operator against brute force on a small corpus, and on null, empty, tied and repeated rows."""
 
 import hashlib
+import io
 import math
 import random
 import re
@@ -154,6 +155,25 @@ def test_warc(spark, tmp_path):
     assert len(archive) < len(b"".join(many)) / 3
 
 
+@pytest.mark.parametrize(("pages", "size"), [(40, 400_000), (20, 800_000), (5, 200), (1, 0), (3, 5_000_000)])
+def test_every_archive_has_a_dictionary(pages, size):
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
+    bodies = [" ".join(rng.choices(words, k=size // 7)).encode() for _ in range(pages)]
+    archive = warc.compress([warc.record(i, "u", body, "00" * 20, None) for i, body in enumerate(bodies)])
+    assert int.from_bytes(archive[4:8], "little") > 0
+    assert [block for _, block in warc.records(io.BytesIO(archive))] == bodies
+
+
+def test_archives_go_to_the_checkpoint_folder(spark, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "c"))  # Spark names it file:/...
+    spark.createDataFrame([(1, "u", "text", 5)], "page_id long, url string, html string, digest int").write.parquet(str(tmp_path / "pages.parquet"))
+    assert [r["page_id"] for r in warc.op3(spark, str(tmp_path)).collect()] == [1]
+    if before:
+        spark.sparkContext.setCheckpointDir(before)
+
+
 def test_decontamination(spark, docs, rows, empty):
     items = [(1, PLANT), (2, "unrelated words that nobody wrote anywhere in this corpus at all ever"), (3, ""), (4, None), (5, "one two"), (6, PLANT + " and more of it"), (None, PLANT)]
     bench = spark.createDataFrame(items, "item_id long, text string")
