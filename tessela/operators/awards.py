@@ -62,7 +62,7 @@ def moved(team_column: str, name: str, exceptions: tuple[str, ...], to: str = "P
 def sections(rank: DataFrame, top: int = 30) -> DataFrame:
     """The report's tables as one: a section per list (and team) and measure, with places from 1."""
     long = rank.select("equipe", "lista", "nome", F.expr("stack(2, 'VGV', cast(vgv as double), 'VGC', vgc) as (medida, valor)"))
-    section = F.concat_ws(" ", "equipe", "medida", "lista")
+    section = F.concat_ws("_", "equipe", "medida", "lista")
     pos = F.row_number().over(Window.partitionBy("equipe", "medida", "lista").orderBy(F.col("valor").desc(), F.col("nome")))
     return long.withColumn("pos", pos).filter(F.col("pos") <= top).select(section.alias("secao"), "pos", "nome", rounded("valor", 2).alias("valor"))
 

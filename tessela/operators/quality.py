@@ -60,6 +60,12 @@ def one_per_key(df: DataFrame, key: list[str | Column], order: list[Column]) ->
     return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
 
 
+def first_per_key(df: DataFrame, key: list[str], order: tuple[str, ...]) -> DataFrame:
+    """As ``one_per_key`` with the columns of ``order`` ascending, by an aggregate that keeps one row per key and task before the shuffle; keys come first in the result."""
+    rest = [c for c in df.columns if c not in key]
+    return df.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__first")).select(*key, "__first.*")
+
+
 def enough_rows(df: DataFrame, by: str, least: int) -> DataFrame:
     """Rows of the groups (files, months) that have enough of them."""
     return df.join(df.groupBy(by).count().filter(F.col("count") >= least).select(by), by, "left_semi")

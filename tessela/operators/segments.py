@@ -7,43 +7,49 @@ from pyspark.sql import functions as F
 
 from tessela.functions.numbers import rounded
 
-#: Limits of the bands of the monthly study, and of the studies of apartments and houses.
-AREA_LEFT = (0, 30, 50, 70, 90, 120, 160, 200, 300, 500, 1000)
-AREA_APARTMENT = (0, 50, 75, 100, 150, 200, 300, 400)
-AREA_HOUSE = (0, 200, 400, 600, 800, 1000)
-
-
-def band_left(c: Column, limits: tuple[float, ...]) -> Column:
-    """Labels of bands that hold their lower limit; outside of all the empty text."""
-    out = F.when(F.lit(False), "")
-    for a, b in zip(limits, limits[1:], strict=False):
-        out = out.when((c >= a) & (c < b), f"{a:g}-{b:g}")
+#: Lower limits and labels of the bands of the monthly study, and of the studies of apartments and houses.
+AREA_LEFT = ((0, "<75"), (75, "75-90"), (90, "90-130"), (130, "130-160"), (160, "160-200"), (200, "200-400"), (400, "400-600"), (600, "600-800"), (800, "800-1000"), (1000, ">1000"))
+AREA_LEFT_END = 10_000_000
+AREA_APARTMENT = ((0, "<50"), (50, "50-75"), (75, "75-90"), (90, "90-130"), (130, "130-160"), (160, "160-200"), (200, ">200"))
+AREA_HOUSE = ((0, "<400"), (400, "400-600"), (600, "600-800"), (800, "800-1000"), (1000, ">1000"))
+ROOMS_APARTMENT = ((0, "1"), (1, "2"), (2, "3"), (3, "4"), (4, "+5"))
+ROOMS_HOUSE = ((0, "Até 4"), (4, "5 ou mais"))
+ROOMS_HOUSE_UPPER = ((0, "ATÉ 4"), (4, "5 OU MAIS"))
+
+Bands = tuple[tuple[float, str], ...]
+
+
+def band_left(c: Column, bands: Bands, end: float | None = None) -> Column:
+    """Labels of bands that hold their lower limit, the last one up to ``end``; outside of all the empty text."""
+    out = F.when(c.isNull() | (c < bands[0][0]) | (c >= end if end is not None else F.lit(False)), "")
+    for low, label in reversed(bands):
+        out = out.when(c >= low, label)
     return out.otherwise("")
 
 
-def band_right(c: Column, limits: tuple[float, ...], lowest: bool = True) -> Column:
-    """Labels of bands that hold their upper limit, the first one its lower limit too if ``lowest``; outside null."""
-    out = F.when(F.lit(False), "")
-    for i, (a, b) in enumerate(zip(limits, limits[1:], strict=False)):
-        above = (c >= a) if i == 0 and lowest else (c > a)
-        out = out.when(above & (c <= b), f"{a:g}-{b:g}")
+def band_right(c: Column, bands: Bands, lowest: bool = True) -> Column:
+    """Labels of bands that hold their upper limit, the first one its lower limit too if ``lowest``; the last one is open, outside null."""
+    out = F.when(c.isNull() | (c < bands[0][0]), F.lit(None).cast("string"))
+    for i, (low, label) in reversed(list(enumerate(bands))):
+        out = out.when((c >= low) if i == 0 and lowest else (c > low), label)
     return out
 
 
 def rooms_apartment(c: Column) -> Column:
-    return F.when(c >= 5, "+5").when(c >= 1, c.cast("int").cast("string"))
+    """Bands of bedrooms; none at all counts with one."""
+    return band_right(c, ROOMS_APARTMENT)
 
 
-def rooms_house(c: Column) -> Column:
-    return F.when(c <= 4, "ATÉ 4").when(c >= 5, "+5")
+def rooms_house(c: Column, upper: bool = False) -> Column:
+    return band_right(c, ROOMS_HOUSE_UPPER if upper else ROOMS_HOUSE)
 
 
 def luxury(c: Column, limit: float | None) -> Column:
-    return F.lit("N/A") if limit is None else F.when(c >= limit, "Luxo").otherwise("Padrão")
+    return F.lit("N/A") if limit is None else F.when(c >= limit, "Alto Padrão").otherwise("Padrão")
 
 
-def parking(c: Column) -> Column:
-    return F.when(F.coalesce(c, F.lit(0)) > 0, "COM VAGA").otherwise("SEM VAGA")
+def parking(c: Column, names: tuple[str, str] = ("COM VAGA", "SEM VAGA")) -> Column:
+    return F.when(F.coalesce(c, F.lit(0)) > 0, names[0]).otherwise(names[1])
 
 
 def bundle() -> list[Column]:
@@ -80,23 +86,20 @@ SEGMENTS = (("GERAL", None), ("CLUSTER", "cluster_nome"), ("QUARTOS", "quartos")
 def long_segments(df: DataFrame, common: list[str], least: int = 3) -> DataFrame:
     """All segments in one pass: grouping sets of the common columns and one more each; sentinels where a column is rolled up.
 
-    A segment leaves out rows whose own key is blank (no tier, no bedrooms, no band, no block).
+    A segment leaves out rows whose own key is blank (no tier, no bedrooms, no band, no block). The grouping id names
+    the segment, so the sets are aggregated once and filtered once.
     """
     own = [c for _, c in SEGMENTS if c]
     sets = [[F.col(c) for c in common] + ([F.col(k)] if k else []) for _, k in SEGMENTS]
     keys = [F.col(c) for c in common + own]
     agg = df.groupingSets(sets, *keys).agg(F.grouping_id(*keys).alias("__gid"), *bundle())
-    out = None
-    for i, (name, k) in enumerate(SEGMENTS):
-        gid = sum(1 << (len(own) - 1 - j) for j, c in enumerate(own) if c != k)
-        part = agg.filter(F.col("__gid") == gid).withColumn("segmento", F.lit(name))
-        if k == "quartos":
-            part = part.filter("quartos > 0")
-        elif k:
-            part = part.filter(F.col(k).isNotNull() & (F.col(k) != ""))
-        out = part if i == 0 else out.unionByName(part)
-    filled = out.withColumn("quartos", F.coalesce("quartos", F.lit(-1))).na.fill("", [c for c in own if c != "quartos"])
-    return filled.filter(F.col("amostra") >= least).drop("__gid")
+    name, full = F.when(F.lit(False), ""), F.when(F.lit(False), False)
+    for segment, k in SEGMENTS:
+        here = F.col("__gid") == sum(1 << (len(own) - 1 - j) for j, c in enumerate(own) if c != k)
+        name = name.when(here, segment)
+        full = full.when(here, F.lit(True) if k is None else F.col(k) > 0 if k == "quartos" else F.col(k) != "")
+    out = agg.filter((F.col("amostra") >= least) & full).withColumn("segmento", name)
+    return out.withColumn("quartos", F.coalesce("quartos", F.lit(-1))).na.fill("", [c for c in own if c != "quartos"]).drop("__gid")
 
 
 def grouped_by_sets(df: DataFrame, sets: list[list[str]], aggs: list[Column], names: list[str]) -> DataFrame:

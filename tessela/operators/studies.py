@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessela.functions.numbers import rounded
+from tessela.functions.text import strip, upper_or_null
 from tessela.operators.quality import offered, offered_where_found, wanted, without_outliers
-from tessela.operators.segments import AREA_APARTMENT, AREA_HOUSE, band_right, grouped_by_sets, parking, rooms_apartment, rooms_house
+from tessela.operators.segments import AREA_APARTMENT, AREA_HOUSE, ROOMS_APARTMENT, ROOMS_HOUSE, band_right, grouped_by_sets, luxury, parking
+from tessela.operators.tiers import fit_centres, nearest, pick_three
+from tessela.sources.schema import column
 
 
 @dataclass(frozen=True)
@@ -55,9 +58,15 @@ CATALOGUE = (
 )
 
 
+#: How the studies name parking, and groups that have no value, by kind of study.
+PARKING = ("Com Vaga", "Sem Vaga")
+MISSING_HOUSE = {"faixa": "Sem Faixa", "comodos": "Sem Faixa", "distrito": "Sem Bairro", "bloco": "Sem Quadra", "municipio": "Sem Cidade", "postal": "Sem CEP"}
+MISSING_APARTMENT = {"faixa": "nan", "comodos": "nan", "distrito": "<NA>", "bloco": "<NA>", "postal": "<NA>"}
+
+
 def selected(df: DataFrame, study: Study, data_ref: str | None = None) -> DataFrame:
     """The study's rows with ``vaga`` and ``valor``, outliers of each parking group removed."""
-    df = df.withColumn("vaga", parking(F.col("vagas")))
+    df = df.withColumn("vaga", parking(F.col("vagas"), PARKING))
     if study.kind == "house-strict":
         df = wanted(df, normalise=False, bairro=study.bairro, cidade=study.cidade, oferta=study.oferta)
         df = df.filter(F.col("data_coleta") == F.lit(data_ref).cast("date")) if data_ref else df
@@ -68,27 +77,61 @@ def selected(df: DataFrame, study: Study, data_ref: str | None = None) -> DataFr
     return without_outliers(df, "valor", ["vaga"])
 
 
-def _named(prefix: str, c: Column, missing: str) -> Column:
-    return F.concat(F.lit(prefix), F.coalesce(c.cast("string"), F.lit(missing)))
-
+def groups(df: DataFrame, study: Study, data_ref: str | None = None) -> DataFrame:
+    """(nome, vaga, valor, amostra, data) by band, rooms, district, block, city and postcode, all in one pass.
 
-def groups(df: DataFrame, study: Study) -> DataFrame:
-    """(nome, vaga, valor, amostra) by band, rooms, district, block (and city), all in one pass; blank keys are a group unless legacy."""
+    Bands and rooms that no row falls in are listed with 0 rows. Rows without a value are a group of their own; the
+    legacy kind leaves such groups out for district and block. Cities are listed by the strict kind, postcodes by
+    apartments and the strict kind where the table has them. ``data`` is the day that the study refers to.
+    """
     legacy = study.kind == "apt-legacy"
-    area, rooms = F.col("area_util"), F.col("quartos")
+    bands, rooms = (AREA_HOUSE, ROOMS_HOUSE) if study.house else (AREA_APARTMENT, ROOMS_APARTMENT)
     keys = {
-        "faixa": _named("Metragem ", band_right(area, AREA_HOUSE if study.house else AREA_APARTMENT, lowest=not legacy), "Sem Faixa"),
-        "comodos": _named("Quartos ", rooms_house(rooms) if study.house else rooms_apartment(rooms), "Sem Quartos"),
-        "distrito": _named("Bairro ", F.col("bairro"), "Sem Bairro"),
-        "bloco": _named("Quadra ", F.col("quadra"), "Sem Quadra"),
+        "faixa": ("Metragem ", band_right(F.col("area_util"), bands, lowest=not legacy)),
+        "comodos": ("Quartos ", band_right(F.col("quartos"), rooms, lowest=not legacy)),
+        "distrito": ("Bairro ", F.col("bairro")),
+        "bloco": ("Quadra ", upper_or_null(F.col("quadra")) if study.kind != "house-strict" else F.nullif(strip(F.col("quadra")), F.lit(""))),
     }
     if study.kind == "house-strict":
-        keys["municipio"] = _named("Cidade ", F.col("cidade"), "Sem Cidade")
-    df = df.select("vaga", "valor", *[c.alias(k) for k, c in keys.items()])
+        keys["municipio"] = ("Cidade ", F.col("cidade"))
+    if "cep" in df.columns and not legacy and study.kind != "house":
+        keys["postal"] = ("CEP ", upper_or_null(F.col("cep")))
+    missing = MISSING_HOUSE if study.house else MISSING_APARTMENT
+    named = [F.concat(F.lit(prefix), F.coalesce(c.cast("string"), F.lit(missing[k]))).alias(k) for k, (prefix, c) in keys.items()]
+    df = df.select("vaga", "valor", *named)
     agg = grouped_by_sets(df, [["vaga", k] for k in keys], [rounded(F.avg("valor")).alias("valor"), F.count(F.lit(1)).alias("amostra")], list(keys))
-    nome = F.coalesce(*keys)
-    out = agg.select(nome.alias("nome"), "vaga", "valor", "amostra")
-    return out.filter(~F.contains("nome", F.lit(" Sem "))) if legacy else out
+    out = agg.select(F.coalesce(*keys).alias("nome"), "vaga", "valor", "amostra")
+    if legacy:
+        out = out.filter(~F.col("nome").isin("Bairro <NA>", "Quadra <NA>"))
+    labels = [f"Metragem {label}" for _, label in bands] + [f"Quartos {label}" for _, label in rooms]
+    empty = out.select("vaga").distinct().select(F.explode(F.array(*map(F.lit, labels))).alias("nome"), "vaga", F.lit(None).cast("double").alias("valor"), F.lit(0).cast("long").alias("amostra"))
+    out = out.unionByName(empty).groupBy("nome", "vaga").agg(F.max("valor").alias("valor"), F.sum("amostra").alias("amostra"))
+    return out.withColumn("data", F.lit(data_ref).cast("date"))
+
+
+def tier_rows(df: DataFrame, data_ref: str | None = None, least_rows: int = 9, seeds: tuple[int, ...] = tuple(range(42, 52))) -> DataFrame:
+    """(nome, vaga, valor, amostra, data): the three tiers of each parking group, picked of nine clusters of its values.
+
+    A parking group with fewer than ``least_rows`` rows has no tiers.
+    """
+    out = df.sparkSession.createDataFrame([], "nome string, vaga string, valor double, amostra long")
+    for vaga in PARKING:
+        rows = df.filter(F.col("vaga") == vaga).select("vaga", "valor")
+        centres = fit_centres(rows, ["valor"], seeds=seeds, least_rows=least_rows)
+        if centres is None:
+            continue
+        means = nearest(rows, centres, ["valor"]).groupBy("vaga", "cluster").agg(F.avg("valor").alias("media"), F.count(F.lit(1)).alias("amostra"))
+        out = out.unionByName(pick_three(means, ["vaga"]).select(F.col("cluster_nome").alias("nome"), "vaga", rounded("media").alias("valor"), "amostra"))
+    return out.withColumn("data", F.lit(data_ref).cast("date"))
+
+
+def with_pattern(results: DataFrame, df: DataFrame, default: str, limit: float | None = None) -> DataFrame:
+    """Adds ``padrao``: the usual one of the table, where it has such a column, else ``default``; with ``limit`` whether a group's values reach it."""
+    if limit is not None:
+        kinds = df.groupBy("vaga").agg(single_or_mixed(luxury(F.col("valor"), limit)).alias("padrao"))
+        return results.join(kinds, "vaga")
+    own = column(df, "padrao")
+    return results.withColumn("padrao", F.lit(usual(df.select(F.col(own).alias("padrao")), "padrao", default).first()[0] if own else default))
 
 
 def usual(df: DataFrame, c: str, default: str) -> DataFrame:
@@ -96,5 +139,5 @@ def usual(df: DataFrame, c: str, default: str) -> DataFrame:
     return df.agg(F.coalesce(F.expr(f"mode(nullif(trim({c}), ''), true)"), F.lit(default)).alias(c))
 
 
-def single_or_mixed(c: str) -> Column:
+def single_or_mixed(c: str | Column) -> Column:
     return F.when(F.count_distinct(c) == 1, F.max(c)).otherwise("Misto")

@@ -8,14 +8,16 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: The tiers in rising order.
-TIERS = ("01 - Original", "02 - Semi", "03 - Reformado")
+#: The tiers in rising order, of the studies, of the summaries, and of dear houses.
+TIERS = ("01 - Original", "02 - Semi-Reformado", "03 - Reformado")
+TIERS_SUMMARY = ("01 - Original", "02 - Semi", "03 - Reformado")
+TIERS_LUXURY = ("Luxo", "Alto Luxo")
 
 
 def fit_centres(df: DataFrame, columns: list[str], k: int = 9, seeds: tuple[int, ...] = tuple(range(42, 52)), least_rows: int = 20) -> DataFrame | None:
     """(cluster, centre columns, scale columns) of the best of several fits on standardised columns; None for too few rows.
 
-    Centres come back in the columns' own units, with the deviations that distances are measured in.
+    Centres come back in the columns' own units, with the deviations (1 for a constant column) that distances are measured in.
     """
     rows = df.select(*[F.col(c).cast("double") for c in columns]).dropna()
     if rows.count() < least_rows:
@@ -26,23 +28,30 @@ def fit_centres(df: DataFrame, columns: list[str], k: int = 9, seeds: tuple[int,
     best = min(models, key=lambda m: m.summary.trainingCost)
     mean, std = scale.stages[1].mean.toArray(), scale.stages[1].std.toArray()
     features.unpersist()
-    out = [(i, *(float(c * s + m) for c, s, m in zip(x, std, mean, strict=True)), *map(float, std)) for i, x in enumerate(best.clusterCenters())]
+    out = [(i, *(float(c * s + m) for c, s, m in zip(x, std, mean, strict=True)), *(float(d) or 1.0 for d in std)) for i, x in enumerate(best.clusterCenters())]
     return df.sparkSession.createDataFrame(out, ", ".join(["cluster int", *(f"{c} double" for c in columns), *(f"{c}_scale double" for c in columns)]))
 
 
-def tier_of_centres(centres: DataFrame, by: str) -> DataFrame:
-    """Adds the tier: centres in order of ``by``, three to a tier."""
+def tier_of_centres(centres: DataFrame, by: str, tiers: tuple[str, ...] = TIERS) -> DataFrame:
+    """Adds the tier: centres (the means of their clusters) in order of ``by``, three to a tier, all further ones in the last."""
     rank = F.row_number().over(Window.orderBy(by, "cluster")) - 1
-    return centres.withColumn("cluster_nome", F.get(F.array(*map(F.lit, TIERS)), F.least(F.floor(rank / 3), F.lit(2)).cast("int")))
+    return centres.withColumn("cluster_nome", F.get(F.array(*map(F.lit, tiers)), F.least(F.floor(rank / 3), F.lit(len(tiers) - 1)).cast("int")))
 
 
-def assign(df: DataFrame, centres: DataFrame, columns: list[str]) -> DataFrame:
-    """The tier of each row's nearest centre. There are at most some dozen centres, so they go along as one literal array."""
+def nearest(df: DataFrame, centres: DataFrame, columns: list[str]) -> DataFrame:
+    """Adds each row's nearest centre as ``cluster``, with its tier if the centres have one. There are at most some dozen centres, so they go along as one literal array."""
     rows = centres.collect()
-    points = F.array(*[F.struct(F.lit(r["cluster"]).alias("cluster"), F.lit(r["cluster_nome"]).alias("nome"), *[F.lit(r[c]).alias(c) for c in columns], *[F.lit(r[f"{c}_scale"]).alias(f"{c}_scale") for c in columns]) for r in rows])
+    tier = "cluster_nome" in centres.columns
+    points = F.array(*[F.struct(F.lit(r["cluster"]).alias("cluster"), F.lit(r["cluster_nome"] if tier else None).cast("string").alias("nome"), *[F.lit(r[c]).alias(c) for c in columns], *[F.lit(r[f"{c}_scale"]).alias(f"{c}_scale") for c in columns]) for r in rows])
     square = lambda p, c: F.pow((F.col(c) - p[c]) / p[f"{c}_scale"], 2)
     near = F.array_min(F.transform(points, lambda p: F.struct(sum((square(p, c) for c in columns[1:]), square(p, columns[0])).alias("d"), p["cluster"].alias("cluster"), p["nome"].alias("nome"))))
-    return df.withColumn("cluster_nome", near["nome"])
+    out = df.withColumn("cluster", near["cluster"])
+    return out.withColumn("cluster_nome", near["nome"]) if tier else out
+
+
+def assign(df: DataFrame, centres: DataFrame, columns: list[str]) -> DataFrame:
+    """The tier of each row's nearest centre."""
+    return nearest(df, centres, columns).drop("cluster")
 
 
 def pick_three(clusters: DataFrame, by: list[str], mean: str = "media") -> DataFrame:

@@ -21,10 +21,10 @@ def only_targets(df: DataFrame, targets: DataFrame) -> DataFrame:
     return df.join(targets.select("mes_alvo"), "mes_alvo", "left_semi")
 
 
-def window_span(targets: DataFrame, months: int = 3) -> DataFrame:
-    """``mes_alvo`` with the first and the last day of its window."""
+def with_span(df: DataFrame, months: int = 3) -> DataFrame:
+    """Adds the first and the last day of the window that ends with ``mes_alvo``."""
     first = F.to_date(F.concat("mes_alvo", F.lit("-01")))
-    return targets.select("mes_alvo", F.add_months(first, 1 - months).alias("inicio"), F.last_day(first).alias("fim"))
+    return df.withColumns({"inicio": F.add_months(first, 1 - months), "fim": F.last_day(first)})
 
 
 def training_span(spans: DataFrame, months: int) -> DataFrame:
@@ -38,17 +38,18 @@ def change_to_previous(df: DataFrame, value: str, order: str = "mes") -> DataFra
     return df.withColumn("variacao_pct", rounded(F.try_divide(F.col(value) - before, before) * 100, 4))
 
 
-def box(value: str) -> list[Column]:
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return [q.alias("__q"), F.count(F.lit(1)).alias("n")]
-
-
 def box_plot(df: DataFrame, value: str, by: str) -> DataFrame:
-    """Quartiles and whiskers: the extreme values within 1.5 interquartile ranges."""
-    q = df.groupBy(by).agg(*box(value))
+    """Quartiles and whiskers: the extreme values within 1.5 interquartile ranges.
+
+    Rows are counted by group and value first; quartiles and whiskers both come from these counts, so the table is read
+    and shuffled once.
+    """
+    counts = df.groupBy(by, value).agg(F.count(F.lit(1)).alias("__n"))
+    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("__n"))
+    limits = counts.groupBy(F.col(by).alias("__by")).agg(q.alias("__q"), F.sum("__n").alias("n"))
     spread = F.col("__q")[2] - F.col("__q")[0]
     inside = F.col(value).between(F.col("__q")[0] - 1.5 * spread, F.col("__q")[2] + 1.5 * spread)
-    return df.join(F.broadcast(q), by).groupBy(by).agg(
+    return counts.join(limits, F.col(by) == F.col("__by")).groupBy(by).agg(
         F.first("n").alias("n"),
         *[rounded(F.first("__q")[i], 4).alias(n) for i, n in enumerate(("q1", "mediana", "q3"))],
         rounded(F.min(F.when(inside, F.col(value))), 4).alias("bigode_min"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessela.functions.numbers import rounded
@@ -22,7 +22,7 @@ def _centres(spark: SparkSession) -> DataFrame:
 
 
 def _tiered(spark: SparkSession, sf: str) -> DataFrame:
-    df = cleaned(spark, sf).withColumn("metragem_fx", segments.band_left(F.col("area_util"), segments.AREA_LEFT))
+    df = cleaned(spark, sf).withColumn("metragem_fx", segments.band_left(F.col("area_util"), segments.AREA_LEFT, segments.AREA_LEFT_END))
     return tiers.assign(df, _centres(spark), ["valor_m2", "area_util"])
 
 
@@ -79,11 +79,12 @@ def boxplot_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def window_3m(spark: SparkSession, sf: str) -> DataFrame:
-    df = cleaned(spark, sf)
-    targets = df.select(F.col("mes_ref").alias("mes_alvo")).distinct()
-    rows = windows.only_targets(windows.into_windows(df, "data_coleta"), targets)
-    out = rows.groupBy("mes_alvo", "vaga_cat").agg(*segments.bundle())
-    return out.join(F.broadcast(windows.window_span(targets)), "mes_alvo")
+    """Windows that end in a month that has rows: rows of a window's own month tell so."""
+    rows = windows.into_windows(cleaned(spark, sf), "data_coleta")
+    own = F.count_if(F.col("mes_ref") == F.col("mes_alvo"))
+    out = rows.groupBy("mes_alvo", "vaga_cat").agg(*segments.bundle(), own.alias("own"))
+    out = out.withColumn("own", F.sum("own").over(Window.partitionBy("mes_alvo"))).filter("own > 0").drop("own")
+    return windows.with_span(out)
 
 
 def unit_scale(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,7 +106,7 @@ def cluster_pivot(spark: SparkSession, sf: str) -> DataFrame:
 
 def pick3(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks stand for clusters: brands within each parking group, by mean price per area."""
-    means = cleaned(spark, sf).filter(F.col("quadra").rlike("#[1-9]$")).groupBy("vaga_cat", F.substring_index("quadra", "#", -1).cast("int").alias("cluster")).agg(rounded(F.sum(F.col("valor_m2") * (1 + F.col("quartos"))) / F.count(F.lit(1)), 4).alias("media"), F.count(F.lit(1)).alias("n"))
+    means = cleaned(spark, sf).groupBy("vaga_cat", F.substring_index("quadra", "#", -1).cast("int").alias("cluster")).agg(rounded(F.sum(F.col("valor_m2") * (1 + F.col("quartos"))) / F.count(F.lit(1)), 4).alias("media"), F.count(F.lit(1)).alias("n"))
     return tiers.pick_three(means, ["vaga_cat"])
 
 
@@ -114,19 +115,21 @@ def _bands(spark: SparkSession, sf: str, c) -> DataFrame:  # noqa: ANN001
 
 
 def bands_left_closed(spark: SparkSession, sf: str) -> DataFrame:
-    return _bands(spark, sf, segments.band_left(F.col("area_util"), segments.AREA_LEFT)).groupBy("faixa").agg(F.count(F.lit(1)).alias("n"), rounded(F.avg("preco"), 4).alias("media"))
+    """Areas times 25, so that all bands occur."""
+    return _bands(spark, sf, segments.band_left(F.col("area_util") * 25, segments.AREA_LEFT, segments.AREA_LEFT_END)).groupBy("faixa").agg(F.count(F.lit(1)).alias("n"), rounded(F.avg("preco"), 4).alias("media"))
 
 
 def bands_right_closed(spark: SparkSession, sf: str) -> DataFrame:
-    both = F.concat_ws("|", segments.band_right(F.col("area_util") * 10, segments.AREA_APARTMENT, lowest=False), segments.band_right(F.col("area_util") * 10, segments.AREA_HOUSE), segments.rooms_apartment(F.col("quartos")))
+    """Areas times 5 and 25 less 5 and 25, so that all bands and both ends occur."""
+    area = F.col("area_util") - 1
+    both = F.concat_ws("|", segments.band_right(area * 5, segments.AREA_APARTMENT, lowest=False), segments.band_right(area * 25, segments.AREA_HOUSE), segments.rooms_apartment(F.col("quartos")), segments.rooms_house(F.col("quartos")))
     return _bands(spark, sf, both).groupBy("faixa").agg(F.count(F.lit(1)).alias("n"), rounded(F.avg("preco"), 4).alias("media"))
 
 
 def bands_zero_fill(spark: SparkSession, sf: str) -> DataFrame:
     df = _bands(spark, sf, segments.band_right(F.col("area_util"), segments.AREA_APARTMENT))
-    labels = [f"{a:g}-{b:g}" for a, b in zip(segments.AREA_APARTMENT, segments.AREA_APARTMENT[1:], strict=False)]
     agg = df.filter("faixa is not null").groupBy("vaga_cat", "faixa").agg(F.count(F.lit(1)).alias("n"), rounded(F.avg("preco"), 4).alias("media"))
-    return segments.with_empty(labels, "faixa", df.select("vaga_cat").distinct(), agg, ["vaga_cat"], "n")
+    return segments.with_empty([label for _, label in segments.AREA_APARTMENT], "faixa", df.select("vaga_cat").distinct(), agg, ["vaga_cat"], "n")
 
 
 def kmeans_tiers(spark: SparkSession, sf: str) -> DataFrame:
@@ -159,11 +162,11 @@ def _iqr_sql(value: str, by: str, where: str) -> str:
 
 _TIERED = f""", centres AS (
   SELECT i AS cluster, 400.0 + 1100.0 * i AS cm, 45.0 - 5.0 * i AS ca,
-         CASE i // 3 WHEN 0 THEN '{tiers.TIERS[0]}' WHEN 1 THEN '{tiers.TIERS[1]}' ELSE '{tiers.TIERS[2]}' END AS nome
+         CASE i // 3 WHEN 0 THEN '01 - Original' WHEN 1 THEN '02 - Semi-Reformado' ELSE '03 - Reformado' END AS nome
   FROM range(9) t(i)
 ), tiered AS (
   SELECT c.*, (SELECT arg_min(nome, pow((valor_m2 - cm) / 2000.0, 2) + pow((area_util - ca) / 15.0, 2)) FROM centres) AS cluster_nome,
-         CASE WHEN area_util < 30 THEN '0-30' WHEN area_util < 50 THEN '30-50' ELSE '50-70' END AS metragem_fx
+         '<75' AS metragem_fx
   FROM cleaned c
 )"""
 
@@ -172,16 +175,12 @@ def _segment(name: str, key: str | None, cluster: str = "''", rooms: str = "-1",
     return f"SELECT bairro, mes_ref, vaga_cat, '{name}' AS segmento, {cluster} AS cluster_nome, {rooms} AS quartos, {band} AS metragem_fx, {block} AS quadra, {METRICS} FROM tiered WHERE {where} GROUP BY bairro, mes_ref, vaga_cat{', ' + key if key else ''} HAVING count(*) >= 3"
 
 
-def _case(c: str, limits: tuple[float, ...], left: bool, lowest: bool = True) -> str:
-    parts = []
-    for i, (a, b) in enumerate(zip(limits, limits[1:], strict=False)):
-        low = ">=" if left or (i == 0 and lowest) else ">"
-        parts.append(f"WHEN {c} {low} {a} AND {c} {'<' if left else '<='} {b} THEN '{a:g}-{b:g}'")
-    return f"CASE {' '.join(parts)} ELSE {chr(39) * 2 if left else 'NULL'} END"
-
-
-_LABELS = ", ".join(f"('{a:g}-{b:g}')" for a, b in zip(segments.AREA_APARTMENT, segments.AREA_APARTMENT[1:], strict=False))
-_RIGHT = f"concat_ws('|', {_case('area_util * 10', segments.AREA_APARTMENT, False, False)}, {_case('area_util * 10', segments.AREA_HOUSE, False)}, CASE WHEN quartos >= 5 THEN '+5' WHEN quartos >= 1 THEN CAST(quartos AS VARCHAR) END)"
+_LEFT = "CASE WHEN {c} < 0 OR {c} >= 10000000 THEN '' WHEN {c} < 75 THEN '<75' WHEN {c} < 90 THEN '75-90' WHEN {c} < 130 THEN '90-130' WHEN {c} < 160 THEN '130-160' WHEN {c} < 200 THEN '160-200' WHEN {c} < 400 THEN '200-400' WHEN {c} < 600 THEN '400-600' WHEN {c} < 800 THEN '600-800' WHEN {c} < 1000 THEN '800-1000' ELSE '>1000' END"
+APARTMENT_SQL = "CASE WHEN {c} < 0 THEN NULL WHEN {c} <= 50 THEN '<50' WHEN {c} <= 75 THEN '50-75' WHEN {c} <= 90 THEN '75-90' WHEN {c} <= 130 THEN '90-130' WHEN {c} <= 160 THEN '130-160' WHEN {c} <= 200 THEN '160-200' ELSE '>200' END"
+HOUSE_SQL = "CASE WHEN {c} < 0 THEN NULL WHEN {c} <= 400 THEN '<400' WHEN {c} <= 600 THEN '400-600' WHEN {c} <= 800 THEN '600-800' WHEN {c} <= 1000 THEN '800-1000' ELSE '>1000' END"
+ROOMS_APARTMENT_SQL = "CASE WHEN quartos < 0 THEN NULL WHEN quartos <= 1 THEN '1' WHEN quartos <= 2 THEN '2' WHEN quartos <= 3 THEN '3' WHEN quartos <= 4 THEN '4' ELSE '+5' END"
+ROOMS_HOUSE_SQL = "CASE WHEN quartos < 0 THEN NULL WHEN quartos <= 4 THEN 'Até 4' ELSE '5 ou mais' END"
+_RIGHT = f"concat_ws('|', CASE WHEN area_util > 1 THEN {APARTMENT_SQL.format(c='(area_util - 1) * 5')} END, {HOUSE_SQL.format(c='(area_util - 1) * 25')}, {ROOMS_APARTMENT_SQL}, {ROOMS_HOUSE_SQL})"
 
 QUERIES = {f.__name__: f for f in (metrics_geral, metrics_long, iqr_filter, iqr_by_parking, iqr_no_guard, summary_stats, summary_by_rooms_parking, month_trend, daily_trend, mom_change, boxplot_stats, window_3m, unit_scale, fixed_centres_assign, cluster_pivot, pick3, bands_left_closed, bands_right_closed, bands_zero_fill, kmeans_tiers, dedupe_first, dedupe_last, distinct_on)}
 _W, _L = f"WITH {CLEANED}", f"WITH {LISTING}"
@@ -202,11 +201,11 @@ ORACLE_SQL = {
     "window_3m": f"{_W}, w AS (SELECT DISTINCT mes_ref AS mes_alvo, CAST(CAST(mes_ref || '-01' AS DATE) - INTERVAL 2 MONTH AS DATE) AS inicio, last_day(CAST(mes_ref || '-01' AS DATE)) AS fim FROM cleaned) SELECT mes_alvo, vaga_cat, inicio, fim, {METRICS} FROM w JOIN cleaned ON data_coleta BETWEEN inicio AND fim GROUP BY ALL",
     "unit_scale": f"{_L}, s AS (SELECT mes_ref, preco * 10 / CASE CAST(mes_ref[6:7] AS INTEGER) % 3 WHEN 1 THEN 1e3 WHEN 2 THEN 1e6 ELSE 1.0 END AS p FROM valued), m AS (SELECT mes_ref, quantile_cont(p, 0.5) AS m FROM s GROUP BY mes_ref HAVING count(*) >= 700), f AS (SELECT mes_ref, p * CASE WHEN m < 1000 THEN 1e6 WHEN m < 200000 THEN 1e3 ELSE 1.0 END AS p FROM s JOIN m USING (mes_ref)) SELECT mes_ref, count(*) AS n, round(avg(p), 2) AS media, round(quantile_cont(p, 0.5), 2) AS mediana FROM f GROUP BY mes_ref",
     "fixed_centres_assign": f"{_W}{_TIERED} SELECT cluster_nome, {METRICS}, round(quantile_cont(valor_m2, 0.5) * avg(area_util), 3) AS preco_proxy FROM tiered GROUP BY cluster_nome",
-    "cluster_pivot": f"{_W}{_TIERED} SELECT mes_ref, count_if(cluster_nome = '{tiers.TIERS[0]}') AS original, count_if(cluster_nome = '{tiers.TIERS[1]}') AS semi, count_if(cluster_nome = '{tiers.TIERS[2]}') AS reformado FROM tiered GROUP BY mes_ref",
-    "pick3": f"{_W}, m AS (SELECT vaga_cat, CAST(split_part(quadra, '#', 2) AS INTEGER) AS cluster, round(sum(valor_m2 * (1 + quartos)) / count(*), 4) AS media, count(*) AS n FROM cleaned WHERE regexp_matches(quadra, '#[1-9]$') GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY vaga_cat ORDER BY media, cluster) AS r, count(*) OVER (PARTITION BY vaga_cat) AS k FROM m), c AS (SELECT *, max(CASE WHEN r = k // 2 + 1 THEN media END) OVER (PARTITION BY vaga_cat) AS mid FROM r), e AS (SELECT *, coalesce(max(CASE WHEN r < k // 2 + 1 AND media <= 0.9 * mid THEN r END) OVER (PARTITION BY vaga_cat), 1) AS lo, coalesce(min(CASE WHEN r > k // 2 + 1 AND media >= 1.1 * mid THEN r END) OVER (PARTITION BY vaga_cat), k) AS hi FROM c) SELECT vaga_cat, cluster, media, n, CASE WHEN r = hi THEN '{tiers.TIERS[2]}' WHEN r = k // 2 + 1 THEN '{tiers.TIERS[1]}' ELSE '{tiers.TIERS[0]}' END AS cluster_nome FROM e WHERE r IN (lo, hi, k // 2 + 1)",
-    "bands_left_closed": f"{_L} SELECT {_case('area_util', segments.AREA_LEFT, True)} AS faixa, count(*) AS n, round(avg(preco), 4) AS media FROM valued GROUP BY 1",
+    "cluster_pivot": f"{_W}{_TIERED} SELECT mes_ref, count_if(cluster_nome = '01 - Original') AS original, count_if(cluster_nome = '02 - Semi-Reformado') AS semi, count_if(cluster_nome = '03 - Reformado') AS reformado FROM tiered GROUP BY mes_ref",
+    "pick3": f"{_W}, m AS (SELECT vaga_cat, CAST(split_part(quadra, '#', 2) AS INTEGER) AS cluster, round(sum(valor_m2 * (1 + quartos)) / count(*), 4) AS media, count(*) AS n FROM cleaned GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY vaga_cat ORDER BY media, cluster) AS r, count(*) OVER (PARTITION BY vaga_cat) AS k FROM m), c AS (SELECT *, max(CASE WHEN r = k // 2 + 1 THEN media END) OVER (PARTITION BY vaga_cat) AS mid FROM r), e AS (SELECT *, coalesce(max(CASE WHEN r < k // 2 + 1 AND media <= 0.9 * mid THEN r END) OVER (PARTITION BY vaga_cat), 1) AS lo, coalesce(min(CASE WHEN r > k // 2 + 1 AND media >= 1.1 * mid THEN r END) OVER (PARTITION BY vaga_cat), k) AS hi FROM c) SELECT vaga_cat, cluster, media, n, CASE WHEN r = hi THEN '03 - Reformado' WHEN r = k // 2 + 1 THEN '02 - Semi-Reformado' ELSE '01 - Original' END AS cluster_nome FROM e WHERE r IN (lo, hi, k // 2 + 1)",
+    "bands_left_closed": f"{_L} SELECT {_LEFT.format(c='area_util * 25')} AS faixa, count(*) AS n, round(avg(preco), 4) AS media FROM valued GROUP BY 1",
     "bands_right_closed": f"{_L} SELECT {_RIGHT} AS faixa, count(*) AS n, round(avg(preco), 4) AS media FROM valued GROUP BY 1",
-    "bands_zero_fill": f"{_L}, b AS (SELECT vaga_cat, preco, {_case('area_util', segments.AREA_APARTMENT, False)} AS faixa FROM valued), a AS (SELECT vaga_cat, faixa, count(*) AS n, round(avg(preco), 4) AS media FROM b GROUP BY ALL) SELECT g.vaga_cat, l.faixa, coalesce(a.n, 0) AS n, a.media FROM (SELECT DISTINCT vaga_cat FROM b) g CROSS JOIN (VALUES {_LABELS}) l(faixa) LEFT JOIN a ON a.vaga_cat = g.vaga_cat AND a.faixa = l.faixa",
+    "bands_zero_fill": f"{_L}, b AS (SELECT vaga_cat, preco, {APARTMENT_SQL.format(c='area_util')} AS faixa FROM valued), a AS (SELECT vaga_cat, faixa, count(*) AS n, round(avg(preco), 4) AS media FROM b GROUP BY ALL) SELECT g.vaga_cat, l.faixa, coalesce(a.n, 0) AS n, a.media FROM (SELECT DISTINCT vaga_cat FROM b) g CROSS JOIN (VALUES ('<50'), ('50-75'), ('75-90'), ('90-130'), ('130-160'), ('160-200'), ('>200')) l(faixa) LEFT JOIN a ON a.vaga_cat = g.vaga_cat AND a.faixa = l.faixa",
     "dedupe_first": f"{_L} SELECT split_part(codigo, '-', 1) AS codigo, preco, area_util, data_coleta FROM valued QUALIFY row_number() OVER (PARTITION BY split_part(codigo, '-', 1) ORDER BY {_TIES}) = 1",
     "dedupe_last": f"{_L} SELECT split_part(codigo, '-', 1) AS codigo, preco, area_util, data_coleta FROM valued QUALIFY row_number() OVER (PARTITION BY split_part(codigo, '-', 1), mes_ref ORDER BY {_TIES_DOWN}) = 1",
     "distinct_on": f"{_L} SELECT codigo, data_coleta, preco, area_util FROM valued WHERE preco BETWEEN 2000 AND 100000 QUALIFY row_number() OVER (PARTITION BY codigo, data_coleta ORDER BY {_TIES}) = 1",

@@ -7,29 +7,39 @@ from pyspark.sql import functions as F
 
 from tessela.functions.numbers import rounded
 from tessela.operators import awards, registry, studies
-from tessela.plans.market import _case
-from tessela.operators.segments import AREA_APARTMENT, AREA_HOUSE
+from tessela.plans.market import APARTMENT_SQL, HOUSE_SQL, ROOMS_APARTMENT_SQL, ROOMS_HOUSE_SQL
 from tessela.plans.views import CONTRACT, LISTING, contract, managers, registries, valued
 
 SELLERS, CAPTURERS = ["venda_1", "venda_2"], ["cap_1", "cap_2"]
 PAYOUTS = [("VEND", "venda_1", "pago_v1"), ("VEND", "venda_2", "pago_v2"), ("CAP", "cap_1", "pago_c1"), ("CAP", "cap_2", "pago_c2")]
 APARTMENT = studies.Study("America", "apt", "VENDA", cidade="AMERICA")
+LEGACY = studies.Study("Europe", "apt-legacy", cidade="EUROPE")
 HOUSE = studies.Study("Nation 3", "house", "VENDA", bairro="NATION_3")
 STRICT = studies.Study("Publicado", "house-strict", "PUBLICADO")
 DAY = "1997-05-20"
 
 
 def study_apt(spark: SparkSession, sf: str) -> DataFrame:
-    return studies.groups(studies.selected(valued(spark, sf), APARTMENT), APARTMENT)
+    return studies.groups(studies.selected(valued(spark, sf), APARTMENT), APARTMENT, DAY)
+
+
+def study_apt_legacy(spark: SparkSession, sf: str) -> DataFrame:
+    return studies.groups(studies.selected(valued(spark, sf), LEGACY), LEGACY, DAY)
 
 
 def study_house(spark: SparkSession, sf: str) -> DataFrame:
-    return studies.groups(studies.selected(valued(spark, sf), HOUSE), HOUSE)
+    rows = studies.selected(valued(spark, sf), HOUSE)
+    return studies.with_pattern(studies.groups(rows, HOUSE, DAY), rows, "Luxo")
 
 
 def study_house_strict(spark: SparkSession, sf: str) -> DataFrame:
     rows = studies.selected(valued(spark, sf), STRICT, DAY)
-    return studies.groups(rows, STRICT)
+    return studies.with_pattern(studies.groups(rows, STRICT, DAY), rows, "N/A", 60_000)
+
+
+def study_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    """The tiers of the apartment study: a fit of nine clusters for each parking group, so there is no SQL for it."""
+    return studies.tier_rows(studies.selected(valued(spark, sf), APARTMENT), DAY, seeds=(42, 43))
 
 
 def study_pattern(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,9 +66,13 @@ def rank_managers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rank_sections(spark: SparkSession, sf: str) -> DataFrame:
-    """By team, with two brokers who count for one team in any case; the best 30 by value of each list."""
+    """The 22 tables of the report: by team, with two brokers who count for one team in any case, by all, and of managers."""
     roles = _roles(spark, sf).withColumn("equipe", awards.moved("equipe", "nome", ("BROKER 1", "BROKER 7")))
-    return awards.sections(awards.ranking(roles, ("equipe", "lista"))).filter(F.contains("secao", F.lit("VGV")))
+    roles = roles.select("lista", "nome", "vgv", "vgc", F.explode(F.array(F.concat(F.lit("CORRETORES_"), "equipe"), F.lit("CORRETORES_GERAL"))).alias("equipe"))
+    bosses = awards.role_rows(awards.sides(contract(spark, sf), ["gerente_venda"], ["gerente_captacao"]), "valor", "comissao")
+    bosses = bosses.select("lista", "nome", "vgv", "vgc", F.lit("GERENTES").alias("equipe"))
+    out = awards.sections(awards.ranking(roles.unionByName(bosses), ("equipe", "lista")))
+    return out.filter(~F.col("secao").isin("GERENTES_VGV_CAP", "GERENTES_VGV_VEND"))
 
 
 def _managed(spark: SparkSession, sf: str) -> DataFrame:
@@ -101,11 +115,23 @@ def registry_totals(spark: SparkSession, sf: str) -> DataFrame:
     return registry.totals(*_consolidated(spark, sf))
 
 
-def _study_sql(where: str, value: str, bands: tuple[float, ...], house: bool, city: bool = False, extra: str = "") -> str:
-    rooms = "CASE WHEN quartos <= 4 THEN 'ATÉ 4' WHEN quartos >= 5 THEN '+5' END" if house else "CASE WHEN quartos >= 5 THEN '+5' WHEN quartos >= 1 THEN CAST(quartos AS VARCHAR) END"
-    keys = [("Metragem ", _case("area_util", bands, False), "Sem Faixa"), ("Quartos ", rooms, "Sem Quartos"), ("Bairro ", "bairro", "Sem Bairro"), ("Quadra ", "quadra", "Sem Quadra")] + ([("Cidade ", "cidade", "Sem Cidade")] if city else [])
-    parts = " UNION ALL ".join(f"SELECT '{p}' || coalesce({c}, '{m}') AS nome, vaga_cat AS vaga, round(1e-7 + avg(valor), 4) AS valor, count(*) AS amostra FROM kept GROUP BY 1, 2" for p, c, m in keys)
-    return f"WITH {LISTING}{extra}, chosen AS (SELECT *, {value} AS valor FROM valued v WHERE {where}), q AS (SELECT *, quantile_cont(valor, 0.25) OVER w AS q1, quantile_cont(valor, 0.75) OVER w AS q3 FROM chosen WINDOW w AS (PARTITION BY vaga_cat)), kept AS (SELECT * FROM q WHERE q3 = q1 OR valor BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) {parts}"
+def _study_sql(where: str, value: str, keys: list[tuple[str, str, str]], zero: list[str], pattern: str = "", extra: str = "", drop: str = "") -> str:
+    """``keys``: prefix, value and what stands for a missing one; ``zero``: names that are listed in any case."""
+    parts = " UNION ALL ".join(f"SELECT '{p}' || coalesce({c}, '{m}') AS nome, vaga, round(1e-7 + avg(valor), 4) AS valor, count(*) AS amostra FROM kept GROUP BY 1, 2" for p, c, m in keys)
+    listed = ", ".join(f"('{z}')" for z in zero)
+    return (
+        f"WITH {LISTING}{extra}, chosen AS (SELECT *, {value} AS valor, CASE WHEN vagas > 0 THEN 'Com Vaga' ELSE 'Sem Vaga' END AS vaga FROM valued v WHERE {where}), q AS (SELECT *, quantile_cont(valor, 0.25) OVER w AS q1, quantile_cont(valor, 0.75) OVER w AS q3 FROM chosen WINDOW w AS (PARTITION BY vaga)), kept AS (SELECT * FROM q WHERE q3 = q1 OR valor BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), parts AS ({parts}), "
+        f"every AS (SELECT * FROM parts{drop} UNION ALL SELECT z.nome, v.vaga, NULL, 0 FROM (SELECT DISTINCT vaga FROM kept) v CROSS JOIN (VALUES {listed}) z(nome)) SELECT nome, vaga, max(valor) AS valor, CAST(sum(amostra) AS BIGINT) AS amostra, DATE '{DAY}' AS data{pattern} FROM every GROUP BY nome, vaga"
+    )
+
+
+_ZERO_APARTMENT = [f"Metragem {x}" for x in ("<50", "50-75", "75-90", "90-130", "130-160", "160-200", ">200")] + [f"Quartos {x}" for x in ("1", "2", "3", "4", "+5")]
+_ZERO_HOUSE = [f"Metragem {x}" for x in ("<400", "400-600", "600-800", "800-1000", ">1000")] + ["Quartos Até 4", "Quartos 5 ou mais"]
+_APARTMENT_KEYS = [("Metragem ", APARTMENT_SQL.format(c="area_util"), "nan"), ("Quartos ", ROOMS_APARTMENT_SQL, "nan"), ("Bairro ", "bairro", "<NA>"), ("Quadra ", "upper(quadra)", "<NA>")]
+_LEGACY_KEYS = [_APARTMENT_KEYS[0], ("Quartos ", f"CASE WHEN quartos > 0 THEN {ROOMS_APARTMENT_SQL} END", "nan"), *_APARTMENT_KEYS[2:]]
+_HOUSE_KEYS = [("Metragem ", HOUSE_SQL.format(c="area_util"), "Sem Faixa"), ("Quartos ", ROOMS_HOUSE_SQL, "Sem Faixa"), ("Bairro ", "bairro", "Sem Bairro")]
+_POSTCODE = ("CEP ", "cep", "<NA>")
+_PATTERN = ", (SELECT CASE WHEN min(valor) >= 60000 THEN 'Alto Padrão' WHEN max(valor) < 60000 THEN 'Padrão' ELSE 'Misto' END FROM kept k WHERE k.vaga = every.vaga) AS padrao"
 
 
 _ROLES = f"""WITH {CONTRACT}, s AS (
@@ -144,16 +170,17 @@ _REGISTRY = """WITH a0 AS (
   FROM a FULL JOIN b ON a.creci = b.creci
 )"""
 
-QUERIES = {f.__name__: f for f in (study_apt, study_house, study_house_strict, study_pattern, rank_vgv, rank_vgc, rank_managers, rank_sections, manager_vgv_dim, manager_detail, manager_vgc_dim, broker_contracts, registry_compare, registry_invalid, registry_totals)}
+QUERIES = {f.__name__: f for f in (study_apt, study_apt_legacy, study_house, study_house_strict, study_tiers, study_pattern, rank_vgv, rank_vgc, rank_managers, rank_sections, manager_vgv_dim, manager_detail, manager_vgc_dim, broker_contracts, registry_compare, registry_invalid, registry_totals)}
 ORACLE_SQL = {
-    "study_apt": _study_sql("cidade = 'AMERICA' AND oferta IN ('VENDA', 'PUBLICADO')", "valor_m2", AREA_APARTMENT, False),
-    "study_house": _study_sql("bairro = 'NATION_3' AND (oferta = 'VENDA' OR vaga_cat NOT IN (SELECT vaga_cat FROM valued WHERE bairro = 'NATION_3' AND oferta = 'VENDA'))", "preco", AREA_HOUSE, True),
-    "study_house_strict": _study_sql(f"oferta = 'PUBLICADO' AND data_coleta = DATE '{DAY}'", "preco", AREA_HOUSE, True, city=True),
+    "study_apt": _study_sql("cidade = 'AMERICA' AND oferta IN ('VENDA', 'PUBLICADO')", "valor_m2", [*_APARTMENT_KEYS, _POSTCODE], _ZERO_APARTMENT),
+    "study_apt_legacy": _study_sql("cidade = 'EUROPE'", "valor_m2", _LEGACY_KEYS, _ZERO_APARTMENT, drop=" WHERE nome NOT IN ('Bairro <NA>', 'Quadra <NA>')"),
+    "study_house": _study_sql("bairro = 'NATION_3' AND (oferta = 'VENDA' OR (vagas > 0) NOT IN (SELECT vagas > 0 FROM valued WHERE bairro = 'NATION_3' AND oferta = 'VENDA'))", "preco", [*_HOUSE_KEYS, ("Quadra ", "upper(quadra)", "Sem Quadra")], _ZERO_HOUSE, ", 'Luxo' AS padrao"),
+    "study_house_strict": _study_sql(f"oferta = 'PUBLICADO' AND data_coleta = DATE '{DAY}'", "preco", [*_HOUSE_KEYS, ("Quadra ", "quadra", "Sem Quadra"), ("Cidade ", "cidade", "Sem Cidade"), ("CEP ", "cep", "Sem CEP")], _ZERO_HOUSE, _PATTERN),
     "study_pattern": f"WITH {LISTING}, c AS (SELECT bairro, oferta, count(*) AS n FROM valued GROUP BY ALL), o AS (SELECT bairro, oferta FROM c QUALIFY row_number() OVER (PARTITION BY bairro ORDER BY n DESC, oferta) = 1) SELECT bairro, any_value(o.oferta) AS oferta, CASE WHEN count(DISTINCT cidade) = 1 THEN max(cidade) ELSE 'Misto' END AS cidade, CASE WHEN count(DISTINCT tipo) = 1 THEN max(tipo) ELSE 'Misto' END AS tipo FROM valued JOIN o USING (bairro) GROUP BY bairro",
     "rank_vgv": f"{_ROLES} SELECT lista, nome, CAST(sum(vgv) AS DOUBLE) AS vgv, row_number() OVER (PARTITION BY lista ORDER BY sum(vgv) DESC, nome) AS pos FROM roles GROUP BY lista, nome",
     "rank_vgc": f"{_ROLES} SELECT lista, nome, round(3e-6 + sum(vgc), 2) AS vgc FROM roles GROUP BY lista, nome",
     "rank_managers": f"WITH {CONTRACT}, x AS (SELECT contrato, valor, comissao / CASE WHEN gerente_captacao = '-' THEN 1.0 ELSE 2.0 END AS parte, gerente_venda AS v, nullif(gerente_captacao, '-') AS c FROM contract), side AS (SELECT contrato, 'VEND' AS lista, v AS nome, valor AS vgv, parte AS vgc FROM x UNION ALL SELECT contrato, 'CAP', c, valor, parte FROM x WHERE c IS NOT NULL), roles AS (SELECT * FROM side UNION ALL SELECT contrato, 'GERAL', nome, any_value(vgv), sum(vgc) FROM side GROUP BY contrato, nome) SELECT lista, nome, CAST(sum(vgv) AS DOUBLE) AS vgv, round(3e-6 + sum(vgc), 2) AS vgc FROM roles GROUP BY lista, nome",
-    "rank_sections": f"{_ROLES}, t AS (SELECT CASE WHEN nome IN ('BROKER 1', 'BROKER 7') THEN 'PP' ELSE equipe END AS equipe, lista, nome, CAST(sum(vgv) AS DOUBLE) AS v FROM roles GROUP BY ALL), p AS (SELECT *, row_number() OVER (PARTITION BY equipe, lista ORDER BY v DESC, nome) AS pos FROM t) SELECT equipe || ' VGV ' || lista AS secao, pos, nome, round(1e-7 + v, 2) AS valor FROM p WHERE pos <= 30",
+    "rank_sections": f"{_ROLES}, moved AS (SELECT 'CORRETORES_' || CASE WHEN nome IN ('BROKER 1', 'BROKER 7') THEN 'PP' ELSE equipe END AS equipe, lista, nome, vgv, vgc FROM roles), boss AS (SELECT contrato, valor, comissao / CASE WHEN gerente_captacao = '-' THEN 1.0 ELSE 2.0 END AS parte, gerente_venda AS v, nullif(gerente_captacao, '-') AS c FROM contract), bs AS (SELECT contrato, 'VEND' AS lista, v AS nome, valor AS vgv, parte AS vgc FROM boss UNION ALL SELECT contrato, 'CAP', c, valor, parte FROM boss WHERE c IS NOT NULL), br AS (SELECT lista, nome, vgv, vgc FROM bs UNION ALL SELECT 'GERAL', nome, any_value(vgv), sum(vgc) FROM bs GROUP BY contrato, nome), alle AS (SELECT * FROM moved UNION ALL SELECT 'CORRETORES_GERAL', lista, nome, vgv, vgc FROM moved UNION ALL SELECT 'GERENTES', * FROM br), t AS (SELECT equipe, lista, nome, CAST(sum(vgv) AS DOUBLE) AS g, round(3e-6 + sum(vgc), 2) AS c FROM alle GROUP BY ALL), l AS (SELECT equipe || '_VGV_' || lista AS secao, nome, g AS v FROM t UNION ALL SELECT equipe || '_VGC_' || lista, nome, c FROM t), p AS (SELECT *, row_number() OVER (PARTITION BY secao ORDER BY v DESC, nome) AS pos FROM l) SELECT secao, pos, nome, round(1e-7 + v, 2) AS valor FROM p WHERE pos <= 30 AND secao NOT IN ('GERENTES_VGV_CAP', 'GERENTES_VGV_VEND')",
     "manager_vgv_dim": f"{_MANAGED} SELECT lista, gerente, round(3e-6 + sum(valor), 2) AS vgv FROM detail GROUP BY ALL",
     "manager_detail": f"{_MANAGED} SELECT lista, gerente, corretor, round(3e-6 + valor, 2) AS valor FROM detail",
     "manager_vgc_dim": f"{_MANAGED}, one AS (SELECT DISTINCT contrato, comissao, lado, gerente FROM m), k AS (SELECT *, count(*) OVER (PARTITION BY contrato, lado) AS n FROM one), z AS (SELECT k.*, (SELECT count(DISTINCT lado) FROM one o WHERE o.contrato = k.contrato) AS lados FROM k), e AS (SELECT gerente, lado AS lista, CAST(comissao AS DOUBLE) / lados / n AS vgc FROM z) SELECT lista, gerente, round(3e-6 + sum(vgc), 2) AS vgc FROM (SELECT * FROM e UNION ALL SELECT gerente, 'GERAL', vgc FROM e) GROUP BY lista, gerente",

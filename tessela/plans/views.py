@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessela.functions.numbers import per_area
-from tessela.operators.quality import in_range, one_per_key, without_outliers
+from tessela.operators.quality import first_per_key, in_range, without_outliers
 from tessela.operators.segments import parking
 
 #: Limits that suit these tables.
@@ -34,6 +34,7 @@ def listing(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("p_size") % 6).alias("quartos"),
         (F.round(F.col("l_tax") * 100).cast("int") % 3).alias("vagas"),
         F.col("p_brand").alias("quadra"),
+        F.when(F.col("l_suppkey") % 11 > 0, F.lpad(F.col("l_suppkey").cast("string"), 5, "0")).alias("cep"),
         F.col("l_shipdate").cast("date").alias("data_coleta"),
         "l_partkey",
         "l_suppkey",
@@ -51,7 +52,7 @@ def valued(spark: SparkSession, sf: str) -> DataFrame:
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     """Within the limits, one per code and day, without outliers of the district and type."""
     df = in_range(valued(spark, sf), **LIMITS)
-    df = one_per_key(df, ["codigo", "data_coleta"], [F.col(c) for c in TIE])
+    df = first_per_key(df, ["codigo", "data_coleta"], TIE)
     return without_outliers(df, "valor_m2", ["bairro", "tipo"], least_rows=20)
 
 
@@ -84,13 +85,17 @@ def managers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def registries(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Customers and suppliers as advertiser registries; small keys make invalid licences, every ninth has no name."""
+    """Customers and suppliers as advertiser registries; small keys make invalid licences, every ninth has no name.
+
+    Supplier keys are moved up by all customers less half of the suppliers, so that some are in one registry only; the
+    counts are one row beside each supplier.
+    """
     customers, suppliers = table(spark, sf, "customer"), table(spark, sf, "supplier")
-    shift = F.lit(customers.count() - suppliers.count() // 2)
+    shift = customers.agg(F.count(F.lit(1)).alias("c")).join(suppliers.agg(F.count(F.lit(1)).alias("s")), F.lit(True)).select((F.col("c") - F.floor(F.col("s") / 2)).alias("shift"))
     text = lambda k: F.concat(F.lit("CRECI "), F.substring(k.cast("string"), 1, 2), F.lit("."), F.substring(k.cast("string"), 3, 20))
     a = customers.select(F.col("c_custkey").alias("codigo"), text(F.col("c_custkey")).alias("creci"), F.when(F.col("c_custkey") % 9 > 0, F.col("c_name")).alias("anunciante"))
-    key = F.col("s_suppkey") + shift
-    return a, suppliers.select(F.col("s_suppkey").alias("codigo"), text(key).alias("creci"), F.col("s_name").alias("anunciante"))
+    b = suppliers.join(shift, F.lit(True))
+    return a, b.select(F.col("s_suppkey").alias("codigo"), text(F.col("s_suppkey") + F.col("shift")).alias("creci"), F.col("s_name").alias("anunciante"))
 
 
 def exit_feed(spark: SparkSession, sf: str) -> DataFrame:
@@ -107,7 +112,8 @@ listing AS (
   SELECT l_orderkey || '-' || l_linenumber AS codigo, n_name AS bairro, r_name AS cidade, p_type AS tipo,
          CASE o_orderstatus WHEN 'F' THEN 'VENDA' WHEN 'O' THEN 'PUBLICADO' ELSE 'ALUGUEL' END AS oferta,
          l_extendedprice AS preco, l_quantity AS area_util, p_size % 6 AS quartos,
-         CAST(round(l_tax * 100) AS INTEGER) % 3 AS vagas, p_brand AS quadra, CAST(l_shipdate AS DATE) AS data_coleta,
+         CAST(round(l_tax * 100) AS INTEGER) % 3 AS vagas, p_brand AS quadra,
+         CASE WHEN l_suppkey % 11 > 0 THEN lpad(CAST(l_suppkey AS VARCHAR), 5, '0') END AS cep, CAST(l_shipdate AS DATE) AS data_coleta,
          l_partkey, l_suppkey, l_tax, l_discount
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
   JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey

@@ -7,19 +7,19 @@ from pyspark.sql import functions as F
 
 #: Standard column names with the headers that exports use for them, the best one first.
 ALIASES = {
-    "codigo": ("codigo", "código", "cod", "id"),
-    "bairro": ("bairro", "regiao", "região"),
+    "codigo": ("codigo", "código", "cod", "id_anuncio", "idanuncio", "id"),
+    "bairro": ("bairro", "setor", "regiao", "região"),
     "cidade": ("cidade", "municipio", "município"),
-    "tipo": ("tipo", "tipo_imovel"),
-    "oferta": ("oferta", "status"),
-    "quadra": ("quadra", "endereco", "endereço"),
-    "preco": ("preco", "preço", "valor"),
-    "area_util": ("area_util", "área_útil", "area", "metragem"),
-    "valor_m2": ("valor_m2", "preco_m2"),
-    "quartos": ("quartos", "dormitorios"),
-    "vagas": ("vagas", "garagem"),
-    "data": ("data", "data_coleta"),
-    "anunciante": ("anunciante",),
+    "tipo": ("tipo", "tipo_imovel", "tipologia"),
+    "oferta": ("oferta", "finalidade", "negocio", "negócio"),
+    "preco": ("preco", "preço", "valor", "valor_total", "valorvenda", "preco_venda"),
+    "area_util": ("area_util", "area", "área", "area_privativa", "areautil", "m2"),
+    "quartos": ("quartos", "dormitorios", "dormitórios", "dorms"),
+    "vagas": ("vagas", "garagens", "vaga", "qtde_vagas"),
+    "valor_m2": ("valor_m2", "valor_por_m2", "vlm2", "preco_m2", "preco_por_m2"),
+    "quadra": ("quadra", "quad", "q"),
+    "cep": ("cep",),
+    "data": ("data", "data_coleta", "dt", "date"),
 }
 _ACCENTS = str.maketrans("áàâãäéèêëíìîïóòôõöúùûüçñ", "aaaaaeeeeiiiiooooouuuucn")
 
