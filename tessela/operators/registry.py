@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessela.functions.text import licence, licence_is_valid
@@ -38,3 +38,14 @@ def totals(a: DataFrame, b: DataFrame, both: DataFrame) -> DataFrame:
     where = both.agg(*[F.count_if(F.col("origem") == k).alias(f"creci_{k.lower()}") for k in ("A", "B", "AMBOS")])
     long = lambda df: df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("medida"), F.col(c).alias("total")) for c in df.columns])).alias("x")).select("x.*")
     return long(count(a, "a")).unionByName(long(count(b, "b"))).unionByName(long(where))
+
+
+def shown(df: DataFrame, order: list[tuple[str, bool]], rows: int = 40) -> DataFrame:
+    """The report's table: the first rows by ``order`` (column, descending?), as text with their places, and one more that tells the total if there are more."""
+    keys = [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in order]
+    first = df.orderBy(*keys).limit(rows)
+    place = F.row_number().over(Window.orderBy(*keys))
+    listed = first.select(place.alias("linha"), *[F.col(c).cast("string").alias(c) for c in df.columns])
+    text = F.concat(F.lit("... total de "), F.col("n").cast("string"), F.lit(f" registros. Exibindo apenas os primeiros {rows}."))
+    more = df.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows)
+    return listed.unionByName(more.select(F.lit(rows + 1).alias("linha"), text.alias(df.columns[0]), *[F.lit("").alias(c) for c in df.columns[1:]]))

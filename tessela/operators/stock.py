@@ -29,14 +29,24 @@ def appended(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame
     return target.unionByName(source.join(target.select(*keys).distinct(), keys, "left_anti"))
 
 
-def new_keys(names: DataFrame, name: str, order: str, dim: DataFrame, dim_name: str, dim_id: str, prefix: str = "B") -> DataFrame:
-    """The dimension with unseen names, numbered on from its largest key in the order of their first row."""
+def new_keys(names: DataFrame, name: str, order: str, dim: DataFrame, dim_name: str, dim_id: str, prefix: str = "B", parts: int = 64) -> DataFrame:
+    """The dimension with unseen names, numbered on from its largest key in the order of their first row.
+
+    Names are numbered within ranges of their first row, and ranges moved up by what lies before them, so no task gets
+    all names.
+    """
     known = dim.select(fold(F.col(dim_name)).alias("__name"))
     fresh = names.withColumn("__name", fold(F.col(name))).filter("__name <> ''").join(known, "__name", "left_anti")
     fresh = fresh.groupBy("__name").agg(F.min_by(name, order).alias(dim_name), F.min(order).alias("__first"))
-    largest = dim.agg(F.max(F.regexp_extract(dim_id, r"(\d+)$", 1).try_cast("int"))).first()[0] or 0
-    number = F.row_number().over(Window.orderBy("__first", "__name")) + F.lit(largest)
-    return dim.select(dim_id, dim_name).unionByName(fresh.select(F.concat(F.lit(prefix), number.cast("string")).alias(dim_id), dim_name))
+    ends = fresh.agg(F.min("__first").alias("__low"), F.max("__first").alias("__high"))
+    ranged = fresh.join(ends, F.lit(True)).withColumn("__part", F.floor((F.col("__first") - F.col("__low")) * parts / (F.col("__high") - F.col("__low") + 1)))
+    sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__k"))
+    before = sizes.select("__part", F.coalesce(F.sum("__k").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    rank = F.row_number().over(Window.partitionBy("__part").orderBy("__first", "__name"))
+    largest = dim.agg(F.coalesce(F.max(F.regexp_extract(dim_id, r"(\d+)$", 1).try_cast("long")), F.lit(0)).alias("__largest"))
+    out = ranged.withColumn("__rank", rank).join(before, "__part").join(largest, F.lit(True))
+    number = F.col("__largest") + F.col("__before") + F.col("__rank")
+    return dim.select(dim_id, dim_name).unionByName(out.select(F.concat(F.lit(prefix), number.cast("string")).alias(dim_id), dim_name))
 
 
 def latest(facts: DataFrame, key: str, day: str, order: str, columns: list[str]) -> DataFrame:
@@ -66,7 +76,7 @@ def is_home(type_id: Column) -> Column:
     return F.coalesce(~F.upper(type_id).isin(*NOT_HOMES), F.lit(True))
 
 
-def focus(df: DataFrame, districts: DataFrame, district: str, price: str, commission: str, home: Column, least_price: float, least_commission: float = 3.5) -> Column:
+def focus(price: str, commission: str, home: Column, least_price: float, least_commission: float = 3.5) -> Column:
     """Whether a listing is in a focus district (flag column ``__focus`` joined before), dear and well paid enough, and a home."""
     return F.coalesce(F.col("__focus"), F.lit(False)) & (F.col(price) >= least_price) & (F.col(commission) >= least_commission) & home
 
@@ -76,6 +86,12 @@ def with_focus_districts(df: DataFrame, districts: DataFrame, district: str) ->
     return df.join(flags, fold(F.col(district)) == F.col("__d"), "left").drop("__d")
 
 
+def in_table(codes: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The distinct codes that a table has, and those that it lacks."""
+    asked, there = codes.select(key).distinct(), table.select(key).distinct()
+    return asked.join(there, key, "left_semi"), asked.join(there, key, "left_anti")
+
+
 def found_and_missing(codes: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """The codes with whether the table has them."""
     return codes.select(key).distinct().join(table.select(key).distinct().withColumn("__has", F.lit(True)), key, "left").select(key, F.when(F.col("__has"), "SIM").otherwise("NAO").alias("disponivel"))

@@ -139,6 +139,30 @@ def kmeans_tiers(spark: SparkSession, sf: str) -> DataFrame:
     return tiers.assign(df, tiers.tier_of_centres(centres, "valor_m2"), ["valor_m2", "area_util"]).groupBy("cluster_nome").agg(*segments.bundle())
 
 
+def luxury_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    """Tiers of dear listings: five clusters by price and area, three to a tier; a fit, so there is no SQL for it."""
+    df = cleaned(spark, sf).select("mes_ref", "valor_m2", "area_util", "preco")
+    centres = tiers.fit_centres(df, ["preco", "area_util"], k=5, seeds=(42, 43))
+    named = tiers.tier_of_centres(centres, "preco", tiers.TIERS_LUXURY)
+    return tiers.assign(df, named, ["preco", "area_util"]).groupBy("cluster_nome").agg(*segments.bundle())
+
+
+def scatter_points(spark: SparkSession, sf: str) -> DataFrame:
+    """The points behind the chart: area, value per area and tier of each listing."""
+    return _tiered(spark, sf).select("codigo", "data_coleta", "area_util", rounded("valor_m2").alias("valor_m2"), "cluster_nome")
+
+
+def sanity_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, sum, mean and median of the price of each file."""
+    return valued(spark, sf).groupBy("mes_ref").agg(F.count(F.lit(1)).alias("n"), rounded(F.sum("preco"), 2, 1e-5).alias("soma"), rounded(F.avg("preco")).alias("media"), rounded(F.percentile("preco", 0.5)).alias("mediana"))
+
+
+def dedupe_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    """The first row of each (price, area, bedrooms, district, type): what counts where an export has no codes."""
+    rows = quality.first_per_key(valued(spark, sf), ["preco", "area_util", "quartos", "bairro", "tipo"], ("codigo", *TIE))
+    return rows.groupBy("bairro", "tipo").agg(F.count(F.lit(1)).alias("n"), F.min("codigo").alias("codigo"))
+
+
 def dedupe_first(spark: SparkSession, sf: str) -> DataFrame:
     """The first row of each order, before any filter."""
     df = valued(spark, sf).withColumn("codigo", F.substring_index("codigo", "-", 1))
@@ -182,7 +206,7 @@ ROOMS_APARTMENT_SQL = "CASE WHEN quartos < 0 THEN NULL WHEN quartos <= 1 THEN '1
 ROOMS_HOUSE_SQL = "CASE WHEN quartos < 0 THEN NULL WHEN quartos <= 4 THEN 'Até 4' ELSE '5 ou mais' END"
 _RIGHT = f"concat_ws('|', CASE WHEN area_util > 1 THEN {APARTMENT_SQL.format(c='(area_util - 1) * 5')} END, {HOUSE_SQL.format(c='(area_util - 1) * 25')}, {ROOMS_APARTMENT_SQL}, {ROOMS_HOUSE_SQL})"
 
-QUERIES = {f.__name__: f for f in (metrics_geral, metrics_long, iqr_filter, iqr_by_parking, iqr_no_guard, summary_stats, summary_by_rooms_parking, month_trend, daily_trend, mom_change, boxplot_stats, window_3m, unit_scale, fixed_centres_assign, cluster_pivot, pick3, bands_left_closed, bands_right_closed, bands_zero_fill, kmeans_tiers, dedupe_first, dedupe_last, distinct_on)}
+QUERIES = {f.__name__: f for f in (metrics_geral, metrics_long, iqr_filter, iqr_by_parking, iqr_no_guard, summary_stats, summary_by_rooms_parking, month_trend, daily_trend, mom_change, boxplot_stats, window_3m, unit_scale, fixed_centres_assign, cluster_pivot, pick3, bands_left_closed, bands_right_closed, bands_zero_fill, kmeans_tiers, luxury_tiers, scatter_points, sanity_totals, dedupe_fallback, dedupe_first, dedupe_last, distinct_on)}
 _W, _L = f"WITH {CLEANED}", f"WITH {LISTING}"
 _TIES = "l_partkey, l_suppkey, preco, area_util, l_tax, l_discount, data_coleta"
 _TIES_DOWN = "l_partkey DESC, l_suppkey DESC, preco DESC, area_util DESC, l_tax DESC, l_discount DESC, data_coleta DESC"
@@ -206,6 +230,9 @@ ORACLE_SQL = {
     "bands_left_closed": f"{_L} SELECT {_LEFT.format(c='area_util * 25')} AS faixa, count(*) AS n, round(avg(preco), 4) AS media FROM valued GROUP BY 1",
     "bands_right_closed": f"{_L} SELECT {_RIGHT} AS faixa, count(*) AS n, round(avg(preco), 4) AS media FROM valued GROUP BY 1",
     "bands_zero_fill": f"{_L}, b AS (SELECT vaga_cat, preco, {APARTMENT_SQL.format(c='area_util')} AS faixa FROM valued), a AS (SELECT vaga_cat, faixa, count(*) AS n, round(avg(preco), 4) AS media FROM b GROUP BY ALL) SELECT g.vaga_cat, l.faixa, coalesce(a.n, 0) AS n, a.media FROM (SELECT DISTINCT vaga_cat FROM b) g CROSS JOIN (VALUES ('<50'), ('50-75'), ('75-90'), ('90-130'), ('130-160'), ('160-200'), ('>200')) l(faixa) LEFT JOIN a ON a.vaga_cat = g.vaga_cat AND a.faixa = l.faixa",
+    "scatter_points": f"{_W}{_TIERED} SELECT codigo, data_coleta, area_util, round(valor_m2, 4) AS valor_m2, cluster_nome FROM tiered",
+    "sanity_totals": f"{_L} SELECT mes_ref, count(*) AS n, floor((sum(preco) + 1e-5) * 100 + 0.5) / 100 AS soma, round(avg(preco), 4) AS media, round(quantile_cont(preco, 0.5), 4) AS mediana FROM valued GROUP BY mes_ref",
+    "dedupe_fallback": f"{_L}, o AS (SELECT bairro, tipo, min(codigo) AS codigo FROM valued GROUP BY preco, area_util, quartos, bairro, tipo) SELECT bairro, tipo, count(*) AS n, min(codigo) AS codigo FROM o GROUP BY ALL",
     "dedupe_first": f"{_L} SELECT split_part(codigo, '-', 1) AS codigo, preco, area_util, data_coleta FROM valued QUALIFY row_number() OVER (PARTITION BY split_part(codigo, '-', 1) ORDER BY {_TIES}) = 1",
     "dedupe_last": f"{_L} SELECT split_part(codigo, '-', 1) AS codigo, preco, area_util, data_coleta FROM valued QUALIFY row_number() OVER (PARTITION BY split_part(codigo, '-', 1), mes_ref ORDER BY {_TIES_DOWN}) = 1",
     "distinct_on": f"{_L} SELECT codigo, data_coleta, preco, area_util FROM valued WHERE preco BETWEEN 2000 AND 100000 QUALIFY row_number() OVER (PARTITION BY codigo, data_coleta ORDER BY {_TIES}) = 1",

@@ -115,6 +115,12 @@ def registry_totals(spark: SparkSession, sf: str) -> DataFrame:
     return registry.totals(*_consolidated(spark, sf))
 
 
+def registry_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The report's table of the licences of one registry alone: those with most listings first, then by licence."""
+    only = _consolidated(spark, sf)[2].filter("origem = 'A'").select("creci", "anunciante_a", "anuncios_a")
+    return registry.shown(only, [("anuncios_a", True), ("creci", False)])
+
+
 def _study_sql(where: str, value: str, keys: list[tuple[str, str, str]], zero: list[str], pattern: str = "", extra: str = "", drop: str = "") -> str:
     """``keys``: prefix, value and what stands for a missing one; ``zero``: names that are listed in any case."""
     parts = " UNION ALL ".join(f"SELECT '{p}' || coalesce({c}, '{m}') AS nome, vaga, round(1e-7 + avg(valor), 4) AS valor, count(*) AS amostra FROM kept GROUP BY 1, 2" for p, c, m in keys)
@@ -170,7 +176,7 @@ _REGISTRY = """WITH a0 AS (
   FROM a FULL JOIN b ON a.creci = b.creci
 )"""
 
-QUERIES = {f.__name__: f for f in (study_apt, study_apt_legacy, study_house, study_house_strict, study_tiers, study_pattern, rank_vgv, rank_vgc, rank_managers, rank_sections, manager_vgv_dim, manager_detail, manager_vgc_dim, broker_contracts, registry_compare, registry_invalid, registry_totals)}
+QUERIES = {f.__name__: f for f in (study_apt, study_apt_legacy, study_house, study_house_strict, study_tiers, study_pattern, rank_vgv, rank_vgc, rank_managers, rank_sections, manager_vgv_dim, manager_detail, manager_vgc_dim, broker_contracts, registry_compare, registry_invalid, registry_totals, registry_report)}
 ORACLE_SQL = {
     "study_apt": _study_sql("cidade = 'AMERICA' AND oferta IN ('VENDA', 'PUBLICADO')", "valor_m2", [*_APARTMENT_KEYS, _POSTCODE], _ZERO_APARTMENT),
     "study_apt_legacy": _study_sql("cidade = 'EUROPE'", "valor_m2", _LEGACY_KEYS, _ZERO_APARTMENT, drop=" WHERE nome NOT IN ('Bairro <NA>', 'Quadra <NA>')"),
@@ -187,5 +193,6 @@ ORACLE_SQL = {
     "broker_contracts": f"{_ROLES} SELECT nome AS corretor, CAST(sum(vgv) AS DOUBLE) AS vgv, round(3e-6 + sum(vgc), 2) AS vgc, count_if(vgc > 0) AS n_contratos, min(contrato) FILTER (vgc > 0) AS primeiro, max(contrato) FILTER (vgc > 0) AS ultimo FROM roles WHERE lista = 'GERAL' GROUP BY nome",
     "registry_compare": f"{_REGISTRY} SELECT * FROM f",
     "registry_invalid": f"{_REGISTRY} SELECT anunciante, count(DISTINCT codigo) AS anuncios, count(*) AS linhas FROM a0 WHERE length(creci) < 4 GROUP BY anunciante",
+    "registry_report": f"{_REGISTRY}, o AS (SELECT creci, anunciante_a, anuncios_a, row_number() OVER (ORDER BY anuncios_a DESC, creci) AS linha FROM f WHERE origem = 'A') SELECT linha, creci, anunciante_a, CAST(anuncios_a AS VARCHAR) AS anuncios_a FROM o WHERE linha <= 40 UNION ALL SELECT 41, '... total de ' || count(*) || ' registros. Exibindo apenas os primeiros 40.', '', '' FROM o HAVING count(*) > 40",
     "registry_totals": f"{_REGISTRY} SELECT 'linhas_a' AS medida, count(*) AS total FROM a0 UNION ALL SELECT 'validas_a', coalesce(count_if(length(creci) >= 4), 0) FROM a0 UNION ALL SELECT 'invalidas_a', coalesce(count_if(length(creci) < 4), 0) FROM a0 UNION ALL SELECT 'linhas_b', count(*) FROM b0 UNION ALL SELECT 'validas_b', coalesce(count_if(length(creci) >= 4), 0) FROM b0 UNION ALL SELECT 'invalidas_b', coalesce(count_if(length(creci) < 4), 0) FROM b0 UNION ALL SELECT 'creci_a', coalesce(count_if(origem = 'A'), 0) FROM f UNION ALL SELECT 'creci_b', coalesce(count_if(origem = 'B'), 0) FROM f UNION ALL SELECT 'creci_ambos', coalesce(count_if(origem = 'AMBOS'), 0) FROM f",
 }

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tessela.functions import numbers, text
 from tessela.functions.dates import parsed, shown
+from tessela.operators import captures as captures_of
 from tessela.operators import stock
 from tessela.plans.views import LISTING, captures, exit_feed, listing, table
+from tessela.sources import tables
 
 
 def exits_new(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,13 +49,14 @@ def focus_flags(spark: SparkSession, sf: str) -> DataFrame:
     districts = table(spark, sf, "nation").filter("n_nationkey % 3 = 0").select(F.col("n_name").alias("bairro"))
     df = stock.with_focus_districts(listing(spark, sf), districts, "bairro").withColumn("comissao", F.col("l_tax") * 100)
     home = stock.is_home(F.concat(F.lit("T"), F.col("l_suppkey") % 12))
-    return df.withColumn("foco", stock.focus(df, districts, "bairro", "preco", "comissao", home, 50_000)).groupBy("bairro", "foco").agg(F.count(F.lit(1)).alias("n"))
+    return df.withColumn("foco", stock.focus("preco", "comissao", home, 50_000)).groupBy("bairro", "foco").agg(F.count(F.lit(1)).alias("n"))
 
 
 def codes_missing(spark: SparkSession, sf: str) -> DataFrame:
-    """Customer codes that no order has."""
-    codes = table(spark, sf, "customer").select(F.col("c_custkey").alias("codigo"))
-    return codes.join(table(spark, sf, "orders").select(F.col("o_custkey").alias("codigo")), "codigo", "left_anti")
+    """Customer codes and as many beyond, with those that no order has."""
+    codes = table(spark, sf, "customer").select(F.explode(F.array("c_custkey", -1 - F.col("c_custkey"))).alias("codigo"))
+    found, missing = stock.in_table(codes, table(spark, sf, "orders").select(F.col("o_custkey").alias("codigo")), "codigo")
+    return found.withColumn("achado", F.lit(True)).unionByName(missing.withColumn("achado", F.lit(False)))
 
 
 def availability_flag(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,6 +65,81 @@ def availability_flag(spark: SparkSession, sf: str) -> DataFrame:
     return stock.found_and_missing(codes, there, "codigo")
 
 
+def _capture_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as a capture export: texts in the export's spelling, several rows of a code, blank dates and names."""
+    k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    df = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return df.select(
+        k.alias("ordem"),
+        F.when(k % 13 > 0, (F.col("o_custkey") % 900).cast("string")).otherwise("sem código").alias("Codigo"),
+        F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("  novo "), F.lower("n_name"))).otherwise(F.col("n_name")).alias("Bairro"),
+        F.concat(F.lit("R$ "), numbers.money(F.col("o_totalprice"))).alias("Valor"),
+        F.col("o_orderpriority").alias("Tipo"),
+        (k % 7).cast("string").alias("ComissaoVenda"),
+        F.when(k % 3 > 0, F.date_format(day, "dd/MM/yyyy HH:mm")).alias("DataCadastro"),
+        F.when(k % 2 > 0, F.date_format(F.date_add(day, 1), "yyyy-MM-dd")).otherwise("").alias("DataHoraUltimaAlteracao"),
+        F.lit(None).cast("string").alias("DataHoraUltimaSituacao"),
+        F.concat(F.lit("Broker "), k % 40, F.when(k % 4 > 0, F.concat(F.lit(" | broker "), k % 7)).otherwise("")).alias("Captadores"),
+        F.when(k % 5 > 0, " venda ").otherwise("Aluguel").alias("Finalidade"),
+    )
+
+
+def _captured(spark: SparkSession, sf: str) -> captures_of.Dimensions:
+    nations, suppliers, parts = (table(spark, sf, t) for t in ("nation", "supplier", "part"))
+    orders = table(spark, sf, "orders")
+    dims = captures_of.Dimensions(
+        bairros=nations.filter("n_nationkey < 20").select(F.concat(F.lit("B"), F.col("n_nationkey") + 1).alias("IdBairro"), F.col("n_name").alias("Nome"), F.col("n_nationkey").alias("ordem")),
+        tipos=orders.filter("o_orderpriority < '5'").select(F.concat(F.lit("T"), F.substring("o_orderpriority", 1, 1).cast("int") + 5).alias("IdTipo"), F.lower("o_orderpriority").alias("Nome"), F.lit(0).alias("ordem")).distinct(),
+        corretores=suppliers.filter("s_suppkey < 30").select(F.concat(F.lit("C"), "s_suppkey").alias("IdCorretor"), F.concat(F.lit("BROKER "), "s_suppkey").alias("Nome"), F.concat(F.lit("G"), "s_nationkey").alias("IdGerente"), F.col("s_suppkey").alias("ordem")),
+        imoveis=parts.select(F.col("p_partkey").cast("int").alias("Codigo"), F.lit("T1").alias("Tipo"), F.col("p_retailprice").alias("Valor"), F.lit("B1").alias("Bairro"), F.lit(False).alias("FocoPP"), F.lit(False).alias("FocoAC")),
+        fatos=orders.filter("o_orderkey % 11 = 0").select((F.col("o_custkey") % 900).cast("int").alias("Codigo"), F.concat(F.lit("C"), F.col("o_orderkey") % 40).alias("Captador1"), F.lit("").alias("Captador2"), F.lit("").alias("Captador3"), F.lit("").alias("Gerente"), F.to_date("o_orderdate").alias("DataEntrada")),
+    )
+    focus = [captures_of.Focus(districts, least) for districts, least in ((("NATION_1", "NATION_2", "NATION_4"), 50_000), (("NATION_5", "NOVO NATION_6"), 90_000))]
+    rows = captures_of.wanted_rows(_capture_rows(spark, sf), purpose="Venda")
+    codes = table(spark, sf, "events").select((F.col("user_id") * 3).cast("int").alias("codigo"))
+    return captures_of.captured(rows, dims, "ordem", "2001-01-01", *focus, codes=codes)
+
+
+def capture_listings(spark: SparkSession, sf: str) -> DataFrame:
+    """The listing dimension after a capture export, by district name."""
+    done = _captured(spark, sf)
+    return done.imoveis.join(done.bairros.select(F.col("IdBairro").alias("Bairro"), text.fold(F.col("Nome")).alias("NomeBairro")), "Bairro", "left").drop("Bairro")
+
+
+def capture_facts(spark: SparkSession, sf: str) -> DataFrame:
+    return _captured(spark, sf).fatos
+
+
+def _stock_export(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("p_partkey")
+    return table(spark, sf, "part").select(
+        F.when(k % 10 > 0, F.concat(F.lit(" "), k)).otherwise(" nan").alias("Código"),
+        F.concat(F.replace("p_name", F.lit(" "), F.lit(" | ")), F.when(k % 2 == 0, F.concat(F.lit("|"), "p_brand")).otherwise("")).alias("Captadores"),
+        F.col("p_type").alias("Categoria"),
+        F.col("p_size").alias("Quartos"),
+        F.col("p_retailprice").alias("Preço"),
+        F.col("p_brand").alias("Endereço"),
+        F.when(k % 3 == 0, k.cast("string")).alias("Numero"),
+        F.when(k % 4 == 0, "s/n").when(k % 4 == 1, "A").alias("Bloco"),
+    )
+
+
+def stock_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    return captures_of.snapshot(_stock_export(spark, sf), "1998-01-01")
+
+
+def stock_standard(spark: SparkSession, sf: str) -> DataFrame:
+    return captures_of.standard(_stock_export(spark, sf))
+
+
+def html_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as pages with two tables each; the larger one comes back cell by cell."""
+    cell = lambda c: F.concat(F.lit("<td class=x> "), c, F.lit("</td>"))
+    body = F.concat(F.lit("<html><table><tr><td>menu</td></tr></table><TABLE><tr><th>nome</th><th>saldo</th></tr><tr>"), cell(F.concat(F.lit("<b>"), "c_name", F.lit("</b>"))), cell(F.col("c_acctbal").cast("decimal(18,2)").cast("string")), F.lit("</tr></TABLE></html>"))
+    rows = tables.html_rows(table(spark, sf, "customer").select("c_custkey", body.alias("html")), "c_custkey")
+    return rows.select("c_custkey", F.col("line").cast("int").alias("line"), F.array_join("cells", "|").alias("cells"))
+
+
 def lookup_names(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers with their district's id by name; every fifth is spelled in lower case, every seventh is unknown."""
     dim = table(spark, sf, "nation").select(F.concat(F.lit("B"), "n_nationkey").alias("id"), F.col("n_name").alias("nome"), F.col("n_nationkey").alias("ordem"))
@@ -112,8 +190,19 @@ _FOLD = "trim(regexp_replace(translate(upper({c}), 'ÁÀÂÃÄÉÈÊËÍÌÎÏÓ
 _LEFT = "event_type <> 'view'"
 _LATEST = "SELECT codigo, arg_max(o_orderkey, k) AS o_orderkey, arg_max(captador1, k) AS captador1 FROM (SELECT *, (coalesce(data, DATE '0001-01-01'), o_orderkey) AS k FROM c) GROUP BY codigo"
 _CAPTURES = "c AS (SELECT o_orderkey, o_custkey % 150 AS codigo, o_orderpriority AS captador1, CASE WHEN o_orderkey % 11 > 0 THEN CAST(o_orderdate AS DATE) END AS data FROM orders)"
-
-QUERIES = {f.__name__: f for f in (exits_new, capture_latest, capture_append, dim_upsert, surrogate_keys, focus_flags, codes_missing, availability_flag, lookup_names, norm_text, parse_numbers, parse_dates, address_compose, brokers_split)}
+_CAPTURED = """e AS (
+  SELECT o_orderkey AS k, (o_custkey % 900)::INTEGER AS codigo, CASE WHEN n_nationkey % 3 = 0 THEN 'NOVO ' || n_name ELSE n_name END AS bairro,
+         round(o_totalprice, 2) AS valor, o_orderpriority AS p, o_orderdate AS d
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+  WHERE o_orderkey % 13 > 0 AND o_orderkey % 5 > 0 AND (o_custkey % 900) IN (SELECT user_id * 3 FROM events)
+), r AS (
+  SELECT *, CASE WHEN p < '5' THEN 'T' || (CAST(p[1] AS INTEGER) + 5) ELSE '' END AS tipo, p >= '5' OR CAST(p[1] AS INTEGER) < 2 AS casa, k % 40 AS b1,
+         CASE WHEN k % 4 > 0 THEN k % 7 END AS b2,
+         CASE WHEN k % 3 > 0 THEN CAST(d AS DATE) WHEN k % 2 > 0 THEN CAST(d AS DATE) + 1 ELSE DATE '2001-01-01' END AS dia
+  FROM e QUALIFY row_number() OVER (PARTITION BY codigo ORDER BY k DESC) = 1
+)"""
+
+QUERIES = {f.__name__: f for f in (exits_new, capture_latest, capture_append, dim_upsert, surrogate_keys, focus_flags, codes_missing, availability_flag, capture_listings, capture_facts, stock_snapshot, stock_standard, html_rows, lookup_names, norm_text, parse_numbers, parse_dates, address_compose, brokers_split)}
 ORACLE_SQL = {
     "exits_new": f"WITH {_CAPTURES}, l AS ({_LATEST}), e AS (SELECT event_id, user_id AS codigo, CAST(ts AS DATE) AS d, event_type AS motivo FROM events WHERE {_LEFT}), f AS (SELECT DISTINCT codigo, d FROM e WHERE codigo % 2 = 0 AND day(d) < 15) SELECT event_id, e.codigo, strftime(e.d, '%d/%m/%Y') AS data, motivo, coalesce(l.captador1, '') AS captador1 FROM e ANTI JOIN f ON e.codigo = f.codigo AND e.d = f.d LEFT JOIN l ON l.codigo = e.codigo",
     "capture_latest": f"WITH {_CAPTURES} {_LATEST}",
@@ -121,7 +210,12 @@ ORACLE_SQL = {
     "dim_upsert": "WITH p AS (SELECT p_partkey AS codigo, p_type AS tipo, p_retailprice AS valor FROM part), s AS (SELECT codigo + 100 AS codigo, tipo, valor * 2 AS valor FROM p WHERE codigo % 4 = 0) SELECT * FROM p WHERE codigo NOT IN (SELECT codigo FROM s) UNION ALL SELECT * FROM s",
     "surrogate_keys": "SELECT 'B' || (n_nationkey + 1) AS id, n_name AS nome FROM nation UNION ALL SELECT 'B' || ((SELECT count(*) FROM nation) + row_number() OVER (ORDER BY min(p_partkey))), p_brand FROM part GROUP BY p_brand",
     "focus_flags": f"WITH {LISTING} SELECT bairro, coalesce(n_nationkey % 3 = 0 AND preco >= 50000 AND l_tax * 100 >= 3.5 AND l_suppkey % 12 NOT IN (7, 8, 9, 10, 11), false) AS foco, count(*) AS n FROM listing JOIN nation ON bairro = n_name GROUP BY ALL",
-    "codes_missing": "SELECT c_custkey AS codigo FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "codes_missing": "WITH c AS (SELECT c_custkey AS codigo FROM customer UNION SELECT -1 - c_custkey FROM customer) SELECT codigo, codigo IN (SELECT o_custkey FROM orders) AS achado FROM c",
+    "capture_listings": f"WITH {_CAPTURED} SELECT p_partkey::INTEGER AS Codigo, 'T1' AS Tipo, p_retailprice AS Valor, false AS FocoPP, false AS FocoAC, 'NATION_0' AS NomeBairro FROM part WHERE p_partkey NOT IN (SELECT codigo FROM r) UNION ALL SELECT codigo, tipo, valor, coalesce(bairro IN ('NATION_1', 'NATION_2', 'NATION_4') AND valor >= 50000 AND k % 7 >= 3.5 AND casa, false), coalesce(bairro IN ('NATION_5', 'NOVO NATION_6') AND valor >= 90000 AND k % 7 >= 3.5 AND casa, false), bairro FROM r",
+    "capture_facts": f"WITH {_CAPTURED}, c AS (SELECT * FROM supplier WHERE s_suppkey < 30), n AS (SELECT codigo AS Codigo, CASE WHEN x.s_suppkey IS NOT NULL THEN 'C' || b1 ELSE 'Broker ' || b1 END AS Captador1, CASE WHEN b2 IS NULL THEN '' WHEN y.s_suppkey IS NOT NULL THEN 'C' || b2 ELSE 'broker ' || b2 END AS Captador2, '' AS Captador3, coalesce('G' || x.s_nationkey, '') AS Gerente, dia AS DataEntrada FROM r LEFT JOIN c x ON x.s_suppkey = b1 LEFT JOIN c y ON y.s_suppkey = b2), f AS (SELECT (o_custkey % 900)::INTEGER AS Codigo, 'C' || (o_orderkey % 40) AS Captador1, '' AS Captador2, '' AS Captador3, '' AS Gerente, CAST(o_orderdate AS DATE) AS DataEntrada FROM orders WHERE o_orderkey % 11 = 0) SELECT * FROM f UNION ALL SELECT * FROM n ANTI JOIN f ON n.Codigo = f.Codigo AND n.DataEntrada = f.DataEntrada AND n.Captador1 = f.Captador1",
+    "stock_snapshot": "SELECT CAST(p_partkey AS VARCHAR) AS Codigo, split_part(p_name, ' ', 1) AS Captador1, split_part(p_name, ' ', 2) AS Captador2, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE '' END AS Captador3, '' AS Gerente, DATE '1998-01-01' AS DataEstoque FROM part WHERE p_partkey % 10 > 0",
+    "stock_standard": "SELECT CASE WHEN p_partkey % 10 > 0 THEN ' ' || p_partkey ELSE ' nan' END AS Codigo, replace(p_name, ' ', ' | ') || CASE WHEN p_partkey % 2 = 0 THEN '|' || p_brand ELSE '' END AS Captadores, p_type AS Tipo, p_size AS NumeroQuarto, p_retailprice AS Valor, concat_ws(' ', p_brand, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_partkey AS VARCHAR) END, CASE WHEN p_partkey % 4 = 1 THEN 'Bloco A' END) AS Endereco, 'N/D' AS Bairro, 'N/D' AS PublicacaoNaInternet, 'N/D' AS Exclusivo, 'N/D' AS AreaLote, 'N/D' AS AreaInterna FROM part",
+    "html_rows": "SELECT c_custkey, 0 AS line, 'nome|saldo' AS cells FROM customer UNION ALL SELECT c_custkey, 1, c_name || '|' || CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) FROM customer",
     "availability_flag": "SELECT user_id AS codigo, CASE WHEN bool_or(event_type = 'purchase' AND value > 90) THEN 'SIM' ELSE 'NAO' END AS disponivel FROM events GROUP BY user_id",
     "lookup_names": "SELECT s_suppkey, CASE WHEN s_suppkey % 7 = 0 THEN 'Não há' WHEN s_suppkey % 5 = 0 THEN '  ' || lower(n_name) ELSE n_name END AS bairro, CASE WHEN s_suppkey % 7 = 0 THEN 'Não há' ELSE 'B' || n_nationkey END AS id_bairro FROM supplier JOIN nation ON s_nationkey = n_nationkey",
     "norm_text": f"SELECT doc_id, md5({_FOLD.format(c="replace(coalesce(text, ''), 'ß', 'ss')")}) AS digest FROM documents",

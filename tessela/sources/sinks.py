@@ -7,10 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tessela.operators.stock import upsert
+from tessela.sources.schema import locked
 
 #: The key of the monthly metrics, and their table.
 METRIC_KEY = ("bairro", "tipo", "oferta", "mes_alvo", "janela_inicio", "janela_fim", "mes_ref", "segmento", "vaga_cat", "cluster_nome", "quartos", "metragem_fx", "quadra")
-METRIC_SCHEMA = "bairro string, tipo string, oferta string, mes_alvo string, janela_inicio date, janela_fim date, mes_ref string, segmento string, vaga_cat string, cluster_nome string, quartos int, metragem_fx string, quadra string, amostra long, m2_medio double, m2_mediana double, preco_medio double, area_media double, gerado_em timestamp"
+METRIC_SCHEMA = "bairro string, tipo string, oferta string, mes_alvo string, janela_inicio date, janela_fim date, mes_ref string, segmento string, vaga_cat string, cluster_nome string, quartos int, metragem_fx string, quadra string, amostra long, m2_medio double, m2_mediana double, preco_mediana double, area_mediana double, gerado_em timestamp"
 
 
 def to_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
@@ -18,10 +19,15 @@ def to_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") ->
 
 
 def append_limited(df: DataFrame, path: str, order: str, limit: int = 50_000) -> None:
-    """Appends the first rows, at most ``limit``."""
+    """Appends the first rows, at most ``limit``. Each file has the header, which readers take off file by file."""
     df.orderBy(order).limit(limit).write.mode("append").option("header", True).csv(path)
 
 
+def append_results(df: DataFrame, path: str, schema: dict[str, str]) -> None:
+    """Appends a study's rows in a target's columns; null texts are empty, null numbers 0."""
+    locked(df, schema).write.mode("append").parquet(path)
+
+
 def flags(df: DataFrame, path: str) -> None:
     """Codes with SIM or NAO, and both lists."""
     to_csv(df, f"{path}/todos", ";")
@@ -33,7 +39,7 @@ def current(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A table of versions: what the newest one holds, or nothing."""
     versions = f"{path}/_versions"
     try:
-        last = spark.read.schema("seq long, folder string").json(versions).orderBy("seq", ascending=False).first()
+        last = spark.read.schema("seq long, folder string").json(versions).orderBy("seq", "folder", ascending=False).first()
     except Exception as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
@@ -47,7 +53,7 @@ def replace(df: DataFrame, path: str) -> None:
     df.write.parquet(f"{path}/{folder}")
     spark = df.sparkSession
     try:
-        seq = spark.read.schema("seq long, folder string").json(f"{path}/_versions").count()
+        seq = 1 + (spark.read.schema("seq long, folder string").json(f"{path}/_versions").agg({"seq": "max"}).first()[0] or 0)
     except Exception as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
