@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -33,13 +33,21 @@ def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 
 
 def sampled(df: DataFrame, key: str, rows: int, *also: str) -> DataFrame:
-    """At most ``rows`` of the rows (for each value of ``also``): of each of as many hash buckets of ``key`` the least.
+    """Of the rows (for each value of ``also``) all, if there are at most ``rows``, else at most ``rows`` with the least hashes of ``key``.
 
-    Sums up before the shuffle, so neither the driver nor a task meets more than one row for each bucket and task.
+    Groups are counted, then cut at the hash below which about as many lie; what is left is small and cut exactly.
     """
-    h = F.xxhash64(key)
-    best = F.min_by(F.struct(*df.columns), F.struct(h, F.col(key)))
-    return df.groupBy(F.pmod(h, F.lit(rows)).alias("__bucket"), *also).agg(best.alias("__best")).select("__best.*")
+    h = F.shiftrightunsigned(F.xxhash64(key), 11) / F.lit(float(1 << 53))
+    counts = df.groupBy(*also).agg(F.count(F.lit(1)).alias("__n")).collect()
+    share = [(r[:-1], 1.0 if r["__n"] <= rows else (rows + 4 * rows**0.5) / r["__n"]) for r in counts]
+    below = F.lit(False)
+    for values, part in share:
+        here = F.lit(True)
+        for c, v in zip(also, values, strict=True):
+            here = here & F.col(c).eqNullSafe(F.lit(v))
+        below = below | (here & (h < part))
+    place = F.row_number().over(Window.partitionBy(*also).orderBy(h, key))
+    return df.filter(below).withColumn("__place", place).filter(F.col("__place") <= rows).drop("__place")
 
 
 def texts_of(docs: DataFrame, ids: DataFrame, chars: int) -> list[str]:

@@ -1,25 +1,31 @@
 r"""Toxicity of documents: misspelled terms by Levenshtein automata on a lexicon trie, weighed by their context.
 
-The lexicon is learned: words, and stems that begin words, that labelled toxic documents hold far more often than
-others. Its trie is intersected with the Levenshtein automaton of distance 1 (terms of ``FUZZY_LENGTH`` bytes or
-more; stems and shorter terms only match as they are); the product is determinised once on the driver and is a
-small table, so every word of a piece of text takes its steps together in numpy.
-
-A hit counts by its context: ``CONTEXT`` words to both sides are searched for quotation marks around it and for
-words of reporting. A quoted hit has a quarter of the weight. A logistic model over a document's hits (exact,
-fuzzy and stem evidence, per document and per word) gives the score.
-
-Labels come from at most ``TRAIN_ROWS`` labelled documents (one for each bucket of a hash of doc_id), none of them
-with crc32(doc_id) mod 3 = 1, which are held out. Score and lexicon see the text alone. Edits are counted in UTF-8
-bytes; A-Z is lower-cased, words are runs of letters.
-
-Defined results: null and empty texts have no hits and get the score of such documents; a doc_id with several
-labels is toxic if one is 1; rows with equal doc_id are scored one by one; a null doc_id is not held out and never
-trains; with no label all scores are 0; other columns pass through; an empty table gives an empty table.
+The lexicon is learned: words, and stems that begin words, that labelled toxic documents hold more often than others
+by odds of at least ``MIN_ODDS``, ``SURE`` standard errors below the estimate. Its trie is intersected with the
+Levenshtein automaton of distance 1 (terms of ``FUZZY_LENGTH`` bytes or more; stems and shorter terms only match as
+they are); the product is determinised once on the driver and is a small table, so every word of a piece of text takes
+its steps together in numpy.
+
+A hit counts by its context: ``CONTEXT`` words to both sides. It is quoted if the last mark before it opens a
+quotation and the first one after it closes one (apostrophes within words are no marks), or if a word of reporting
+stands before it. A quoted hit has a tenth of the weight. A logistic model over a document's hits (exact, fuzzy and
+stem evidence, per document and per word) gives the score.
+
+Labels come from at most ``TRAIN_ROWS`` labelled documents (those with the least hashes of doc_id), none of them with
+crc32(doc_id) mod 3 = 1, which are held out. Score and lexicon see the text alone. Edits are counted in UTF-8 bytes;
+A-Z is lower-cased, words are runs of letters, between blanks and marks of ASCII and the usual typographic ones. Text
+without blanks between words (as Chinese is written) is one word, whose beginning a stem may match.
+
+Defined results: null and empty texts have no hits and get the score of such documents; texts of any length are
+scanned whole; a doc_id with several labels is toxic if one is 1, one with several texts trains by the greatest of
+them; rows with equal doc_id are scored one by one; a null doc_id is not held out and never trains; terms of equal
+evidence are taken in the order of their letters; with no label all scores are 0; other columns pass through,
+whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,19 +40,23 @@ from tessela.llm.shared import sampled, written
 from tessela.llm.tokens import LOWER, Piece, pieces
 
 TRAIN_ROWS = 8000
-MAX_TERMS = 120
-MIN_ODDS = 1.5
+MIN_ODDS = 1.0
+SURE = 2.5
+MIN_SUPPORT = 3
+SHORTEST = 3
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 FUZZY_LENGTH = 5
 CONTEXT = 6
-QUOTED_WEIGHT = 0.25
-LONGEST = 40
+QUOTED_WEIGHT = 0.1
 THRESHOLD = 0.7
 
-#: All bytes but letters, marks that open or close a quotation, words that report speech.
+#: All bytes but letters, and words that report speech.
 NOT_LETTERS = bytes([*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
-QUOTES = ('"', "“", "”", "„", "«", "»", "‘", "’")
 REPORTING = ("said", "says", "wrote", "called", "quote", "quoted", "according", "sagte", "schrieb", "dit", "écrit", "dijo", "escribió")
+#: Typographic marks with what stands for them in the scan: marks that open (1) and close (2) a quotation,
+#: those that do either (as the ASCII ones), and blanks.
+TYPOGRAPHIC = {"\x01": " ", "\x02": " ", "«": "\x01", "„": "\x01", "‚": "\x01", "»": "\x02", "”": "\x02", "“": '"', "‘": "'", "’": "'", "…": " ", "–": " ", "—": " ", "‐": " ", "‑": " ", "·": " ", "•": " ", "¡": " ", "¿": " ", "\xa0": " ", "\u2009": " ", "\u202f": " ", "\u3000": " ", "\u200b": " ", "、": " ", "。": " ", "，": " ", "！": " ", "？": " "}
+_REPORTED = re.compile(r"[^\W\d_]+")
 
 EXACT, FUZZY, STEM = 0, 1, 2
 
@@ -63,20 +73,19 @@ class Automaton:
     def hits(self, piece: Piece) -> tuple[np.ndarray, np.ndarray]:
         """(word, term * 3 + kind) of the words that match."""
         length = piece.end - piece.start
-        word = np.flatnonzero(length <= LONGEST) if not self.stops.any() else np.arange(len(length))
+        word = np.arange(len(length))
         state = np.ones(len(word), dtype=np.int32)
         kind = self.classes[piece.data]
-        words, ends = [], []
-        for step in range(LONGEST):
+        words, ends, step = [word[:0]], [self.ends[:0]], 0
+        while len(word):
             state = self.table[state, kind[piece.start[word] + step]]
-            done = (step + 1 == length[word]) | self.stops[state]
+            step += 1
+            done = (step == length[word]) | self.stops[state]
             good = done & (self.ends[state] >= 0)
             words.append(word[good])
             ends.append(self.ends[state[good]])
-            on = (state > 0) & ~done
+            on = (state > 0) & ~done  # all words but those of the trie's length end in the dead state
             word, state = word[on], state[on]
-            if not len(word):
-                break
         return np.concatenate(words), np.concatenate(ends)
 
 
@@ -143,15 +152,33 @@ def compile_lexicon(terms: list[tuple[str, bool]]) -> Automaton:
     return Automaton(classes, np.asarray(table, dtype=np.int32), ends, stops)
 
 
+def _marks(text: str) -> list[bool]:
+    """Of each mark of quotation: does it open? Marks between letters are apostrophes."""
+    out = []
+    for i, c in enumerate(text):
+        if c in "\x01\x02":
+            out.append(c == "\x01")
+        elif c in "\"'":
+            left, right = text[i - 1] if i else " ", text[i + 1] if i + 1 < len(text) else " "
+            if not left.isalnum() and right.isalnum():
+                out.append(True)
+            elif not right.isalnum() and not left.isspace():
+                out.append(False)
+    return out
+
+
 def _quoted(piece: Piece, word: int, row: int) -> bool:
     """Does the window around a word mark it as a quotation?"""
     first, last = piece.word_at[row], piece.word_at[row + 1] - 1
     a, b = max(first, word - CONTEXT), min(last, word + CONTEXT)
-    before = piece.data[piece.start[a] : piece.start[word]].tobytes().decode(errors="replace")
-    after = piece.data[piece.end[word] : piece.end[b]].tobytes().decode(errors="replace")
-    if any(q in before for q in QUOTES) and any(q in after for q in QUOTES):
+    left = piece.start[a] if a > first else piece.text_at[row]
+    right = piece.end[b] if b < last else piece.text_at[row + 1]
+    before = piece.data[left : piece.start[word]].tobytes().decode(errors="replace")
+    after = piece.data[piece.end[word] : right].tobytes().decode(errors="replace")
+    opened, closed = _marks(before + "x"), _marks("x" + after)
+    if opened and opened[-1] and closed and not closed[0]:
         return True
-    return any(w in REPORTING for w in before.lower().split())
+    return any(w in REPORTING for w in _REPORTED.findall(before.lower()))
 
 
 def _evidence(batches: Iterator[pa.RecordBatch], machine: Automaton) -> Iterator[tuple[pa.RecordBatch, Piece, np.ndarray, np.ndarray, np.ndarray]]:
@@ -198,11 +225,17 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int
     return beta
 
 
+def plain(text: Column) -> Column:
+    """A text as it is scanned: typographic marks as ASCII ones."""
+    return F.translate(text.cast("string"), "".join(TYPOGRAPHIC), "".join(TYPOGRAPHIC.values()))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(doc_id, y, text) of at most ``rows`` labelled documents that are not held out; the ids are few, so they are sent to the texts."""
-    ids = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max("toxic").alias("y"))
+    """(doc_id, y, text) of at most ``rows`` labelled documents that are not held out, a row for each doc_id; the ids are few, so they are sent to the texts."""
+    ids = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max("toxic").cast("long").alias("y"))
     ids = sampled(ids, "__id", rows)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("__id")).select("doc_id", "y", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain(F.col("text")).alias("text"))
+    return texts.join(F.broadcast(ids), F.col("doc_id") == F.col("__id")).groupBy("doc_id", "y").agg(F.max("text").alias("text"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -215,14 +248,15 @@ def lexicon(train: DataFrame) -> list[tuple[str, bool]]:
     pos, neg = counts["p"] or 0, counts["n"] or 0
     if not pos:
         return []
-    least = max(3, pos // 50)
-    found = F.array_distinct(F.filter(F.split(lower_ascii(F.col("text")), r"[^A-Za-z\x{80}-\x{10FFFF}]+"), lambda w: (F.length(w) >= 4) & (F.length(w) <= LONGEST)))
+    found = F.array_distinct(F.filter(F.split(lower_ascii(F.col("text")), r"[^A-Za-z\x{80}-\x{10FFFF}]+"), lambda w: F.length(w) >= SHORTEST))
     stems = F.flatten(F.transform("w", lambda w: F.array_compact(F.array(*[F.when(F.length(w) > k, F.substring(w, 1, k)) for k in STEM_LENGTHS]))))
     each = train.select("y", found.alias("w")).select("y", "w", F.array_distinct(stems).alias("s"))
     marks = each.select("y", F.explode("w").alias("term"), F.lit(False).alias("stem")).unionByName(each.select("y", F.explode("s").alias("term"), F.lit(True).alias("stem")))
-    table = marks.groupBy("term", "stem").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).filter(F.col("p") >= least)
+    table = marks.groupBy("term", "stem").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).filter(F.col("p") >= MIN_SUPPORT)
     odds = F.log((F.col("p") + 0.5) / (pos + 1)) - F.log((F.col("n") + 0.5) / (neg + 1))
-    best = table.withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS).orderBy((F.col("odds") * F.sqrt("p")).desc(), F.length("term"), "term", "stem").limit(MAX_TERMS).collect()
+    table = table.withColumn("odds", odds - SURE * F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("n") + 0.5))).filter(F.col("odds") >= MIN_ODDS)
+    # what passes comes from a bounded sample, so the list is bounded too
+    best = table.orderBy(F.col("odds").desc(), F.length("term"), "term", "stem").collect()
     words = [r for r in best if not r["stem"]]
     out: list[tuple[str, bool]] = []
     for r in best:
@@ -272,21 +306,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 
 
 def scores(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``__toxicity``."""
+    """``docs`` with ``__toxicity``; a column of that name gives way."""
+    docs = docs.drop("__toxicity")
     if model is None:
         return docs.withColumn("__toxicity", F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = StructType([*docs.schema.fields, StructField("__toxicity", DoubleType())])
-    columns = docs.columns
-    order = [*[c for c in columns if c != "text"], "text"]
+    # columns go by place, so their names can't clash with what is added
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    schema = StructType([*(StructField(c, f.dataType) for c, f in zip(own, docs.schema.fields, strict=True)), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, piece, row, end, weight in _evidence(batches, shared.value.machine):
             part = batch.slice(piece.first_row, piece.rows)
             score = pa.array(shared.value.score(shared.value.features(piece, row, end, weight)))
-            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in columns] + [score], names=[*columns, "__toxicity"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], score], names=[*own, "score"])
 
-    return docs.withColumn("text", F.col("text").cast("string")).select(*order).mapInArrow(run, schema)
+    return docs.select("*", plain(F.col("text")).alias("__plain")).toDF(*own, "scanned").mapInArrow(run, schema).toDF(*docs.columns, "__toxicity")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
