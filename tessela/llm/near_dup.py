@@ -9,9 +9,10 @@ their own; down to depth ``WIDE`` nodes choose two, below 4 / 3 on the average,
 Nodes of at most ``SMALL`` documents are compared exhaustively. In a larger one the documents are compared with a few
 pivots first, which leaves few components in a group of copies. If the largest component then holds one in ``DENSE``
 of the node, branching would not tell its surroundings apart: what is not in it is compared with all of it, in
-blocks (``_grid``), and the node goes on without it. Other nodes branch as they are. A node whose documents are all
-in one component ends. What is still large at ``DEPTH`` is compared within itself in blocks as well. Blocks give at
-most one link for each document and component, so hot groups make no rows that grow with pairs.
+blocks (``_grid``), and the node goes on without it. What a node has left is compared within itself if it is at most
+``MEDIUM`` documents (in blocks too, those whose sketch is like another's), and branches otherwise. A node whose documents are all in one component ends. What
+is still large at ``DEPTH`` is compared within itself whatever its size. Blocks give at most one link for each
+document and component, so hot groups make no rows that grow with pairs.
 
 In small nodes and for pivots a sketch passes pairs on: the hash range is cut into ``BINS`` bins, and a set keeps two
 bits of its least hash in each. In a bin where two sets differ lies a shingle that only one of them has. Sets of up to
@@ -48,9 +49,10 @@ BINS = 256
 TREES = 6
 #: Positions that the roots branch by; the deeper nodes choose among the others.
 ROOTS = TREES * 2
-WIDE = 3
+WIDE = 1
 DEPTH = 10
 SMALL = 32
+MEDIUM = 512
 PIVOTS = 4
 DENSE = 4
 #: Sets of more shingles are passed on by estimate.
@@ -163,14 +165,14 @@ def _children(rows: DataFrame, depth: int) -> DataFrame:
     Nodes near the root choose two positions; deeper ones choose a second one in a third of all cases, so that the
     branches shared by two sets of the threshold's similarity neither grow nor die out, and those of others die out.
     """
-    position = lambda k: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(TOKENS - ROOTS)).cast("int")
+    position = lambda k: (F.lit(ROOTS) + F.pmod(F.xxhash64("node", F.lit(k)), F.lit(TOKENS - ROOTS))).cast("int")
     child = lambda k: F.xxhash64(F.col("node"), F.lit(k), F.get("sig", position(k)))
     both = F.lit(True) if depth < WIDE else F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(3)) == 0
     go = F.when(both, F.array(child(0), child(1))).otherwise(F.array(child(0)))
     return rows.withColumn("node", F.explode(go))
 
 
-_ROW = ("node", "rep", "n", "sig", "packed", "comp")
+_ROW = ("node", "rep", "n", "comp")
 
 
 def _measured(rows: DataFrame) -> DataFrame:
@@ -198,12 +200,21 @@ class _Links:
         return pairs
 
     def add(self, found: DataFrame) -> None:
-        """Takes confirmed links."""
+        """Takes confirmed links. Later ones are first brought to the components they lie in, so only what is new is worked out."""
         found = written(found)
         if self.comps is None:
             self.comps = components(found)
-        elif not found.isEmpty():
-            self.comps = components(found.unionByName(self.comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+            return
+        of = lambda c: self.comps.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+        edges = found.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("of_u", "u").alias("u"), F.coalesce("of_v", "v").alias("v"))
+        edges = written(edges.filter("u <> v").distinct())
+        if edges.isEmpty():
+            return
+        joined = components(edges)
+        moved = joined.select(F.col("node").alias("__n"), F.col("component").alias("__to"))
+        old = self.comps.join(moved, F.col("component") == F.col("__n"), "left").select("node", F.coalesce("__to", "component").alias("component"))
+        new = joined.join(self.comps.select("node"), "node", "left_anti")
+        self.comps = written(old.unionByName(new.select("node", "component")))
 
     def now(self, rows: DataFrame) -> DataFrame:
         """Rows with their component as it is by now."""
@@ -216,42 +227,60 @@ class _Links:
 
 
 def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, component) over all vertices that have a link. ``sets`` has (rep, n, sig, packed)."""
+    """(node, component) over all vertices that have a link. ``sets`` has (rep, n, sig, packed).
+
+    Rows of the trees are slim; tokens and sketches join them where they are looked at.
+    """
     # the roots branch by positions of their own, so that no two trees begin alike
     roots = F.array(*[F.xxhash64(F.lit(j), F.get("sig", F.lit(j))) for j in range(ROOTS)])
-    slim = sets.select("rep", F.explode(roots).alias("node"))
+    slim = sets.select("rep", "n", F.col("rep").alias("comp"), F.explode(roots).alias("node"))
     shared = slim.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("top")).filter("size > 1")
-    deeper = sets.withColumn("sig", F.slice("sig", ROOTS + 1, TOKENS - ROOTS)).withColumn("comp", F.col("rep"))
-    rows = written(slim.join(shared, "node").join(deeper, "rep").select(*_ROW, "top", "size"))
+    rows = written(slim.join(shared, "node").select(*_ROW, "top", "size"))
+    sketches = sets.select("rep", "packed")
     state = _Links(docs, sets)
     for depth in range(DEPTH + 1):
         small, large = rows.filter(F.col("size") <= SMALL), rows.filter(F.col("size") > SMALL)
-        pairs = state.untried(_exhaustive(small).unionByName(_pivots(large)))
+        pairs = state.untried(_exhaustive(small.join(sketches, "rep")).unionByName(_pivots(large.join(sketches, "rep"))))
         if depth == 0:
             state.need(pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).unionByName(large.select(F.col("rep").alias("id"))))
         state.add(confirmed(pairs, state.texts))
         if large.isEmpty():
             break
-        after = written(_measured(written(state.now(large))))
-        dense = F.col("held") * DENSE >= F.col("size")
-        apart = after.filter(dense & (F.col("comp") != F.col("top")))
-        # a dense node's largest component is done with: all others are compared with the whole of it
-        asked = written(apart.select(F.col("top").alias("group"), F.col("rep").alias("id"), "comp", "n").distinct())
-        members = state.comps.select(F.col("component").alias("group"), F.col("node").alias("id"), F.col("component").alias("comp"))
-        members = members.join(asked.select("group").distinct(), "group", "left_semi").join(sets.select(F.col("rep").alias("id"), "n"), "id")
-        state.compare(members, asked)
-        rest = written(_measured(written(state.now(apart.unionByName(after.filter(~dense))))))
-        large = rest.filter(F.col("size") > SMALL)
-        if depth == DEPTH:
-            every = large.select(F.col("node").alias("group"), F.col("rep").alias("id"), "comp", "n")
-            state.compare(every, every)
-            large = large.limit(0)
-        rows = written(rest.filter(F.col("size") <= SMALL).select(*_ROW, "top", "size").unionByName(_measured(_children(large, depth).select(*_ROW)).select(*_ROW, "top", "size")))
+        after = written(_measured(written(state.now(large))).withColumn("dense", F.col("held") * DENSE >= F.col("size")))
+        outside = F.col("comp") != F.col("top")
+        # what is outside of a dense node's largest component meets the whole of that
+        asked = written(after.filter(F.col("dense") & outside).select(F.col("top").alias("of"), F.col("rep").alias("id"), "comp", "n").distinct())
+        members = state.comps.select(F.col("component").alias("of"), F.col("node").alias("id"), F.col("component").alias("comp"))
+        members = members.join(asked.select("of").distinct(), "of", "left_semi").join(sets.select(F.col("rep").alias("id"), "n"), "id")
+        whole = lambda df: df.select(F.xxhash64(F.lit("component"), "of").alias("group"), "id", "comp", "n")
+        # and each other, as do all in other nodes, unless there are many: these go on to children
+        left = after.filter(~F.col("dense") | outside).withColumn("left", F.col("size") - F.when(F.col("dense"), F.col("held")).otherwise(0))
+        within = left.filter(F.col("left") <= MEDIUM).join(sketches, "rep").select(*_ROW, "packed")
+        within = within.groupBy("node").applyInArrow(_near_another, "node long, rep long, n long, comp long")
         if depth == DEPTH:
-            state.add(confirmed(state.untried(_exhaustive(rows)), state.texts))
+            within = within.unionByName(left.filter(F.col("left") > MEDIUM).select(*_ROW))
+        within = written(within).select(F.col("node").alias("group"), F.col("rep").alias("id"), "comp", "n")
+        state.compare(whole(members).unionByName(within), whole(asked).unionByName(within))
+        further = left.filter(F.col("left") > MEDIUM)
+        if depth == DEPTH or further.isEmpty():
+            break
+        rows = written(_children(state.now(further).join(sets.select("rep", "sig"), "rep"), depth).select(*_ROW))
+        rows = written(_measured(rows).select(*_ROW, "top", "size"))
     return state.comps
 
 
+def _near_another(rows: pa.Table) -> pa.Table:
+    """Of the rows of a node, at most ``MEDIUM``, those whose sketch is like that of one in another component; as ``_alike`` has it."""
+    n, comp = rows.column("n").to_numpy(), rows.column("comp").to_numpy()
+    sketch = rows.column("packed").combine_chunks().flatten().to_numpy().view(_U).reshape(len(rows), -1)
+    bins = lambda x: np.bitwise_count((x | (x >> _U(1))) & _U(0x5555555555555555)).sum(axis=-1, dtype=np.int64)
+    differ, used = bins(sketch[:, None] ^ sketch[None, :]), bins(sketch[:, None] | sketch[None, :])
+    least, most = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
+    able = np.where(most <= SURE, differ * (100 + PERCENT) <= (least + most) * (100 - PERCENT), (used - differ) >= ESTIMATE * used)
+    near = able & (least * 100 >= most * PERCENT) & (comp[:, None] != comp[None, :])
+    return rows.filter(pa.array(near.any(axis=1))).select(["node", "rep", "n", "comp"])
+
+
 def _exhaustive(rows: DataFrame) -> DataFrame:
     """The pairs of small nodes that lie in different components: what is not in a node's largest one, with all."""
     rows = rows.select("node", "rep", "n", "packed", "comp", "top")
