@@ -1,23 +1,25 @@
 r"""License texts in documents, by an exact set-similarity join with license templates.
 
-A template is a set of words. Blocks of a document are what stands between line ends and sentence ends and, for each
-template, every run of ``SPAN`` times as many words as its text has, whatever line and sentence ends lie in it (so
-wrapped templates and those of several sentences are met). A block matches a template if it holds at least
-``THRESHOLD`` of the template's words. The join is exact:
+A template is a set of words with the share of them that a match must hold: ``THRESHOLD`` for whole texts and notices,
+all for short sentences. A document's blocks are, for each template, all runs of ``SPAN`` times as many words as its
+text has, whatever line and sentence ends lie in them. Every block that holds the share is found:
 
 - words are ordered by how often all documents hold them, the rarest first (one pass over the corpus);
-- prefix filter: a template of n words that must share a of them meets a match in its n - a + 1 rarest words;
-- length filter: a block of fewer than a distinct words can't match;
-- positional filter: if the rarest shared word is the i-th of a template, at most n - i of its words are shared.
+- prefix filter: a template of n words that must share a of them meets a match in its n - a + 1 rarest words, so only
+  places of these are looked at;
+- length filter: around a place there must be at least a words of the template;
+- positional filter: at the place of the i-th word only words from the i-th on count, as a block with a rarer one is
+  met at that one's place; at least a of them must be near.
 
-Blocks that pass are compared in full; runs are looked at only around the words of a prefix. Templates are few and
-come as a parameter; they go to the tasks.
+What passes is compared in full by a window that slides over the places of the template's words. Templates come as a
+table of at most ``MAX_TEMPLATES`` rows (more raise) and go to the tasks.
 
-Beside this, base phrases are counted wherever their words stand side by side. ``labels`` and ``score`` are by the
-phrases and the blocks within line and sentence ends, ``all_labels`` and ``all_score`` by the runs as well.
+Beside this, base phrases are counted wherever their words stand side by side.
 
-Defined results: null and empty texts have no words and no label; words are runs of ASCII letters, digits and
-non-ASCII characters, A-Z lower-cased; repeated rows are scanned one by one; an empty table gives an empty table.
+Defined results: null and empty texts have no words and no label; texts may be of any length; words are runs of ASCII
+letters, digits and non-ASCII characters, A-Z lower-cased; words equally frequent are ordered by their letters; a
+template without words matches nothing; repeated rows are scanned one by one; other columns, whatever their names,
+are not looked at; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -25,39 +27,27 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessela.llm.license_texts import SENTENCES, TEXTS
 from tessela.llm.tokens import NOT_ALNUM, Piece, pieces
 
-THRESHOLD = 0.95
-#: Words of a run over those of the template's text: room for some that are put in between.
+THRESHOLD = 0.8
+#: Words of a block over those of the template's text: room for some that are put in between.
 SPAN = 1.25
+MAX_TEMPLATES = 10_000
 
 #: The base phrases with their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
-#: Sentences by which public licenses are declared.
-TEMPLATES = (
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("bsd", "Released under the BSD License"),
-    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0"),
-    ("cc0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
-    ("gpl-2.0", "This work is licensed under the GNU General Public License, version 2"),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
-    ("lgpl", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
-    ("mit", "Released under the MIT License"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("reserved", "Copyright. All rights reserved"),
-)
+#: (label, text, share of words that must be held).
+TEMPLATES = (*((label, text, THRESHOLD) for label, text in TEXTS), *((label, text, 1.0) for label, text in SENTENCES))
+
+Templates = tuple[tuple[str, str, float], ...]
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -106,68 +96,60 @@ def frequencies(docs: DataFrame, vocabulary: Vocabulary) -> dict[str, int]:
     return {vocabulary.words[r["word"]]: r["n"] for r in rows}
 
 
+@dataclass
+class Template:
+    """``rank`` is a word's place among the template's, the rarest first, by the vocabulary's numbers; -1 for others."""
+
+    label: str
+    words: int
+    need: int
+    span: int
+    rank: np.ndarray
+
+
 class Matcher:
-    def __init__(self, templates: tuple[tuple[str, str], ...], phrases: tuple[tuple[str, str], ...], frequency: dict[str, int], threshold: float = THRESHOLD) -> None:
-        spans = [math.ceil(SPAN * len(words_of(text)) - 1e-9) for _, text in templates]
-        sets = [(label, sorted(set(words_of(text)), key=lambda w: (frequency.get(w, 0), w))) for label, text in templates]
+    def __init__(self, templates: Templates, phrases: tuple[tuple[str, str], ...], frequency: dict[str, int]) -> None:
+        split = [(label, words_of(text), share) for label, text, share in templates]
+        split = [x for x in split if x[1]]
         self.phrases = [(words_of(text), label) for text, label in phrases]
-        self.vocabulary = Vocabulary([w for _, t in sets for w in t] + [w for p, _ in self.phrases for w in p])
+        self.vocabulary = Vocabulary([w for _, t, _ in split for w in t] + [w for p, _ in self.phrases for w in p])
         number = {w: i for i, w in enumerate(self.vocabulary.words)}
         self.phrases = [([number[w] for w in p], label) for p, label in self.phrases]
-        self.templates, self.prefixes = [], {}
-        for label, words in sets:
-            need = math.ceil(threshold * len(words) - 1e-9)
-            for i, w in enumerate(words[: len(words) - need + 1]):
-                self.prefixes.setdefault(number[w], []).append((len(self.templates), i))
-            self.templates.append((label, frozenset(number[w] for w in words), need))
-        # by template: the words of a run, and which words of the vocabulary it holds and has in its prefix
-        self.runs = []
-        for t, (span, (_, words, _)) in enumerate(zip(spans, self.templates, strict=True)):
-            held, first = np.zeros(len(self.vocabulary.words), dtype=bool), np.zeros(len(self.vocabulary.words), dtype=bool)
-            held[list(words)] = True
-            first[[w for w, of in self.prefixes.items() if any(x == t for x, _ in of)]] = True
-            self.runs.append((span, held, first))
-
-    def matches(self, block: set[int], size: int) -> dict[int, float]:
-        """Template and containment, of the templates that a block meets. ``size``: of all its distinct words."""
-        least: dict[int, int] = {}
-        for w in block:
-            for t, i in self.prefixes.get(w, ()):
-                least[t] = min(i, least.get(t, i))
-        out = {}
-        for t, i in least.items():
-            _, words, need = self.templates[t]
-            if size >= need and len(words) - i >= need and (both := len(words & block)) >= need:
-                out[t] = both / len(words)
-        return out
+        self.templates = []
+        for label, text, share in split:
+            rank = np.full(len(number), -1, dtype=np.int32)
+            for i, w in enumerate(sorted(set(text), key=lambda w: (frequency.get(w, 0), w))):
+                rank[number[w]] = i
+            n = len(set(text))
+            self.templates.append(Template(label, n, max(1, math.ceil(share * n - 1e-9)), math.ceil(SPAN * len(text) - 1e-9), rank))
+        #: Places looked at, and left after each filter, to see what they prune.
+        self.passed = {"words": 0, "prefix": 0, "length": 0, "positional": 0}
 
     def passages(self, at: np.ndarray, word: np.ndarray, word_at: np.ndarray) -> dict[tuple[int, int], float]:
-        """Text and template, and the largest containment in a run of words, of those that meet. ``at`` ascends."""
+        """Text and template, and the largest containment in a block, of those that meet. ``at`` ascends."""
         out: dict[tuple[int, int], float] = {}
-        for t, ((_, words, need), (span, held, first)) in enumerate(zip(self.templates, self.runs, strict=True)):
-            mine = held[word]
-            place, number = at[mine], word[mine]
-            hit = place[first[number]]
-            row = np.searchsorted(word_at, hit, side="right") - 1
-            low = np.searchsorted(place, np.maximum(hit - span + 1, word_at[row]), side="left")
-            high = np.searchsorted(place, np.minimum(hit + span, word_at[row + 1]), side="left")
-            enough = (high - low >= need) & (need > 0)
-            for i, a, b in zip(row[enough].tolist(), low[enough].tolist(), high[enough].tolist(), strict=True):
+        for t, template in enumerate(self.templates):
+            rank = template.rank[word]
+            place, rank = at[rank >= 0], rank[rank >= 0]
+            hit = np.flatnonzero(rank <= template.words - template.need)
+            row = np.searchsorted(word_at, place[hit], side="right") - 1
+            low = np.searchsorted(place, np.maximum(place[hit] - template.span + 1, word_at[row]), side="left")
+            high = np.searchsorted(place, np.minimum(place[hit] + template.span, word_at[row + 1]), side="left")
+            enough = np.flatnonzero(high - low >= template.need)
+            self.passed["words"] += len(place)
+            self.passed["prefix"] += len(hit)
+            self.passed["length"] += len(enough)
+            for k in enough.tolist():
+                i, first = int(row[k]), int(rank[hit[k]])
                 if out.get((i, t)) == 1.0:
                     continue
-                count: dict[int, int] = {}
-                best, left, places, numbers = 0, 0, place[a:b].tolist(), number[a:b].tolist()
-                for p, w in zip(places, numbers, strict=True):
-                    count[w] = count.get(w, 0) + 1
-                    while p - places[left] >= span:
-                        gone = numbers[left]
-                        left += 1
-                        count[gone] -= 1
-                        if not count[gone]:
-                            del count[gone]
-                    best = max(best, len(count))
-                if best >= need:
-                    out[i, t] = max(best / len(words), out.get((i, t), 0.0))
+                own = low[k] + np.flatnonzero(rank[low[k] : high[k]] >= first)
+                if len(own) < template.need:
+                    continue
+                self.passed["positional"] += 1
+                best = _most(place[own].tolist(), rank[own].tolist(), template.span)
+                if best >= template.need:
+                    out[i, t] = max(best / template.words, out.get((i, t), 0.0))
         return out
 
     def scan(self, piece: Piece, ids: pa.Array) -> pa.RecordBatch:
@@ -177,8 +159,6 @@ class Matcher:
         row = np.searchsorted(piece.word_at, at, side="right") - 1
         n_base, first, last = np.zeros(n, np.int64), np.full(n, -1, np.int64), np.full(n, -1, np.int64)
         base: list[set[str]] = [set() for _ in range(n)]
-        labels: list[set[str]] = [set() for _ in range(n)]
-        score = np.zeros(n)
         number = np.full(len(piece.start) + 8, -1, dtype=np.int32)
         number[at] = word
         for phrase, label in self.phrases:
@@ -194,50 +174,44 @@ class Matcher:
                 base[i].add(label)
                 first[i] = p if first[i] < 0 else min(first[i], p)
                 last[i] = max(last[i], p)
-        # blocks: what ends lines and sentences lies between words
-        data = piece.data
-        ends = data == 10
-        if len(data):
-            stop = (data == 46) | (data == 33) | (data == 63)
-            stop[:-1] &= (data[1:] == 32) | (data[1:] == 10)
-            ends = ends | stop
-        block = np.cumsum(ends)
-        keyed = np.isin(word, list(self.prefixes))
-        if keyed.any():
-            of = block[piece.start] + row_offset(piece)
-            chosen = np.unique(of[at[keyed]])
-            mine = np.isin(of[at], chosen)
-            groups: dict[int, set[int]] = {}
-            for b, w in zip(of[at[mine]].tolist(), word[mine].tolist(), strict=True):
-                groups.setdefault(b, set()).add(w)
-            lows, highs = np.searchsorted(of, chosen, side="left"), np.searchsorted(of, chosen, side="right")
-            hashes = piece.hashes()
-            for b, low, high in zip(chosen.tolist(), lows.tolist(), highs.tolist(), strict=True):
-                met = self.matches(groups[b], len(np.unique(hashes[low:high])))
-                i = int(np.searchsorted(piece.word_at, low, side="right") - 1)
-                for t, share in met.items():
-                    labels[i].add(self.templates[t][0])
-                    score[i] = max(score[i], share)
         none = first < 0
-        joined = lambda sets: pa.array([",".join(sorted(x)) for x in sets], type=pa.string())
-        both = [a | b for a, b in zip(base, labels, strict=True)]
-        score = np.maximum(score, (n_base > 0) * 1.0)
-        every, top = [set(x) for x in both], score.copy()
+        every, score = [set(x) for x in base], (n_base > 0) * 1.0
         for (i, t), share in self.passages(at, word, piece.word_at).items():
-            every[i].add(self.templates[t][0])
-            top[i] = max(top[i], share)
-        names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "all_labels", "all_score"]
-        return pa.RecordBatch.from_arrays([ids, pa.array(count.astype(np.int64)), pa.array(n_base), pa.array(first, mask=none), pa.array(last, mask=none), joined(base), joined(both), pa.array(score), joined(every), pa.array(top)], names=names)
-
-
-def row_offset(piece: Piece) -> np.ndarray:
-    """For each word its text's number, spread so that blocks of two texts never have one name."""
-    return np.repeat(np.arange(piece.rows), np.diff(piece.word_at))
-
-
-def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, phrases: tuple[tuple[str, str], ...] = PHRASES) -> DataFrame:
-    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, all_labels, all_score) of each document."""
-    words = Vocabulary([w for _, t in templates for w in words_of(t)])
+            every[i].add(self.templates[t].label)
+            score[i] = max(score[i], share)
+        joined = lambda sets: pa.array([",".join(sorted(x)) for x in sets], type=pa.string())
+        names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+        return pa.RecordBatch.from_arrays([ids, pa.array(count.astype(np.int64)), pa.array(n_base), pa.array(first, mask=none), pa.array(last, mask=none), joined(base), joined(every), pa.array(score)], names=names)
+
+
+def _most(places: list[int], words: list[int], span: int) -> int:
+    """The most different words within ``span`` places."""
+    count: dict[int, int] = {}
+    best = left = 0
+    for p, w in zip(places, words, strict=True):
+        count[w] = count.get(w, 0) + 1
+        while p - places[left] >= span:
+            gone = words[left]
+            left += 1
+            count[gone] -= 1
+            if not count[gone]:
+                del count[gone]
+        best = max(best, len(count))
+    return best
+
+
+def template_rows(table: DataFrame) -> Templates:
+    """A table (label, text, share) as templates; rows without label, text or share are left out."""
+    rows = table.select("label", "text", F.col("share").cast("double").alias("share")).dropna().limit(MAX_TEMPLATES + 1).collect()
+    if len(rows) > MAX_TEMPLATES:
+        raise ValueError(f"more than {MAX_TEMPLATES} templates")
+    return tuple(sorted((r["label"], r["text"], r["share"]) for r in rows))
+
+
+def scan(docs: DataFrame, templates: Templates | DataFrame = TEMPLATES, phrases: tuple[tuple[str, str], ...] = PHRASES) -> DataFrame:
+    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of each document."""
+    templates = template_rows(templates) if isinstance(templates, DataFrame) else templates
+    words = Vocabulary([w for _, t, _ in templates for w in words_of(t)])
     matcher = docs.sparkSession.sparkContext.broadcast(Matcher(templates, phrases, frequencies(docs, words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,11 +219,10 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, ph
             for piece in pieces(batch.column(1), NOT_ALNUM):
                 yield matcher.value.scan(piece, batch.column(0).slice(piece.first_row, piece.rows))
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, all_labels string, all_score double")
+    texts = docs.select(F.col("doc_id").try_cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's license labels, by blocks of every kind."""
-    found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select(*found.columns[:6], F.col("all_labels").alias("labels"), F.col("all_score").alias("score"))
+    """Each document's license labels."""
+    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
