@@ -1,18 +1,24 @@
 r"""Secrets in documents: base patterns, and a linear-chain conditional random field over tokens.
 
 Tokens are runs of letters, digits and ``+/_.-``. The field tags them B (begins a secret), I (goes on) or O by
-features of a token (shape: length, share of digits, mix of cases, hexadecimal, known beginnings), its neighbours
-(the words before, what stands between) and its file (how many tokens have digits). Weights are learned in numpy
-on the driver, by gradients of the exact log-likelihood (forward-backward), from at most ``TRAIN_DOCS`` documents
-(one for each bucket of a hash of doc_id, at most half of them with a hint of a secret) whose labels are the base spans, and from
-written-out examples of further kinds.
+features of a token (shape: length, share of digits, mix of cases, changes of class, hexadecimal, known beginnings),
+its neighbours (the words before, what stands between) and its file (how many tokens have digits). Weights are learned
+in numpy on the driver, by gradients of the exact log-likelihood (forward-backward), from
+
+- crops of at most ``TRAIN_DOCS`` documents (those with the least hashes of doc_id, at most half of them with a hint of
+  a secret), at most ``CROPS`` a document, chosen by a hash of their place over the whole text; labels are the base spans;
+- ``EXAMPLES`` written-out texts with kinds that the base patterns don't know: tokens of services, bearer headers,
+  passwords given in prose or in addresses, keys in upper-case hexadecimal or base64, beside numbers, addresses, names,
+  paths and words that are none.
 
 Decoding is Viterbi over whole texts. Where O leads by more than any change of transitions could win, the best
 path is O in any case; such tokens cut the chain, and only what lies between is decoded step by step: the result
 is that of the full chain. A tagged run that overlaps no base span is added as a span of kind ``model``.
 
-Defined results: null and empty texts have no span; spans count code points; repeated rows are scanned one by one;
-a null doc_id is kept; if no document trains the field, the examples do; an empty table gives an empty table.
+Defined results: null and empty texts have no span; texts of any length are scanned whole, in time and memory in
+proportion to it; spans count code points, at one start the base kinds come first; repeated rows are scanned one by
+one; a null doc_id is kept; if no document trains the field, the examples do; other columns, whatever their names,
+are not looked at; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -25,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessela.llm.shared import sampled, texts_of
+from tessela.llm.shared import sampled, written
 from tessela.llm.spans import Span, apart_from, places, rows_of, span_batches, span_schema
 from tessela.llm.tokens import LOWER, Piece, char_at, mix64, pieces
 
 TRAIN_DOCS = 600
-#: Code points of a training document that are looked at; scans are not bounded.
-TRAIN_CHARS = 20_000
+CROPS = 4
 CROP = 24
+EXAMPLES = 700
 BUCKETS = 1 << 14
 STEPS = 80
 SEED = 5
@@ -43,14 +49,16 @@ KINDS = (*BASE, "model")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-#: How tokens of well-known services begin, and names that secrets are assigned to.
+#: How tokens of well-known services begin.
 BEGINNINGS = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "xoxb", "xoxp", "eyJh", "sk_l", "sk-p", "AIza", "glpa", "npm_", "pypi")
-NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key", "passphrase", "credential", "bearer", "authorization", "private_key")
+#: Names that secrets are assigned to, and words of prose.
+NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key", "passphrase", "credential", "bearer", "authorization", "private_key", "pwd", "senha", "contraseña", "passwort", "key", "pin")
+PROSE = "the of and to in is that for it as was with be by on not he his but at der die und das ist nicht mit auf le la les des et en que el los las por una con para un est pas sur".split()
 
 _TOKEN = bytes(sorted(set(range(256)) - set(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.-") - set(range(0x80, 0x100))))
 _CLASS = {name: np.array([chr(b) in chars for b in range(256)]) for name, chars in (("digit", "0123456789"), ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("lower", "abcdefghijklmnopqrstuvwxyz"), ("hex", "0123456789abcdef"), ("gap", ":="), ("quote", "\"'"), ("at", "@"))}
-#: Sizes of the features' tables: length, digits, cases, hex, beginning, gap, file, and three of hashed words.
-_SIZES = (12, 5, 8, 4, len(BEGINNINGS) + 1, 16, 4, BUCKETS, BUCKETS, BUCKETS)
+#: Sizes of the features' tables: length, digits, cases, hex, beginning, gap, file, changes of class, and three of hashed words.
+_SIZES = (12, 5, 8, 4, len(BEGINNINGS) + 1, 16, 4, 8, BUCKETS, BUCKETS, BUCKETS)
 _AT = np.r_[0, np.cumsum(_SIZES)]
 
 
@@ -94,6 +102,11 @@ def features(piece: Piece) -> np.ndarray:
     begins = np.zeros(n, dtype=np.int64)
     for k, text in enumerate(BEGINNINGS):
         begins[first_bytes == int.from_bytes(text.encode(), "big")] = k + 1
+    # how often letters, digits and cases change within a token
+    group = _CLASS["digit"][piece.data] + 2 * _CLASS["upper"][piece.data] + 4 * _CLASS["lower"][piece.data]
+    turns = np.zeros(len(piece.data) + 1, dtype=np.int32)
+    np.cumsum(np.r_[False, group[1:] != group[:-1]], out=turns[1:])
+    changes = turns[end] - turns[start + 1]
     h = (piece.hashes() >> np.uint64(50)).astype(np.int64)
     back = np.r_[0, h[:-1]]
     back[first] = 1
@@ -110,6 +123,7 @@ def features(piece: Piece) -> np.ndarray:
         begins,
         gap["at"] * 8 + gap["gap"] * 4 + gap["quote"] * 2 + (start - before > 3),
         np.digitize(digits, (0.01, 0.05, 0.2))[row],
+        np.digitize(changes / size, (1e-9, 0.08, 0.15, 0.25, 0.35, 0.45, 0.6)),
         back,
         back2,
         ahead,
@@ -183,71 +197,128 @@ class Field:
         return tags
 
 
-def _labelled(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Crops of tokens around secrets, and one without from each text."""
+def _tagged(piece: Piece, i: int, spans: list[tuple[int, int]]) -> np.ndarray:
+    """The tags of a text's tokens by spans in code points."""
+    a, b = piece.word_at[i], piece.word_at[i + 1]
+    data = piece.data[piece.text_at[i] : piece.text_at[i + 1]]
+    lo, hi = (char_at(data, x[a:b] - piece.text_at[i]) for x in (piece.start, piece.end))
+    y = np.full(b - a, 2)
+    for s, t in spans:
+        inside = np.flatnonzero((lo >= s) & (hi <= t))
+        y[inside] = 1
+        y[inside[:1]] = 0
+    return y
+
+
+def _values(text: str) -> list[tuple[int, int]]:
+    """The base spans, of assignments what is assigned."""
+    own = [m.span(2) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+    return own + [(s, t) for kind, s, t in base_spans(text) if kind != "assign"]
+
+
+def _crops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(features, tags) of crops of tokens, of each text around some of its secrets and around some other tokens."""
+    for batch in batches:
+        for piece in pieces(batch.column(0), _TOKEN):
+            f, out = features(piece), []
+            for i in range(piece.rows):
+                a, b = piece.word_at[i], piece.word_at[i + 1]
+                y = _tagged(piece, i, _values(piece.data[piece.text_at[i] : piece.text_at[i + 1]].tobytes().decode()))
+                order = np.argsort(mix64(np.arange(len(y), dtype=np.uint64) + np.uint64(SEED)), kind="stable")
+                own = order[y[order] == 0][: CROPS // 2]
+                for k in [*own.tolist(), *order[: CROPS - len(own)].tolist()]:
+                    c = slice(max(0, k - CROP), k + CROP)
+                    out.append((f[a:b][c].ravel(), y[c]))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], type=pa.list_(pa.int64())), pa.array([y for _, y in out], type=pa.list_(pa.int64()))], names=["f", "y"])
+
+
+def examples(n: int = EXAMPLES, seed: int = SEED, beginnings: tuple[str, ...] = BEGINNINGS) -> list[tuple[str, list[tuple[int, int]]]]:
+    """Texts with secrets of kinds that base patterns don't know, and with what only looks like some; spans in code points."""
+    rng = np.random.default_rng(seed)
+    letters, upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "0123456789ABCDEF"
+    num = lambda a, b: int(rng.integers(a, b))
+    pick = lambda of: of[num(0, len(of))]
+    some = lambda of, a, b: "".join(of[k] for k in rng.integers(len(of), size=num(a, b)))
+    made = lambda: some("abcdefghilmnoprstu", 3, 13)
+
+    def mixed(low: int, high: int) -> str:
+        """Random characters with a digit and both cases at least."""
+        at = num(3, low - 2)
+        body = some(letters, low, high)
+        return body[:at] + some("0123456789", 1, 2) + some("abcdefgh", 1, 2) + some("KLMNPQ", 1, 2) + body[at:]
+
+    def secret(k: int) -> tuple[str, str]:
+        """What stands before a secret, and the secret."""
+        return (
+            ("", beginnings[k % len(beginnings)] + mixed(18, 40)),
+            (pick(("Authorization: Bearer ", "authorization bearer ", "Bearer ")), mixed(24, 60)),
+            (f"{pick(NAMES)} is ", mixed(8, 20)),
+            (f"{pick(('pwd', 'pin', 'key', 'credential', 'passphrase', 'senha', 'passwort'))}{pick((': ', '=', ' = ', '=\"'))}", mixed(8, 24)),
+            (f"{pick(('postgres', 'mysql', 'amqp', 'https'))}://{made()}:", mixed(8, 24)),
+            (pick(("", "key ", "sha ")), some(upper, 32, 65)),
+            (pick(("private_key ", "", "BEGIN ")), mixed(40, 80) + "/" + mixed(10, 30)),
+        )[k % 7]
+
+    def other(k: int) -> str:
+        return (
+            f"{made()}.{num(1, 99)}@mail{num(1, 9)}.{made()}.com",
+            ".".join(str(num(0, 256)) for _ in range(4)),
+            f"+{num(1, 99)} ({num(100, 999)}) 555-{num(1000, 9999)}",
+            str(num(10**14, 10**16)),
+            f"20{num(10, 30)}-0{num(1, 9)}-{num(10, 28)}T{num(10, 23)}.{num(10, 59)}",
+            f"https://www.{made()}.org/{made()}/{made()}.html",
+            f"/usr/{made()}/{made()}_{num(1, 99)}.txt",
+            made().upper() + made().upper(),
+            made().capitalize() + made().capitalize() + made(),
+            f"v{num(0, 9)}.{num(0, 20)}.{num(0, 99)}-beta",
+            made() + made() + "-" + made() + "-" + made(),
+            f"{num(1, 999)},{num(100, 999)}.{num(10, 99)}",
+            f"ISBN 978-{num(0, 9)}-{num(1000, 9999)}-{num(1000, 9999)}-{num(0, 9)}",
+            f"{pick(NAMES)} {pick(PROSE)} {made()}",
+        )[k % 14]
+
     out = []
-    rng = np.random.default_rng(SEED)
-    for piece in pieces(pa.array(texts, type=pa.large_string()), _TOKEN):
-        f = features(piece)
-        for i in range(piece.rows):
-            a, b = piece.word_at[i], piece.word_at[i + 1]
-            if a == b:
-                continue
-            text = texts[piece.first_row + i]
-            data = piece.data[piece.text_at[i] : piece.text_at[i + 1]]
-            lo, hi = (char_at(data, x[a:b] - piece.text_at[i]) for x in (piece.start, piece.end))
-            y = np.full(b - a, 2)
-            for kind, s, t in base_spans(text):
-                s = next(m.start(2) for m in ASSIGN.finditer(text) if m.start() == s) if kind == "assign" else s
-                inside = np.flatnonzero((lo >= s) & (hi <= t))
-                if len(inside):
-                    y[inside] = 1
-                    y[inside[0]] = 0
-            at = np.flatnonzero(y < 2)
-            for k in [*at[:20].tolist(), int(rng.integers(b - a))]:
-                c = slice(max(0, k - CROP), k + CROP)
-                out.append((f[a:b][c], y[c]))
+    for k in range(n):
+        text, spans = "", []
+        for part in range(num(2, 6)):
+            text += " ".join(pick(PROSE) if rng.random() < 0.5 else made() for _ in range(num(3, 10))) + " "
+            if part and rng.random() < 0.5:
+                lead, value = secret(num(0, 7 * len(beginnings)))
+                text += lead
+                spans.append((len(text), len(text) + len(value)))
+                text += value + ("@" + made() + ".net" if "://" in lead else pick(("", "", ".", '"', ",", "###")))
+            else:
+                text += other(num(0, 14)) + pick(("", "", ".", "!!", ","))
+            text += pick((" ", " ", "\n"))
+        out.append((text, spans))
     return out
 
 
-def _examples(n: int = 240) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Further kinds of secrets, written out: a name or a known beginning, and random characters."""
-    rng = np.random.default_rng(SEED)
-    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
-    plain = [f"{'the of and to in is that for it as was with be by on not he his but at'.split()[int(k) % 20]}" for k in rng.integers(20, size=n * 30)]
-    texts, values = [], []
-    for k in range(n):
-        value = "".join(rng.choice(letters, int(rng.integers(18, 44))))
-        if k % 2:
-            value = BEGINNINGS[k % len(BEGINNINGS)] + value
-        lead = f"{NAMES[k % len(NAMES)]} {'=:'[k % 2]} " if k % 4 < 3 else ""
-        w = plain[30 * k : 30 * k + 24]
-        other = f"{w[0]}.{k}@mail{k % 9}.example.com", f"{k % 250}.{k * 7 % 250}.{k * 3 % 250}.{k % 90}", f"+{k % 60} (503) 555-{1000 + k}", f"{4 * 10**15 + int(rng.integers(10**15))}", f"20{10 + k % 20}-0{1 + k % 9}-1{k % 10}"
-        texts.append(" ".join(w[:8]) + f" {other[k % 5]} " + " ".join(w[8:12]) + f" {lead}{value} " + " ".join(w[12:18]) + f" {other[(k + 2) % 5]} " + " ".join(w[18:]))
-        values.append(value)
+def _example_crops() -> list[tuple[np.ndarray, np.ndarray]]:
+    made = examples()
     out = []
-    for piece in pieces(pa.array(texts, type=pa.large_string()), _TOKEN):
+    for piece in pieces(pa.array([t for t, _ in made], type=pa.large_string()), _TOKEN):
         f = features(piece)
-        for i in range(piece.rows):
-            a, b = piece.word_at[i], piece.word_at[i + 1]
-            own = [piece.data[s:t].tobytes().decode() for s, t in zip(piece.start[a:b], piece.end[a:b], strict=True)]
-            out.append((f[a:b], np.array([0 if w == values[piece.first_row + i] else 2 for w in own])))
+        out += [(f[piece.word_at[i] : piece.word_at[i + 1]], _tagged(piece, i, made[piece.first_row + i][1])) for i in range(piece.rows)]
     return out
 
 
 def fit(docs: DataFrame, rows: int = TRAIN_DOCS) -> Field:
-    """Learns from a bounded sample: half of it holds what base patterns look for."""
+    """Learns from crops of a bounded sample, half of it with what base patterns look for, and from examples."""
     hints = r"(?i)(passw|secret|token|api_?key)|AKIA|[0-9a-f]{24}"
     marked = docs.filter("text is not null and doc_id is not null").select("doc_id", F.col("text").rlike(hints).alias("hint"))
-    ids = sampled(marked, "doc_id", rows // 2, "hint")
+    ids = F.broadcast(sampled(written(marked), "doc_id", rows // 2, "hint").select(F.col("doc_id").alias("__id")).distinct())
+    texts = docs.join(ids, F.col("doc_id") == F.col("__id")).groupBy("doc_id").agg(F.max("text").alias("text")).select("text")
+    found = texts.mapInArrow(_crops, "f array<long>, y array<long>").collect()
+    crops = sorted(((r["f"], r["y"]) for r in found if r["y"]), key=str)
     field = Field()
-    field.fit(_labelled(texts_of(docs, ids, TRAIN_CHARS)) + _examples())
+    field.fit([(np.array(f).reshape(-1, len(_SIZES)), np.array(y)) for f, y in crops] + _example_crops())
     return field
 
 
 def scan(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) of each document, over whole texts."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.col("doc_id").try_cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(field or fit(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
