@@ -1,19 +1,25 @@
 r"""Personal data in documents: base patterns, and a character-level bidirectional LSTM with a CRF on top.
 
 The network reads classes of characters, a forward and a backward layer of ``HIDDEN`` cells each; their states give
-a score for each of the tags (outside, email, ip, card, phone), and a CRF's transitions between tags are learned
-with them. It is trained in numpy on the driver, by exact gradients through time, from at most ``TRAIN_DOCS``
-documents (of those that hold a digit or an @ one for each bucket of a hash of doc_id; labels are the base spans) and
-from written-out examples.
-
-Every kind of span holds a digit or an @, so a stretch of text farther than ``REACH`` characters from any of these
-is outside without running the network. The other stretches are cut into windows of ``WINDOW`` characters that
-overlap by ``OVERLAP``; scores of characters in two windows are averaged by their distance from the window's ends,
-and one Viterbi pass runs over the whole stretch, so spans across windows come out whole. A tagged run that
-overlaps no base span is added as a span of kind ``model``.
-
-Defined results: null and empty texts have no span; spans count code points; repeated rows are scanned one by one;
-a null doc_id is kept; an empty table gives an empty table.
+a score for each of the tags (outside, the base kinds, and ``more``: kinds that no base pattern knows), and a CRF's
+transitions between tags are learned with them. It is trained in numpy on the driver, by exact gradients through
+time, from
+
+- windows of at most ``TRAIN_DOCS`` documents (of those that hold a digit or an @ those with the least hashes of
+  doc_id), at most ``WINDOWS`` a document, chosen by a hash of their place over the whole text; labels are the base spans;
+- ``EXAMPLES`` written-out sentences with base kinds and with others (telephone numbers without a plus, social security
+  and account numbers, cards written with points, IPv6 and hardware addresses, spelled-out mail addresses), beside
+  dates, prices, versions, times, ids and long numbers that are none.
+
+It reads the stretches of a text that lie within ``REACH`` characters of a digit, an @ or an "(at)": what has none of
+these is outside by definition. Stretches are cut into windows of ``WINDOW`` characters that overlap by ``OVERLAP``;
+scores of characters in two windows are averaged by their distance from the window's ends, and one Viterbi pass runs
+over the whole stretch, so spans across windows come out whole. A run tagged ``more`` that overlaps no base span is
+added as a span of kind ``model``; runs of base tags that the patterns reject (a card that fails its check) are not.
+
+Defined results: null and empty texts have no span; texts of any length are scanned whole, in time and memory in
+proportion to it; spans count code points, at one start they are listed by kind; repeated rows are scanned one by one;
+a null doc_id is kept; other columns, whatever their names, are not looked at; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,27 +32,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessela.llm.shared import sampled, texts_of
+from tessela.llm.shared import sampled, written
 from tessela.llm.spans import Span, apart_from, rows_of, span_batches, span_schema
-from tessela.llm.tokens import pieces
+from tessela.llm.tokens import mix64, pieces
 
-HIDDEN = 12
+HIDDEN = 16
 WINDOW = 96
 OVERLAP = 32
 REACH = 24
 TRAIN_DOCS = 300
-#: Code points of a training document that are looked at; scans are not bounded.
-TRAIN_CHARS = 20_000
-STEPS = 150
+WINDOWS = 6
+EXAMPLES = 900
+STEPS = 200
 BATCH = 128
-SHORTEST = 7
 SEED = 9
+#: Characters of stretches that are decoded side by side.
+SIDE_BY_SIDE = 1 << 18
 
 #: The base patterns, by kind in the order of listing.
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "model")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+TAGS = len(BASE) + 2
+MORE = TAGS - 1
+DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+#: Email as local part and domain, addresses as whole chains of numbers: so a long run is gone through once.
+LOCAL = re.compile(r"[A-Za-z0-9._%+-]++")
+NUMBERS = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -72,9 +83,34 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> list[Span]:
+    """As ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+`` from the left: the run before an @, and the domain after it."""
+    out: list[Span] = []
+    for m in LOCAL.finditer(text) if "@" in text else ():
+        start = max(m.start(), out[-1][2] if out else 0)
+        if start < m.end() and (domain := DOMAIN.match(text, m.end())):
+            out.append(("email", start, domain.end()))
+    return out
+
+
+def addresses(text: str) -> list[Span]:
+    """Of each chain of numbers with points between them the fours from its start, if no number is above 255."""
+    out: list[Span] = []
+    for m in NUMBERS.finditer(text):
+        if m[0].count(".") < 3:
+            continue
+        parts, at = m[0].split("."), m.start()
+        for k in range(0, len(parts) - 3, 4):
+            four = parts[k : k + 4]
+            end = at + sum(map(len, four)) + 3
+            if all(len(p) <= 3 or len(p.lstrip("0")) <= 3 for p in four) and all(int(p.lstrip("0") or 0) <= 255 for p in four):
+                out.append(("ip", at, end))
+            at = end + 1
+    return out
+
+
 def base_spans(text: str) -> list[Span]:
-    spans: list[Span] = [("email", m.start(), m.end()) for m in EMAIL.finditer(text)] if "@" in text else []
-    spans += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split("."))]
+    spans = emails(text) + addresses(text)
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 12 <= len(digits) <= 19 and luhn(digits):
@@ -93,7 +129,7 @@ class Network:
 
     def __init__(self) -> None:
         rng = np.random.default_rng(SEED)
-        h, tags = HIDDEN, len(BASE) + 1
+        h, tags = HIDDEN, TAGS
         self.p = {}
         for d in "fb":
             self.p[f"x{d}"] = rng.normal(0, 0.3, (_N_CLASSES, 4 * h)).astype(np.float32)
@@ -178,7 +214,7 @@ class Network:
                 part = codes[a : a + WINDOW]
                 windows.append(np.pad(part, (0, WINDOW - len(part))))
                 at.append((s, a, len(part)))
-        sums = [np.zeros((len(c), len(BASE) + 1)) for c in stretches]
+        sums = [np.zeros((len(c), TAGS)) for c in stretches]
         weights = [np.zeros(len(c)) for c in stretches]
         edge = np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]) + 1.0
         for k in range(0, len(windows), 512):
@@ -189,13 +225,14 @@ class Network:
         return self._viterbi([x / w[:, None] for x, w in zip(sums, weights, strict=True)])
 
     def _viterbi(self, scores: list[np.ndarray]) -> list[np.ndarray]:
-        """Stretches of similar length take their steps together."""
+        """Stretches of similar length take their steps together, as many as hold ``SIDE_BY_SIDE`` characters."""
         out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(scores)
-        order = sorted(range(len(scores)), key=lambda i: len(scores[i]))
-        for k in range(0, len(order), 256):
-            own = order[k : k + 256]
-            n = len(scores[own[-1]])
-            e = np.zeros((len(own), n, len(BASE) + 1))
+        order = sorted(range(len(scores)), key=lambda i: -len(scores[i]))
+        while order:
+            n = len(scores[order[0]])
+            k = max(1, SIDE_BY_SIDE // max(n, 1))
+            own, order = order[:k], order[k:]
+            e = np.zeros((len(own), n, TAGS), dtype=np.float32)
             for j, i in enumerate(own):
                 e[j, : len(scores[i])] = scores[i]
                 e[j, len(scores[i]) :, 1:] = -50
@@ -213,10 +250,15 @@ class Network:
         return out
 
 
+_AT = re.compile(r"[(\[] ?at ?[)\]]", re.IGNORECASE)
+
+
 def stretches(text: str) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """A text's classes, and what lies within ``REACH`` of a digit or an @."""
+    """A text's classes, and what lies within ``REACH`` of a digit, an @ or an "(at)"."""
     kind = classes(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32))
     hot = np.flatnonzero((kind == 1) | (kind == 6))
+    if "at)" in text or "at]" in text or "AT" in text:
+        hot = np.union1d(hot, np.array([m.start() for m in _AT.finditer(text)], dtype=np.int64))
     if not len(hot):
         return kind, []
     cut = np.flatnonzero(np.diff(hot) > 2 * REACH)
@@ -224,54 +266,107 @@ def stretches(text: str) -> tuple[np.ndarray, list[tuple[int, int]]]:
     return kind, list(zip(np.maximum(starts, 0).tolist(), np.minimum(ends, len(kind)).tolist(), strict=True))
 
 
-def _examples(n: int = 240) -> list[str]:
-    """Sentences with personal data of each kind, and with numbers that are none."""
-    rng = np.random.default_rng(SEED)
-    word = lambda: "".join(rng.choice(list("abcdefghilmnoprstu"), int(rng.integers(2, 9))))
-    num = lambda a, b: str(int(rng.integers(a, b)))
+def examples(n: int = EXAMPLES, seed: int = SEED) -> list[tuple[str, list[tuple[int, int]]]]:
+    """Sentences with personal data of each kind, and with numbers that are none; spans, in code points, are of the kinds that base patterns don't know."""
+    rng = np.random.default_rng(seed)
+    num = lambda a, b: int(rng.integers(a, b))
+    word = lambda: "".join(rng.choice(list("abcdefghilmnoprstu"), num(2, 10)))
+    digits = lambda k: "".join(map(str, rng.integers(10, size=k)))
+    pick = lambda *of: of[num(0, len(of))]
+    hexa = lambda k: "".join(rng.choice(list("0123456789abcdef"), k))
+
+    def card(sep: str) -> str:
+        body = "4" + digits(14)
+        body += next(c for c in "0123456789" if luhn(body + c))
+        return sep.join(body[i : i + 4] for i in range(0, 16, 4))
+
+    def more() -> str:
+        return (
+            lambda: f"({num(100, 999)}) {num(100, 999)}-{digits(4)}",
+            lambda: f"{num(100, 999)}{(s := pick('-', '.', ' '))}{num(100, 999)}{s}{digits(4)}",
+            lambda: f"0{num(10, 999)}/{digits(num(6, 9))}",
+            lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
+            lambda: f"{pick('DE', 'FR', 'ES', 'GB')}{digits(2)} {' '.join(digits(4) for _ in range(4))} {digits(2)}",
+            lambda: f"{pick('DE', 'FR', 'ES', 'NL')}{digits(20)}",
+            lambda: card("."),
+            lambda: ":".join(hexa(4) for _ in range(8)),
+            lambda: pick(":", "-").join(hexa(2) for _ in range(6)),
+            lambda: f"{word()}.{word()}{pick(' (at) ', '(at)', ' [at] ', '[at]')}{word()}{pick(' (dot) ', '.', ' [dot] ')}{pick('com', 'org', 'de', 'fr')}",
+        )[num(0, 10)]()
+
+    def other() -> str:
+        return (
+            lambda: f"{word()}.{num(1, 99)}@{word()}{num(1, 9)}.{word()}.com",
+            lambda: ".".join(str(num(0, 256)) for _ in range(4)),
+            lambda: card(pick("", " ", "-")),
+            lambda: f"+{num(1, 99)} ({num(100, 999)}) {num(100, 999)}-{num(1000, 9999)}",
+            lambda: digits(num(1, 22)),
+            lambda: f"20{num(10, 29)}-0{num(1, 9)}-{num(10, 28)}",
+            lambda: f"{num(1, 28)}.{num(1, 12)}.{num(1950, 2030)}",
+            lambda: f"{num(1, 12)}/{num(1, 28)}/{num(1950, 2030)}",
+            lambda: f"version {num(1, 9)}.{num(0, 19)}.{num(0, 99)}",
+            lambda: f"{num(1, 999)},{num(100, 999)}{pick('', '.50', ' EUR')}",
+            lambda: f"{num(10, 23)}:{num(10, 59)}{pick('', ':' + str(num(10, 59)))}",
+            lambda: f'"{hexa(num(16, 41))}"',
+            lambda: f"ISBN 978-{num(0, 9)}-{digits(4)}-{digits(4)}-{num(0, 9)}",
+            lambda: f"({num(1, 200)}) {word()} {num(1, 99)}-{num(1, 99)}",
+            lambda: f"{num(1, 9)}-{num(1, 9)} {word()} @{word()}",
+            lambda: f"{word()} {num(1, 999)} {word()} {num(1, 99)} {num(1, 999)}",
+            lambda: f"AKIA{''.join(rng.choice(list('ABCDEFGHIJKLMNOPQ0123456789'), 16))}",
+            lambda: f"#{digits(num(3, 9))} | {num(1, 99)} | {num(1, 9)} |",
+        )[num(0, 18)]()
+
     out = []
-    for k in range(n):
-        body = num(10**14, 10**15)
-        check = next(c for c in "0123456789" if luhn(body + c))
-        card = body + check
-        card = " ".join(card[i : i + 4] for i in range(0, 16, 4)) if k % 3 == 0 else card
-        item = (
-            f"{word()}.{num(1, 99)}@{word()}{num(1, 9)}.{word()}.com",
-            ".".join(num(0, 256) for _ in range(4)),
-            card,
-            f"+{num(1, 99)} ({num(100, 999)}) {num(100, 999)}-{num(1000, 9999)}",
-            f"20{num(10, 29)}-0{num(1, 9)}-{num(10, 28)}",
-            f"version {num(1, 9)}.{num(0, 9)}",
-            f"{num(1, 9)},{num(100, 999)}",
-            f'"{rng.bytes(16).hex()}"',
-        )[k % 8]
-        out.append(" ".join(word() for _ in range(6)) + f" {item}{('', '!!', '###', ',', '.')[k % 5]} " + " ".join(word() for _ in range(6)))
+    for _ in range(n):
+        text, spans = "", []
+        for _ in range(num(1, 4)):
+            text += " ".join(word() for _ in range(num(3, 9))) + " "
+            if rng.random() < 0.45:
+                value = more()
+                spans.append((len(text), len(text) + len(value)))
+                text += value
+            else:
+                text += other()
+            text += pick(" ", ". ", "!! ", "### ", ", ", "; ")
+        out.append((text + word(), spans))
     return out
 
 
+def _windows(text: str, spans: list[tuple[int, int]], most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Windows of a text's stretches, all or those with the least hashes of their places: classes and tags."""
+    kind, parts = stretches(text)
+    y = np.zeros(len(kind), dtype=np.int64)
+    for a, b in spans:
+        y[a:b] = MORE
+    for name, a, b in base_spans(text):
+        y[a:b] = BASE.index(name) + 1
+    at = np.array([(c, min(c + WINDOW, b)) for a, b in parts for c in range(a, max(a + 1, b - OVERLAP), WINDOW - OVERLAP)], dtype=np.int64).reshape(-1, 2)
+    chosen = np.argsort(mix64(at[:, 0].astype(np.uint64) + np.uint64(SEED)), kind="stable")[:most]
+    return [(np.pad(kind[a:b], (0, WINDOW - (b - a))), np.pad(y[a:b], (0, WINDOW - (b - a)))) for a, b in at[np.sort(chosen)].tolist()]
+
+
 def fit(docs: DataFrame, rows: int = TRAIN_DOCS) -> Network:
-    """Learns from the base spans of a bounded sample, and from examples."""
-    ids = sampled(docs.filter(F.col("text").rlike("[0-9@]") & F.col("doc_id").isNotNull()).select("doc_id"), "doc_id", rows)
-    xs, ys = [], []
-    for text in [*_examples(), *texts_of(docs, ids, TRAIN_CHARS)]:
-        kind, parts = stretches(text)
-        y = np.zeros(len(kind), dtype=np.int64)
-        for name, a, b in base_spans(text):
-            y[a:b] = BASE.index(name) + 1
-        for a, b in parts[:8]:
-            for c in range(a, max(a + 1, b - OVERLAP), WINDOW - OVERLAP)[:4]:
-                part = slice(c, min(c + WINDOW, b))
-                n = part.stop - part.start
-                xs.append(np.pad(kind[part], (0, WINDOW - n)))
-                ys.append(np.pad(y[part], (0, WINDOW - n)))
+    """Learns from the base spans in windows of a bounded sample, and from examples."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [w for t in batch.column(0) for w in _windows(t.as_py(), [], WINDOWS)]
+            yield pa.RecordBatch.from_arrays([pa.array([w[k] for w in found], type=pa.list_(pa.int64())) for k in (0, 1)], names=["x", "y"])
+
+    some = written(docs.filter(F.col("text").rlike("[0-9@]") & F.col("doc_id").isNotNull()).select("doc_id"))
+    ids = F.broadcast(sampled(some, "doc_id", rows).select(F.col("doc_id").alias("__id")).distinct())
+    texts = docs.join(ids, F.col("doc_id") == F.col("__id")).groupBy("doc_id").agg(F.max("text").alias("text")).select("text")
+    found = sorted((r["x"], r["y"]) for r in texts.mapInArrow(run, "x array<long>, y array<long>").collect())
+    made = [w for t, spans in examples() for w in _windows(t, spans, 1 << 30)]
+    x, y = (np.stack([np.array(w[k]) for w in [*found, *made]]) for k in (0, 1))
     network = Network()
-    network.fit(np.stack(xs), np.stack(ys))
+    network.fit(x, y)
     return network
 
 
 def scan(docs: DataFrame, network: Network | None = None) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of each document, over whole texts."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.col("doc_id").try_cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(network or fit(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +374,7 @@ def scan(docs: DataFrame, network: Network | None = None) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch.column(1)):
                 data = piece.data
-                rows = rows_of(piece, np.flatnonzero(((data >= 48) & (data < 58)) | (data == 64))).tolist()
+                rows = rows_of(piece, np.flatnonzero(((data >= 48) & (data < 58)) | (data == 64) | (data == 40) | (data == 91))).tolist()
                 texts = [data[piece.text_at[i] : piece.text_at[i + 1]].tobytes().decode() for i in rows]
                 cut = [stretches(t) for t in texts]
                 tags = iter(model.tag([kind[a:b] for kind, parts in cut for a, b in parts]))
@@ -290,8 +385,9 @@ def scan(docs: DataFrame, network: Network | None = None) -> DataFrame:
                         y = next(tags)
                         edge = np.flatnonzero(np.diff(np.r_[0, y, 0]))
                         for s, t in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-                            if y[s] and len(text[a + s : a + t].strip()) >= SHORTEST:
-                                own.append((a + s, a + t))
+                            if y[s] == MORE and (bare := text[a + s : a + t].strip()):
+                                first = a + s + text[a + s : a + t].index(bare)
+                                own.append((first, first + len(bare)))
                     found[i] = base, [("model", a, b) for a, b in apart_from(own, base)]
                 yield from span_batches(batch.column(0).slice(piece.first_row, piece.rows), KINDS, found, piece.rows)
 

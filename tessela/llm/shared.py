@@ -48,11 +48,3 @@ def sampled(df: DataFrame, key: str, rows: int, *also: str) -> DataFrame:
         below = below | (here & (h < part))
     place = F.row_number().over(Window.partitionBy(*also).orderBy(h, key))
     return df.filter(below).withColumn("__place", place).filter(F.col("__place") <= rows).drop("__place")
-
-
-def texts_of(docs: DataFrame, ids: DataFrame, chars: int) -> list[str]:
-    """The beginnings of the texts of a bounded set of ids, in the order of the ids, one for each id."""
-    ids = ids.select(F.col("doc_id").alias("__id")).distinct()
-    some = docs.select("doc_id", F.substring("text", 1, chars).alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("__id"))
-    rows = some.groupBy("doc_id").agg(F.max("text").alias("text")).filter("text is not null").orderBy("doc_id").collect()
-    return [r["text"] for r in rows]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +25,11 @@ def sha256(text: str) -> str:
 
 
 def apart_from(spans: list[tuple[int, int]], taken: list[Span]) -> list[tuple[int, int]]:
-    """The spans that overlap none of ``taken``."""
-    return [(a, b) for a, b in spans if not any(a < d and c < b for _, c, d in taken)]
+    """The spans, in order, that overlap none of ``taken``."""
+    held = sorted((c, d) for _, c, d in taken)
+    starts = [c for c, _ in held]
+    reach = list(itertools.accumulate((d for _, d in held), max))  # the farthest end of those up to one
+    return [(a, b) for a, b in spans if not (k := bisect.bisect_left(starts, b)) or reach[k - 1] <= a]
 
 
 def rows_of(piece: Piece, at: np.ndarray) -> np.ndarray:

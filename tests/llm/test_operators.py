@@ -214,6 +214,42 @@ def test_secrets(docs, rows, empty):
     assert secrets.scan(empty, model).count() == 0
 
 
+def _against(found, made):
+    """(planted spans met, missed, added spans that meet none), leaving out planted ones that a base span meets."""
+    met = missed = wrong = 0
+    for i, (_, planted) in enumerate(made):
+        spans = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in found[i].split(",") if x)]
+        touch = lambda s, own: any(a < s[1] and s[0] < b for _, a, b in own)
+        base, added = ([x for x in spans if (x[0] == "model") == m] for m in (False, True))
+        left = [s for s in planted if not touch(s, base)]
+        met += sum(touch(s, added) for s in left)
+        missed += sum(not touch(s, added) for s in left)
+        wrong += sum(not any(a < t and s < b for s, t in planted) for _, a, b in added)
+    return met, missed, wrong
+
+
+@pytest.mark.parametrize("beginnings", [secrets.BEGINNINGS, ("dop_v", "hf_", "AC", "pk_t", "key-", "ya29", "glsa_", "sq0a")])
+def test_the_field_finds_secrets_that_patterns_miss(spark, docs, beginnings):
+    made = secrets.examples(300, seed=91, beginnings=beginnings)
+    found = secrets.scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(made)], "doc_id long, text string"), secrets.fit(docs))
+    met, missed, wrong = _against({r["doc_id"]: r["spans"] for r in found.collect()}, made)
+    assert met > 200
+    assert met / (met + missed) >= 0.88
+    assert met / (met + wrong) >= 0.95
+
+
+def test_long_runs_take_time_in_proportion(spark, docs):
+    import time
+
+    field, network = secrets.fit(docs), pii.fit(docs)
+    rows = [(0, "7" * 1_000_000), (1, "a" * 1_000_000), (2, "1." * 400_000), (3, "a@" * 400_000), (4, "+1" * 400_000), (5, "a." * 400_000 + "@b"), (6, "+" + "1 " * 400_000), (7, "password=" * 80_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    began = time.time()
+    assert secrets.scan(df, field).count() == len(rows)
+    assert pii.scan(df, network).count() == len(rows)
+    assert time.time() - began < 240
+
+
 def test_crf_decoding_is_that_of_the_full_chain():
     import numpy as np
 
@@ -372,13 +408,32 @@ def test_pii(spark, docs, rows, empty):
     assert pii.scan(empty, network).count() == 0
 
 
+def test_the_network_finds_kinds_that_patterns_miss(spark, docs):
+    made = pii.examples(300, seed=91)
+    found = pii.scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(made)], "doc_id long, text string"), pii.fit(docs))
+    met, missed, wrong = _against({r["doc_id"]: r["spans"] for r in found.collect()}, made)
+    assert met > 150
+    assert met / (met + missed) >= 0.9
+    assert met / (met + wrong) >= 0.9
+
+
+def test_scans_that_go_through_runs_once_agree_with_the_patterns():
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(8)
+    for _ in range(20_000):
+        text = "".join(rng.choices("a1.@-9 0,", k=rng.randint(0, 40)))
+        assert [x[1:] for x in pii.emails(text)] == [m.span() for m in email.finditer(text)], text
+        assert [x[1:] for x in pii.addresses(text)] == [m.span() for m in ip.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))], text
+
+
 def test_pii_gradients():
     import numpy as np
 
     net = pii.Network()
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     rng = np.random.default_rng(2)
-    x, y = rng.integers(0, pii._N_CLASSES, (3, 9)), rng.integers(0, 5, (3, 9))
+    x, y = rng.integers(0, pii._N_CLASSES, (3, 9)), rng.integers(0, pii.TAGS, (3, 9))
 
     def likelihood():
         e, t = net.emissions(x), net.p["t"]
