@@ -52,14 +52,14 @@ ROOTS = TREES * 2
 WIDE = 1
 DEPTH = 10
 SMALL = 32
-MEDIUM = 512
+MEDIUM = 4096
 PIVOTS = 4
 DENSE = 4
 #: Sets of more shingles are passed on by estimate.
 SURE = 128
 ESTIMATE = 0.66
 #: Shingles of a chunk, the ratio of sizes between classes, and equal shingles looked at together.
-CHUNK = 1 << 16
+CHUNK = 1 << 18
 SIZE_STEP = 1.4
 PIECE_HITS = 1 << 22
 
@@ -243,7 +243,8 @@ def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
         pairs = state.untried(_exhaustive(small.join(sketches, "rep")).unionByName(_pivots(large.join(sketches, "rep"))))
         if depth == 0:
             state.need(pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).unionByName(large.select(F.col("rep").alias("id"))))
-        state.add(confirmed(pairs, state.texts))
+        if depth == 0 or not pairs.isEmpty():
+            state.add(confirmed(pairs, state.texts))
         if large.isEmpty():
             break
         after = written(_measured(written(state.now(large))).withColumn("dense", F.col("held") * DENSE >= F.col("size")))
@@ -260,7 +261,8 @@ def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
         if depth == DEPTH:
             within = within.unionByName(left.filter(F.col("left") > MEDIUM).select(*_ROW))
         within = written(within).select(F.col("node").alias("group"), F.col("rep").alias("id"), "comp", "n")
-        state.compare(whole(members).unionByName(within), whole(asked).unionByName(within))
+        if not asked.isEmpty() or not within.isEmpty():
+            state.compare(whole(members).unionByName(within), whole(asked).unionByName(within))
         further = left.filter(F.col("left") > MEDIUM)
         if depth == DEPTH or further.isEmpty():
             break
@@ -274,11 +276,16 @@ def _near_another(rows: pa.Table) -> pa.Table:
     n, comp = rows.column("n").to_numpy(), rows.column("comp").to_numpy()
     sketch = rows.column("packed").combine_chunks().flatten().to_numpy().view(_U).reshape(len(rows), -1)
     bins = lambda x: np.bitwise_count((x | (x >> _U(1))) & _U(0x5555555555555555)).sum(axis=-1, dtype=np.int64)
-    differ, used = bins(sketch[:, None] ^ sketch[None, :]), bins(sketch[:, None] | sketch[None, :])
-    least, most = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
-    able = np.where(most <= SURE, differ * (100 + PERCENT) <= (least + most) * (100 - PERCENT), (used - differ) >= ESTIMATE * used)
-    near = able & (least * 100 >= most * PERCENT) & (comp[:, None] != comp[None, :])
-    return rows.filter(pa.array(near.any(axis=1))).select(["node", "rep", "n", "comp"])
+    good = np.zeros(len(rows), dtype=bool)
+    for i in range(0, len(rows), 128):
+        own = slice(i, i + 128)
+        least, most = np.minimum(n[own, None], n[None, :]), np.maximum(n[own, None], n[None, :])
+        a, b = np.nonzero((least * 100 >= most * PERCENT) & (comp[own, None] != comp[None, :]))
+        x, y = sketch[i + a], sketch[b]
+        differ, used, least, most = bins(x ^ y), bins(x | y), least[a, b], most[a, b]
+        able = np.where(most <= SURE, differ * (100 + PERCENT) <= (least + most) * (100 - PERCENT), (used - differ) >= ESTIMATE * used)
+        good[i + a[able]] = True
+    return rows.filter(pa.array(good)).select(["node", "rep", "n", "comp"])
 
 
 def _exhaustive(rows: DataFrame) -> DataFrame:
