@@ -18,7 +18,9 @@ Everything random is a hash of (seed, node, source) or (seed, document), so reru
 
 Defined results: a null text has size 0; the null source is a source, after all others; a source without words
 gets target 0 and nothing is taken; documents with equal doc_id and source lie in the same block and are taken
-together; other columns pass through; an empty table gives an empty table.
+together, which ties in the order of drawing are as well; texts of any length count whole; other columns pass
+through, but those named as one that is added or used in between (two underscores in front) give way; an empty table
+gives an empty table. Sources are few (thousands): a node of the tree holds a number for each of them in one row.
 """
 
 from __future__ import annotations
@@ -42,6 +44,9 @@ PARTS = 4096
 SEED = 7
 
 
+_ADDED = ("__size", "__block", "__lot", "__s", "__b", "__source_size", "__target", "__shards", "__spare", "__top_source", "__top_lot", "__draws", "__draw", "__nth", "__shard", "__key", "__part", "__from", "__rank", "__place")
+
+
 def _uniform(*cols: Column) -> Column:
     """From 0 to below 1, by 53 bits of a hash."""
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))
@@ -142,6 +147,7 @@ def _fitting(items: str | Column, room: Column, size: str, name: str, kind: str)
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TREE_DEPTH, seed: int = SEED) -> DataFrame:
     """``docs`` with ``__size``, ``__source_size``, ``__target`` and ``__draws``: the (shard, key) of each time the mix takes the document."""
+    docs = docs.drop(*_ADDED)
     own = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"))
     sized = docs.withColumn("__size", F.size(words(F.col("text"))).cast("long")).withColumn("__block", F.pmod(own, F.lit(BLOCKS)).cast("int"))
     slim = written(sized.select("doc_id", F.col("source"), F.col("__size").alias("size"), F.col("__block").alias("block")))
@@ -193,18 +199,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TREE_D
     return out.withColumn("__draws", draws).select(*docs.columns, "__size", "__source_size", "__target", "__draws")
 
 
-def shards(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TREE_DEPTH, seed: int = SEED) -> DataFrame:
-    """The mixture itself: a row for each draw, by shard and in shuffled order within it."""
-    draws = mix(docs, weights, depth, seed).select(*docs.columns, F.explode("__draws").alias("__draw"))
-    return draws.select(*docs.columns, F.col("__draw.shard").alias("__shard"), F.col("__draw.key").alias("__key")).repartition("__shard").sortWithinPartitions("__shard", "__key")
-
-
 def placed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TREE_DEPTH, seed: int = SEED) -> DataFrame:
     """The mixture with ``__place``, from 0, in each shard's shuffled order, and ``__nth``, from 0, among its document's
     draws, beside the columns of ``mix``.
 
     Places are counted in ``PARTS`` ranges of keys for each shard, so that no task gets a whole shard.
     """
+    docs = docs.drop(*_ADDED)
     own = [*docs.columns, "__size", "__source_size", "__target", "__draws"]
     draws = mix(docs, weights, depth, seed).select("*", F.posexplode("__draws").alias("__nth", "__draw"))
     draws = draws.select(*own, "__nth", F.col("__draw.shard").alias("__shard"), F.col("__draw.key").alias("__key"))
@@ -216,6 +217,12 @@ def placed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TRE
     return draws.join(F.broadcast(parts), ["__shard", "__part"]).select(*own, "__nth", "__shard", (F.col("__from") + F.col("__rank") - 1).alias("__place"))
 
 
+def shards(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TREE_DEPTH, seed: int = SEED) -> DataFrame:
+    """The mixture itself: a row for each draw, in shuffled order; files of a shard follow each other, none holds two."""
+    draws = placed(docs, weights, depth, seed).select(*[c for c in docs.columns if c not in _ADDED], "__shard", "__place")
+    return draws.repartitionByRange("__shard", "__place").sortWithinPartitions("__shard", "__place")
+
+
 def digest() -> tuple[Column, ...]:
     return (
         F.col("__size").alias("size"),

@@ -8,13 +8,14 @@ count, divided by the number of its n-grams. A document is kept if no base rule
 
 The ratios are a table of fixed size (2 x BUCKETS) that goes into the plan as one literal, so scoring is a
 projection without shuffle. Counting shuffles a row for each bucket and task. The trusted multinomial is fitted on
-at most ``TRUSTED_DOCS`` labelled documents (one for each bucket of a hash of doc_id), whose ids are broadcast, so no
+at most ``TRUSTED_DOCS`` labelled documents (all, or those with the least hashes of doc_id), whose ids are broadcast, so no
 text is shuffled to meet its label; the raw multinomial counts every document.
 
 Defined results: a null or blank text has no words, fails the base and has score 0; a label without document is
 left out, several labels of one document count once (any 1 makes it trusted), rows with equal doc_id are scored
-one by one; with no trusted document all ratios are 0; other columns pass through; an empty table gives an empty
-table.
+one by one; texts of any length are counted whole; documents of equal score are decided alike; with no trusted
+document all ratios are 0; other columns pass through, but those named as one that is added (or used in between, with
+two underscores in front) give way; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ TRUSTED_DOCS = 100_000
 THRESHOLD = -0.2
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+_ADDED = ("__words", "__lines", "__n_words", "__word_chars", "__n_symbols", "__n_dup_lines", "__n_repeat_words", "__base_failed", "__windows", "__sorted", "__at", "__score", "__kept")
 #: Fixed value: the characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 
@@ -45,9 +47,9 @@ def ngram_buckets(w: Column, buckets: int = BUCKETS) -> Column:
 
 def ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
     """(bucket, ratio) for each bucket: log of the target's share over the raw corpus's."""
-    trusted = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("__id")).distinct()
+    trusted = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").try_cast("long").alias("__id")).distinct()
     trusted = sampled(trusted, "__id", TRUSTED_DOCS).withColumn("__t", F.lit(1))
-    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("__id"), "left")
+    marked = docs.select(F.col("doc_id").try_cast("long").alias("doc_id"), "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("__id"), "left")
     marked = marked.withColumn("__words", words(F.col("text")))
     each = marked.select(F.coalesce("__t", F.lit(0)).alias("t"), F.explode(ngram_buckets(F.col("__words"), buckets)).alias("bucket"))
     counted = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target"))
@@ -81,6 +83,7 @@ def with_repeat_words(docs: DataFrame) -> DataFrame:
 
 def base(docs: DataFrame) -> DataFrame:
     """``docs`` with ``__words`` and the base counts ``__n_words``, ``__word_chars``, ``__n_symbols``, ``__n_dup_lines``, ``__n_repeat_words``, ``__base_failed``."""
+    docs = docs.drop(*_ADDED)
     text = F.coalesce(F.col("text"), F.lit(""))
     full = F.filter(lines(text), lambda x: F.length(F.btrim(x, F.lit(SPACE))) > 0)
     out = docs.withColumn("__words", words(F.col("text"))).withColumn("__lines", full)

@@ -82,6 +82,8 @@ def test_quality(docs, labels, rows, empty):
             assert r["__base_failed"] == (len(w) < 50 or 100 * len(covered) > 50 * len(w))
             assert r["__kept"] == (not r["__base_failed"] and r["__score"] >= quality.THRESHOLD)
     assert quality.score(empty, labels).count() == 0
+    clash = quality.score(docs.withColumns({"__score": F.lit("x"), "__words": F.lit(1), "t": F.lit(2)}), labels).filter("doc_id = 5").collect()
+    assert (clash[0]["__n_words"], clash[0]["t"]) == (found[5][0]["__n_words"], 2)
     assert {r["__score"] for r in quality.score(docs, labels.limit(0)).collect()} == {0.0}
 
 
@@ -106,11 +108,13 @@ def test_mixing(spark, docs, rows, empty):
         open_ = open_ - over if over else set()
     for s in sources:
         assert target[s] == pytest.approx(want[s])
-        assert abs(taken[s] - want[s]) <= 0.06 * size[s] + 6000 * (s == rows[186][2])
+        assert abs(taken[s] - want[s]) <= 0.06 * size[s]
     again = {(r["doc_id"], r["text"]): r["__draws"] for r in mixing.mix(docs.repartition(7)).collect()}
     assert again == {(r["doc_id"], r["text"]): r["__draws"] for r in found}
     assert mixing.mix(empty).count() == 0
     assert mixing.shards(docs).count() == sum(len(r["__draws"]) for r in found)
+    clash = docs.withColumn("__size", F.lit("x")).withColumn("__shard", F.lit("y")).withColumn("target", F.lit(1))
+    assert mixing.mix(clash).columns == [*docs.columns, "target", "__size", "__source_size", "__target", "__draws"]
 
 
 @pytest.mark.parametrize("long", [30_000, 100_000])
@@ -284,6 +288,9 @@ def test_line_dedup(docs, rows, empty):
     want = Counter((i, None if t is None else "\n".join(x for x in t.split("\n") if not (key(x) in gone and (-1 if i is None else i) < gone[key(x)]))) for i, t, *_ in rows)
     assert Counter((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs).collect()) == want
     assert line_dedup.dedup_lines(empty).count() == 0
+    clash = docs.withColumns({"__drops": F.lit("x"), "__doc": F.lit(1), "__n_lines": F.lit("x"), "key": F.lit(1), "batch": F.lit(2)}).withColumn("doc_id", F.concat("doc_id", F.lit("")))
+    assert line_dedup.dedup_lines(clash).columns == [*docs.columns, "__drops", "__doc", "key", "batch", "__n_lines", "__n_dropped"]
+    assert Counter((None if r["doc_id"] is None else int(r["doc_id"]), r["text"]) for r in line_dedup.dedup_lines(clash).collect()) == want
 
 
 def test_near_duplicates(docs, rows, empty):
@@ -472,7 +479,12 @@ def test_toxicity(spark, docs, rows, empty):
     assert got[2] > got[3]
     held = toxicity.scores(df, model).filter(toxicity.held_out(F.col("doc_id"))).collect()
     assert sum((r["__toxicity"] >= toxicity.THRESHOLD) == (r["doc_id"] % 4 == 0) for r in held) >= 0.93 * len(held)
-    assert toxicity.scores(docs, model).columns == [*docs.columns, "__toxicity"]
+    assert toxicity.scores(docs.withColumns({"__toxicity": F.lit("x"), "__plain": F.lit(1), "score": F.lit("y")}), model).columns == [*docs.columns, "__plain", "__toxicity"]
+    marked = {1: "he said: you idiot there", 2: "don’t be so, you idiot it’s done", 3: "they know “you idiot” as a word", 4: "« you idiot » was heard by all here", 5: 'the "a" was you idiot and "b"', 6: "you idiot", 7: "so you idiot…"}
+    long = " ".join("plain" for _ in range(30))
+    contexts = spark.createDataFrame([(i, f"{long} {t} {long}") for i, t in marked.items()], "doc_id long, text string")
+    at = {r["doc_id"]: r["__toxicity"] for r in toxicity.scores(contexts, model).collect()}
+    assert max(at[1], at[3], at[4]) < min(at[2], at[5], at[6], at[7])
     assert toxicity.scores(docs, model).count() == len(rows)
     assert toxicity.scores(empty, model).count() == 0
     assert {r["__toxicity"] for r in toxicity.scores(trial, toxicity.fit(df, labels.limit(0))).collect()} == {0.0}
