@@ -44,7 +44,7 @@ PARTS = 4096
 SEED = 7
 
 
-_ADDED = ("__size", "__block", "__lot", "__s", "__b", "__source_size", "__target", "__shards", "__spare", "__top_source", "__top_lot", "__draws", "__draw", "__nth", "__shard", "__key", "__part", "__from", "__rank", "__place")
+ADDED = ("__size", "__block", "__lot", "__s", "__b", "__source_size", "__target", "__shards", "__spare", "__top_source", "__top_lot", "__draws", "__draw", "__nth", "__shard", "__key", "__part", "__from", "__rank", "__place")
 
 
 def _uniform(*cols: Column) -> Column:
@@ -147,7 +147,7 @@ def _fitting(items: str | Column, room: Column, size: str, name: str, kind: str)
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TREE_DEPTH, seed: int = SEED) -> DataFrame:
     """``docs`` with ``__size``, ``__source_size``, ``__target`` and ``__draws``: the (shard, key) of each time the mix takes the document."""
-    docs = docs.drop(*_ADDED)
+    docs = docs.drop(*ADDED)
     own = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"))
     sized = docs.withColumn("__size", F.size(words(F.col("text"))).cast("long")).withColumn("__block", F.pmod(own, F.lit(BLOCKS)).cast("int"))
     slim = written(sized.select("doc_id", F.col("source"), F.col("__size").alias("size"), F.col("__block").alias("block")))
@@ -205,7 +205,7 @@ def placed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TRE
 
     Places are counted in ``PARTS`` ranges of keys for each shard, so that no task gets a whole shard.
     """
-    docs = docs.drop(*_ADDED)
+    docs = docs.drop(*ADDED)
     own = [*docs.columns, "__size", "__source_size", "__target", "__draws"]
     draws = mix(docs, weights, depth, seed).select("*", F.posexplode("__draws").alias("__nth", "__draw"))
     draws = draws.select(*own, "__nth", F.col("__draw.shard").alias("__shard"), F.col("__draw.key").alias("__key"))
@@ -219,7 +219,7 @@ def placed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TRE
 
 def shards(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TREE_DEPTH, seed: int = SEED) -> DataFrame:
     """The mixture itself: a row for each draw, in shuffled order; files of a shard follow each other, none holds two."""
-    draws = placed(docs, weights, depth, seed).select(*[c for c in docs.columns if c not in _ADDED], "__shard", "__place")
+    draws = placed(docs, weights, depth, seed).select(*[c for c in docs.columns if c not in ADDED], "__shard", "__place")
     return draws.repartitionByRange("__shard", "__place").sortWithinPartitions("__shard", "__place")
 
 

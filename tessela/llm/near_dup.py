@@ -176,10 +176,14 @@ _ROW = ("node", "rep", "n", "comp")
 
 
 def _measured(rows: DataFrame) -> DataFrame:
-    """Adds a node's ``size``, its largest component ``top`` and ``held``, how many are in it; nodes of one component end."""
+    """Adds a node's ``size``, its largest component ``top`` and ``held``, how many are in it; nodes of one component end.
+
+    What is known of the nodes is written before it meets their rows, so that the engine can split a hot node.
+    """
     each = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("k"))
     state = each.groupBy("node").agg(F.sum("k").alias("size"), F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-    return rows.select(*_ROW).join(state.select("node", "size", F.col("m.comp").alias("top"), F.col("m.k").alias("held")), "node")
+    state = written(state.select("node", "size", F.col("m.comp").alias("top"), F.col("m.k").alias("held")))
+    return rows.select(*_ROW).join(state, "node")
 
 
 class _Links:
@@ -235,6 +239,7 @@ def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
     roots = F.array(*[F.xxhash64(F.lit(j), F.get("sig", F.lit(j))) for j in range(ROOTS)])
     slim = sets.select("rep", "n", F.col("rep").alias("comp"), F.explode(roots).alias("node"))
     shared = slim.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("top")).filter("size > 1")
+    shared = written(shared)
     rows = written(slim.join(shared, "node").select(*_ROW, "top", "size"))
     sketches = sets.select("rep", "packed")
     state = _Links(docs, sets)

@@ -48,3 +48,47 @@ def test_the_mix_has_a_row_for_each_draw(spark):
     for shard in {s for s, _, _ in got}:
         places = [p for s, p, _ in got if s == shard]
         assert places == list(range(len(places)))
+
+
+def _tables(spark, folder, rows, schema):
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(0, 90)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, "seven wise owls count the silver stars above a quiet northern harbour while nine boats wait for more"), (2, None), (None, "")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+
+SCHEMA = "doc_id long, text string, source string, n_chars long, size string, __size int, key string"
+
+
+def test_awkward_rows(spark, tmp_path):
+    word = lambda i, k: f"w{(i * 7919 + k * 104729) % 5003}"
+    long = lambda i, n: " ".join(word(i, k) for k in range(n))
+    leak = "so seven wise owls count the silver stars above a quiet northern harbour while nine boats wait for more of it"
+    line = "this very line stands in many of the documents of this table"
+    texts = {i: long(i, 60) + ("\nyou utter scumbag you" if i % 4 == 0 else "") for i in range(90)}
+    texts |= {100 + i: long(500 + i, 80) + "\n" + line for i in range(6)}
+    texts |= {200: long(900, 70), 201: long(900, 70), 202: long(900, 70) + " more", 300: leak + " " + long(950, 40), 400: None, 401: "", 402: " \n\t ", 500: long(1000, 50_000)}
+    rows = [(i, t, "s" if i % 3 else None, 1, "x", 7, "k") for i, t in texts.items()]
+    rows += [rows[5], (None, long(1200, 30), "s", None, None, None, None), (None, None, None, None, None, None, None)]
+    _tables(spark, tmp_path, rows, SCHEMA)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(spark, docs, str(tmp_path)))
+        kept[name] = docs.collect()
+        if name != "mixing":
+            assert docs.columns == [c.strip().split(" ")[0] for c in SCHEMA.split(",")]
+    ids = {name: [r["doc_id"] for r in found] for name, found in kept.items()}
+    assert {1, 2, 3, 5, 400, 401, 402, 500, None} <= set(ids["toxicity"])
+    assert not set(ids["toxicity"]) & {i for i in range(90) if i % 4 == 0}
+    assert sorted(map(str, ids["line_dedup"])) == sorted(map(str, ids["toxicity"]))
+    assert [r["doc_id"] for r in kept["line_dedup"] if r["text"] and line in r["text"]] == [105]
+    assert set(ids["line_dedup"]) - set(ids["near_dup"]) == {201, 202}
+    assert set(ids["near_dup"]) - set(ids["decontamination"]) == {300}
+    assert {400, 401, 402}.isdisjoint(ids["mixing"])
+    assert {r["doc_id"]: r["size"] for r in kept["mixing"] if r["size"] is not None}[500] == 50_000
+    assert [r for r in kept["mixing"] if r["doc_id"] == 5]
+
+
+def test_an_empty_table(spark, tmp_path):
+    _tables(spark, tmp_path, [], SCHEMA)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
