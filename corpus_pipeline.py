@@ -1,6 +1,9 @@
 """A corpus from raw documents to a training mix: each stage filters or rewrites what the one before has kept.
 
-Rows that share a doc_id, or have none, stay or go together where a stage decides by doc_id.
+Rows that share a doc_id, or have none (or none that is a whole number), stay or go together where a stage decides by
+doc_id; null and empty texts pass all stages but the last, which takes no words from them; of equal documents the one
+with the least doc_id stays; texts of any length are worked on whole; other columns pass through, but for those whose
+names the operators give to what they add; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ ORACLE_SQL = None
 
 def _same(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     ids = ids.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["__id"]), how)
+    return docs.join(ids, docs["doc_id"].try_cast("long").eqNullSafe(ids["__id"]), how)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +54,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``taken`` is the words of the draw; ``size`` is the document's, given with its first draw and null with others, so
     that sums count a document once.
     """
-    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "shard", "place")]
+    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "shard", "place", *mixing.ADDED)]
     size = F.when(F.col("__nth") == 0, F.col("__size")).alias("size")
     known = F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__size").alias("taken")
     return mixing.placed(docs.select(*own)).select(*own, size, *known, F.col("__shard").alias("shard"), F.col("__place").alias("place"))
