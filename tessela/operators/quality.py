@@ -61,7 +61,7 @@ def one_per_key(df: DataFrame, key: list[str | Column], order: list[Column]) ->
 
 
 def first_per_key(df: DataFrame, key: list[str], order: tuple[str, ...]) -> DataFrame:
-    """As ``one_per_key`` with the columns of ``order`` ascending, by an aggregate that keeps one row per key and task before the shuffle; keys come first in the result."""
+    """As ``one_per_key`` with the columns of ``order`` ascending, by an aggregate that keeps one row per key and task before the shuffle: for keys that many rows share. Keys come first in the result."""
     rest = [c for c in df.columns if c not in key]
     return df.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__first")).select(*key, "__first.*")
 

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from tessela.functions.dates import in_file_name
 from tessela.functions.text import upper_or_null
 
+#: The columns of a listing table.
+LISTING = ("codigo", "bairro", "cidade", "tipo", "oferta", "preco", "area_util", "quartos", "vagas", "latitude", "longitude", "quadra", "cep", "valor_m2", "data_coleta")
+
 
 def separator(spark: SparkSession, path: str, candidates: str = ",;", lines: int = 1) -> str:
     """The candidate that the first lines hold most often; of equal ones the first."""
@@ -35,9 +38,21 @@ def dated_csv(spark: SparkSession, paths: list[str], sep: str | None = None) ->
     return df.withColumn("data", in_file_name(F.col("arquivo_origem"))).filter("data is not null")
 
 
-def load(spark: SparkSession, path: str, kind: str, **options: str) -> DataFrame:
-    """By format: csv, parquet or json."""
-    return csv(spark, path, **options) if kind == "csv" else spark.read.format(kind).options(**options).load(path)
+def csv_any(spark: SparkSession, path: str, candidates: str = ",;") -> DataFrame:
+    """By the first candidate that parts the header into several columns; as one column if none does."""
+    header = spark.read.text(path).limit(1).collect()
+    line = header[0]["value"] if header else ""
+    return csv(spark, path, sep=next((c for c in candidates if c in line), candidates[0]))
+
+
+def load(spark: SparkSession, path: str, kind: str | None = None, **options: str) -> DataFrame:
+    """By format, else by the path's extension: csv and txt, parquet, json; others raise."""
+    kind = kind or path.rstrip("/").rsplit(".", 1)[-1].lower()
+    if kind in ("csv", "txt"):
+        return csv(spark, path, **options) if options else csv_any(spark, path)
+    if kind not in ("parquet", "json", "orc"):
+        raise ValueError(f"no reader for {kind}: export it as CSV")
+    return spark.read.format(kind).options(**options).load(path)
 
 
 def sheet(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -45,10 +60,24 @@ def sheet(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return csv(spark, path, sep).dropna("all").na.fill("")
 
 
-def relational(spark: SparkSession, url: str, table: str, start: str, end: str, **properties: str) -> DataFrame:
-    """A typed, normalised projection of a listing table within a span of days; the filter is pushed to the database."""
+def relational(spark: SparkSession, url: str, table: str, start: str, end: str, where: dict[str, str | tuple[str, ...]] | None = None, limits: dict[str, tuple[float, float]] | None = None, **properties: str) -> DataFrame:
+    """A typed, normalised projection of a listing table within a span of days; filters are pushed to the database.
+
+    ``where``: texts that a column equals, whatever its case and blanks, or one of several; ``limits``: ranges of
+    numbers, both ends included, nulls left out.
+    """
     df = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**properties).load()
-    return conformed(df.filter(F.col("data_coleta").between(start, end)))
+    return conformed(narrowed(df, start, end, where, limits))
+
+
+def narrowed(df: DataFrame, start: str, end: str, where: dict[str, str | tuple[str, ...]] | None = None, limits: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """The columns of listings that a table has, and the rows that are asked for."""
+    df = df.select(*[c for c in LISTING if c in df.columns]).filter(F.col("data_coleta").between(start, end))
+    for c, wanted in (where or {}).items():
+        df = df.filter(F.upper(F.trim(c)).isin(*[w.strip().upper() for w in ((wanted,) if isinstance(wanted, str) else wanted)]))
+    for c, (low, high) in (limits or {}).items():
+        df = df.filter(F.col(c).between(low, high))
+    return df
 
 
 def conformed(df: DataFrame) -> DataFrame:

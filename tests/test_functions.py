@@ -59,6 +59,22 @@ def test_bands(spark):
     right = lambda c: segments.band_right(c, segments.AREA_APARTMENT)
     legacy = lambda c: segments.band_right(c, segments.AREA_APARTMENT, lowest=False)
     left = lambda c: segments.band_left(c, segments.AREA_LEFT)
-    assert [one(spark, v, right, "double") for v in (0.0, 50.0, 75.0, 400.0, -1.0, None)] == ["0-50", "0-50", "50-75", "300-400", None, None]
+    assert [one(spark, v, right, "double") for v in (0.0, 50.0, 75.0, 400.0, -1.0, None)] == ["<50", "<50", "50-75", ">200", None, None]
     assert one(spark, 0.0, legacy, "double") is None
-    assert [one(spark, v, left, "double") for v in (0.0, 50.0, 1000.0)] == ["0-30", "50-70", ""]
+    assert [one(spark, v, left, "double") for v in (0.0, 75.0, 1000.0)] == ["<75", "75-90", ">1000"]
+
+
+def test_repairs(spark):
+    assert one(spark, "'verdadeiro", text.unquoted_upper) == "VERDADEIRO"
+    assert one(spark, "x", numbers.number_or) is None
+    assert one(spark, "x", lambda c: numbers.number_or(c, 2.0)) == 2.0
+    value = lambda v, p, a: spark.sql(f"select cast({v} as double) v, cast({p} as double) p, cast({a} as double) a").select(numbers.per_area_if_missing(F.col("v"), F.col("p"), F.col("a"))).first()[0]
+    assert [value(0, 100, 4), value("null", 100, 4), value(7, 100, 4), value(0, 0, 4), value("null", 100, 0)] == [25.0, 25.0, 7.0, 0.0, None]
+
+
+def test_periods_end_at_midnight_or_with_the_day(spark):
+    def within(t, midnight):
+        return one(spark, t, lambda c: dates.in_period(c.cast("timestamp"), "2025-01-01", "2025-01-31", midnight))
+
+    assert [within(t, False) for t in ("2025-01-01 00:00:00", "2025-01-31 13:00:00", "2025-02-01 00:00:00")] == [True, True, False]
+    assert [within(t, True) for t in ("2025-01-31 00:00:00", "2025-01-31 13:00:00")] == [True, False]

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tessela.operators import awards, quality, stock, tiers
+from tessela.operators import awards, captures, quality, stock, studies, tiers, windows
 from tessela.sources import schema, sinks, tables
 
 
@@ -81,3 +81,77 @@ def test_new_keys_number_on(spark):
     names = spark.createDataFrame([("asa sul", 1), ("Guará", 2), ("GUARA", 3), ("Lago", 4), (None, 5)], "n string, row int")
     rows = {r["nome"]: r["id"] for r in stock.new_keys(names, "n", "row", dim, "nome", "id").collect()}
     assert rows == {"Asa Sul": "B7", "Guará": "B8", "Lago": "B9"}
+
+
+def test_readers_by_header_and_extension(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x;y\n1;2\n")
+    (tmp_path / "b.csv").write_text("x,y;z\n1,2\n")
+    (tmp_path / "c.txt").write_text("only\n1\n")
+    assert tables.load(spark, str(tmp_path / "a.csv")).columns == ["x", "y"]
+    assert tables.load(spark, str(tmp_path / "b.csv")).columns == ["x", "y;z"]
+    assert tables.load(spark, str(tmp_path / "c.txt")).columns == ["only"]
+    spark.range(3).write.parquet(str(tmp_path / "d.parquet"))
+    assert tables.load(spark, str(tmp_path / "d.parquet")).count() == 3
+    with pytest.raises(ValueError, match="xls"):
+        tables.load(spark, "e.xls")
+    assert tables.sheet(spark, str(tmp_path / "b.csv")).columns == ["x", "y;z"]
+
+
+def test_many_dated_files(spark, tmp_path):
+    for name in ("base_2025-03-01.csv", "base_02-04-2025.csv", "other.csv", "more_2025_05_06.csv"):
+        (tmp_path / name).write_text("codigo,preco\n1,2\n")
+    found = tables.dated_csv(spark, [f"{tmp_path}/base*.csv", f"{tmp_path}/[om]*.csv"], ",").collect()
+    assert sorted(str(r["data"]) for r in found) == ["2025-03-01", "2025-04-02", "2025-05-06"]
+
+
+def test_narrowed_listings_are_pushed_down(spark, tmp_path):
+    rows = [("1", " asa sul ", "VENDA", 5.0, 50.0, "2025-01-01", 1), ("2", "ASA SUL", "ALUGUEL", 5.0, 50.0, "2025-01-02", 1), ("3", "Asa Sul", "venda", None, 50.0, "2025-01-02", 1), ("4", "ASA SUL", "VENDA", 5.0, 50.0, "2025-02-02", 1)]
+    spark.createDataFrame(rows, "codigo string, bairro string, oferta string, preco double, area_util double, data_coleta string, extra int").write.parquet(str(tmp_path / "l"))
+    df = spark.read.parquet(str(tmp_path / "l"))
+    out = tables.narrowed(df, "2025-01-01", "2025-01-31", {"bairro": "asa sul", "oferta": ("VENDA", "PUBLICADO")}, {"preco": (1, 9)})
+    assert [r["codigo"] for r in tables.conformed(out).collect()] == ["1"]
+    assert "extra" not in out.columns
+
+
+def test_appends_and_metrics(spark, tmp_path):
+    df = spark.range(5).withColumnRenamed("id", "k")
+    sinks.append_limited(df, str(tmp_path / "a"), "k", 3)
+    sinks.append_limited(df, str(tmp_path / "a"), "k", 2)
+    assert sorted(r["k"] for r in tables.csv(spark, str(tmp_path / "a")).collect()) == ["0", "0", "1", "1", "2"]
+    sinks.append_results(spark.createDataFrame([(None, 1.5, "x")], "nome string, valor double, extra string"), str(tmp_path / "r"), {"nome": "string", "valor": "double", "amostra": "long"})
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "r")).collect()] == [("", 1.5, 0)]
+    sinks.flags(spark.createDataFrame([(1, "SIM"), (2, "NAO"), (3, "SIM")], "codigo int, disponivel string"), str(tmp_path / "f"))
+    assert tables.csv(spark, str(tmp_path / "f" / "disponiveis"), ";").count() == 2
+    base = {"bairro": "a", "tipo": "b", "oferta": "c", "mes_alvo": "2025-01", "mes_ref": "2025-01", "segmento": "GERAL", "vaga_cat": "", "cluster_nome": "", "quartos": -1, "metragem_fx": "", "quadra": ""}
+    row = lambda n: spark.createDataFrame([base], ", ".join(f"{c} {'int' if c == 'quartos' else 'string'}" for c in base)).selectExpr("*", "date'2024-11-01' janela_inicio", "date'2025-01-31' janela_fim", f"{n}L amostra", "1D m2_medio", "1D m2_mediana", "1D preco_mediana", "1D area_mediana", "timestamp'2025-02-01' gerado_em")
+    for n in (5, 7):
+        sinks.upsert_metrics(row(n), str(tmp_path / "m"))
+    assert [r["amostra"] for r in sinks.current(spark, str(tmp_path / "m"), sinks.METRIC_SCHEMA).collect()] == [7]
+
+
+def test_schema_repair(spark):
+    df = spark.createDataFrame([("x", None)], "a string, b double")
+    assert schema.filled(df, {"c": "N/D", "b": 1.0}).first()["c"] == "N/D"
+    assert schema.filled(df, {"b": 1.0}).first()["b"] is None
+    assert schema.exactly(df, ["b", "a"]).columns == ["b", "a"]
+    with pytest.raises(ValueError, match="expected"):
+        schema.exactly(df, ["a"])
+    assert tuple(schema.locked(df, {"a": "string", "b": "double", "z": "string", "n": "long"}).first()) == ("x", 0.0, "", 0)
+    assert schema.column_with(spark.createDataFrame([(1,)], "`Preço total` int"), "valor", "preco") == "Preço total"
+
+
+def test_purpose_and_period(spark):
+    rows = [(" venda ", "Casa", "05/03/2026 10:11"), ("VENDA", "casa", "2026-04-01"), ("Aluguel", "casa", "2026-03-06"), (None, "casa", None)]
+    df = spark.createDataFrame(rows, "Finalidade string, Destinacao string, DataCadastro string")
+    assert captures.wanted_rows(df, "Venda", "CASA").count() == 2
+    assert captures.wanted_rows(df, "Venda", None, ("2026-03-01", "2026-03-31")).count() == 1
+    assert captures.wanted_rows(df).count() == 4
+
+
+def test_combined_and_spans(spark):
+    a = spark.createDataFrame([("CAP", "x", 1.0, 2.0)], "lista string, nome string, vgv double, vgc double")
+    assert [tuple(r) for r in awards.combined(a, a).collect()] == [("CAP", "x", 2.0, 4.0)]
+    spans = spark.sql("select date'2025-01-01' inicio, date'2025-03-31' fim")
+    assert [str(x) for x in windows.training_span(spans, 2).first()] == ["2024-11-01", "2025-05-31"]
+    assert studies.usual(spark.createDataFrame([("Luxo",), (" Luxo",), ("",), (None,), ("A",)], "p string"), "p", "Z").first()[0] == "Luxo"
+    assert studies.usual(spark.createDataFrame([("",)], "p string"), "p", "Z").first()[0] == "Z"
