@@ -1,7 +1,7 @@
 r"""Toxicity of documents: misspelled terms by Levenshtein automata on a lexicon trie, weighed by their context.
 
-The lexicon is learned: words, and stems that begin words, that labelled toxic documents hold more often than others
-by odds of at least ``MIN_ODDS``, ``SURE`` standard errors below the estimate. Its trie is intersected with the
+The lexicon is learned: words, and stems that begin words, that labelled toxic documents hold more often than others,
+by log odds of at least ``MIN_ODDS`` and with a likelihood-ratio statistic of at least ``SURE`` against chance. Its trie is intersected with the
 Levenshtein automaton of distance 1 (terms of ``FUZZY_LENGTH`` bytes or more; stems and shorter terms only match as
 they are); the product is determinised once on the driver and is a small table, so every word of a piece of text takes
 its steps together in numpy.
@@ -41,7 +41,7 @@ from tessela.llm.tokens import LOWER, Piece, pieces
 
 TRAIN_ROWS = 8000
 MIN_ODDS = 1.0
-SURE = 2.5
+SURE = 16.0
 MIN_SUPPORT = 3
 SHORTEST = 3
 STEM_LENGTHS = (4, 5, 6, 7, 8)
@@ -254,9 +254,13 @@ def lexicon(train: DataFrame) -> list[tuple[str, bool]]:
     marks = each.select("y", F.explode("w").alias("term"), F.lit(False).alias("stem")).unionByName(each.select("y", F.explode("s").alias("term"), F.lit(True).alias("stem")))
     table = marks.groupBy("term", "stem").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).filter(F.col("p") >= MIN_SUPPORT)
     odds = F.log((F.col("p") + 0.5) / (pos + 1)) - F.log((F.col("n") + 0.5) / (neg + 1))
-    table = table.withColumn("odds", odds - SURE * F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("n") + 0.5))).filter(F.col("odds") >= MIN_ODDS)
+    # twice the log-likelihood of the four cells (toxic or not, with the term or without) over that of chance
+    cell = lambda seen, of: F.when(seen > 0, seen * F.log(seen * (pos + neg) / of)).otherwise(0.0)
+    p, n = F.col("p"), F.col("n")
+    chance = 2 * (cell(p, (p + n) * pos) + cell(n, (p + n) * neg) + cell(pos - p, (pos + neg - p - n) * pos) + cell(neg - n, (pos + neg - p - n) * neg))
+    table = table.withColumn("odds", odds).filter((F.col("odds") >= MIN_ODDS) & (chance >= SURE))
     # what passes comes from a bounded sample, so the list is bounded too
-    best = table.orderBy(F.col("odds").desc(), F.length("term"), "term", "stem").collect()
+    best = table.orderBy((F.col("odds") * F.sqrt("p")).desc(), F.length("term"), "term", "stem").collect()
     words = [r for r in best if not r["stem"]]
     out: list[tuple[str, bool]] = []
     for r in best:

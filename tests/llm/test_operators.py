@@ -87,6 +87,33 @@ def test_quality(docs, labels, rows, empty):
     assert {r["__score"] for r in quality.score(docs, labels.limit(0)).collect()} == {0.0}
 
 
+def test_quality_scores_are_log_likelihood_ratios(docs, labels, rows):
+    import xxhash
+
+    def bucket(*grams):
+        seed = 42
+        for g in grams:
+            seed = xxhash.xxh64(g.encode(), seed=seed).intdigest()
+        return (seed - (1 << 64) * (seed >> 63)) % quality.BUCKETS
+
+    trusted = {r["doc_id"] for r in labels.filter("quality = 1 and doc_id is not null").collect()}
+    counts = {(pair, t): Counter() for pair in (0, 1) for t in (0, 1)}
+    grams = []
+    for i, text, *_ in rows:
+        w = WORD.findall(text or "")
+        own = [(0, bucket(x)) for x in w] + [(1, bucket(x, y)) for x, y in zip(w, w[1:], strict=False)]
+        grams.append(own)
+        for pair, b in own:
+            counts[pair, 0][b] += 1
+            counts[pair, 1][b] += i in trusted
+    share = lambda pair, t, b: (counts[pair, t][b] + quality.SMOOTHING) / (sum(counts[pair, t].values()) + quality.SMOOTHING * quality.BUCKETS)
+    want = sorted(round(sum(math.log(share(p, 1, b) / share(p, 0, b)) for p, b in own) / len(own) if own else 0.0, 7) for own in grams)
+    got = sorted(round(r["__score"], 7) for r in quality.score(docs, labels).collect())
+    assert got == pytest.approx(want, abs=1e-6)
+    again = {(r["doc_id"], r["text"]): r["__kept"] for r in quality.score(docs.repartition(5), labels).collect()}
+    assert again == {(r["doc_id"], r["text"]): r["__kept"] for r in quality.score(docs, labels).collect()}
+
+
 def test_mixing(spark, docs, rows, empty):
     found = mixing.mix(docs).collect()
     assert len(found) == len(rows)
