@@ -1,8 +1,8 @@
 """A corpus from raw documents to a training mix: each stage filters or rewrites what the one before has kept.
 
 Rows that share a doc_id, or have none (or none that is a whole number), stay or go together where a stage decides by
-doc_id; null and empty texts pass all stages but the last, which takes no words from them; of equal documents the one
-with the least doc_id stays; texts of any length are worked on whole; other columns pass through, but for those whose
+doc_id; null and empty texts pass all stages, the last one takes them with their block, without words; of equal
+documents the one with the least doc_id stays; texts of any length are worked on whole; other columns pass through, but for those whose
 names the operators give to what they add; an empty table gives an empty table.
 """
 
