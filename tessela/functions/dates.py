@@ -44,7 +44,11 @@ def window_start(first_of_month: Column, months: int = 3) -> Column:
     return F.add_months(F.trunc(first_of_month, "month"), 1 - months)
 
 
-def in_period(c: Column, start: str, last_day: str, midnight: bool = False) -> Column:
-    """Within the days from ``start`` to ``last_day``; with ``midnight`` the last day counts only at its very start."""
-    end = F.lit(last_day).cast("timestamp")
-    return (c >= F.lit(start).cast("timestamp")) & ((c <= end) if midnight else (c < F.date_add(F.lit(last_day).cast("date"), 1)))
+def in_period(c: Column, start: str | None = None, last_day: str | None = None, midnight: bool = False) -> Column:
+    """Within the days from ``start`` to ``last_day``, either of which may be open; with ``midnight`` the last day counts only at its very start."""
+    inside = F.lit(True)
+    if start is not None:
+        inside = inside & (c >= F.lit(start).cast("timestamp"))
+    if last_day is not None:
+        inside = inside & ((c <= F.lit(last_day).cast("timestamp")) if midnight else (c < F.date_add(F.lit(last_day).cast("date"), 1)))
+    return inside

@@ -5,11 +5,14 @@ Text comes in as strings; a conform step gives types.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessela.functions.dates import in_file_name
 from tessela.functions.text import upper_or_null
+from tessela.sources.schema import exactly
 
 #: The columns of a listing table.
 LISTING = ("codigo", "bairro", "cidade", "tipo", "oferta", "preco", "area_util", "quartos", "vagas", "latitude", "longitude", "quadra", "cep", "valor_m2", "data_coleta")
@@ -45,6 +48,17 @@ def csv_any(spark: SparkSession, path: str, candidates: str = ",;") -> DataFrame
     return csv(spark, path, sep=next((c for c in candidates if c in line), candidates[0]))
 
 
+def strict_csv(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> DataFrame:
+    """The columns in this order, if the header has these and no others; rows with more cells are left out, missing cells are the text None."""
+    found = csv(spark, path, sep)
+    exactly(found, columns)
+    header = found.columns
+    schema = ", ".join(f"`{c}` string" for c in header) + ", `__line` string"
+    df = spark.read.schema(schema).option("header", True).option("sep", sep).option("columnNameOfCorruptRecord", "__line").csv(path)
+    cells = F.size(F.split(F.regexp_replace("__line", r'"(?:[^"]|"")*"', ""), re.escape(sep)))
+    return df.filter(F.col("__line").isNull() | (cells <= len(header))).select(*columns).na.fill("None")
+
+
 def load(spark: SparkSession, path: str, kind: str | None = None, **options: str) -> DataFrame:
     """By format, else by the path's extension: csv and txt, parquet, json; others raise."""
     kind = kind or path.rstrip("/").rsplit(".", 1)[-1].lower()

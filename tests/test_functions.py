@@ -77,4 +77,6 @@ def test_periods_end_at_midnight_or_with_the_day(spark):
         return one(spark, t, lambda c: dates.in_period(c.cast("timestamp"), "2025-01-01", "2025-01-31", midnight))
 
     assert [within(t, False) for t in ("2025-01-01 00:00:00", "2025-01-31 13:00:00", "2025-02-01 00:00:00")] == [True, True, False]
+    open_ = [one(spark, "2030-01-01", lambda c, a=a: dates.in_period(c.cast("timestamp"), *a)) for a in ((None, None), ("2025-01-01", None), (None, "2025-01-31"))]
+    assert open_ == [True, True, False]
     assert [within(t, True) for t in ("2025-01-31 00:00:00", "2025-01-31 13:00:00")] == [True, False]

@@ -97,6 +97,13 @@ def test_readers_by_header_and_extension(spark, tmp_path):
     assert tables.sheet(spark, str(tmp_path / "b.csv")).columns == ["x", "y;z"]
 
 
+def test_rows_with_more_cells_are_left_out(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('b,a\n1,2\n1,2,3\n4\n"x,y",5\n')
+    assert sorted(tuple(r) for r in tables.strict_csv(spark, str(tmp_path / "a.csv"), ["a", "b"]).collect()) == [("2", "1"), ("5", "x,y"), ("None", "4")]
+    with pytest.raises(ValueError, match="expected"):
+        tables.strict_csv(spark, str(tmp_path / "a.csv"), ["a", "c"])
+
+
 def test_many_dated_files(spark, tmp_path):
     for name in ("base_2025-03-01.csv", "base_02-04-2025.csv", "other.csv", "more_2025_05_06.csv"):
         (tmp_path / name).write_text("codigo,preco\n1,2\n")
