@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessela.functions.numbers import rounded
@@ -104,8 +104,11 @@ def groups(df: DataFrame, study: Study, data_ref: str | None = None) -> DataFram
     if legacy:
         out = out.filter(~F.col("nome").isin("Bairro <NA>", "Quadra <NA>"))
     labels = [f"Metragem {label}" for _, label in bands] + [f"Quartos {label}" for _, label in rooms]
-    empty = out.select("vaga").distinct().select(F.explode(F.array(*map(F.lit, labels))).alias("nome"), "vaga", F.lit(None).cast("double").alias("valor"), F.lit(0).cast("long").alias("amostra"))
+    # for both parking groups; one that has no rows at all goes again
+    pairs = F.array(*[F.struct(F.lit(x).alias("nome"), F.lit(v).alias("vaga")) for v in PARKING for x in labels])
+    empty = df.sparkSession.range(1).select(F.explode(pairs).alias("x")).select("x.nome", "x.vaga", F.lit(None).cast("double").alias("valor"), F.lit(0).cast("long").alias("amostra"))
     out = out.unionByName(empty).groupBy("nome", "vaga").agg(F.max("valor").alias("valor"), F.sum("amostra").alias("amostra"))
+    out = out.withColumn("__all", F.sum("amostra").over(Window.partitionBy("vaga"))).filter("__all > 0").drop("__all")
     return out.withColumn("data", F.lit(data_ref).cast("date"))
 
 

@@ -39,17 +39,12 @@ def change_to_previous(df: DataFrame, value: str, order: str = "mes") -> DataFra
 
 
 def box_plot(df: DataFrame, value: str, by: str) -> DataFrame:
-    """Quartiles and whiskers: the extreme values within 1.5 interquartile ranges.
-
-    Rows are counted by group and value first; quartiles and whiskers both come from these counts, so the table is read
-    and shuffled once.
-    """
-    counts = df.groupBy(by, value).agg(F.count(F.lit(1)).alias("__n"))
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("__n"))
-    limits = counts.groupBy(F.col(by).alias("__by")).agg(q.alias("__q"), F.sum("__n").alias("n"))
+    """Quartiles and whiskers: the extreme values within 1.5 interquartile ranges. Limits are a row per group."""
+    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    limits = df.groupBy(F.col(by).alias("__by")).agg(q.alias("__q"), F.count(F.lit(1)).alias("n"))
     spread = F.col("__q")[2] - F.col("__q")[0]
     inside = F.col(value).between(F.col("__q")[0] - 1.5 * spread, F.col("__q")[2] + 1.5 * spread)
-    return counts.join(limits, F.col(by) == F.col("__by")).groupBy(by).agg(
+    return df.select(by, value).join(limits, F.col(by) == F.col("__by")).groupBy(by).agg(
         F.first("n").alias("n"),
         *[rounded(F.first("__q")[i], 4).alias(n) for i, n in enumerate(("q1", "mediana", "q3"))],
         rounded(F.min(F.when(inside, F.col(value))), 4).alias("bigode_min"),
