@@ -22,8 +22,8 @@ an empty table gives an empty table.
 from __future__ import annotations
 
 import bisect
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ BLOCK = 128
 #: Terms that a matrix has at once.
 TERMS = 2048
 #: Distinct terms that a task holds before it passes them on.
-HELD = 1 << 18
+HELD = 1 << 20
 
 #: Digits are no part of a term; A-Z in lower case, what parts terms as blanks.
 _DIGITS = b"0123456789"
@@ -61,23 +61,27 @@ def _columns(docs: DataFrame) -> DataFrame:
     return docs.select(own("lang").alias("lang"), own("source").alias("source"), own("text").cast("binary").alias("text"))
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, term, docs), a row for each term and task, or a few where a task has very many terms."""
-    names = ["lang", "term", "docs"]
-    held: Counter = Counter()
+def _held(batches: Iterator[pa.RecordBatch], key: Callable[[tuple], tuple], once: bool) -> Iterator[dict[tuple, Counter]]:
+    """Terms counted by ``key`` of a row's (lang, source), over a task's texts or as many as give ``HELD`` terms."""
+    held: defaultdict[tuple, Counter] = defaultdict(Counter)
+    size = 0
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
-            held.update((lang, t) for t in set(terms(bytes(text.as_buffer()))))
-            if len(held) > HELD:
-                yield _rows(held, names)
-                held = Counter()
-    if held:
-        yield _rows(held, names)
+        for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            counter, found = held[key((lang, source))], terms(bytes(text.as_buffer()))
+            size -= len(counter)
+            counter.update(set(found) if once else found)
+            size += len(counter)
+            if size > HELD:
+                yield held
+                held, size = defaultdict(Counter), 0
+    yield held
 
 
-def _rows(held: Counter, names: list[str]) -> pa.RecordBatch:
-    columns = [pa.array([k[i] for k in held], type=pa.binary() if n == "term" else pa.string() if n in ("lang", "source") else pa.int32()) for i, n in enumerate(names[:-1])]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(list(held.values()), type=pa.int64())], names=names)
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, term, docs), a row for each term and task, or a few where a task has very many terms."""
+    for held in _held(batches, lambda k: k[:1], True):
+        for (lang,), docs in held.items():
+            yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(docs)), pa.array(docs.keys(), pa.binary()), pa.array(docs.values(), pa.int64())], names=["lang", "term", "docs"])
 
 
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -86,24 +90,17 @@ def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return each.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs).select("lang", "term")
 
 
-def _streamed(batches: Iterator[pa.RecordBatch], cuts: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, part, term, n): the terms of the texts with the range they belong to, summed up by task."""
-    names = ["lang", "source", "part", "term", "n"]
-    held: Counter = Counter()
+def _part(words: Iterable[bytes], cuts: list[bytes]) -> pa.Array:
+    """The range of each term."""
+    return pa.array([bisect.bisect_right(cuts, t) for t in words] if cuts else [0] * len(words), type=pa.int32())
 
-    def passed() -> pa.RecordBatch:
-        part = {(lang, t): bisect.bisect_right(cuts.get(lang, []), t) for lang, t in {(k[0], k[1]) for k in held}}
-        return _rows(Counter({(lang, source, part[lang, t], t): n for (lang, t, source), n in held.items()}), names)
 
-    for batch in batches:
-        for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            for t, n in Counter(terms(bytes(text.as_buffer()))).items():
-                held[lang, t, source] += n
-            if len(held) > HELD:
-                yield passed()
-                held = Counter()
-    if held:
-        yield passed()
+def _streamed(batches: Iterator[pa.RecordBatch], cuts: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, part, term, n): the terms of the texts with the range they belong to, summed up by task."""
+    for held in _held(batches, lambda k: k, False):
+        for (lang, source), n in held.items():
+            part = _part(n.keys(), cuts.get(lang, []))
+            yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(n)), pa.repeat(source, len(n)), part, pa.array(n.keys(), pa.binary()), pa.array(n.values(), pa.int64())], names=["lang", "source", "part", "term", "n"])
 
 
 def _parted(batches: Iterator[pa.RecordBatch], cuts: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
