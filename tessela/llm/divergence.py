@@ -44,7 +44,7 @@ BLOCK = 128
 #: Terms that a matrix has at once.
 TERMS = 2048
 #: Distinct terms that a task holds before it passes them on.
-HELD = 1 << 20
+HELD = 1 << 19
 
 #: Digits are no part of a term; A-Z in lower case, what parts terms as blanks.
 _DIGITS = b"0123456789"
