@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessela.functions.dates import in_period, parsed
 from tessela.functions.numbers import rounded
 from tessela.functions.text import person
 
@@ -45,7 +46,11 @@ def ranking(roles: DataFrame, by: tuple[str, ...] = ("lista",), top: int | None
     return out if top is None else out.filter((F.col("pos_vgv") <= top) | (F.col("pos_vgc") <= top))
 
 
-def team(manager_columns: list[str], tokens: tuple[str, ...], inside: str = "PP", outside: str = "AC") -> Column:
+#: The team of the contracts of special managers, and the team of all others.
+SPECIAL, OTHERS = "AC", "PP"
+
+
+def team(manager_columns: list[str], tokens: tuple[str, ...], inside: str = SPECIAL, outside: str = OTHERS) -> Column:
     """The team of a contract: ``inside`` if a token is part of one of its managers' names."""
     found = F.lit(False)
     for c in manager_columns:
@@ -54,8 +59,8 @@ def team(manager_columns: list[str], tokens: tuple[str, ...], inside: str = "PP"
     return F.when(found, inside).otherwise(outside)
 
 
-def moved(team_column: str, name: str, exceptions: tuple[str, ...], to: str = "PP") -> Column:
-    """People who count for another team whatever the contract's team is."""
+def moved(team_column: str, name: str, exceptions: tuple[str, ...], to: str = OTHERS) -> Column:
+    """People whose sums in the special team go to the other one, so that they have a place in that alone."""
     return F.when(F.col(name).isin(*exceptions), to).otherwise(F.col(team_column))
 
 
@@ -97,11 +102,38 @@ def manager_commission(rows: DataFrame) -> DataFrame:
     return each.groupBy("lista", "gerente").agg(rounded(F.sum("vgc"), 2, 3e-6).alias("vgc"))
 
 
-def broker_contracts(roles: DataFrame) -> DataFrame:
-    """(corretor, vgv, vgc, contratos): a broker's totals with the contracts that paid commission."""
-    each = roles.groupBy("nome", "contrato").agg(F.sum(F.col("vgv").cast("decimal(18,2)")).alias("vgv"), F.sum("vgc").alias("vgc"))
-    paid = F.array_sort(F.array_compact(F.collect_list(F.when(F.col("vgc") > 0, F.struct("contrato", "vgv", rounded("vgc", 2).alias("vgc"))))))
-    return each.groupBy(F.col("nome").alias("corretor")).agg(F.sum("vgv").alias("vgv"), rounded(F.sum("vgc"), 2, 3e-6).alias("vgc"), paid.alias("contratos"))
+def in_month(df: DataFrame, day: str, start: str | None = None, last_day: str | None = None, midnight: bool = False) -> DataFrame:
+    """The contracts signed within a period; days are texts or timestamps, those that can't be read drop out if there is a period."""
+    when = F.col(day) if dict(df.dtypes)[day] != "string" else parsed(F.col(day))
+    return df.filter(in_period(when.cast("timestamp"), start, last_day, midnight))
+
+
+def with_contract_id(df: DataFrame, contract: str, row: str) -> DataFrame:
+    """The contract's id as text, blanks at its ends cut off; where it is blank, Contrato_ and the row's number."""
+    own = F.trim(F.col(contract).cast("string"))
+    return df.withColumn(contract, F.when(F.coalesce(own, F.lit("")) == "", F.concat(F.lit("Contrato_"), F.col(row).cast("string"))).otherwise(own))
+
+
+def contract_lines(roles: DataFrame, row: str) -> DataFrame:
+    """(corretor, contrato, valor, vgc, __row): the contracts of each broker that paid commission, one line each.
+
+    ``roles`` has the rows of the list GERAL. Rows of one contract id are one line: it has the value of the first of them
+    (by ``row``) that paid, and the commission of all.
+    """
+    paid = roles.filter(F.col("vgc") > 0).groupBy(F.col("nome").alias("corretor"), "contrato")
+    return paid.agg(F.min_by("vgv", row).alias("valor"), F.sum("vgc").alias("vgc"), F.min(row).alias("__row"))
+
+
+def broker_contracts(roles: DataFrame, row: str) -> DataFrame:
+    """(corretor, vgv, vgc, contratos): a broker's totals, over all rows, and the lines of the contracts that paid commission, in the order of their first rows.
+
+    A broker's list is one value; ``contract_lines`` has the same as rows, for brokers of any size.
+    """
+    lines = contract_lines(roles, row).groupBy("corretor").agg(F.array_sort(F.collect_list(F.struct("__row", "contrato", "valor", rounded("vgc", 2, 3e-6).alias("comissao")))).alias("x"))
+    sums = roles.groupBy(F.col("nome").alias("corretor")).agg(F.sum(F.col("vgv").cast("decimal(18,2)")).alias("vgv"), rounded(F.sum("vgc"), 2, 3e-6).alias("vgc"))
+    listed = F.transform("x", lambda c: F.struct(c["contrato"].alias("contrato"), c["valor"].alias("valor"), c["comissao"].alias("comissao")))
+    empty = F.array().cast("array<struct<contrato: string, valor: decimal(18,2), comissao: double>>")
+    return sums.join(lines, "corretor", "left").select("corretor", "vgv", "vgc", F.coalesce(listed.cast("array<struct<contrato: string, valor: decimal(18,2), comissao: double>>"), empty).alias("contratos"))
 
 
 def combined(*rankings: DataFrame) -> DataFrame:

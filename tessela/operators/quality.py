@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessela.functions.text import upper_or_null
+from tessela.operators.quantiles import quantiles
 
 
 def in_range(df: DataFrame, **limits: tuple[float, float]) -> DataFrame:
@@ -35,17 +36,21 @@ def offered_where_found(df: DataFrame, target: str, by: str = "vaga") -> DataFra
     return joined.filter((F.coalesce("__has", F.lit(0)) == 0) | (F.col("oferta") == target)).select(*df.columns)
 
 
-def without_outliers(df: DataFrame, value: str, by: list[str] | None = None, least_rows: int = 0, guard_zero: bool = True, factor: float = 1.5) -> DataFrame:
+def without_outliers(df: DataFrame, value: str, by: list[str] | None = None, least_rows: int = 0, guard_zero: bool = True, factor: float = 1.5, few_groups: bool = False) -> DataFrame:
     """Rows within ``factor`` interquartile ranges of the quartiles of their group.
 
     Groups of fewer than ``least_rows`` rows stay whole; so do, with ``guard_zero``, those whose range is zero or
-    null. Groups are compared null-safe. The limits are one row per group.
+    null. Groups are compared null-safe. The limits are one row per group. Quartiles are exact; those of ``few_groups``
+    (and of the table as a whole) are selected in several passes, so that groups may be larger than what a task holds,
+    those of many groups are worked out in one.
     """
-    if not by:
-        return without_outliers(df.withColumn("__all", F.lit("")), value, ["__all"], least_rows, guard_zero, factor).drop("__all")
-    limits = df.groupBy(*by).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("__q"), F.count(F.lit(1)).alias("__n"))
-    limits = limits.select(*[F.col(c).alias(f"__{c}") for c in by], "__q", "__n")
-    joined = df.join(limits, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]))
+    by = by or []
+    if few_groups or not by:
+        limits = quantiles(df, by, value, (0.25, 0.75)).select(*[F.col(c).alias(f"__{c}") for c in by], F.col("q").alias("__q"), F.col("rows").alias("__n"))
+    else:
+        limits = df.groupBy(*by).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("__q"), F.count(F.lit(1)).alias("__n"))
+        limits = limits.select(*[F.col(c).alias(f"__{c}") for c in by], "__q", "__n")
+    joined = df.join(limits, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by], F.lit(True)))
     spread = F.col("__q")[1] - F.col("__q")[0]
     inside = F.col(value).between(F.col("__q")[0] - factor * spread, F.col("__q")[1] + factor * spread)
     stays = F.col("__n") < least_rows

@@ -74,7 +74,7 @@ def selected(df: DataFrame, study: Study, data_ref: str | None = None) -> DataFr
         df = wanted(df, bairro=study.bairro, cidade=study.cidade)
         df = offered(df, study.oferta) if study.kind == "apt" else offered_where_found(df, study.oferta) if study.kind == "house" else df
     df = df.withColumn("valor", F.col("preco" if study.house else "valor_m2")).filter("valor is not null")
-    return without_outliers(df, "valor", ["vaga"])
+    return without_outliers(df, "valor", ["vaga"], few_groups=True)
 
 
 def groups(df: DataFrame, study: Study, data_ref: str | None = None) -> DataFrame:

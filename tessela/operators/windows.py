@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessela.functions.numbers import rounded
 from tessela.functions.dates import month
+from tessela.operators.quantiles import quantiles
 
 
 def into_windows(df: DataFrame, day: str, months: int = 3) -> DataFrame:
@@ -39,12 +40,11 @@ def change_to_previous(df: DataFrame, value: str, order: str = "mes") -> DataFra
 
 
 def box_plot(df: DataFrame, value: str, by: str) -> DataFrame:
-    """Quartiles and whiskers: the extreme values within 1.5 interquartile ranges. Limits are a row per group."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    limits = df.groupBy(F.col(by).alias("__by")).agg(q.alias("__q"), F.count(F.lit(1)).alias("n"))
+    """Quartiles and whiskers: the extreme values within 1.5 interquartile ranges. Months may be of any size; their limits are a row each."""
+    limits = quantiles(df, [by], value, (0.25, 0.5, 0.75)).select(F.col(by).alias("__by"), F.col("q").alias("__q"), F.col("rows").alias("n"))
     spread = F.col("__q")[2] - F.col("__q")[0]
     inside = F.col(value).between(F.col("__q")[0] - 1.5 * spread, F.col("__q")[2] + 1.5 * spread)
-    return df.select(by, value).join(limits, F.col(by) == F.col("__by")).groupBy(by).agg(
+    return df.select(by, value).join(limits, F.col(by).eqNullSafe(F.col("__by"))).groupBy(by).agg(
         F.first("n").alias("n"),
         *[rounded(F.first("__q")[i], 4).alias(n) for i, n in enumerate(("q1", "mediana", "q3"))],
         rounded(F.min(F.when(inside, F.col(value))), 4).alias("bigode_min"),

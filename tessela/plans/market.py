@@ -40,12 +40,12 @@ def iqr_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def iqr_by_parking(spark: SparkSession, sf: str) -> DataFrame:
-    kept = quality.without_outliers(valued(spark, sf), "valor_m2", ["vaga_cat"], least_rows=20)
+    kept = quality.without_outliers(valued(spark, sf), "valor_m2", ["vaga_cat"], least_rows=20, few_groups=True)
     return kept.groupBy("vaga_cat", "mes_ref").agg(F.count(F.lit(1)).alias("n"), rounded(F.avg("valor_m2"), 4).alias("media"))
 
 
 def iqr_no_guard(spark: SparkSession, sf: str) -> DataFrame:
-    kept = quality.without_outliers(valued(spark, sf), "preco", ["mes_ref"], guard_zero=False)
+    kept = quality.without_outliers(valued(spark, sf), "preco", ["mes_ref"], guard_zero=False, few_groups=True)
     return kept.groupBy("mes_ref").agg(F.count(F.lit(1)).alias("n"), rounded(F.min("preco"), 4).alias("menor"), rounded(F.max("preco"), 4).alias("maior"))
 
 

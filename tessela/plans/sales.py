@@ -17,6 +17,9 @@ LEGACY = studies.Study("Europe", "apt-legacy", cidade="EUROPE")
 HOUSE = studies.Study("Nation 3", "house", "VENDA", bairro="NATION_3")
 STRICT = studies.Study("Publicado", "house-strict", "PUBLICADO")
 DAY = "1997-05-20"
+#: The managers whose contracts are the special team's, the brokers who count for the other team, and the month of awards.
+SPECIAL, EXCEPTIONS = ("MANAGER 2", "MANAGER 5"), ("BROKER 1", "BROKER 7")
+MONTH = ("1997-05-01", "1997-05-31")
 
 
 def study_apt(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,7 +51,7 @@ def study_pattern(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _roles(spark: SparkSession, sf: str) -> DataFrame:
-    df = contract(spark, sf).withColumn("equipe", awards.team(["gerente_venda", "gerente_captacao"], ("MANAGER 2", "MANAGER 5")))
+    df = contract(spark, sf).withColumn("equipe", awards.team(["gerente_venda", "gerente_captacao"], SPECIAL))
     return awards.role_rows(awards.sides(df, SELLERS, CAPTURERS), "valor", "comissao", ("contrato", "equipe"))
 
 
@@ -67,7 +70,7 @@ def rank_managers(spark: SparkSession, sf: str) -> DataFrame:
 
 def rank_sections(spark: SparkSession, sf: str) -> DataFrame:
     """The 22 tables of the report: by team, with two brokers who count for one team in any case, by all, and of managers."""
-    roles = _roles(spark, sf).withColumn("equipe", awards.moved("equipe", "nome", ("BROKER 1", "BROKER 7")))
+    roles = _roles(spark, sf).withColumn("equipe", awards.moved("equipe", "nome", EXCEPTIONS))
     roles = roles.select("lista", "nome", "vgv", "vgc", F.explode(F.array(F.concat(F.lit("CORRETORES_"), "equipe"), F.lit("CORRETORES_GERAL"))).alias("equipe"))
     bosses = awards.role_rows(awards.sides(contract(spark, sf), ["gerente_venda"], ["gerente_captacao"]), "valor", "comissao")
     bosses = bosses.select("lista", "nome", "vgv", "vgc", F.lit("GERENTES").alias("equipe"))
@@ -92,10 +95,35 @@ def manager_vgc_dim(spark: SparkSession, sf: str) -> DataFrame:
     return awards.manager_commission(_managed(spark, sf))
 
 
+def rank_month(spark: SparkSession, sf: str) -> DataFrame:
+    """The rankings of a month's contracts, and of all the team's: the sum of both teams per name."""
+    df = awards.in_month(contract(spark, sf), "data", *MONTH).withColumn("equipe", awards.team(["gerente_venda", "gerente_captacao"], SPECIAL))
+    roles = awards.role_rows(awards.sides(df, SELLERS, CAPTURERS), "valor", "comissao", ("equipe",))
+    of = lambda team: roles.filter(F.col("equipe") == team).groupBy("lista", "nome").agg(F.sum("vgv").alias("vgv"), F.sum("vgc").alias("vgc"))
+    every = awards.combined(of(awards.SPECIAL), of(awards.OTHERS)).withColumn("equipe", F.lit("GERAL"))
+    out = awards.ranking(roles.select("equipe", "lista", "nome", "vgv", "vgc").unionByName(every), ("equipe", "lista"))
+    return out.select("equipe", "lista", "nome", F.col("vgv").cast("double").alias("vgv"), "vgc", "pos_vgv", "pos_vgc")
+
+
+def _contract_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the list GERAL where every fifth contract shares its id with four others, and every seventh has none."""
+    df = contract(spark, sf).withColumn("linha", F.col("contrato"))
+    df = df.withColumn("contrato", F.when(F.col("linha") % 7 == 0, F.lit(" ")).when(F.col("linha") % 5 == 0, F.concat(F.lit(" C"), F.floor(F.col("linha") / 25))).otherwise(F.col("linha").cast("string")))
+    df = df.withColumn("comissao", F.when(F.col("linha") % 11 > 0, F.col("comissao")).otherwise(F.lit(0).cast("decimal(18,4)")))
+    df = awards.sides(awards.with_contract_id(df, "contrato", "linha"), SELLERS, CAPTURERS)
+    return awards.role_rows(df, "valor", "comissao", ("contrato", "linha")).filter("lista = 'GERAL'")
+
+
 def broker_contracts(spark: SparkSession, sf: str) -> DataFrame:
-    roles = _roles(spark, sf).filter("lista = 'GERAL'")
-    out = awards.broker_contracts(roles)
-    return out.select("corretor", F.col("vgv").cast("double").alias("vgv"), "vgc", F.size("contratos").alias("n_contratos"), F.col("contratos")[0]["contrato"].alias("primeiro"), F.array_max(F.transform("contratos", lambda c: c["contrato"])).alias("ultimo"))
+    """Each broker's totals, with the whole list as text."""
+    out = awards.broker_contracts(_contract_rows(spark, sf), "linha")
+    line = lambda c: F.concat_ws(":", c["contrato"], c["valor"].cast("string"), F.format_number(c["comissao"], 2))
+    return out.select("corretor", F.col("vgv").cast("double").alias("vgv"), "vgc", F.size("contratos").alias("n_contratos"), F.concat_ws("|", F.transform("contratos", line)).alias("contratos"))
+
+
+def contract_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lists as rows."""
+    return awards.contract_lines(_contract_rows(spark, sf), "linha").select("corretor", "contrato", F.col("valor").cast("double").alias("valor"), rounded("vgc", 2, 3e-6).alias("comissao"))
 
 
 def _consolidated(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -108,7 +136,10 @@ def registry_compare(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def registry_invalid(spark: SparkSession, sf: str) -> DataFrame:
-    return registry.invalid(_consolidated(spark, sf)[0])
+    """Of both registries, those with most listings first."""
+    a, b, _ = _consolidated(spark, sf)
+    side = lambda df, name: registry.invalid(df).withColumn("origem", F.lit(name))
+    return side(a, "A").unionByName(side(b, "B"))
 
 
 def registry_totals(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,9 +147,19 @@ def registry_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def registry_report(spark: SparkSession, sf: str) -> DataFrame:
-    """The report's table of the licences of one registry alone: those with most listings first, then by licence."""
-    only = _consolidated(spark, sf)[2].filter("origem = 'A'").select("creci", "anunciante_a", "anuncios_a")
-    return registry.shown(only, [("anuncios_a", True), ("creci", False)])
+    """The report's five tables as one: the licences of either registry alone, those of both, and the invalid ones of each; those with most listings first."""
+    a, b, both = _consolidated(spark, sf)
+    out = None
+    for name, df, order in (
+        ("APENAS_A", both.filter("origem = 'A'").select("creci", F.col("anunciante_a").alias("anunciante"), F.col("anuncios_a").alias("anuncios")), "creci"),
+        ("APENAS_B", both.filter("origem = 'B'").select("creci", F.col("anunciante_b").alias("anunciante"), F.col("anuncios_b").alias("anuncios")), "creci"),
+        ("AMBOS", both.filter("origem = 'AMBOS'").select("creci", F.col("anunciante_a").alias("anunciante"), (F.col("anuncios_a") + F.col("anuncios_b")).alias("anuncios")), "creci"),
+        ("INVALIDOS_A", registry.invalid(a).select(F.lit("-").alias("creci"), "anunciante", "anuncios"), "anunciante"),
+        ("INVALIDOS_B", registry.invalid(b).select(F.lit("-").alias("creci"), "anunciante", "anuncios"), "anunciante"),
+    ):
+        part = registry.shown(df, [("anuncios", True), (order, False)]).withColumn("tabela", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _study_sql(where: str, value: str, keys: list[tuple[str, str, str]], zero: list[str], pattern: str = "", extra: str = "", drop: str = "") -> str:
@@ -143,7 +184,7 @@ _PATTERN = ", (SELECT CASE WHEN min(valor) >= 60000 THEN 'Alto Padrão' WHEN max
 _ROLES = f"""WITH {CONTRACT}, s AS (
   SELECT *, CASE WHEN venda_2 IS NULL THEN [venda_1] ELSE [venda_1, venda_2] END AS vend,
          CASE WHEN cap_2 IS NULL THEN [cap_1] ELSE [cap_1, cap_2] END AS cap,
-         CASE WHEN gerente_venda LIKE '%MANAGER 2%' OR gerente_venda LIKE '%MANAGER 5%' OR gerente_captacao LIKE '%MANAGER 2%' OR gerente_captacao LIKE '%MANAGER 5%' THEN 'PP' ELSE 'AC' END AS equipe
+         CASE WHEN gerente_venda LIKE '%MANAGER 2%' OR gerente_venda LIKE '%MANAGER 5%' OR gerente_captacao LIKE '%MANAGER 2%' OR gerente_captacao LIKE '%MANAGER 5%' THEN 'AC' ELSE 'PP' END AS equipe
   FROM contract
 ), side AS (
   SELECT contrato, equipe, 'CAP' AS lista, unnest(cap) AS nome, valor AS vgv, comissao / 2.0 / len(cap) AS vgc FROM s
@@ -151,6 +192,17 @@ _ROLES = f"""WITH {CONTRACT}, s AS (
 ), roles AS (
   SELECT * FROM side UNION ALL SELECT contrato, any_value(equipe), 'GERAL', nome, any_value(vgv), sum(vgc) FROM side GROUP BY contrato, nome
 )"""
+_LINES = f"""WITH {CONTRACT}, c AS (
+  SELECT contrato AS linha, valor, CASE WHEN contrato % 11 > 0 THEN comissao ELSE 0 END AS comissao, venda_1, venda_2, cap_1, cap_2,
+         CASE WHEN contrato % 7 = 0 THEN 'Contrato_' || contrato WHEN contrato % 5 = 0 THEN 'C' || (contrato // 25) ELSE CAST(contrato AS VARCHAR) END AS id
+  FROM contract
+), v AS (SELECT linha, unnest(list_distinct([venda_1, coalesce(venda_2, venda_1)])) AS corretor, comissao / 2.0 / len(list_distinct([venda_1, coalesce(venda_2, venda_1)])) AS vgc FROM c
+), k AS (SELECT linha, unnest(list_distinct([cap_1, coalesce(cap_2, cap_1)])) AS corretor, comissao / 2.0 / len(list_distinct([cap_1, coalesce(cap_2, cap_1)])) AS vgc FROM c
+), r AS (SELECT linha, corretor, sum(vgc) AS vgc FROM (FROM v UNION ALL FROM k) GROUP BY ALL
+), sums AS (SELECT corretor, sum(valor) AS vgv, sum(vgc) AS vgc FROM r JOIN c USING (linha) GROUP BY corretor
+), lines_of AS (
+  SELECT corretor, id AS contrato, arg_min(valor, linha) AS valor, sum(vgc) AS comissao, min(linha) AS linha FROM r JOIN c USING (linha) WHERE vgc > 0 GROUP BY corretor, id
+)"""
 _MANAGED = f"""WITH {CONTRACT}, paid AS (
   SELECT contrato, valor, comissao, 'VEND' AS lado, venda_1 AS corretor FROM contract WHERE pago_v1 > 0
   UNION SELECT contrato, valor, comissao, 'VEND', venda_2 FROM contract WHERE pago_v2 > 0
@@ -176,7 +228,7 @@ _REGISTRY = """WITH a0 AS (
   FROM a FULL JOIN b ON a.creci = b.creci
 )"""
 
-QUERIES = {f.__name__: f for f in (study_apt, study_apt_legacy, study_house, study_house_strict, study_tiers, study_pattern, rank_vgv, rank_vgc, rank_managers, rank_sections, manager_vgv_dim, manager_detail, manager_vgc_dim, broker_contracts, registry_compare, registry_invalid, registry_totals, registry_report)}
+QUERIES = {f.__name__: f for f in (study_apt, study_apt_legacy, study_house, study_house_strict, study_tiers, study_pattern, rank_vgv, rank_vgc, rank_managers, rank_sections, rank_month, manager_vgv_dim, manager_detail, manager_vgc_dim, broker_contracts, contract_lines, registry_compare, registry_invalid, registry_totals, registry_report)}
 ORACLE_SQL = {
     "study_apt": _study_sql("cidade = 'AMERICA' AND oferta IN ('VENDA', 'PUBLICADO')", "valor_m2", [*_APARTMENT_KEYS, _POSTCODE], _ZERO_APARTMENT),
     "study_apt_legacy": _study_sql("cidade = 'EUROPE'", "valor_m2", _LEGACY_KEYS, _ZERO_APARTMENT, drop=" WHERE nome NOT IN ('Bairro <NA>', 'Quadra <NA>')"),
@@ -190,9 +242,11 @@ ORACLE_SQL = {
     "manager_vgv_dim": f"{_MANAGED} SELECT lista, gerente, round(3e-6 + sum(valor), 2) AS vgv FROM detail GROUP BY ALL",
     "manager_detail": f"{_MANAGED} SELECT lista, gerente, corretor, round(3e-6 + valor, 2) AS valor FROM detail",
     "manager_vgc_dim": f"{_MANAGED}, one AS (SELECT DISTINCT contrato, comissao, lado, gerente FROM m), k AS (SELECT *, count(*) OVER (PARTITION BY contrato, lado) AS n FROM one), z AS (SELECT k.*, (SELECT count(DISTINCT lado) FROM one o WHERE o.contrato = k.contrato) AS lados FROM k), e AS (SELECT gerente, lado AS lista, CAST(comissao AS DOUBLE) / lados / n AS vgc FROM z) SELECT lista, gerente, round(3e-6 + sum(vgc), 2) AS vgc FROM (SELECT * FROM e UNION ALL SELECT gerente, 'GERAL', vgc FROM e) GROUP BY lista, gerente",
-    "broker_contracts": f"{_ROLES} SELECT nome AS corretor, CAST(sum(vgv) AS DOUBLE) AS vgv, round(3e-6 + sum(vgc), 2) AS vgc, count_if(vgc > 0) AS n_contratos, min(contrato) FILTER (vgc > 0) AS primeiro, max(contrato) FILTER (vgc > 0) AS ultimo FROM roles WHERE lista = 'GERAL' GROUP BY nome",
+    "rank_month": f"{_ROLES}, mes AS (SELECT roles.* FROM roles JOIN contract USING (contrato) WHERE data >= DATE '{MONTH[0]}' AND data <= DATE '{MONTH[1]}'), t AS (SELECT equipe, lista, nome, vgv, vgc FROM mes UNION ALL SELECT 'GERAL', lista, nome, vgv, vgc FROM mes), z AS (SELECT equipe, lista, nome, CAST(sum(vgv) AS DOUBLE) AS vgv, round(3e-6 + sum(vgc), 2) AS vgc FROM t GROUP BY ALL) SELECT *, row_number() OVER (PARTITION BY equipe, lista ORDER BY vgv DESC, nome) AS pos_vgv, row_number() OVER (PARTITION BY equipe, lista ORDER BY vgc DESC, nome) AS pos_vgc FROM z",
+    "broker_contracts": f"{_LINES} SELECT corretor, CAST(any_value(vgv) AS DOUBLE) AS vgv, round(3e-6 + any_value(vgc), 2) AS vgc, count(contrato) AS n_contratos, coalesce(string_agg(contrato || ':' || valor || ':' || format('{{:,.2f}}', floor((comissao + 3e-6) * 100 + 0.5) / 100), '|' ORDER BY linha), '') AS contratos FROM sums LEFT JOIN lines_of USING (corretor) GROUP BY corretor",
+    "contract_lines": f"{_LINES} SELECT corretor, contrato, CAST(valor AS DOUBLE) AS valor, round(3e-6 + comissao, 2) AS comissao FROM lines_of",
     "registry_compare": f"{_REGISTRY} SELECT * FROM f",
-    "registry_invalid": f"{_REGISTRY} SELECT anunciante, count(DISTINCT codigo) AS anuncios, count(*) AS linhas FROM a0 WHERE length(creci) < 4 GROUP BY anunciante",
-    "registry_report": f"{_REGISTRY}, o AS (SELECT creci, anunciante_a, anuncios_a, row_number() OVER (ORDER BY anuncios_a DESC, creci) AS linha FROM f WHERE origem = 'A') SELECT linha, creci, anunciante_a, CAST(anuncios_a AS VARCHAR) AS anuncios_a FROM o WHERE linha <= 40 UNION ALL SELECT 41, '... total de ' || count(*) || ' registros. Exibindo apenas os primeiros 40.', '', '' FROM o HAVING count(*) > 40",
+    "registry_invalid": f"{_REGISTRY} SELECT 'A' AS origem, anunciante, count(DISTINCT codigo) AS anuncios, count(*) AS linhas FROM a0 WHERE length(creci) < 4 GROUP BY anunciante UNION ALL SELECT 'B', anunciante, count(DISTINCT codigo), count(*) FROM b0 WHERE length(creci) < 4 GROUP BY anunciante",
+    "registry_report": f"{_REGISTRY}, t AS (SELECT 'APENAS_A' AS tabela, creci, anunciante_a AS anunciante, anuncios_a AS anuncios, creci AS k FROM f WHERE origem = 'A' UNION ALL SELECT 'APENAS_B', creci, anunciante_b, anuncios_b, creci FROM f WHERE origem = 'B' UNION ALL SELECT 'AMBOS', creci, anunciante_a, anuncios_a + anuncios_b, creci FROM f WHERE origem = 'AMBOS' UNION ALL SELECT 'INVALIDOS_A', '-', anunciante, count(DISTINCT codigo), anunciante FROM a0 WHERE length(creci) < 4 GROUP BY anunciante UNION ALL SELECT 'INVALIDOS_B', '-', anunciante, count(DISTINCT codigo), anunciante FROM b0 WHERE length(creci) < 4 GROUP BY anunciante), o AS (SELECT *, row_number() OVER (PARTITION BY tabela ORDER BY anuncios DESC, k NULLS LAST) AS linha FROM t) SELECT tabela, linha, creci, anunciante, CAST(anuncios AS VARCHAR) AS anuncios FROM o WHERE linha <= 40 UNION ALL SELECT tabela, 41, '... total de ' || count(*) || ' registros. Exibindo apenas os primeiros 40.', '', '' FROM o GROUP BY tabela HAVING count(*) > 40",
     "registry_totals": f"{_REGISTRY} SELECT 'linhas_a' AS medida, count(*) AS total FROM a0 UNION ALL SELECT 'validas_a', coalesce(count_if(length(creci) >= 4), 0) FROM a0 UNION ALL SELECT 'invalidas_a', coalesce(count_if(length(creci) < 4), 0) FROM a0 UNION ALL SELECT 'linhas_b', count(*) FROM b0 UNION ALL SELECT 'validas_b', coalesce(count_if(length(creci) >= 4), 0) FROM b0 UNION ALL SELECT 'invalidas_b', coalesce(count_if(length(creci) < 4), 0) FROM b0 UNION ALL SELECT 'creci_a', coalesce(count_if(origem = 'A'), 0) FROM f UNION ALL SELECT 'creci_b', coalesce(count_if(origem = 'B'), 0) FROM f UNION ALL SELECT 'creci_ambos', coalesce(count_if(origem = 'AMBOS'), 0) FROM f",
 }

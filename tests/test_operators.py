@@ -29,6 +29,33 @@ def test_commission_of_sides_is_general(spark):
     assert sums["CAP"] + sums["VEND"] == pytest.approx(sums["GERAL"]) == pytest.approx(9.0)
 
 
+def test_teams_of_contracts_and_people(spark):
+    """A special manager's contract is the team AC's, all others are PP's; who is excepted goes from AC to PP."""
+    rows = [("d", "v", "HELENA BRAGA", "OUTRO", 100.0, 6.0), ("x", "v", "OUTRO", "-", 50.0, 3.0), ("d", "x", "NINGUEM", "HELENA", 10.0, 1.0)]
+    df = spark.createDataFrame(rows, "v1 string, c1 string, gv string, gc string, valor double, com double").withColumn("equipe", awards.team(["gv", "gc"], ("HELENA",)))
+    roles = awards.role_rows(awards.sides(df, ["v1"], ["c1"]), "valor", "com", ("equipe",)).withColumn("equipe", awards.moved("equipe", "nome", ("X",)))
+    sums = {(r["secao"], r["nome"]): (r["pos"], r["valor"]) for r in awards.sections(awards.ranking(roles, ("equipe", "lista"))).collect()}
+    assert {k: v for k, v in sums.items() if k[0].endswith("VGV_GERAL")} == {("AC_VGV_GERAL", "D"): (1, 110.0), ("AC_VGV_GERAL", "V"): (2, 100.0), ("PP_VGV_GERAL", "X"): (1, 60.0), ("PP_VGV_GERAL", "V"): (2, 50.0)}
+
+
+def test_contracts_of_brokers(spark):
+    rows = [(1, " A1 ", "d", "v", 100.0, 6.0), (2, "", "d", None, 50.0, 3.0), (3, "A1", "d", "d", 70.0, 2.0), (4, None, "d", None, 30.0, 0.0), (5, "B", None, "d", 20.0, 1.0)]
+    df = spark.createDataFrame(rows, "linha long, contrato string, v1 string, c1 string, valor double, com double").withColumn("valor", F.col("valor").cast("decimal(18,2)"))
+    df = awards.sides(awards.with_contract_id(df, "contrato", "linha"), ["v1"], ["c1"])
+    roles = awards.role_rows(df, "valor", "com", ("contrato", "linha")).filter("lista = 'GERAL'")
+    out = {r["corretor"]: r for r in awards.broker_contracts(roles, "linha").collect()}
+    assert float(out["D"]["vgv"]) == 270.0
+    assert out["D"]["vgc"] == 9.0
+    assert [(c["contrato"], float(c["valor"]), c["comissao"]) for c in out["D"]["contratos"]] == [("A1", 100.0, 5.0), ("Contrato_2", 50.0, 3.0), ("B", 20.0, 1.0)]
+    assert [c["contrato"] for c in out["V"]["contratos"]] == ["A1"]
+
+
+def test_contracts_of_a_month(spark):
+    df = spark.createDataFrame([("2026-02-01",), ("28/02/2026",), ("28/02/2026 10:30",), ("2026-03-01",), (None,), ("soon",)], "d string")
+    assert awards.in_month(df, "d", "2026-02-01", "2026-02-28").count() == 3
+    assert awards.in_month(df, "d", "2026-02-01", "2026-02-28", midnight=True).count() == 2
+
+
 def test_upsert_twice_is_once(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
