@@ -11,6 +11,7 @@ Values are read several times, so the group's columns and the values are kept on
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -55,16 +56,29 @@ def _holding(counts: DataFrame, within: list[str], order: str, ranks: Column) ->
     return counts.withColumn("__at", moved).filter(F.size("__at") > 0).drop("__before", "__ranks")
 
 
-def quantiles(df: DataFrame, by: list[str], value: str, shares: tuple[float, ...], gather: int = GATHER) -> DataFrame:
+def quantiles(df: DataFrame, by: list[str], value: str, shares: tuple[float, ...], gather: int = GATHER, spread: tuple[str, Callable[[Column], Column]] | None = None, keep: bool = True) -> DataFrame:
     """(group columns, ``q``: the quantiles, ``n``: values, ``rows``), a row for each group, null groups too.
 
     Quantiles are those of ``percentile``: between two values they are on the line. Nulls are rows but no values; a
     group without values has a null ``q``; an empty table has no groups (one with n = 0 if ``by`` is empty).
+
+    ``spread`` (name, function) makes groups of panes, such as months: ``name`` is one of ``by``, and of a pane the
+    function gives an array, of that column's kind, with the groups that it belongs to. With ``keep`` false, ``df`` is
+    read in each pass: where it is a kept table itself. Panes are counted once; their counts add up to those of the
+    groups, and only values in a range that is looked at are taken once for each group.
     """
     keys = [f"__k{i}" for i in range(len(by))] or ["__k0"]
     own = [F.col(c).alias(k) for c, k in zip(by, keys, strict=True)] if by else [F.lit(0).alias("__k0")]
-    rows = kept(df.select(*own, F.col(value).cast("double").alias("__v")))
-    first = _counted(rows, keys, _by_size(F.col("__v")))
+    pane = keys[by.index(spread[0])] if spread else None
+    rows = df.select(*own, F.col(value).cast("double").alias("__v"))
+    rows = kept(rows) if keep else rows
+    grouped = lambda t: t
+    if spread:
+        targets = kept(rows.select(F.col(pane).alias("__pane")).distinct().select("__pane", F.explode(spread[1](F.col("__pane"))).alias("__group")))
+        grouped = lambda t: t.join(targets, F.col(pane).eqNullSafe(F.col("__pane"))).withColumn(pane, F.col("__group")).drop("__pane", "__group")
+    first = grouped(_counted(rows, keys, _by_size(F.col("__v"))))
+    if spread:
+        first = first.groupBy(*keys, "__part").agg(F.sum("__c").alias("__c"), F.min("__low").alias("__low"), F.max("__high").alias("__high"))
     some = Window.partitionBy(*keys)
     first = first.withColumns({"__n": F.sum(F.when(F.col("__part").isNotNull(), F.col("__c")).otherwise(0)).over(some), "__rows": F.sum("__c").over(some)})
     first = kept(first)
@@ -72,21 +86,34 @@ def quantiles(df: DataFrame, by: list[str], value: str, shares: tuple[float, ...
     asked = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(x), F.ceil(x)) for x in place])))
     state = _holding(first.filter("__part is not null"), keys, "__part", F.transform(asked, lambda k: F.struct(k.alias("rank"), k.alias("at"))))
     state = kept(state.select(*keys, "__c", "__low", "__high", "__at"))
-    while not (wide := state.filter((F.col("__c") > gather) & (F.col("__low") < F.col("__high")))).isEmpty():
+
+    def within(ranges: DataFrame) -> DataFrame:
+        """The values that lie in one of the ranges (keys, __from, __to)."""
+        named = ranges.select(*[F.col(k).alias(f"{k}_") for k in keys], "__from", "__to")
+        if spread:  # a group's range is looked up in all its panes
+            named = named.join(targets, F.col(f"{pane}_").eqNullSafe(F.col("__group")))
+        on = [("__pane" if k == pane else f"{k}_") for k in keys]
+        met = rows.join(named, _same(keys, on) & F.col("__v").between(F.col("__from"), F.col("__to")))
+        return met.withColumn(pane, F.col(f"{pane}_")) if spread else met
+
+    def ranked(counts: DataFrame, ranges: DataFrame, order: str) -> DataFrame:
+        """Counts within ranges with the ranks that are looked for there."""
         span = [*keys, "__from", "__to"]
-        ranges = wide.select(*[F.col(k).alias(f"{k}_") for k in keys], F.col("__low").alias("__from"), F.col("__high").alias("__to"), "__at")
-        inside = rows.join(ranges.drop("__at"), _same(keys, [f"{k}_" for k in keys]) & F.col("__v").between(F.col("__from"), F.col("__to")))
-        parts = _counted(inside, span, _part(F.col("__v"), F.col("__from"), F.col("__to")))
-        parts = parts.join(ranges.withColumnsRenamed({"__from": "__from_", "__to": "__to_"}), _same(span, [f"{k}_" for k in span]))
-        finer = _holding(parts.withColumnRenamed("__at", "__was"), span, "__part", F.col("__was"))
+        named = ranges.select(*[F.col(k).alias(f"{k}_") for k in span], F.col("__at").alias("__was"))
+        return _holding(counts.join(named, _same(span, [f"{k}_" for k in span])), span, order, F.col("__was"))
+
+    def as_ranges(rows_of: DataFrame) -> DataFrame:
+        return rows_of.select(*keys, F.col("__low").alias("__from"), F.col("__high").alias("__to"), "__at")
+
+    while not (wide := state.filter((F.col("__c") > gather) & (F.col("__low") < F.col("__high")))).isEmpty():
+        ranges = as_ranges(wide)
+        finer = ranked(_counted(within(ranges), [*keys, "__from", "__to"], _part(F.col("__v"), F.col("__from"), F.col("__to"))), ranges, "__part")
         rest = state.filter((F.col("__c") <= gather) | (F.col("__low") == F.col("__high")))
         state = kept(rest.unionByName(finer.select(*keys, "__c", "__low", "__high", "__at")))
     single = state.filter("__low = __high").select(*keys, F.explode("__at").alias("x"), F.col("__low").alias("__v")).select(*keys, "x.rank", "__v")
-    ranges = state.filter("__low < __high").select(*[F.col(k).alias(f"{k}_") for k in keys], "__low", "__high", F.col("__at").alias("__was"))
-    inside = rows.join(ranges.drop("__was"), _same(keys, [f"{k}_" for k in keys]) & F.col("__v").between(F.col("__low"), F.col("__high")))
-    values = inside.groupBy(*keys, "__low", "__high", "__v").agg(F.count(F.lit(1)).alias("__c"))
-    values = values.join(ranges.withColumnsRenamed({"__low": "__low_", "__high": "__high_"}), _same([*keys, "__low", "__high"], [*[f"{k}_" for k in keys], "__low_", "__high_"]))
-    read = _holding(values, [*keys, "__low", "__high"], "__v", F.col("__was")).select(*keys, F.explode("__at").alias("x"), "__v").select(*keys, "x.rank", "__v")
+    ranges = as_ranges(state.filter("__low < __high"))
+    values = within(ranges).groupBy(*keys, "__from", "__to", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    read = ranked(values, ranges, "__v").select(*keys, F.explode("__at").alias("x"), "__v").select(*keys, "x.rank", "__v")
     # at most two ranks for each share
     found = single.unionByName(read).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rank", "__v"))).alias("__of"))
     found = found.select(*[F.col(k).alias(f"{k}_") for k in keys], "__of")

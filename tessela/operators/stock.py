@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessela.functions.text import first_text, fold
+from tessela.functions.text import code, first_text, fold
 
 #: Situations in which a listing is still offered, and type ids that are not homes.
 AVAILABLE = ("VAGO/DISPONIVEL", "VAGO / DISPONIVEL", "VAGO", "DISPONIVEL")
@@ -24,22 +24,37 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
 
 
-def appended(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """The target and those rows of the source whose keys it doesn't have."""
-    return target.unionByName(source.join(target.select(*keys).distinct(), keys, "left_anti"))
+def of_these_days(facts: DataFrame, batch: DataFrame, day: str) -> DataFrame:
+    """The facts of the days that a batch spans, as a filter on the scan: of a table kept by day only these folders are read.
+
+    The span is one row. A batch without any day spans none, since facts without one equal nothing.
+    """
+    span = batch.agg(F.min(day).alias("a"), F.max(day).alias("b")).first()
+    return facts.filter(F.lit(False) if span["a"] is None else F.col(day).between(F.lit(span["a"]), F.lit(span["b"])))
+
+
+def appended(target: DataFrame, source: DataFrame, keys: list[str], day: str | None = None) -> DataFrame:
+    """The target and those rows of the source whose keys it doesn't have. With ``day``, one of the keys, only facts of the source's days are compared."""
+    known = target if day is None else of_these_days(target, source, day)
+    return target.unionByName(source.join(known.select(*keys).distinct(), keys, "left_anti"))
+
+
+def in_ranges(df: DataFrame, order: str, parts: int = 64) -> DataFrame:
+    """Adds ``__part``: ranges of about equally many rows, in order; their ends are quantiles of ``order``, to 1 / 10,000 of the rows."""
+    ends = df.agg(F.percentile_approx(order, [k / parts for k in range(1, parts)], F.lit(10_000)).alias("__ends"))
+    return df.join(ends, F.lit(True)).withColumn("__part", F.size(F.filter("__ends", lambda e: e < F.col(order)))).drop("__ends")
 
 
 def new_keys(names: DataFrame, name: str, order: str, dim: DataFrame, dim_name: str, dim_id: str, prefix: str = "B", parts: int = 64) -> DataFrame:
     """The dimension with unseen names, numbered on from its largest key in the order of their first row.
 
-    Names are numbered within ranges of their first row, and ranges moved up by what lies before them, so no task gets
-    all names.
+    Names are numbered within ranges of their first row that hold about equally many names each, however these crowd,
+    and ranges are moved up by what lies before them, so no task gets all names.
     """
     known = dim.select(fold(F.col(dim_name)).alias("__name"))
     fresh = names.withColumn("__name", fold(F.col(name))).filter("__name <> ''").join(known, "__name", "left_anti")
     fresh = fresh.groupBy("__name").agg(F.min_by(name, order).alias(dim_name), F.min(order).alias("__first"))
-    ends = fresh.agg(F.min("__first").alias("__low"), F.max("__first").alias("__high"))
-    ranged = fresh.join(ends, F.lit(True)).withColumn("__part", F.floor((F.col("__first") - F.col("__low")) * parts / (F.col("__high") - F.col("__low") + 1)))
+    ranged = in_ranges(fresh, "__first", parts)
     sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__k"))
     before = sizes.select("__part", F.coalesce(F.sum("__k").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     rank = F.row_number().over(Window.partitionBy("__part").orderBy("__first", "__name"))
@@ -64,13 +79,35 @@ def exit_reason(*columns: Column, default: str = "NAO INFORMADO") -> Column:
     return first_text(*columns, default=default)
 
 
-def exits(feed: DataFrame, facts: DataFrame, captures: DataFrame, keys: list[str], columns: list[str], distinct: bool = False) -> DataFrame:
-    """Exits that the fact table doesn't have, with the latest capture's columns ("" where there is none)."""
-    fresh = feed.join(facts.select(*keys).distinct(), keys, "left_anti")
+def exits(feed: DataFrame, facts: DataFrame, captures: DataFrame, keys: list[str], columns: list[str], distinct: bool = False, day: str | None = None) -> DataFrame:
+    """Exits that the fact table doesn't have, with the latest capture's columns ("" where there is none). With ``day``, one of the keys, only facts of the feed's days are compared."""
+    known = facts if day is None else of_these_days(facts, feed, day)
+    fresh = feed.join(known.select(*keys).distinct(), keys, "left_anti")
     fresh = fresh.dropDuplicates(keys) if distinct else fresh
     return fresh.join(captures, keys[0], "left").na.fill("", columns)
 
 
+#: The columns of the exit facts.
+EXIT_FACT = ("Codigo", "Captador1", "Captador2", "Captador3", "Gerente", "Motivo", "DataSaida")
+
+
+def exit_facts(feed: DataFrame, facts: DataFrame, captures: DataFrame, order: str, run_day: str, default: str = "NAO INFORMADO") -> DataFrame:
+    """The rows that a feed adds to the exit facts, in their columns.
+
+    ``feed``: Codigo and, where there are such, Situacao, Motivo and DataSaida; listings that are still offered and rows
+    without code are left out. The reason is the feed's, else the situation, else the default; the day is the feed's,
+    of a feed without days that of the run. ``captures``: Codigo, Captador1 to 3, Gerente and DataEntrada; the latest
+    counts, by ``order`` of equal days. A batch's own repeats stay.
+    """
+    given = lambda c: F.col(c) if c in feed.columns else F.lit(None).cast("string")
+    feed = feed.filter(has_left(given("Situacao"))).withColumn("Codigo", code(F.col("Codigo"))).filter(F.coalesce("Codigo", F.lit("")) != "")
+    day = F.col("DataSaida").cast("date") if "DataSaida" in feed.columns else F.lit(run_day).cast("date")
+    feed = feed.select("Codigo", exit_reason(given("Motivo"), given("Situacao"), default=default).alias("Motivo"), day.alias("DataSaida"))
+    brokers = list(EXIT_FACT[1:5])
+    last = latest(captures.withColumn("Codigo", code(F.col("Codigo"))).filter("Codigo <> ''"), "Codigo", "DataEntrada", order, brokers)
+    return exits(feed, facts.withColumn("Codigo", code(F.col("Codigo"))), last, ["Codigo", "DataSaida"], brokers, day="DataSaida").select(*EXIT_FACT)
+
+
 def is_home(type_id: Column) -> Column:
     """Unknown types count as homes."""
     return F.coalesce(~F.upper(type_id).isin(*NOT_HOMES), F.lit(True))

@@ -11,7 +11,7 @@ from tessela.functions.numbers import rounded
 from tessela.functions.text import strip, upper_or_null
 from tessela.operators.quality import offered, offered_where_found, wanted, without_outliers
 from tessela.operators.segments import AREA_APARTMENT, AREA_HOUSE, ROOMS_APARTMENT, ROOMS_HOUSE, band_right, grouped_by_sets, luxury, parking
-from tessela.operators.tiers import fit_centres, nearest, pick_three
+from tessela.operators.tiers import best_clusters, pick_three
 from tessela.sources.schema import column
 
 
@@ -112,20 +112,30 @@ def groups(df: DataFrame, study: Study, data_ref: str | None = None) -> DataFram
     return out.withColumn("data", F.lit(data_ref).cast("date"))
 
 
-def tier_rows(df: DataFrame, data_ref: str | None = None, least_rows: int = 9, seeds: tuple[int, ...] = tuple(range(42, 52))) -> DataFrame:
-    """(nome, vaga, valor, amostra, data): the three tiers of each parking group, picked of nine clusters of its values.
+def tier_rows(df: DataFrame, data_ref: str | None = None, least_rows: int = 9) -> DataFrame:
+    """(nome, vaga, valor, amostra, data): the three tiers of each parking group, picked of the nine best clusters of its values.
 
     A parking group with fewer than ``least_rows`` rows has no tiers.
     """
-    out = df.sparkSession.createDataFrame([], "nome string, vaga string, valor double, amostra long")
-    for vaga in PARKING:
-        rows = df.filter(F.col("vaga") == vaga).select("vaga", "valor")
-        centres = fit_centres(rows, ["valor"], seeds=seeds, least_rows=least_rows)
-        if centres is None:
-            continue
-        means = nearest(rows, centres, ["valor"]).groupBy("vaga", "cluster").agg(F.avg("valor").alias("media"), F.count(F.lit(1)).alias("amostra"))
-        out = out.unionByName(pick_three(means, ["vaga"]).select(F.col("cluster_nome").alias("nome"), "vaga", rounded("media").alias("valor"), "amostra"))
-    return out.withColumn("data", F.lit(data_ref).cast("date"))
+    picked = pick_three(best_clusters(df, "valor", ["vaga"], least_rows=least_rows), ["vaga"])
+    return picked.select(F.col("cluster_nome").alias("nome"), "vaga", rounded("media").alias("valor"), "amostra", F.lit(data_ref).cast("date").alias("data"))
+
+
+def results(df: DataFrame, study: Study, data_ref: str | None = None) -> DataFrame:
+    """All rows of a study: its tiers and its groups, with ``padrao`` if the study has one; ``estudo`` names it."""
+    rows = selected(df, study, data_ref)
+    out = tier_rows(rows, data_ref).unionByName(groups(rows, study, data_ref))
+    out = with_pattern(out, rows, study.padrao) if study.padrao else out.withColumn("padrao", F.lit(None).cast("string"))
+    return out.withColumn("estudo", F.lit(f"{study.name} ({study.kind})"))
+
+
+def all_results(df: DataFrame, studies: tuple[Study, ...] = CATALOGUE, data_ref: str | None = None) -> DataFrame:
+    """The studies of a catalogue as one table; one without rows has none."""
+    out = None
+    for study in studies:
+        part = results(df, study, data_ref)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def with_pattern(results: DataFrame, df: DataFrame, default: str, limit: float | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -32,6 +34,66 @@ def fit_centres(df: DataFrame, columns: list[str], k: int = 9, seeds: tuple[int,
     return df.sparkSession.createDataFrame(out, ", ".join(["cluster int", *(f"{c} double" for c in columns), *(f"{c}_scale double" for c in columns)]))
 
 
+def _optimum(values: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
+    """Where the clusters of the least sum of squares begin, of sorted distinct values with weights; at most ``k``, all values in order.
+
+    Row by row of the dynamic program over the number of clusters. Where the best last cluster of a value begins only
+    moves up with the value, so rows are filled by halves: the values in the middle of what is known bound the others.
+    """
+    n = len(values)
+    k = min(k, n)
+    mean = np.average(values, weights=weights)
+    x = values - mean
+    w, s, q = (np.r_[0.0, np.cumsum(weights * y)] for y in (np.ones(n), x, x * x))
+    cost = lambda i, j: np.maximum(q[j] - q[i] - (s[j] - s[i]) ** 2 / np.maximum(w[j] - w[i], 1e-300), 0.0)  # of values i to j - 1
+    best = cost(np.zeros(n + 1, np.int64), np.arange(n + 1))
+    begins = np.zeros((k, n + 1), dtype=np.int64)
+    for m in range(1, k):
+        row, at = np.full(n + 1, np.inf), begins[m]
+        lo, hi, first, last = (np.array([v]) for v in (m + 1, n, m, n - 1))  # values lo to hi begin their last cluster at first to last
+        while len(lo):
+            mid = (lo + hi) // 2
+            ends = np.minimum(last, mid - 1)
+            size = ends - first + 1
+            start = np.r_[0, np.cumsum(size)[:-1]]
+            i = np.arange(size.sum()) - np.repeat(start, size) + np.repeat(first, size)
+            c = best[i] + cost(i, np.repeat(mid, size))
+            row[mid] = np.minimum.reduceat(c, start)
+            hit = np.flatnonzero(c == np.repeat(row[mid], size))
+            at[mid] = i[hit[np.searchsorted(hit, start)]]
+            left, right = lo < mid, mid < hi
+            lo, hi, first, last = np.r_[lo[left], mid[right] + 1], np.r_[mid[left] - 1, hi[right]], np.r_[first[left], at[mid][right]], np.r_[at[mid][left], last[right]]
+        best = row
+    out, j = [], n
+    for m in range(k - 1, -1, -1):
+        j = int(begins[m][j]) if m else 0
+        out.append(j)
+    return np.array(out[::-1])
+
+
+def best_clusters(df: DataFrame, value: str, by: list[str], k: int = 9, least_rows: int = 9) -> DataFrame:
+    """(group columns, cluster, media, amostra, menor, maior): the k clusters of a column's values with the least sum of squares, numbered in rising order.
+
+    Exact: of values on a line clusters are ranges, and the best ranges come from the counts of the distinct values. These
+    are counted before they meet, so a task gets a row for each distinct value of a group, however many rows have it.
+    Groups of fewer than ``least_rows`` values have no clusters, those of fewer than k distinct ones a cluster for each.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    schema = ", ".join([*(f"{c} {df.schema[c].dataType.simpleString()}" for c in by), "cluster int, media double, amostra long, menor double, maior double"])
+
+    def clustered(key: tuple, table: pa.Table) -> pa.Table:
+        v, n = (table.column(c).to_numpy() for c in ("__v", "__n"))
+        order = np.argsort(v)
+        v, n = v[order], n[order]
+        at = _optimum(v, n, k) if n.sum() >= least_rows else np.zeros(0, np.int64)
+        total = lambda x: np.add.reduceat(x, at) if len(at) else x[:0]
+        ends = np.r_[at[1:], len(v)] - 1 if len(at) else at
+        own = {c: pa.repeat(x, len(at)) for c, x in zip(by, key, strict=True)}
+        return pa.table(own | {"cluster": pa.array(np.arange(len(at)), pa.int32()), "media": pa.array(total(v * n) / total(n)), "amostra": pa.array(total(n)), "menor": pa.array(v[at]), "maior": pa.array(v[ends])})
+
+    return counts.groupBy(*by).applyInArrow(clustered, schema)
+
+
 def tier_of_centres(centres: DataFrame, by: str, tiers: tuple[str, ...] = TIERS) -> DataFrame:
     """Adds the tier: centres (the means of their clusters) in order of ``by``, three to a tier, all further ones in the last."""
     rank = F.row_number().over(Window.orderBy(by, "cluster")) - 1

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tessela.functions.numbers import rounded
 from tessela.functions.dates import month
-from tessela.operators import quality, segments, tiers, windows
-from tessela.plans.views import CLEANED, LISTING, TIE, cleaned, valued
+from tessela.operators import monthly, quality, segments, tiers, windows
+from tessela.plans.views import CLEANED, LIMITS, LISTING, TIE, cleaned, valued
+from tessela.sources import sinks
+from tessela.sources.kept import folder
 
 METRICS = "count(*) AS amostra, round(avg(valor_m2), 4) AS m2_medio, round(quantile_cont(valor_m2, 0.5), 4) AS m2_mediana, round(avg(preco), 4) AS preco_medio, round(avg(area_util), 4) AS area_media"
 SUMMARY = "count(*) AS n, round(avg(valor_m2), 4) AS m2_medio, round(quantile_cont(valor_m2, 0.5), 4) AS m2_mediana, round(quantile_cont(valor_m2, 0.1), 4) AS m2_p10, round(quantile_cont(valor_m2, 0.9), 4) AS m2_p90, round(avg(preco), 4) AS preco_medio, round(quantile_cont(preco, 0.5), 4) AS preco_mediana, round(avg(area_util), 4) AS area_media, round(quantile_cont(area_util, 0.5), 4) AS area_mediana"
@@ -22,7 +24,7 @@ def _centres(spark: SparkSession) -> DataFrame:
 
 
 def _tiered(spark: SparkSession, sf: str) -> DataFrame:
-    df = cleaned(spark, sf).withColumn("metragem_fx", segments.band_left(F.col("area_util"), segments.AREA_LEFT, segments.AREA_LEFT_END))
+    df = cleaned(spark, sf).withColumn("metragem_fx", segments.band_left(F.col("area_util") * 25, segments.AREA_LEFT, segments.AREA_LEFT_END))
     return tiers.assign(df, _centres(spark), ["valor_m2", "area_util"])
 
 
@@ -79,12 +81,32 @@ def boxplot_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def window_3m(spark: SparkSession, sf: str) -> DataFrame:
-    """Windows that end in a month that has rows: rows of a window's own month tell so."""
-    rows = windows.into_windows(cleaned(spark, sf), "data_coleta")
-    own = F.count_if(F.col("mes_ref") == F.col("mes_alvo"))
-    out = rows.groupBy("mes_alvo", "vaga_cat").agg(*segments.bundle(), own.alias("own"))
-    out = out.withColumn("own", F.sum("own").over(Window.partitionBy("mes_alvo"))).filter("own > 0").drop("own")
-    return windows.with_span(out)
+    """Windows that end in a month that has rows."""
+    return windows.with_span(windows.sliding_bundle(cleaned(spark, sf), ["vaga_cat"]))
+
+
+#: Months that the job is run for, and those that it is run for again.
+MONTHS, AGAIN = ("1996-03", "1996-04", "1996-06"), ("1996-06", "1996-07")
+
+
+def _monthly(spark: SparkSession, sf: str, months: tuple[str, ...], oferta: str = "VENDA", only: bool = False) -> DataFrame:
+    rows = valued(spark, sf).withColumn("area_util", F.col("area_util") * 25).withColumn("valor_m2", F.col("preco") * 25 / F.col("area_util"))
+    rows = rows.filter(F.col("oferta") == oferta) if only else rows
+    limits = {"preco": LIMITS["preco"], "valor_m2": LIMITS["valor_m2"], "area_util": (50, 1250)}
+    return monthly.window_metrics(monthly.loaded(rows, months, oferta, limits, TIE), months, "TODOS", oferta, _centres(spark))
+
+
+def monthly_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The job of some months, all districts at once; areas times 25, so that all bands occur."""
+    return _monthly(spark, sf, MONTHS)
+
+
+def metrics_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """The metrics table after two runs: of sales alone, and of all that is offered for some months more."""
+    path = folder(spark)
+    for df in (_monthly(spark, sf, MONTHS, only=True), _monthly(spark, sf, AGAIN)):
+        sinks.upsert_metrics(df.withColumn("gerado_em", F.lit("1996-08-01 00:00:00")), path)
+    return sinks.metrics(spark, path).drop("gerado_em")
 
 
 def unit_scale(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,6 +174,14 @@ def scatter_points(spark: SparkSession, sf: str) -> DataFrame:
     return _tiered(spark, sf).select("codigo", "data_coleta", "area_util", rounded("valor_m2").alias("valor_m2"), "cluster_nome")
 
 
+def cluster_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Clusters with their metrics and proxy price, tiers given by the clusters' own means; places are in the order of the means."""
+    rows = tiers.nearest(cleaned(spark, sf), _centres(spark).drop("cluster_nome"), ["valor_m2", "area_util"])
+    means = rows.groupBy("cluster").agg(*segments.bundle(), F.avg("valor_m2").alias("valor_m2"), rounded(F.percentile("valor_m2", 0.5) * F.avg("area_util"), 3).alias("preco_proxy"))
+    out = tiers.tier_of_centres(means, "valor_m2")
+    return out.withColumn("linha", F.row_number().over(Window.orderBy("valor_m2"))).drop("valor_m2").orderBy("linha")
+
+
 def sanity_totals(spark: SparkSession, sf: str) -> DataFrame:
     """Rows, sum, mean and median of the price of each file."""
     return valued(spark, sf).groupBy("mes_ref").agg(F.count(F.lit(1)).alias("n"), rounded(F.sum("preco"), 2, 1e-5).alias("soma"), rounded(F.avg("preco")).alias("media"), rounded(F.percentile("preco", 0.5)).alias("mediana"))
@@ -184,13 +214,19 @@ def _iqr_sql(value: str, by: str, where: str) -> str:
     return f"q AS (SELECT *, quantile_cont({value}, 0.25) OVER ({on}) AS q1, quantile_cont({value}, 0.75) OVER ({on}) AS q3, count(*) OVER ({on}) AS g FROM valued), kept AS (SELECT * FROM q WHERE {where} {value} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))"
 
 
-_TIERED = f""", centres AS (
+_LEFT = "CASE WHEN {c} < 0 OR {c} >= 10000000 THEN '' WHEN {c} < 75 THEN '<75' WHEN {c} < 90 THEN '75-90' WHEN {c} < 130 THEN '90-130' WHEN {c} < 160 THEN '130-160' WHEN {c} < 200 THEN '160-200' WHEN {c} < 400 THEN '200-400' WHEN {c} < 600 THEN '400-600' WHEN {c} < 800 THEN '600-800' WHEN {c} < 1000 THEN '800-1000' ELSE '>1000' END"
+
+
+_TIES = "l_partkey, l_suppkey, preco, area_util, l_tax, l_discount, data_coleta"
+_TIES_DOWN = "l_partkey DESC, l_suppkey DESC, preco DESC, area_util DESC, l_tax DESC, l_discount DESC, data_coleta DESC"
+_CENTRES = """centres AS (
   SELECT i AS cluster, 400.0 + 1100.0 * i AS cm, 45.0 - 5.0 * i AS ca,
          CASE i // 3 WHEN 0 THEN '01 - Original' WHEN 1 THEN '02 - Semi-Reformado' ELSE '03 - Reformado' END AS nome
   FROM range(9) t(i)
-), tiered AS (
+)"""
+_TIERED = f""", {_CENTRES}, tiered AS (
   SELECT c.*, (SELECT arg_min(nome, pow((valor_m2 - cm) / 2000.0, 2) + pow((area_util - ca) / 15.0, 2)) FROM centres) AS cluster_nome,
-         '<75' AS metragem_fx
+         {_LEFT.format(c="(area_util * 25)")} AS metragem_fx
   FROM cleaned c
 )"""
 
@@ -199,17 +235,42 @@ def _segment(name: str, key: str | None, cluster: str = "''", rooms: str = "-1",
     return f"SELECT bairro, mes_ref, vaga_cat, '{name}' AS segmento, {cluster} AS cluster_nome, {rooms} AS quartos, {band} AS metragem_fx, {block} AS quadra, {METRICS} FROM tiered WHERE {where} GROUP BY bairro, mes_ref, vaga_cat{', ' + key if key else ''} HAVING count(*) >= 3"
 
 
-_LEFT = "CASE WHEN {c} < 0 OR {c} >= 10000000 THEN '' WHEN {c} < 75 THEN '<75' WHEN {c} < 90 THEN '75-90' WHEN {c} < 130 THEN '90-130' WHEN {c} < 160 THEN '130-160' WHEN {c} < 200 THEN '160-200' WHEN {c} < 400 THEN '200-400' WHEN {c} < 600 THEN '400-600' WHEN {c} < 800 THEN '600-800' WHEN {c} < 1000 THEN '800-1000' ELSE '>1000' END"
 APARTMENT_SQL = "CASE WHEN {c} < 0 THEN NULL WHEN {c} <= 50 THEN '<50' WHEN {c} <= 75 THEN '50-75' WHEN {c} <= 90 THEN '75-90' WHEN {c} <= 130 THEN '90-130' WHEN {c} <= 160 THEN '130-160' WHEN {c} <= 200 THEN '160-200' ELSE '>200' END"
 HOUSE_SQL = "CASE WHEN {c} < 0 THEN NULL WHEN {c} <= 400 THEN '<400' WHEN {c} <= 600 THEN '400-600' WHEN {c} <= 800 THEN '600-800' WHEN {c} <= 1000 THEN '800-1000' ELSE '>1000' END"
 ROOMS_APARTMENT_SQL = "CASE WHEN quartos < 0 THEN NULL WHEN quartos <= 1 THEN '1' WHEN quartos <= 2 THEN '2' WHEN quartos <= 3 THEN '3' WHEN quartos <= 4 THEN '4' ELSE '+5' END"
 ROOMS_HOUSE_SQL = "CASE WHEN quartos < 0 THEN NULL WHEN quartos <= 4 THEN 'Até 4' ELSE '5 ou mais' END"
 _RIGHT = f"concat_ws('|', CASE WHEN area_util > 1 THEN {APARTMENT_SQL.format(c='(area_util - 1) * 5')} END, {HOUSE_SQL.format(c='(area_util - 1) * 25')}, {ROOMS_APARTMENT_SQL}, {ROOMS_HOUSE_SQL})"
 
-QUERIES = {f.__name__: f for f in (metrics_geral, metrics_long, iqr_filter, iqr_by_parking, iqr_no_guard, summary_stats, summary_by_rooms_parking, month_trend, daily_trend, mom_change, boxplot_stats, window_3m, unit_scale, fixed_centres_assign, cluster_pivot, pick3, bands_left_closed, bands_right_closed, bands_zero_fill, kmeans_tiers, luxury_tiers, scatter_points, sanity_totals, dedupe_fallback, dedupe_first, dedupe_last, distinct_on)}
+def _monthly_sql(name: str, months: tuple[str, ...], only: bool) -> str:
+    """CTEs of which ``name`` has the job's rows."""
+    offers = "('VENDA')" if only else "('VENDA', 'PUBLICADO')"
+    first, last = min(months), max(months)
+    parts = " UNION ALL ".join(
+        f"SELECT bairro, mes_ref, '{segment}_VAGA' AS segmento, vaga_cat, {own['cluster_nome']} AS cluster_nome, {own['quartos']} AS quartos, {own['metragem_fx']} AS metragem_fx, {own['quadra']} AS quadra, {METRICS} FROM {name}_t WHERE {where} GROUP BY bairro, mes_ref, vaga_cat{', ' + key if key else ''} HAVING count(*) >= 3"
+        for segment, key, where in (("GERAL", None, "true"), ("CLUSTER", "cluster_nome", "true"), ("QUARTOS", "quartos", "quartos > 0"), ("METRAGEM", "metragem_fx", "metragem_fx <> ''"), ("QUADRA", "quadra", "quadra <> ''"))
+        for own in [{"cluster_nome": "''", "quartos": "-1", "metragem_fx": "''", "quadra": "''"} | ({key: key} if key else {})]
+    )
+    return f"""{name}_r AS (
+  SELECT * REPLACE (area_util * 25 AS area_util, upper(quadra) AS quadra) FROM valued
+  WHERE oferta IN {offers} AND data_coleta BETWEEN CAST('{first}-01' AS DATE) - INTERVAL 2 MONTH AND last_day(CAST('{last}-01' AS DATE))
+    AND preco BETWEEN 2000 AND 100000 AND area_util BETWEEN 2 AND 50 AND valor_m2 BETWEEN 200 AND 20000
+), {name}_s AS (
+  SELECT * FROM {name}_r QUALIFY row_number() OVER (PARTITION BY codigo, data_coleta ORDER BY {_TIES}) = 1
+), {name}_q AS (
+  SELECT *, quantile_cont(valor_m2, 0.25) OVER w AS q1, quantile_cont(valor_m2, 0.75) OVER w AS q3, count(*) OVER w AS g FROM {name}_s WINDOW w AS (PARTITION BY bairro)
+), {name}_t AS (
+  SELECT c.* EXCLUDE (q1, q3, g), (SELECT arg_min(nome, pow((valor_m2 - cm) / 2000.0, 2) + pow((area_util - ca) / 15.0, 2)) FROM centres) AS cluster_nome, {_LEFT.format(c="area_util")} AS metragem_fx
+  FROM {name}_q c WHERE g < 20 OR q3 = q1 OR valor_m2 BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)
+), {name}_p AS ({parts}
+), {name} AS (
+  SELECT p.bairro, 'TODOS' AS tipo, 'VENDA' AS oferta, mes_alvo, CAST(CAST(mes_alvo || '-01' AS DATE) - INTERVAL 2 MONTH AS DATE) AS janela_inicio, last_day(CAST(mes_alvo || '-01' AS DATE)) AS janela_fim,
+         mes_ref, segmento, vaga_cat, cluster_nome, quartos, metragem_fx, quadra, amostra, m2_medio, m2_mediana, preco_medio AS preco_mediana, area_media AS area_mediana
+  FROM {name}_p p JOIN (SELECT unnest({list(months)}) AS mes_alvo) ON mes_ref BETWEEN strftime(CAST(mes_alvo || '-01' AS DATE) - INTERVAL 2 MONTH, '%Y-%m') AND mes_alvo
+)"""
+
+
+QUERIES = {f.__name__: f for f in (metrics_geral, metrics_long, iqr_filter, iqr_by_parking, iqr_no_guard, summary_stats, summary_by_rooms_parking, month_trend, daily_trend, mom_change, boxplot_stats, window_3m, monthly_job, metrics_upsert, unit_scale, fixed_centres_assign, cluster_pivot, pick3, bands_left_closed, bands_right_closed, bands_zero_fill, kmeans_tiers, luxury_tiers, scatter_points, cluster_summary, sanity_totals, dedupe_fallback, dedupe_first, dedupe_last, distinct_on)}
 _W, _L = f"WITH {CLEANED}", f"WITH {LISTING}"
-_TIES = "l_partkey, l_suppkey, preco, area_util, l_tax, l_discount, data_coleta"
-_TIES_DOWN = "l_partkey DESC, l_suppkey DESC, preco DESC, area_util DESC, l_tax DESC, l_discount DESC, data_coleta DESC"
 ORACLE_SQL = {
     "metrics_geral": f"{_W} SELECT bairro, tipo, mes_ref, vaga_cat, {METRICS} FROM cleaned GROUP BY ALL HAVING count(*) >= 3",
     "metrics_long": f"{_W}{_TIERED} " + " UNION ALL ".join([_segment("GERAL", None), _segment("CLUSTER", "cluster_nome", cluster="cluster_nome"), _segment("QUARTOS", "quartos", rooms="quartos", where="quartos > 0"), _segment("METRAGEM", "metragem_fx", band="metragem_fx"), _segment("QUADRA", "quadra", block="quadra")]),
@@ -223,6 +284,8 @@ ORACLE_SQL = {
     "mom_change": f"{_W}, m AS (SELECT mes_ref AS mes, count(*) AS n, quantile_cont(preco, 0.5) AS m FROM cleaned GROUP BY mes_ref HAVING count(*) >= 600) SELECT mes, n, round(m, 4) AS mediana, round((m - lag(m) OVER (ORDER BY mes)) / lag(m) OVER (ORDER BY mes) * 100, 4) AS variacao_pct FROM m",
     "boxplot_stats": f"{_W}, q AS (SELECT mes_ref, valor_m2, quantile_cont(valor_m2, 0.25) OVER w AS q1, quantile_cont(valor_m2, 0.5) OVER w AS q2, quantile_cont(valor_m2, 0.75) OVER w AS q3 FROM cleaned WINDOW w AS (PARTITION BY mes_ref)) SELECT mes_ref, count(*) AS n, round(any_value(q1), 4) AS q1, round(any_value(q2), 4) AS mediana, round(any_value(q3), 4) AS q3, round(min(valor_m2) FILTER (valor_m2 BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 4) AS bigode_min, round(max(valor_m2) FILTER (valor_m2 BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 4) AS bigode_max FROM q GROUP BY mes_ref",
     "window_3m": f"{_W}, w AS (SELECT DISTINCT mes_ref AS mes_alvo, CAST(CAST(mes_ref || '-01' AS DATE) - INTERVAL 2 MONTH AS DATE) AS inicio, last_day(CAST(mes_ref || '-01' AS DATE)) AS fim FROM cleaned) SELECT mes_alvo, vaga_cat, inicio, fim, {METRICS} FROM w JOIN cleaned ON data_coleta BETWEEN inicio AND fim GROUP BY ALL",
+    "monthly_job": f"{_L}, {_CENTRES}, {_monthly_sql('job', MONTHS, False)} SELECT * FROM job",
+    "metrics_upsert": f"{_L}, {_CENTRES}, {_monthly_sql('one', MONTHS, True)}, {_monthly_sql('two', AGAIN, False)} SELECT * FROM two UNION ALL SELECT one.* FROM one ANTI JOIN two USING (bairro, tipo, oferta, mes_alvo, janela_inicio, janela_fim, mes_ref, segmento, vaga_cat, cluster_nome, quartos, metragem_fx, quadra)",
     "unit_scale": f"{_L}, s AS (SELECT mes_ref, preco * 10 / CASE CAST(mes_ref[6:7] AS INTEGER) % 3 WHEN 1 THEN 1e3 WHEN 2 THEN 1e6 ELSE 1.0 END AS p FROM valued), m AS (SELECT mes_ref, quantile_cont(p, 0.5) AS m FROM s GROUP BY mes_ref HAVING count(*) >= 700), f AS (SELECT mes_ref, p * CASE WHEN m < 1000 THEN 1e6 WHEN m < 200000 THEN 1e3 ELSE 1.0 END AS p FROM s JOIN m USING (mes_ref)) SELECT mes_ref, count(*) AS n, round(avg(p), 2) AS media, round(quantile_cont(p, 0.5), 2) AS mediana FROM f GROUP BY mes_ref",
     "fixed_centres_assign": f"{_W}{_TIERED} SELECT cluster_nome, {METRICS}, round(quantile_cont(valor_m2, 0.5) * avg(area_util), 3) AS preco_proxy FROM tiered GROUP BY cluster_nome",
     "cluster_pivot": f"{_W}{_TIERED} SELECT mes_ref, count_if(cluster_nome = '01 - Original') AS original, count_if(cluster_nome = '02 - Semi-Reformado') AS semi, count_if(cluster_nome = '03 - Reformado') AS reformado FROM tiered GROUP BY mes_ref",
@@ -231,6 +294,7 @@ ORACLE_SQL = {
     "bands_right_closed": f"{_L} SELECT {_RIGHT} AS faixa, count(*) AS n, round(avg(preco), 4) AS media FROM valued GROUP BY 1",
     "bands_zero_fill": f"{_L}, b AS (SELECT vaga_cat, preco, {APARTMENT_SQL.format(c='area_util')} AS faixa FROM valued), a AS (SELECT vaga_cat, faixa, count(*) AS n, round(avg(preco), 4) AS media FROM b GROUP BY ALL) SELECT g.vaga_cat, l.faixa, coalesce(a.n, 0) AS n, a.media FROM (SELECT DISTINCT vaga_cat FROM b) g CROSS JOIN (VALUES ('<50'), ('50-75'), ('75-90'), ('90-130'), ('130-160'), ('160-200'), ('>200')) l(faixa) LEFT JOIN a ON a.vaga_cat = g.vaga_cat AND a.faixa = l.faixa",
     "scatter_points": f"{_W}{_TIERED} SELECT codigo, data_coleta, area_util, round(valor_m2, 4) AS valor_m2, cluster_nome FROM tiered",
+    "cluster_summary": f"{_W}, {_CENTRES}, n AS (SELECT c.*, (SELECT arg_min(cluster, pow((valor_m2 - cm) / 2000.0, 2) + pow((area_util - ca) / 15.0, 2)) FROM centres) AS cluster FROM cleaned c), g AS (SELECT CAST(cluster AS INTEGER) AS cluster, {METRICS}, round(quantile_cont(valor_m2, 0.5) * avg(area_util), 3) AS preco_proxy, row_number() OVER (ORDER BY avg(valor_m2)) AS linha FROM n GROUP BY cluster) SELECT *, CASE (linha - 1) // 3 WHEN 0 THEN '01 - Original' WHEN 1 THEN '02 - Semi-Reformado' ELSE '03 - Reformado' END AS cluster_nome FROM g",
     "sanity_totals": f"{_L} SELECT mes_ref, count(*) AS n, floor((sum(preco) + 1e-5) * 100 + 0.5) / 100 AS soma, round(avg(preco), 4) AS media, round(quantile_cont(preco, 0.5), 4) AS mediana FROM valued GROUP BY mes_ref",
     "dedupe_fallback": f"{_L}, o AS (SELECT bairro, tipo, min(codigo) AS codigo FROM valued GROUP BY preco, area_util, quartos, bairro, tipo) SELECT bairro, tipo, count(*) AS n, min(codigo) AS codigo FROM o GROUP BY ALL",
     "dedupe_first": f"{_L} SELECT split_part(codigo, '-', 1) AS codigo, preco, area_util, data_coleta FROM valued QUALIFY row_number() OVER (PARTITION BY split_part(codigo, '-', 1) ORDER BY {_TIES}) = 1",

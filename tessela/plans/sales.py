@@ -16,33 +16,45 @@ APARTMENT = studies.Study("America", "apt", "VENDA", cidade="AMERICA")
 LEGACY = studies.Study("Europe", "apt-legacy", cidade="EUROPE")
 HOUSE = studies.Study("Nation 3", "house", "VENDA", bairro="NATION_3")
 STRICT = studies.Study("Publicado", "house-strict", "PUBLICADO")
+SEVERAL = (studies.Study("Nation 7", "apt", "VENDA", bairro="NATION_7"), studies.Study("Nation 8", "apt-legacy", bairro="NATION_8"), studies.Study("Nation 3", "house", "VENDA", bairro="NATION_3", padrao="Luxo"), studies.Study("Nowhere", "house", "VENDA", bairro="NOWHERE"))
 DAY = "1997-05-20"
 #: The managers whose contracts are the special team's, the brokers who count for the other team, and the month of awards.
 SPECIAL, EXCEPTIONS = ("MANAGER 2", "MANAGER 5"), ("BROKER 1", "BROKER 7")
 MONTH = ("1997-05-01", "1997-05-31")
 
 
+def _scaled(spark: SparkSession, sf: str, by: int) -> DataFrame:
+    """Listings with areas times 5 (apartments) or 25 (houses), so that all bands occur."""
+    return valued(spark, sf).withColumn("area_util", F.col("area_util") * by)
+
+
 def study_apt(spark: SparkSession, sf: str) -> DataFrame:
-    return studies.groups(studies.selected(valued(spark, sf), APARTMENT), APARTMENT, DAY)
+    return studies.groups(studies.selected(_scaled(spark, sf, 5), APARTMENT), APARTMENT, DAY)
 
 
 def study_apt_legacy(spark: SparkSession, sf: str) -> DataFrame:
-    return studies.groups(studies.selected(valued(spark, sf), LEGACY), LEGACY, DAY)
+    return studies.groups(studies.selected(_scaled(spark, sf, 5), LEGACY), LEGACY, DAY)
 
 
 def study_house(spark: SparkSession, sf: str) -> DataFrame:
-    rows = studies.selected(valued(spark, sf), HOUSE)
+    rows = studies.selected(_scaled(spark, sf, 25), HOUSE)
     return studies.with_pattern(studies.groups(rows, HOUSE, DAY), rows, "Luxo")
 
 
 def study_house_strict(spark: SparkSession, sf: str) -> DataFrame:
-    rows = studies.selected(valued(spark, sf), STRICT, DAY)
+    rows = studies.selected(_scaled(spark, sf, 25), STRICT, DAY)
     return studies.with_pattern(studies.groups(rows, STRICT, DAY), rows, "N/A", 60_000)
 
 
 def study_tiers(spark: SparkSession, sf: str) -> DataFrame:
-    """The tiers of the apartment study: a fit of nine clusters for each parking group, so there is no SQL for it."""
-    return studies.tier_rows(studies.selected(valued(spark, sf), APARTMENT), DAY, seeds=(42, 43))
+    """The tiers of the house study: of each parking group the nine clusters with the least sum of squares, and three of these."""
+    return studies.tier_rows(studies.selected(valued(spark, sf), HOUSE), DAY)
+
+
+def studies_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Several studies as one table, with tiers and patterns."""
+    df = _scaled(spark, sf, 25).withColumn("padrao", F.when(F.col("quartos") % 2 == 0, "Alto").when(F.col("quartos") == 1, "Baixo").otherwise(" "))
+    return studies.all_results(df, SEVERAL, DAY)
 
 
 def study_pattern(spark: SparkSession, sf: str) -> DataFrame:
@@ -162,25 +174,75 @@ def registry_report(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
-def _study_sql(where: str, value: str, keys: list[tuple[str, str, str]], zero: list[str], pattern: str = "", extra: str = "", drop: str = "") -> str:
+def _kept_sql(where: str, value: str) -> str:
+    return f"WITH {LISTING}, chosen AS (SELECT *, {value} AS valor, CASE WHEN vagas > 0 THEN 'Com Vaga' ELSE 'Sem Vaga' END AS vaga FROM valued v WHERE {where}), q AS (SELECT *, quantile_cont(valor, 0.25) OVER w AS q1, quantile_cont(valor, 0.75) OVER w AS q3 FROM chosen WINDOW w AS (PARTITION BY vaga)), kept AS (SELECT * FROM q WHERE q3 = q1 OR valor BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))"
+
+
+def _study_sql(where: str, value: str, keys: list[tuple[str, str, str]], zero: list[str], pattern: str = "", drop: str = "") -> str:
     """``keys``: prefix, value and what stands for a missing one; ``zero``: names that are listed in any case."""
     parts = " UNION ALL ".join(f"SELECT '{p}' || coalesce({c}, '{m}') AS nome, vaga, round(1e-7 + avg(valor), 4) AS valor, count(*) AS amostra FROM kept GROUP BY 1, 2" for p, c, m in keys)
     listed = ", ".join(f"('{z}')" for z in zero)
     return (
-        f"WITH {LISTING}{extra}, chosen AS (SELECT *, {value} AS valor, CASE WHEN vagas > 0 THEN 'Com Vaga' ELSE 'Sem Vaga' END AS vaga FROM valued v WHERE {where}), q AS (SELECT *, quantile_cont(valor, 0.25) OVER w AS q1, quantile_cont(valor, 0.75) OVER w AS q3 FROM chosen WINDOW w AS (PARTITION BY vaga)), kept AS (SELECT * FROM q WHERE q3 = q1 OR valor BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), parts AS ({parts}), "
+        f"{_kept_sql(where, value)}, parts AS ({parts}), "
         f"every AS (SELECT * FROM parts{drop} UNION ALL SELECT z.nome, v.vaga, NULL, 0 FROM (SELECT DISTINCT vaga FROM kept) v CROSS JOIN (VALUES {listed}) z(nome)) SELECT nome, vaga, max(valor) AS valor, CAST(sum(amostra) AS BIGINT) AS amostra, DATE '{DAY}' AS data{pattern} FROM every GROUP BY nome, vaga"
     )
 
 
+def _tiers_sql(where: str, value: str, pattern: str = "", k: int = 9) -> str:
+    """The best ``k`` clusters by the number of clusters and the value that the last one ends with, and three of them."""
+    sql = f"""{_kept_sql(where, value)}, vc AS (
+  SELECT vaga, valor AS v, count(*) AS n, row_number() OVER (PARTITION BY vaga ORDER BY valor) AS j FROM kept GROUP BY vaga, valor
+), x AS (SELECT *, v - sum(n * v) OVER (PARTITION BY vaga) / sum(n) OVER (PARTITION BY vaga) AS c FROM vc
+), s AS MATERIALIZED (
+  SELECT vaga, j, sum(n) OVER w AS w, sum(n * c) OVER w AS s, sum(n * c * c) OVER w AS q FROM x WINDOW w AS (PARTITION BY vaga ORDER BY j)
+), p1 AS MATERIALIZED (SELECT vaga, j, q - s * s / w AS d, 0 AS i FROM s)"""
+    for m in range(2, k + 1):
+        sql += f"""
+, p{m} AS MATERIALIZED (
+  SELECT b.vaga, b.j, min(p.d + b.q - a.q - (b.s - a.s) * (b.s - a.s) / (b.w - a.w)) AS d, arg_min(a.j, p.d + b.q - a.q - (b.s - a.s) * (b.s - a.s) / (b.w - a.w)) AS i
+  FROM p{m - 1} p JOIN s a ON a.vaga = p.vaga AND a.j = p.j JOIN s b ON b.vaga = a.vaga AND b.j > a.j GROUP BY b.vaga, b.j
+)"""
+    sql += f"\n, e{k} AS (SELECT vaga, max(j) AS j FROM s GROUP BY vaga HAVING max(w) >= 9)"
+    for m in range(k, 1, -1):
+        sql += f", e{m - 1} AS (SELECT e.vaga, p.i AS j FROM e{m} e JOIN p{m} p USING (vaga, j))"
+    ends = " UNION ALL ".join(f"SELECT vaga, j, {m} AS cluster FROM e{m}" for m in range(1, k + 1))
+    return (
+        sql
+        + f""", ends AS ({ends}), cl AS (SELECT vaga, cluster, j AS hi, coalesce(lag(j) OVER (PARTITION BY vaga ORDER BY cluster), 0) AS lo FROM ends
+), m AS (SELECT cl.vaga, cluster, sum(n * v) / sum(n) AS media, CAST(sum(n) AS BIGINT) AS amostra FROM cl JOIN vc ON vc.vaga = cl.vaga AND vc.j > lo AND vc.j <= hi GROUP BY ALL
+), r AS (SELECT *, cluster AS r, CAST({k} AS BIGINT) AS k FROM m
+), c AS (SELECT *, max(CASE WHEN r = k // 2 + 1 THEN media END) OVER (PARTITION BY vaga) AS mid FROM r
+), t AS (SELECT *, coalesce(max(CASE WHEN r < k // 2 + 1 AND media <= 0.9 * mid THEN r END) OVER (PARTITION BY vaga), 1) AS lo, coalesce(min(CASE WHEN r > k // 2 + 1 AND media >= 1.1 * mid THEN r END) OVER (PARTITION BY vaga), k) AS hi FROM c)
+SELECT CASE WHEN r = hi THEN '03 - Reformado' WHEN r = k // 2 + 1 THEN '02 - Semi-Reformado' ELSE '01 - Original' END AS nome, vaga, round(1e-7 + media, 4) AS valor, amostra, DATE '{DAY}' AS data{pattern} FROM t WHERE r IN (lo, hi, k // 2 + 1)"""
+    )
+
+
 _ZERO_APARTMENT = [f"Metragem {x}" for x in ("<50", "50-75", "75-90", "90-130", "130-160", "160-200", ">200")] + [f"Quartos {x}" for x in ("1", "2", "3", "4", "+5")]
 _ZERO_HOUSE = [f"Metragem {x}" for x in ("<400", "400-600", "600-800", "800-1000", ">1000")] + ["Quartos Até 4", "Quartos 5 ou mais"]
-_APARTMENT_KEYS = [("Metragem ", APARTMENT_SQL.format(c="area_util"), "nan"), ("Quartos ", ROOMS_APARTMENT_SQL, "nan"), ("Bairro ", "bairro", "<NA>"), ("Quadra ", "upper(quadra)", "<NA>")]
+_APARTMENT_KEYS = [("Metragem ", APARTMENT_SQL.format(c="(area_util * 5)"), "nan"), ("Quartos ", ROOMS_APARTMENT_SQL, "nan"), ("Bairro ", "bairro", "<NA>"), ("Quadra ", "upper(quadra)", "<NA>")]
 _LEGACY_KEYS = [_APARTMENT_KEYS[0], ("Quartos ", f"CASE WHEN quartos > 0 THEN {ROOMS_APARTMENT_SQL} END", "nan"), *_APARTMENT_KEYS[2:]]
-_HOUSE_KEYS = [("Metragem ", HOUSE_SQL.format(c="area_util"), "Sem Faixa"), ("Quartos ", ROOMS_HOUSE_SQL, "Sem Faixa"), ("Bairro ", "bairro", "Sem Bairro")]
+_HOUSE_KEYS = [("Metragem ", HOUSE_SQL.format(c="(area_util * 25)"), "Sem Faixa"), ("Quartos ", ROOMS_HOUSE_SQL, "Sem Faixa"), ("Bairro ", "bairro", "Sem Bairro")]
 _POSTCODE = ("CEP ", "cep", "<NA>")
 _PATTERN = ", (SELECT CASE WHEN min(valor) >= 60000 THEN 'Alto Padrão' WHEN max(valor) < 60000 THEN 'Padrão' ELSE 'Misto' END FROM kept k WHERE k.vaga = every.vaga) AS padrao"
 
 
+_HOUSE_WHERE = "bairro = 'NATION_3' AND (oferta = 'VENDA' OR (vagas > 0) NOT IN (SELECT vagas > 0 FROM valued WHERE bairro = 'NATION_3' AND oferta = 'VENDA'))"
+_USUAL = ", (SELECT p FROM (SELECT CASE WHEN quartos % 2 = 0 THEN 'Alto' WHEN quartos = 1 THEN 'Baixo' END AS p, count(*) AS n FROM kept GROUP BY 1) WHERE p IS NOT NULL ORDER BY n DESC, p LIMIT 1) AS padrao"
+_NONE = ", CAST(NULL AS VARCHAR) AS padrao"
+_AT_25 = ("Metragem ", APARTMENT_SQL.format(c="(area_util * 25)"), "nan")
+_BLOCK = ("Quadra ", "upper(quadra)", "Sem Quadra")
+
+
+def _several_sql() -> str:
+    apt, legacy = ("bairro = 'NATION_7' AND oferta IN ('VENDA', 'PUBLICADO')", "valor_m2"), ("bairro = 'NATION_8'", "valor_m2")
+    parts = (
+        ("Nation 7 (apt)", _tiers_sql(*apt, _NONE), _study_sql(*apt, [_AT_25, *_APARTMENT_KEYS[1:], _POSTCODE], _ZERO_APARTMENT, _NONE)),
+        ("Nation 8 (apt-legacy)", _tiers_sql(*legacy, _NONE), _study_sql(*legacy, [_AT_25, *_LEGACY_KEYS[1:]], _ZERO_APARTMENT, _NONE, drop=" WHERE nome NOT IN ('Bairro <NA>', 'Quadra <NA>')")),
+        ("Nation 3 (house)", _tiers_sql(_HOUSE_WHERE, "preco", _USUAL), _study_sql(_HOUSE_WHERE, "preco", [*_HOUSE_KEYS, _BLOCK], _ZERO_HOUSE, _USUAL)),
+    )
+    return " UNION ALL ".join(f"SELECT *, '{name}' AS estudo FROM ({sql})" for name, *both in parts for sql in both)
+
+
 _ROLES = f"""WITH {CONTRACT}, s AS (
   SELECT *, CASE WHEN venda_2 IS NULL THEN [venda_1] ELSE [venda_1, venda_2] END AS vend,
          CASE WHEN cap_2 IS NULL THEN [cap_1] ELSE [cap_1, cap_2] END AS cap,
@@ -228,12 +290,14 @@ _REGISTRY = """WITH a0 AS (
   FROM a FULL JOIN b ON a.creci = b.creci
 )"""
 
-QUERIES = {f.__name__: f for f in (study_apt, study_apt_legacy, study_house, study_house_strict, study_tiers, study_pattern, rank_vgv, rank_vgc, rank_managers, rank_sections, rank_month, manager_vgv_dim, manager_detail, manager_vgc_dim, broker_contracts, contract_lines, registry_compare, registry_invalid, registry_totals, registry_report)}
+QUERIES = {f.__name__: f for f in (study_apt, study_apt_legacy, study_house, study_house_strict, study_tiers, studies_all, study_pattern, rank_vgv, rank_vgc, rank_managers, rank_sections, rank_month, manager_vgv_dim, manager_detail, manager_vgc_dim, broker_contracts, contract_lines, registry_compare, registry_invalid, registry_totals, registry_report)}
 ORACLE_SQL = {
     "study_apt": _study_sql("cidade = 'AMERICA' AND oferta IN ('VENDA', 'PUBLICADO')", "valor_m2", [*_APARTMENT_KEYS, _POSTCODE], _ZERO_APARTMENT),
     "study_apt_legacy": _study_sql("cidade = 'EUROPE'", "valor_m2", _LEGACY_KEYS, _ZERO_APARTMENT, drop=" WHERE nome NOT IN ('Bairro <NA>', 'Quadra <NA>')"),
-    "study_house": _study_sql("bairro = 'NATION_3' AND (oferta = 'VENDA' OR (vagas > 0) NOT IN (SELECT vagas > 0 FROM valued WHERE bairro = 'NATION_3' AND oferta = 'VENDA'))", "preco", [*_HOUSE_KEYS, ("Quadra ", "upper(quadra)", "Sem Quadra")], _ZERO_HOUSE, ", 'Luxo' AS padrao"),
+    "study_house": _study_sql(_HOUSE_WHERE, "preco", [*_HOUSE_KEYS, _BLOCK], _ZERO_HOUSE, ", 'Luxo' AS padrao"),
     "study_house_strict": _study_sql(f"oferta = 'PUBLICADO' AND data_coleta = DATE '{DAY}'", "preco", [*_HOUSE_KEYS, ("Quadra ", "quadra", "Sem Quadra"), ("Cidade ", "cidade", "Sem Cidade"), ("CEP ", "cep", "Sem CEP")], _ZERO_HOUSE, _PATTERN),
+    "study_tiers": _tiers_sql(_HOUSE_WHERE, "preco"),
+    "studies_all": _several_sql(),
     "study_pattern": f"WITH {LISTING}, c AS (SELECT bairro, oferta, count(*) AS n FROM valued GROUP BY ALL), o AS (SELECT bairro, oferta FROM c QUALIFY row_number() OVER (PARTITION BY bairro ORDER BY n DESC, oferta) = 1) SELECT bairro, any_value(o.oferta) AS oferta, CASE WHEN count(DISTINCT cidade) = 1 THEN max(cidade) ELSE 'Misto' END AS cidade, CASE WHEN count(DISTINCT tipo) = 1 THEN max(tipo) ELSE 'Misto' END AS tipo FROM valued JOIN o USING (bairro) GROUP BY bairro",
     "rank_vgv": f"{_ROLES} SELECT lista, nome, CAST(sum(vgv) AS DOUBLE) AS vgv, row_number() OVER (PARTITION BY lista ORDER BY sum(vgv) DESC, nome) AS pos FROM roles GROUP BY lista, nome",
     "rank_vgc": f"{_ROLES} SELECT lista, nome, round(3e-6 + sum(vgc), 2) AS vgc FROM roles GROUP BY lista, nome",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessela.functions import numbers, text
@@ -10,7 +10,8 @@ from tessela.functions.dates import parsed, shown
 from tessela.operators import captures as captures_of
 from tessela.operators import stock
 from tessela.plans.views import LISTING, captures, exit_feed, listing, table
-from tessela.sources import tables
+from tessela.sources import files, tables
+from tessela.sources.kept import folder
 
 
 def exits_new(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,6 +141,64 @@ def html_rows(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("c_custkey", F.col("line").cast("int").alias("line"), F.array_join("cells", "|").alias("cells"))
 
 
+def html_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders' lines as pages: a table whose rows hold tables of their own, tags left open, and a closing tag too many before."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").cast("string").alias("q"), F.col("l_returnflag").alias("f"))
+    inner = F.concat(F.lit("<td>"), "q", F.lit(" un<TABLE border=1><tr><th>a<th>b<tr><td>"), "f", F.lit("</td></table> fim<td>"), F.col("l_linenumber").cast("string"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", inner.alias("h")))), lambda x: F.concat(F.lit("<tr class='x'>"), x["h"])), "\n")
+    page = F.concat(F.lit("<html></table><!-- <table><tr><td>no --><script>var t = '<table>';</script><table><tr><th>Qtde<th>Linha"), body, F.lit("</table></html>"))
+    rows = tables.html_rows(lines.groupBy("l_orderkey").agg(page.alias("html")), "l_orderkey")
+    return rows.select("l_orderkey", F.col("line").cast("int").alias("line"), F.array_join("cells", "|").alias("cells"))
+
+
+def _unlike_files(spark: SparkSession, sf: str) -> list[str]:
+    """Lines of orders as files: one half with commas, the other with semicolons, other headers in another order and a byte order mark. Files are in order of the lines."""
+    df = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("codigo"), F.col("l_linenumber").alias("linha"), F.col("l_extendedprice").cast("decimal(18,2)").alias("preco"), F.concat(F.lit('Q "'), F.col("l_returnflag"), F.lit('", x;y')).alias("quadra"))
+    base, out = folder(spark), []
+    for part, sep, columns in ((0, ",", {"codigo": "Código", "linha": "n", "preco": "Preço", "quadra": "Quadra"}), (1, ";", {"quadra": "\ufeffQUADRA", "preco": "Valor Total", "codigo": "id anuncio", "linha": "N"})):
+        half = df.filter(F.col("codigo") % 2 == part).repartitionByRange(3, "codigo", "linha").sortWithinPartitions("codigo", "linha")
+        out.append(f"{base}/{part}")
+        half.select(*[F.col(c).alias(name) for c, name in columns.items()]).write.option("header", True).option("sep", sep).option("escape", '"').csv(out[-1])
+    return out
+
+
+_FILE_NAMES = {"codigo": ("codigo", "id_anuncio"), "linha_id": ("n",), "preco": ("preco", "valor_total"), "quadra": ("quadra",), "cep": ("cep",)}
+
+
+def files_unlike(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of two kinds read as one table, with a place for each row that counts on over all files."""
+    rows = files.many_csv(spark, _unlike_files(spark, sf), names=_FILE_NAMES, required=("codigo", "preco"))
+    place = F.row_number().over(Window.partitionBy("arquivo").orderBy("posicao"))
+    headers = F.col("posicao") - F.col("linha")
+    rows = rows.select(F.col("codigo").cast("long").alias("codigo"), F.col("linha_id").cast("int").alias("n"), F.col("preco").cast("double").alias("preco"), "quadra", "cep", (place == F.col("linha")).alias("na_ordem"), (headers >= 0).alias("depois"))
+    return rows
+
+
+def files_first_last(spark: SparkSession, sf: str) -> DataFrame:
+    """The first and the last row of each code over all files, by place."""
+    rows = files.many_csv(spark, _unlike_files(spark, sf), names=_FILE_NAMES)
+    ends = rows.groupBy(F.col("codigo").cast("long").alias("codigo")).agg(F.min_by("linha_id", "posicao").alias("a"), F.max_by("linha_id", "posicao").alias("b"), F.count(F.lit(1)).alias("n"))
+    return ends.select("codigo", F.col("a").cast("int").alias("primeira"), F.col("b").cast("int").alias("ultima"), "n")
+
+
+def exit_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The exit facts' new rows in their seven columns; codes are written as decimals in the feed, captures have up to three brokers."""
+    feed = exit_feed(spark, sf).select(F.concat(F.col("codigo").cast("string"), F.lit(".0")).alias("Codigo"), F.col("situacao").alias("Situacao"), F.col("motivo").alias("Motivo"), F.col("data").alias("DataSaida"))
+    facts = exit_feed(spark, sf).filter((F.col("codigo") % 2 == 0) & (F.dayofmonth("data") < 15)).select(F.col("codigo").cast("string").alias("Codigo"), F.col("data").alias("DataSaida"))
+    orders = table(spark, sf, "orders")
+    caps = orders.select(
+        (F.col("o_custkey") % 150).cast("string").alias("Codigo"),
+        F.col("o_orderpriority").alias("Captador1"),
+        F.col("o_orderstatus").alias("Captador2"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit("C3")).alias("Captador3"),
+        F.concat(F.lit("G"), F.col("o_orderkey") % 5).alias("Gerente"),
+        F.when(F.col("o_orderkey") % 11 > 0, F.col("o_orderdate").cast("date")).alias("DataEntrada"),
+        "o_orderkey",
+    )
+    out = stock.exit_facts(feed, facts, caps, "o_orderkey", "1998-01-01")
+    return out.withColumn("DataSaida", shown(F.col("DataSaida")))
+
+
 def lookup_names(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers with their district's id by name; every fifth is spelled in lower case, every seventh is unknown."""
     dim = table(spark, sf, "nation").select(F.concat(F.lit("B"), "n_nationkey").alias("id"), F.col("n_name").alias("nome"), F.col("n_nationkey").alias("ordem"))
@@ -202,7 +261,7 @@ _CAPTURED = """e AS (
   FROM e QUALIFY row_number() OVER (PARTITION BY codigo ORDER BY k DESC) = 1
 )"""
 
-QUERIES = {f.__name__: f for f in (exits_new, capture_latest, capture_append, dim_upsert, surrogate_keys, focus_flags, codes_missing, availability_flag, capture_listings, capture_facts, stock_snapshot, stock_standard, html_rows, lookup_names, norm_text, parse_numbers, parse_dates, address_compose, brokers_split)}
+QUERIES = {f.__name__: f for f in (exits_new, capture_latest, capture_append, dim_upsert, surrogate_keys, focus_flags, codes_missing, availability_flag, capture_listings, capture_facts, stock_snapshot, stock_standard, html_rows, html_nested, files_unlike, files_first_last, exit_fact, lookup_names, norm_text, parse_numbers, parse_dates, address_compose, brokers_split)}
 ORACLE_SQL = {
     "exits_new": f"WITH {_CAPTURES}, l AS ({_LATEST}), e AS (SELECT event_id, user_id AS codigo, CAST(ts AS DATE) AS d, event_type AS motivo FROM events WHERE {_LEFT}), f AS (SELECT DISTINCT codigo, d FROM e WHERE codigo % 2 = 0 AND day(d) < 15) SELECT event_id, e.codigo, strftime(e.d, '%d/%m/%Y') AS data, motivo, coalesce(l.captador1, '') AS captador1 FROM e ANTI JOIN f ON e.codigo = f.codigo AND e.d = f.d LEFT JOIN l ON l.codigo = e.codigo",
     "capture_latest": f"WITH {_CAPTURES} {_LATEST}",
@@ -215,6 +274,10 @@ ORACLE_SQL = {
     "capture_facts": f"WITH {_CAPTURED}, c AS (SELECT * FROM supplier WHERE s_suppkey < 30), n AS (SELECT codigo AS Codigo, CASE WHEN x.s_suppkey IS NOT NULL THEN 'C' || b1 ELSE 'Broker ' || b1 END AS Captador1, CASE WHEN b2 IS NULL THEN '' WHEN y.s_suppkey IS NOT NULL THEN 'C' || b2 ELSE 'broker ' || b2 END AS Captador2, '' AS Captador3, coalesce('G' || x.s_nationkey, '') AS Gerente, dia AS DataEntrada FROM r LEFT JOIN c x ON x.s_suppkey = b1 LEFT JOIN c y ON y.s_suppkey = b2), f AS (SELECT (o_custkey % 900)::INTEGER AS Codigo, 'C' || (o_orderkey % 40) AS Captador1, '' AS Captador2, '' AS Captador3, '' AS Gerente, CAST(o_orderdate AS DATE) AS DataEntrada FROM orders WHERE o_orderkey % 11 = 0) SELECT * FROM f UNION ALL SELECT * FROM n ANTI JOIN f ON n.Codigo = f.Codigo AND n.DataEntrada = f.DataEntrada AND n.Captador1 = f.Captador1",
     "stock_snapshot": "SELECT CAST(p_partkey AS VARCHAR) AS Codigo, split_part(p_name, ' ', 1) AS Captador1, split_part(p_name, ' ', 2) AS Captador2, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE '' END AS Captador3, '' AS Gerente, DATE '1998-01-01' AS DataEstoque FROM part WHERE p_partkey % 10 > 0",
     "stock_standard": "SELECT CASE WHEN p_partkey % 10 > 0 THEN ' ' || p_partkey ELSE ' nan' END AS Codigo, replace(p_name, ' ', ' | ') || CASE WHEN p_partkey % 2 = 0 THEN '|' || p_brand ELSE '' END AS Captadores, p_type AS Tipo, p_size AS NumeroQuarto, p_retailprice AS Valor, concat_ws(' ', p_brand, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_partkey AS VARCHAR) END, CASE WHEN p_partkey % 4 = 1 THEN 'Bloco A' END) AS Endereco, 'N/D' AS Bairro, 'N/D' AS PublicacaoNaInternet, 'N/D' AS Exclusivo, 'N/D' AS AreaLote, 'N/D' AS AreaInterna FROM part",
+    "html_nested": "SELECT l_orderkey, 0 AS line, 'Qtde|Linha' AS cells FROM lineitem GROUP BY l_orderkey UNION ALL SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, CAST(l_quantity AS INTEGER) || ' ', l_returnflag), CAST(l_quantity AS INTEGER) || ' unab' || l_returnflag || ' fim|' || l_linenumber FROM lineitem",
+    "files_unlike": """SELECT l_orderkey AS codigo, CAST(l_linenumber AS INTEGER) AS n, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS preco, 'Q "' || l_returnflag || '", x;y' AS quadra, CAST(NULL AS VARCHAR) AS cep, true AS na_ordem, true AS depois FROM lineitem""",
+    "files_first_last": "SELECT l_orderkey AS codigo, CAST(min(l_linenumber) AS INTEGER) AS primeira, CAST(max(l_linenumber) AS INTEGER) AS ultima, count(*) AS n FROM lineitem GROUP BY l_orderkey",
+    "exit_fact": "WITH f AS (SELECT CAST(user_id AS VARCHAR) AS c, user_id AS u, CAST(ts AS DATE) AS d, event_type AS t FROM events WHERE event_type <> 'view'), e AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS c, CAST(ts AS DATE) AS d FROM events WHERE user_id % 2 = 0 AND day(ts) < 15), k AS (SELECT CAST(o_custkey % 150 AS VARCHAR) AS c, arg_max(struct_pack(a := o_orderpriority, b := o_orderstatus, d := CASE WHEN o_orderkey % 3 = 0 THEN 'C3' ELSE '' END, g := 'G' || (o_orderkey % 5)), (CASE WHEN o_orderkey % 11 > 0 THEN CAST(o_orderdate AS DATE) ELSE DATE '0001-01-01' END, o_orderkey)) AS x FROM orders GROUP BY 1) SELECT f.c AS \"Codigo\", coalesce(x.a, '') AS \"Captador1\", coalesce(x.b, '') AS \"Captador2\", coalesce(x.d, '') AS \"Captador3\", coalesce(x.g, '') AS \"Gerente\", f.t AS \"Motivo\", strftime(f.d, '%d/%m/%Y') AS \"DataSaida\" FROM f LEFT JOIN k USING (c) WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.c = f.c AND e.d = f.d)",
     "html_rows": "SELECT c_custkey, 0 AS line, 'nome|saldo' AS cells FROM customer UNION ALL SELECT c_custkey, 1, c_name || '|' || CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) FROM customer",
     "availability_flag": "SELECT user_id AS codigo, CASE WHEN bool_or(event_type = 'purchase' AND value > 90) THEN 'SIM' ELSE 'NAO' END AS disponivel FROM events GROUP BY user_id",
     "lookup_names": "SELECT s_suppkey, CASE WHEN s_suppkey % 7 = 0 THEN 'Não há' WHEN s_suppkey % 5 = 0 THEN '  ' || lower(n_name) ELSE n_name END AS bairro, CASE WHEN s_suppkey % 7 = 0 THEN 'Não há' ELSE 'B' || n_nationkey END AS id_bairro FROM supplier JOIN nation ON s_nationkey = n_nationkey",

@@ -5,8 +5,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessela.operators.stock import upsert
+from tessela.sources.kept import kept
 from tessela.sources.schema import locked
 
 #: The key of the monthly metrics, and their table.
@@ -61,6 +63,33 @@ def replace(df: DataFrame, path: str) -> None:
     spark.createDataFrame([(seq, folder)], "seq long, folder string").coalesce(1).write.mode("append").json(f"{path}/_versions")
 
 
+def ensure_table(spark: SparkSession, name: str, schema: str, path: str, by: str | None = None) -> None:
+    """Creates a table over a folder, and its database, if they aren't there yet."""
+    if "." in name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet" + (f" PARTITIONED BY ({by})" if by else "") + f" LOCATION '{path}'")
+
+
+def metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The metrics table; nothing if it isn't there yet."""
+    try:
+        return spark.read.schema(METRIC_SCHEMA).parquet(path)
+    except Exception as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], METRIC_SCHEMA)
+
+
 def upsert_metrics(df: DataFrame, path: str) -> None:
-    """Replaces metrics of equal keys and adds the others."""
-    replace(upsert(current(df.sparkSession, path, METRIC_SCHEMA), df.select(*[c.split()[0] for c in METRIC_SCHEMA.split(", ")]), list(METRIC_KEY)), path)
+    """Replaces metrics of equal keys and adds the others; rows without ``gerado_em`` are stamped now.
+
+    The table is a folder for each month of windows. Only the months that ``df`` has are read and rewritten; they are
+    put in place when all tasks are done, so a failed one leaves the table as it was. Of rows of ``df`` with equal keys
+    all stay: the job makes each key once.
+    """
+    stamp = F.col("gerado_em") if "gerado_em" in df.columns else F.current_timestamp()
+    new = kept(df.withColumn("gerado_em", stamp.cast("timestamp")).select(*[F.col(c).cast(kind).alias(c) for c, kind in (x.split() for x in METRIC_SCHEMA.split(", "))]))
+    months = [r["mes_alvo"] for r in new.select("mes_alvo").distinct().collect()]  # those of one run
+    old = metrics(df.sparkSession, path).filter(F.col("mes_alvo").isin(*months))
+    merged = upsert(old, new, list(METRIC_KEY)).select(*new.columns)
+    merged.hint("rebalance", "mes_alvo").write.partitionBy("mes_alvo").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessela.functions.dates import in_file_name
-from tessela.functions.text import upper_or_null
+from tessela.functions.text import strip, upper_or_null
 from tessela.sources.schema import exactly
 
 #: The columns of a listing table.
@@ -118,19 +118,60 @@ def available(spark: SparkSession, path: str) -> DataFrame:
     return codes(df.select(F.explode("lista").alias("x")).select("x.codigo"), "codigo")
 
 
+def html_files(spark: SparkSession, paths: str | list[str], sniffed: int = 2048) -> DataFrame:
+    """(path, html): the files that look like HTML at their beginning, whatever their extension, as text.
+
+    The bytes tell the encoding: UTF-16 by its mark, UTF-8 if they are valid as such, else Latin-1.
+    """
+    raw = spark.read.format("binaryFile").load(paths).select("path", "content")
+    mark = F.hex(F.substring("content", 1, 2))
+    html = F.when(mark.isin("FFFE", "FEFF"), F.decode("content", "UTF-16")).when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string"))
+    html = F.replace(html.otherwise(F.decode("content", "ISO-8859-1")), F.lit("﻿"), F.lit(""))
+    return raw.select("path", html.alias("html")).filter(F.lower(F.substring("html", 1, sniffed)).rlike("<(html|div|table)"))
+
+
+#: What is no content, and where texts are cut: before a tag of a table and behind any tag.
+_NO_CONTENT = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
+_CUT = r"(?i)(?=</?(?:table|tr|td|th)\b)|(?<=>)"
+
+
+def html_cells(html: DataFrame, name: str = "path", content: str = "html") -> DataFrame:
+    """(name, table, depth, line, cell, text): the cells of all tables of each page, by a scan with the running depth of table tags.
+
+    ``table`` is the place where a table begins. Cells and rows end where the next one begins or the table ends; a cell
+    has the text of the tables within it too, and these are tables of their own. Closing tags without an opening one
+    count for nothing. A page is one value; its parts are gone through in order.
+    """
+    parts = html.select(name, F.posexplode(F.split(F.regexp_replace(content, _NO_CONTENT, ""), _CUT)).alias("at", "part"))
+    tag = lambda t: F.col("part").rlike(rf"(?i)^<{t}\b")
+    page = Window.partitionBy(name).orderBy("at")
+    parts = parts.withColumn("__step", F.when(tag("table"), 1).when(tag("/table"), -1).otherwise(0)).withColumn("__sum", F.sum("__step").over(page))
+    low = F.least(F.lit(0), F.min("__sum").over(page))  # what was closed without being open
+    parts = parts.withColumn("__depth", F.col("__sum") - low).filter("__depth > 0")
+    # a part belongs to all the tables that it lies in
+    each = parts.select(name, "at", "part", F.col("__depth"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("__depth"))).alias("depth"))
+    own = F.col("depth") == F.col("__depth")
+    level = Window.partitionBy(name, "depth").orderBy("at")
+    each = each.withColumn("table", F.max(F.when(own & tag("table"), F.col("at"))).over(level))
+    rows = Window.partitionBy(name, "depth", "table").orderBy("at")
+    each = each.withColumn("line", F.sum((own & tag("tr")).cast("int")).over(rows) - 1)
+    cells = Window.partitionBy(name, "depth", "table", "line").orderBy("at")
+    each = each.withColumn("cell", F.sum((own & tag("t[dh]")).cast("int")).over(cells) - 1).filter("line >= 0 and cell >= 0")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "part"))), lambda x: x["part"]), "")
+    return each.groupBy(name, "table", "depth", "line", "cell").agg(_plain(text).alias("text"))
+
+
 def html_rows(html: DataFrame, name: str = "path", content: str = "html") -> DataFrame:
-    """(name, line, cells) of the largest table (rows x cells of its first row) of each page."""
-    part = lambda c, tag: F.regexp_extract_all(c, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
-    tables = html.select(name, F.posexplode(part(F.col(content), "table")).alias("table", "body"))
-    rows = tables.withColumn("rows", part(F.col("body"), "tr"))
-    cells = lambda row: F.transform(F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1)), _plain)
-    sized = rows.withColumn("size", F.size("rows") * F.coalesce(F.size(cells(F.get("rows", F.lit(0)))), F.lit(0)))
-    best = sized.withColumn("r", F.row_number().over(Window.partitionBy(name).orderBy(F.col("size").desc(), "table"))).filter("r = 1")
-    return best.select(name, F.posexplode("rows").alias("line", "row")).select(name, "line", cells(F.col("row")).alias("cells"))
+    """(name, line, cells) of the largest table (rows x cells of its first row; of equal ones the first) of each page, nested ones too."""
+    cells = html_cells(html, name, content)
+    sizes = cells.groupBy(name, "table").agg(F.countDistinct("line").alias("rows"), F.count_if(F.col("line") == 0).alias("width"))
+    best = sizes.groupBy(name).agg(F.max_by("table", F.struct(F.col("rows") * F.col("width"), -F.col("table"))).alias("table"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("cell", "text"))), lambda x: x["text"])
+    return cells.join(best, [name, "table"], "left_semi").groupBy(name, "line").agg(ordered.alias("cells"))
 
 
 def _plain(cell: Column) -> Column:
     text = F.regexp_replace(cell, r"(?s)<[^>]*>", "")
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(text)
+    return strip(text)

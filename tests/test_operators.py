@@ -156,11 +156,38 @@ def test_appends_and_metrics(spark, tmp_path):
     assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "r")).collect()] == [("", 1.5, 0)]
     sinks.flags(spark.createDataFrame([(1, "SIM"), (2, "NAO"), (3, "SIM")], "codigo int, disponivel string"), str(tmp_path / "f"))
     assert tables.csv(spark, str(tmp_path / "f" / "disponiveis"), ";").count() == 2
+    assert sinks.metrics(spark, str(tmp_path / "none")).count() == 0
     base = {"bairro": "a", "tipo": "b", "oferta": "c", "mes_alvo": "2025-01", "mes_ref": "2025-01", "segmento": "GERAL", "vaga_cat": "", "cluster_nome": "", "quartos": -1, "metragem_fx": "", "quadra": ""}
     row = lambda n: spark.createDataFrame([base], ", ".join(f"{c} {'int' if c == 'quartos' else 'string'}" for c in base)).selectExpr("*", "date'2024-11-01' janela_inicio", "date'2025-01-31' janela_fim", f"{n}L amostra", "1D m2_medio", "1D m2_mediana", "1D preco_mediana", "1D area_mediana", "timestamp'2025-02-01' gerado_em")
     for n in (5, 7):
         sinks.upsert_metrics(row(n), str(tmp_path / "m"))
-    assert [r["amostra"] for r in sinks.current(spark, str(tmp_path / "m"), sinks.METRIC_SCHEMA).collect()] == [7]
+    assert [r["amostra"] for r in sinks.metrics(spark, str(tmp_path / "m")).collect()] == [7]
+
+
+def test_upserts_rewrite_touched_months_alone(spark, tmp_path):
+    path = str(tmp_path / "m")
+    keys = "bairro string, mes_alvo string, segmento string, amostra long"
+    rest = "'t' tipo", "'v' oferta", "date'2024-11-01' janela_inicio", "date'2025-01-31' janela_fim", "mes_alvo mes_ref", "'' vaga_cat", "'' cluster_nome", "-1 quartos", "'' metragem_fx", "'' quadra", "1D m2_medio", "1D m2_mediana", "1D preco_mediana", "1D area_mediana"
+    rows = lambda *r: spark.createDataFrame(list(r), keys).selectExpr("*", *rest)
+    files = lambda m: {f.name for f in (tmp_path / "m" / f"mes_alvo={m}").glob("*.parquet")}
+    found = lambda: sorted((r["bairro"], r["mes_alvo"], r["segmento"], r["amostra"]) for r in sinks.metrics(spark, path).collect())
+    sinks.upsert_metrics(rows(("a", "2025-01", "G", 1), ("a", "2025-02", "G", 2), ("b", "2025-02", "G", 3)), path)
+    before = {m: files(m) for m in ("2025-01", "2025-02")}
+    sinks.upsert_metrics(rows(("a", "2025-02", "G", 9), ("a", "2025-02", "Q", 4), ("a", "2025-03", "G", 5)), path)
+    want = [("a", "2025-01", "G", 1), ("a", "2025-02", "G", 9), ("a", "2025-02", "Q", 4), ("a", "2025-03", "G", 5), ("b", "2025-02", "G", 3)]
+    assert found() == want
+    assert files("2025-01") == before["2025-01"]
+    assert not files("2025-02") & before["2025-02"]
+    sinks.upsert_metrics(rows(("a", "2025-02", "G", 9), ("a", "2025-02", "Q", 4), ("a", "2025-03", "G", 5)), path)
+    assert found() == want
+    assert all(r["gerado_em"] is not None for r in sinks.metrics(spark, path).collect())
+
+
+def test_tables_are_made_once(spark, tmp_path):
+    for _ in range(2):
+        sinks.ensure_table(spark, "estudos.metricas", sinks.METRIC_SCHEMA, str(tmp_path / "t"), "mes_alvo")
+    assert [c for c in spark.table("estudos.metricas").columns if c != "mes_alvo"] == [x.split()[0] for x in sinks.METRIC_SCHEMA.split(", ") if not x.startswith("mes_alvo")]
+    spark.sql("DROP DATABASE estudos CASCADE")
 
 
 def test_schema_repair(spark):
