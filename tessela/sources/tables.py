@@ -74,14 +74,33 @@ def sheet(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return csv(spark, path, sep).dropna("all").na.fill("")
 
 
-def relational(spark: SparkSession, url: str, table: str, start: str, end: str, where: dict[str, str | tuple[str, ...]] | None = None, limits: dict[str, tuple[float, float]] | None = None, **properties: str) -> DataFrame:
-    """A typed, normalised projection of a listing table within a span of days; filters are pushed to the database.
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def narrowed_sql(table: str, columns: dict[str, str], start: str, end: str, where: dict[str, str | tuple[str, ...]] | None = None, limits: dict[str, tuple[float, float]] | None = None) -> str:
+    """What ``narrowed`` asks for, as a database's SQL: the whole condition is worked out there. ``columns``: names with those that the table has for them."""
+    name = lambda c: '"' + columns[c].replace('"', '""') + '"'
+    tests = [f"{name('data_coleta')} BETWEEN DATE({_literal(start)}) AND DATE({_literal(end)})"]
+    for c, wanted in (where or {}).items():
+        values = ", ".join(_literal(w.strip().upper()) for w in ((wanted,) if isinstance(wanted, str) else wanted))
+        tests.append(f"UPPER(TRIM({name(c)})) IN ({values})")
+    tests += [f"{name(c)} BETWEEN {float(low)!r} AND {float(high)!r}" for c, (low, high) in (limits or {}).items()]
+    return f"SELECT {', '.join(name(c) for c in columns)} FROM {table} WHERE {' AND '.join(tests)}"
+
+
+def relational(spark: SparkSession, url: str, table: str, start: str, end: str, where: dict[str, str | tuple[str, ...]] | None = None, limits: dict[str, tuple[float, float]] | None = None, parts: int = 8, **properties: str) -> DataFrame:
+    """A typed, normalised projection of a listing table within a span of days, read over ``parts`` connections that have some of the days each; all filters are the database's.
 
     ``where``: texts that a column equals, whatever its case and blanks, or one of several; ``limits``: ranges of
-    numbers, both ends included, nulls left out.
+    numbers, both ends included, nulls left out. ``data_coleta`` has to be a column of dates.
     """
-    df = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**properties).load()
-    return conformed(narrowed(df, start, end, where, limits))
+    reader = spark.read.format("jdbc").option("url", url).options(**properties)
+    found = {c.lower(): c for c in reader.option("dbtable", table).load().columns}
+    asked = narrowed_sql(table, {c: found[c] for c in LISTING if c in found}, start, end, where, limits)
+    bounds = {"partitionColumn": found["data_coleta"], "lowerBound": start, "upperBound": end, "numPartitions": str(parts)}
+    df = spark.read.format("jdbc").option("url", url).options(**properties).option("dbtable", f"({asked}) asked").options(**bounds).load()
+    return conformed(df.toDF(*[c.lower() for c in df.columns]))
 
 
 def narrowed(df: DataFrame, start: str, end: str, where: dict[str, str | tuple[str, ...]] | None = None, limits: dict[str, tuple[float, float]] | None = None) -> DataFrame:
