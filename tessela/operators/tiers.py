@@ -2,35 +2,90 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessela.sources.kept import kept
+
 #: The tiers in rising order, of the studies, of the summaries, and of dear houses.
 TIERS = ("01 - Original", "02 - Semi-Reformado", "03 - Reformado")
 TIERS_SUMMARY = ("01 - Original", "02 - Semi", "03 - Reformado")
 TIERS_LUXURY = ("Luxo", "Alto Luxo")
 
 
+#: Rows (of the least hashes) that starting centres are drawn from, and rounds at most.
+STARTS = 10_000
+ROUNDS = 100
+
+
+def _drawn(points: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Starting centres: each next one with a chance in proportion to its squared distance from those before; fewer if there are fewer points."""
+    rng = np.random.default_rng(seed)
+    chosen = [points[rng.integers(len(points))]]
+    away = ((points - chosen[0]) ** 2).sum(axis=1)
+    while len(chosen) < k and away.any():
+        chosen.append(points[rng.choice(len(points), p=away / away.sum())])
+        away = np.minimum(away, ((points - chosen[-1]) ** 2).sum(axis=1))
+    return np.array(chosen)
+
+
+def _added(batches: Iterator[pa.RecordBatch], mean: np.ndarray, std: np.ndarray, runs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(run, cluster, n, cost, sums): a task's rows added up by their nearest centre, for all runs at once."""
+    n, cost, sums = ([np.zeros((len(c), *shape)) for c in runs] for shape in ((), (), (len(mean),)))
+    for batch in batches:
+        x = (np.stack([c.to_numpy() for c in batch.columns], axis=1) - mean) / std
+        for j, c in enumerate(runs):
+            d = ((x[:, None, :] - c[None]) ** 2).sum(axis=2)
+            near = d.argmin(axis=1)
+            n[j] += np.bincount(near, minlength=len(c))
+            cost[j] += np.bincount(near, weights=d[np.arange(len(x)), near], minlength=len(c))
+            for i in range(len(mean)):
+                sums[j][:, i] += np.bincount(near, weights=x[:, i], minlength=len(c))
+    run = np.concatenate([np.full(len(c), j) for j, c in enumerate(runs)])
+    cluster = np.concatenate([np.arange(len(c)) for c in runs])
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(run) + 1, dtype=np.int32) * len(mean)), pa.array(np.concatenate(sums).ravel()))
+    yield pa.RecordBatch.from_arrays([pa.array(run.astype(np.int32)), pa.array(cluster.astype(np.int32)), pa.array(np.concatenate(n)), pa.array(np.concatenate(cost)), lists], names=["run", "cluster", "n", "cost", "sums"])
+
+
 def fit_centres(df: DataFrame, columns: list[str], k: int = 9, seeds: tuple[int, ...] = tuple(range(42, 52)), least_rows: int = 20) -> DataFrame | None:
     """(cluster, centre columns, scale columns) of the best of several fits on standardised columns; None for too few rows.
 
+    All fits go on together: a round is one pass over the rows, which adds them up in their tasks for every fit, and the
+    driver gets a row for each fit and centre. A fit whose centres don't move any more is left out of further rounds.
     Centres come back in the columns' own units, with the deviations (1 for a constant column) that distances are measured in.
     """
-    rows = df.select(*[F.col(c).cast("double") for c in columns]).dropna()
-    if rows.count() < least_rows:
+    rows = kept(df.select(*[F.col(c).cast("double") for c in columns]).dropna())
+    known = rows.agg(F.count(F.lit(1)), *[f(c) for c in columns for f in (F.avg, F.stddev_samp)]).first()
+    if known[0] < max(least_rows, 1):
         return None
-    scale = Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="__v"), StandardScaler(inputCol="__v", outputCol="features", withMean=True, withStd=True)]).fit(rows)
-    features = scale.transform(rows).select("features").cache()
-    models = [KMeans(k=k, seed=s, featuresCol="features").fit(features) for s in seeds]
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    mean, std = scale.stages[1].mean.toArray(), scale.stages[1].std.toArray()
-    features.unpersist()
-    out = [(i, *(float(c * s + m) for c, s, m in zip(x, std, mean, strict=True)), *(float(d) or 1.0 for d in std)) for i, x in enumerate(best.clusterCenters())]
+    mean, std = np.array(known[1::2], float), np.array([s or 1.0 for s in known[2::2]], float)
+    start = rows.orderBy(F.xxhash64(*columns), *columns).limit(STARTS).collect()
+    points = (np.array([tuple(r) for r in start], float) - mean) / std
+    runs = [_drawn(points, k, s) for s in seeds]
+    costs, moving = [float("inf")] * len(runs), list(range(len(runs)))
+    for _ in range(ROUNDS):
+        if not moving:
+            break
+        now = [runs[j] for j in moving]
+        parts = rows.mapInArrow(lambda b, now=now: _added(b, mean, std, now), "run int, cluster int, n double, cost double, sums array<double>")
+        found = parts.groupBy("run", "cluster").agg(F.sum("n"), F.sum("cost"), *[F.sum(F.col("sums")[i]) for i in range(len(columns))]).collect()
+        new = [c.copy() for c in now]
+        for j in moving:
+            costs[j] = 0.0
+        for run, cluster, n, cost, *sums in found:
+            costs[moving[run]] += cost
+            if n:
+                new[run][cluster] = np.array(sums) / n
+        still = [np.abs(a - b).max() > 1e-9 for a, b in zip(new, now, strict=True)]
+        for j, c in zip(moving, new, strict=True):
+            runs[j] = c
+        moving = [j for j, m in zip(moving, still, strict=True) if m]
+    best = runs[int(np.argmin(costs))]
+    out = [(i, *map(float, c * std + mean), *map(float, std)) for i, c in enumerate(best)]
     return df.sparkSession.createDataFrame(out, ", ".join(["cluster int", *(f"{c} double" for c in columns), *(f"{c}_scale double" for c in columns)]))
 
 

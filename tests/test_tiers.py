@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessela.operators import studies, tiers
 from tessela.plans import catalogue
@@ -31,6 +32,28 @@ def test_a_fit_is_as_good_as_lloyd(spark, columns, k):
     assert cost <= 1.1 * min(_lloyd(x, k, s) for s in range(8))
 
 
+def test_fits_go_on_as_alone(spark):
+    """The best of several fits that share their passes is that of plain rounds from the same starts."""
+    rng = np.random.default_rng(5)
+    x = np.r_[rng.normal(0, 1, (80, 2)), rng.normal(6, 1, (60, 2)), rng.normal((0, 9), 2, (70, 2))]
+    found = tiers.fit_centres(spark.createDataFrame(x.tolist(), "a double, b double").repartition(4), ["a", "b"], k=4, seeds=(1, 2, 3)).toPandas()
+    mean, std = x.mean(axis=0), x.std(axis=0, ddof=1)
+    z = (x - mean) / std
+    best = None
+    for seed in (1, 2, 3):
+        order = spark.createDataFrame(x.tolist(), "a double, b double").orderBy(F.xxhash64("a", "b")).toPandas().to_numpy()
+        c = tiers._drawn((order - mean) / std, 4, seed)
+        for _ in range(200):
+            near = ((z[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+            c = np.array([z[near == i].mean(axis=0) if (near == i).any() else c[i] for i in range(4)])
+        cost = ((z[:, None] - c[None]) ** 2).sum(axis=2).min(axis=1).sum()
+        best = min(best, (cost, c.tolist())) if best else (cost, c.tolist())
+    assert found[["a", "b"]].to_numpy() == pytest.approx(np.array(best[1]) * std + mean)
+    assert found[["a_scale", "b_scale"]].to_numpy()[0] == pytest.approx(std)
+    one = tiers.fit_centres(spark.createDataFrame([(1.0, 2.0)] * 30, "a double, b double"), ["a", "b"], k=4).collect()
+    assert [tuple(r) for r in one] == [(0, 1.0, 2.0, 1.0, 1.0)]
+
+
 def test_tiers_rise_and_hold_all_rows(spark):
     rows = {r["cluster_nome"]: r for r in catalogue.QUERIES["kmeans_tiers"](spark, SF).collect()}
     assert sorted(rows) == list(tiers.TIERS)
