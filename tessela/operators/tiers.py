@@ -51,11 +51,11 @@ def _added(batches: Iterator[pa.RecordBatch], mean: np.ndarray, std: np.ndarray,
     yield pa.RecordBatch.from_arrays([pa.array(run.astype(np.int32)), pa.array(cluster.astype(np.int32)), pa.array(np.concatenate(n)), pa.array(np.concatenate(cost)), lists], names=["run", "cluster", "n", "cost", "sums"])
 
 
-def fit_centres(df: DataFrame, columns: list[str], k: int = 9, seeds: tuple[int, ...] = tuple(range(42, 52)), least_rows: int = 20) -> DataFrame | None:
+def fit_centres(df: DataFrame, columns: list[str], k: int = 9, seeds: tuple[int, ...] = tuple(range(42, 52)), least_rows: int = 20, tolerance: float = 1e-4) -> DataFrame | None:
     """(cluster, centre columns, scale columns) of the best of several fits on standardised columns; None for too few rows.
 
     All fits go on together: a round is one pass over the rows, which adds them up in their tasks for every fit, and the
-    driver gets a row for each fit and centre. A fit whose centres don't move any more is left out of further rounds.
+    driver gets a row for each fit and centre. A fit whose centres move no more than by ``tolerance`` (squares of standard units, all added) is left out of further rounds.
     Centres come back in the columns' own units, with the deviations (1 for a constant column) that distances are measured in.
     """
     rows = kept(df.select(*[F.col(c).cast("double") for c in columns]).dropna())
@@ -80,7 +80,7 @@ def fit_centres(df: DataFrame, columns: list[str], k: int = 9, seeds: tuple[int,
             costs[moving[run]] += cost
             if n:
                 new[run][cluster] = np.array(sums) / n
-        still = [np.abs(a - b).max() > 1e-9 for a, b in zip(new, now, strict=True)]
+        still = [((a - b) ** 2).sum() > tolerance for a, b in zip(new, now, strict=True)]
         for j, c in zip(moving, new, strict=True):
             runs[j] = c
         moving = [j for j, m in zip(moving, still, strict=True) if m]

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessela.functions import numbers, text
-from tessela.functions.dates import parsed, shown
+from tessela.functions.dates import in_file_name, parsed, sheet_serial, shown
+from tessela.functions.numbers import rounded
 from tessela.operators import captures as captures_of
 from tessela.operators import stock
+from tessela.operators.segments import rooms_house
 from tessela.plans.views import LISTING, captures, exit_feed, listing, table
-from tessela.sources import files, tables
+from tessela.sources import files, sinks, tables
 from tessela.sources.kept import folder
 
 
@@ -199,6 +201,54 @@ def exit_fact(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("DataSaida", shown(F.col("DataSaida")))
 
 
+def repaired_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts whose values are written in the ways that exports write them, repaired."""
+    k = F.col("p_partkey")
+    pick = lambda *texts: F.get(F.array(*[F.lit(x) for x in texts]), (k % len(texts)).cast("int"))
+    value = F.when(k % 3 == 0, 0.0).when(k % 3 == 1, 7.5)
+    words = pick("TRUE", " sim ", "não", "1", "Verdadeiro", None, "2")
+    return table(spark, sf, "part").select(
+        "p_partkey",
+        rounded(numbers.per_area_if_missing(value, F.col("p_retailprice"), F.col("p_size") - 10)).alias("valor_m2"),
+        numbers.number_or(pick("12", "1.5", "x", None)).alias("numero"),
+        numbers.number_or(pick("12", "1.5", "x", None), -1.0).alias("numero_ou"),
+        text.code(F.concat(k.cast("string"), pick(".0", ".00", " ", ".5", "A.0"))).alias("codigo"),
+        text.is_true(words).alias("verdadeiro"),
+        text.unquoted_upper(F.concat(F.lit("'"), pick("true", "False", "sim"))).alias("marca"),
+        rooms_house(F.col("p_size") % 8 - 1, upper=True).alias("quartos"),
+        sheet_serial(F.date_add(F.lit("1999-12-25").cast("date"), F.col("p_size"))).alias("dia"),
+        in_file_name(F.concat(F.lit("base_"), pick("2025-03-01", "02_04_2025", "none"), F.lit(".csv"))).alias("data"),
+    )
+
+
+def sinks_back(spark: SparkSession, sf: str) -> DataFrame:
+    """What each writer wrote, read again: delimited text, a limited append, two appends in a target's columns, flags with their lists, a table that was replaced."""
+    base = folder(spark)
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("codigo"), F.col("p_brand").alias("marca"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_retailprice").cast("decimal(18,2)")).alias("preco"))
+    sinks.to_csv(parts, f"{base}/csv", ";")
+    for _ in range(2):
+        sinks.append_limited(parts, f"{base}/primeiros", "codigo", 40)
+        sinks.append_results(parts.drop("marca"), f"{base}/resultados", {"marca": "string", "codigo": "long", "preco": "double"})
+    asked = parts.select(F.explode(F.array("codigo", -F.col("codigo"))).alias("codigo"))
+    sinks.flags(stock.found_and_missing(asked, parts, "codigo"), f"{base}/marcas")
+    for k in (1, 2):
+        sinks.replace(parts.select((F.col("codigo") * k).alias("codigo")), f"{base}/tabela")
+    read = {
+        "csv": tables.csv_any(spark, f"{base}/csv").select("codigo", "marca", "preco"),
+        "primeiros": tables.load(spark, f"{base}/primeiros", "csv").select("codigo", "marca", "preco"),
+        "resultados": tables.load(spark, f"{base}/resultados", "parquet").select("codigo", "marca", "preco"),
+        "todos": tables.csv(spark, f"{base}/marcas/todos", required=("codigo", "disponivel")).select("codigo", F.col("disponivel").alias("marca"), F.lit(None).alias("preco")),
+        "disponiveis": tables.codes(tables.sheet(spark, f"{base}/marcas/disponiveis", ";"), "codigo").select("codigo", F.lit(None).alias("marca"), F.lit(None).alias("preco")),
+        "indisponiveis": tables.codes(tables.sheet(spark, f"{base}/marcas/indisponiveis", ";"), "codigo").select("codigo", F.lit(None).alias("marca"), F.lit(None).alias("preco")),
+        "tabela": sinks.current(spark, f"{base}/tabela", "codigo long").select("codigo", F.lit(None).alias("marca"), F.lit(None).alias("preco")),
+    }
+    out = None
+    for name, df in read.items():
+        part = df.select(F.lit(name).alias("destino"), F.col("codigo").cast("long").alias("codigo"), F.col("marca").cast("string").alias("marca"), F.col("preco").cast("double").alias("preco"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def lookup_names(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers with their district's id by name; every fifth is spelled in lower case, every seventh is unknown."""
     dim = table(spark, sf, "nation").select(F.concat(F.lit("B"), "n_nationkey").alias("id"), F.col("n_name").alias("nome"), F.col("n_nationkey").alias("ordem"))
@@ -261,7 +311,7 @@ _CAPTURED = """e AS (
   FROM e QUALIFY row_number() OVER (PARTITION BY codigo ORDER BY k DESC) = 1
 )"""
 
-QUERIES = {f.__name__: f for f in (exits_new, capture_latest, capture_append, dim_upsert, surrogate_keys, focus_flags, codes_missing, availability_flag, capture_listings, capture_facts, stock_snapshot, stock_standard, html_rows, html_nested, files_unlike, files_first_last, exit_fact, lookup_names, norm_text, parse_numbers, parse_dates, address_compose, brokers_split)}
+QUERIES = {f.__name__: f for f in (exits_new, capture_latest, capture_append, dim_upsert, surrogate_keys, focus_flags, codes_missing, availability_flag, capture_listings, capture_facts, stock_snapshot, stock_standard, html_rows, html_nested, files_unlike, files_first_last, exit_fact, repaired_values, sinks_back, lookup_names, norm_text, parse_numbers, parse_dates, address_compose, brokers_split)}
 ORACLE_SQL = {
     "exits_new": f"WITH {_CAPTURES}, l AS ({_LATEST}), e AS (SELECT event_id, user_id AS codigo, CAST(ts AS DATE) AS d, event_type AS motivo FROM events WHERE {_LEFT}), f AS (SELECT DISTINCT codigo, d FROM e WHERE codigo % 2 = 0 AND day(d) < 15) SELECT event_id, e.codigo, strftime(e.d, '%d/%m/%Y') AS data, motivo, coalesce(l.captador1, '') AS captador1 FROM e ANTI JOIN f ON e.codigo = f.codigo AND e.d = f.d LEFT JOIN l ON l.codigo = e.codigo",
     "capture_latest": f"WITH {_CAPTURES} {_LATEST}",
@@ -274,6 +324,17 @@ ORACLE_SQL = {
     "capture_facts": f"WITH {_CAPTURED}, c AS (SELECT * FROM supplier WHERE s_suppkey < 30), n AS (SELECT codigo AS Codigo, CASE WHEN x.s_suppkey IS NOT NULL THEN 'C' || b1 ELSE 'Broker ' || b1 END AS Captador1, CASE WHEN b2 IS NULL THEN '' WHEN y.s_suppkey IS NOT NULL THEN 'C' || b2 ELSE 'broker ' || b2 END AS Captador2, '' AS Captador3, coalesce('G' || x.s_nationkey, '') AS Gerente, dia AS DataEntrada FROM r LEFT JOIN c x ON x.s_suppkey = b1 LEFT JOIN c y ON y.s_suppkey = b2), f AS (SELECT (o_custkey % 900)::INTEGER AS Codigo, 'C' || (o_orderkey % 40) AS Captador1, '' AS Captador2, '' AS Captador3, '' AS Gerente, CAST(o_orderdate AS DATE) AS DataEntrada FROM orders WHERE o_orderkey % 11 = 0) SELECT * FROM f UNION ALL SELECT * FROM n ANTI JOIN f ON n.Codigo = f.Codigo AND n.DataEntrada = f.DataEntrada AND n.Captador1 = f.Captador1",
     "stock_snapshot": "SELECT CAST(p_partkey AS VARCHAR) AS Codigo, split_part(p_name, ' ', 1) AS Captador1, split_part(p_name, ' ', 2) AS Captador2, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE '' END AS Captador3, '' AS Gerente, DATE '1998-01-01' AS DataEstoque FROM part WHERE p_partkey % 10 > 0",
     "stock_standard": "SELECT CASE WHEN p_partkey % 10 > 0 THEN ' ' || p_partkey ELSE ' nan' END AS Codigo, replace(p_name, ' ', ' | ') || CASE WHEN p_partkey % 2 = 0 THEN '|' || p_brand ELSE '' END AS Captadores, p_type AS Tipo, p_size AS NumeroQuarto, p_retailprice AS Valor, concat_ws(' ', p_brand, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_partkey AS VARCHAR) END, CASE WHEN p_partkey % 4 = 1 THEN 'Bloco A' END) AS Endereco, 'N/D' AS Bairro, 'N/D' AS PublicacaoNaInternet, 'N/D' AS Exclusivo, 'N/D' AS AreaLote, 'N/D' AS AreaInterna FROM part",
+    "repaired_values": """SELECT p_partkey, CASE WHEN p_partkey % 3 = 1 THEN 7.5 WHEN p_size > 10 THEN round(1e-7 + p_retailprice / (p_size - 10), 4) WHEN p_partkey % 3 = 0 THEN 0.0 END AS valor_m2,
+      CAST(CASE p_partkey % 4 WHEN 0 THEN 12.0 WHEN 1 THEN 1.5 END AS DOUBLE) AS numero, CAST(CASE p_partkey % 4 WHEN 0 THEN 12.0 WHEN 1 THEN 1.5 ELSE -1.0 END AS DOUBLE) AS numero_ou,
+      p_partkey || CASE p_partkey % 5 WHEN 3 THEN '.5' WHEN 4 THEN 'A.0' ELSE '' END AS codigo, p_partkey % 7 IN (0, 1, 3, 4) AS verdadeiro,
+      CASE p_partkey % 3 WHEN 0 THEN 'TRUE' WHEN 1 THEN 'FALSE' ELSE 'SIM' END AS marca, CASE WHEN p_size % 8 < 1 THEN NULL WHEN p_size % 8 <= 5 THEN 'ATÉ 4' ELSE '5 OU MAIS' END AS quartos,
+      CAST(36519 + p_size AS INTEGER) AS dia, CASE p_partkey % 3 WHEN 0 THEN DATE '2025-03-01' WHEN 1 THEN DATE '2025-04-02' END AS data FROM part""",
+    "sinks_back": """WITH p AS (SELECT p_partkey AS codigo, p_brand AS marca, CASE WHEN p_partkey % 2 = 0 THEN CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) END AS preco FROM part), f AS (FROM p ORDER BY codigo LIMIT 40)
+      SELECT 'csv' AS destino, * FROM p UNION ALL SELECT 'primeiros', * FROM f UNION ALL SELECT 'primeiros', * FROM f
+      UNION ALL SELECT 'resultados', codigo, '', coalesce(preco, 0) FROM p UNION ALL SELECT 'resultados', codigo, '', coalesce(preco, 0) FROM p
+      UNION ALL SELECT DISTINCT 'todos', codigo, 'SIM', NULL FROM p UNION ALL SELECT DISTINCT 'todos', -codigo, CASE WHEN codigo = 0 THEN 'SIM' ELSE 'NAO' END, NULL FROM p WHERE codigo <> 0
+      UNION ALL SELECT DISTINCT 'disponiveis', codigo, NULL, NULL FROM p UNION ALL SELECT DISTINCT 'indisponiveis', -codigo, NULL, NULL FROM p WHERE codigo <> 0
+      UNION ALL SELECT 'tabela', codigo * 2, NULL, NULL FROM p""",
     "html_nested": "SELECT l_orderkey, 0 AS line, 'Qtde|Linha' AS cells FROM lineitem GROUP BY l_orderkey UNION ALL SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, CAST(l_quantity AS INTEGER) || ' ', l_returnflag), CAST(l_quantity AS INTEGER) || ' unab' || l_returnflag || ' fim|' || l_linenumber FROM lineitem",
     "files_unlike": """SELECT l_orderkey AS codigo, CAST(l_linenumber AS INTEGER) AS n, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS preco, 'Q "' || l_returnflag || '", x;y' AS quadra, CAST(NULL AS VARCHAR) AS cep, true AS na_ordem, true AS depois FROM lineitem""",
     "files_first_last": "SELECT l_orderkey AS codigo, CAST(min(l_linenumber) AS INTEGER) AS primeira, CAST(max(l_linenumber) AS INTEGER) AS ultima, count(*) AS n FROM lineitem GROUP BY l_orderkey",

@@ -36,7 +36,7 @@ def test_fits_go_on_as_alone(spark):
     """The best of several fits that share their passes is that of plain rounds from the same starts."""
     rng = np.random.default_rng(5)
     x = np.r_[rng.normal(0, 1, (80, 2)), rng.normal(6, 1, (60, 2)), rng.normal((0, 9), 2, (70, 2))]
-    found = tiers.fit_centres(spark.createDataFrame(x.tolist(), "a double, b double").repartition(4), ["a", "b"], k=4, seeds=(1, 2, 3)).toPandas()
+    found = tiers.fit_centres(spark.createDataFrame(x.tolist(), "a double, b double").repartition(4), ["a", "b"], k=4, seeds=(1, 2, 3), tolerance=0).toPandas()
     mean, std = x.mean(axis=0), x.std(axis=0, ddof=1)
     z = (x - mean) / std
     best = None
