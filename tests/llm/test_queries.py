@@ -8,6 +8,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+import xxhash
 
 from tessela.llm import queries, toxicity
 
@@ -34,7 +35,7 @@ def run(spark, name, columns):
 @pytest.mark.parametrize(("name", "sf"), [(n, SF) for n in sorted(queries.ORACLE_SQL)] + [("op7_near_dup", "/root/testdata/sf0.01")])
 def test_sql(spark, name, sf):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS FROM read_parquet('{sf}/{t}.parquet')")
     df = queries.QUERIES[name](spark, sf)
     columns = sorted(df.columns)
@@ -169,3 +170,26 @@ def test_op10(spark, docs):
     assert seen[1, 1] >= 0.9 * (seen[1, 1] + seen[1, 0])
     assert seen[0, 1] <= 0.01 * (seen[0, 0] + seen[0, 1])
     assert len(run(spark, "op10_toxicity", ["doc_id", "held_out", "score", "predicted"])) == len(docs)
+
+
+def test_op11(spark, docs):
+    """Fingerprints and classes of all documents by brute force."""
+    found = run(spark, "op11_simhash", ["doc_id", "fingerprint", "component_id"])
+    prints = {}
+    for i, text, _ in docs:
+        w = WORD.findall((text or "").translate(LOW))
+        hashes = [xxhash.xxh64_intdigest(" ".join(w[k : k + 4]).encode(), 42) for k in range(max(len(w) - 3, 1))] if w else []
+        prints[i] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        assert found[i]["fingerprint"] == f"{prints[i]:016x}"
+    near = defaultdict(set)
+    for i, a in prints.items():
+        for j, b in prints.items():
+            if (a ^ b).bit_count() <= 4:
+                near[i].add(j)
+    for i in prints:
+        reached, left = {i}, [i]
+        while left:
+            fresh = near[left.pop()] - reached
+            reached |= fresh
+            left += fresh
+        assert found[i]["component_id"] == min(reached)
