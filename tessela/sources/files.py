@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessela.functions.dates import in_file_name
 from tessela.sources.schema import ALIASES
 
 #: Accented letters and their plain ones, as headers have them.
@@ -71,3 +72,10 @@ def many_csv(spark: SparkSession, paths: str | list[str], candidates: str = ",;"
         parsed = parsed.when(F.col("sep") == c, cells(c))
     met = met.withColumn("__cells", parsed)
     return met.select("arquivo", "linha", "posicao", *[F.try_element_at("__cells", F.col(f"__{c}")).alias(c) for c in names])
+
+
+def dated_csv(spark: SparkSession, paths: str | list[str], candidates: str = ",;", names: dict[str, tuple[str, ...]] = ALIASES, required: tuple[str, ...] = ()) -> DataFrame:
+    """``many_csv`` with ``arquivo_origem``, the file's name, and ``data``, the date that it holds; undated files drop out."""
+    rows = many_csv(spark, paths, candidates, {c: a for c, a in names.items() if c != "data"}, required)
+    rows = rows.withColumn("arquivo_origem", F.url_decode(F.replace(F.substring_index("arquivo", "/", -1), F.lit("+"), F.lit("%2B"))))
+    return rows.withColumn("data", in_file_name(F.col("arquivo_origem"))).filter("data is not null")

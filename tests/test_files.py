@@ -26,6 +26,15 @@ def test_each_file_by_its_own_header(spark, tmp_path):
         files.many_csv(spark, str(tmp_path), names=names, required=("preco",))
 
 
+def test_dated_files_of_unlike_kinds(spark, tmp_path):
+    _write(tmp_path / "base_2025-03-01.csv", "Código,Preço\n1,5\n")
+    _write(tmp_path / "base 02-04-2025.csv", "\ufeffvalor;id anuncio;garagens\n7;2;1\n")
+    _write(tmp_path / "undated.csv", "codigo\n3\n")
+    names = {"codigo": ("codigo", "id_anuncio"), "preco": ("preco", "valor"), "vagas": ("vagas", "garagens"), "data": ("data",)}
+    rows = files.dated_csv(spark, f"{tmp_path}/*.csv", names=names).collect()
+    assert sorted((r["codigo"], r["preco"], r["vagas"], str(r["data"]), r["arquivo_origem"]) for r in rows) == [("1", "5", None, "2025-03-01", "base_2025-03-01.csv"), ("2", "7", "1", "2025-04-02", "base 02-04-2025.csv")]
+
+
 def test_places_do_not_depend_on_splits(spark, tmp_path):
     for k in range(3):
         _write(tmp_path / f"{k}.csv", "id,v\n" + "".join(f"{k}{i:04},{'x' * (i % 50)}\n" for i in range(700)))
