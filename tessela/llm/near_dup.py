@@ -99,7 +99,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, n, a, b, sig, packed): size, 128-bit name and minwise tokens and sketch of each document's shingle set."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sets, "doc_id long, n long, a long, b long, sig array<int>, packed array<bigint>")
+    return docs.select(F.col("doc_id").try_cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sets, "doc_id long, n long, a long, b long, sig array<int>, packed array<bigint>")
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +190,7 @@ class _Links:
     """What is known so far: confirmed links as components, and the pairs that were confirmed or refused."""
 
     def __init__(self, docs: DataFrame, sets: DataFrame) -> None:
-        self.docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+        self.docs = docs.select(F.col("doc_id").try_cast("long").alias("id"), F.col("text").cast("string").alias("text"))
         self.sets, self.texts, self.comps, self.tried = sets, None, None, None
 
     def need(self, ids: DataFrame) -> None:

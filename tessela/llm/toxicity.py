@@ -232,9 +232,9 @@ def plain(text: Column) -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, y, text) of at most ``rows`` labelled documents that are not held out, a row for each doc_id; the ids are few, so they are sent to the texts."""
-    ids = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max("toxic").cast("long").alias("y"))
+    ids = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").try_cast("long").alias("__id")).agg(F.max("toxic").cast("long").alias("y"))
     ids = sampled(ids, "__id", rows)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain(F.col("text")).alias("text"))
+    texts = docs.select(F.col("doc_id").try_cast("long").alias("doc_id"), plain(F.col("text")).alias("text"))
     return texts.join(F.broadcast(ids), F.col("doc_id") == F.col("__id")).groupBy("doc_id", "y").agg(F.max("text").alias("text"))
 
 

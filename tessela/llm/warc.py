@@ -119,7 +119,7 @@ def records(source: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]
 
 def decided(pages: DataFrame) -> DataFrame:
     """(page_id, url, html, digest, refers_to): what to write of each page."""
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    pages = pages.select(F.col("page_id").try_cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     pages = pages.withColumn("digest", F.sha1(F.col("html").cast("binary")))
     again = pages.filter(F.octet_length("html") >= REVISIT_BYTES).groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "last")
     refers_to = F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("last")), F.col("last"))

@@ -89,6 +89,29 @@ def test_awkward_rows(spark, tmp_path):
     assert [r for r in kept["mixing"] if r["doc_id"] == 5]
 
 
+def test_ids_that_are_texts(spark, tmp_path):
+    word = lambda i, k: f"w{(i * 7919 + k * 104729) % 5003}"
+    long = lambda i, n: " ".join(word(i, k) for k in range(n))
+    leak = "so seven wise owls count the silver stars above a quiet northern harbour while nine boats wait for more of it"
+    line = "this very line stands in many of the documents of this table"
+    texts = {str(i): long(i, 60) + ("\nyou utter scumbag you" if i % 4 == 0 else "") for i in range(90)}
+    texts |= {f"d{i}": long(500 + i, 80) + "\n" + line for i in range(6)} | {"7": long(7, 60)}
+    texts |= {"a": long(900, 70), "b": long(900, 70) + " more", "leak": leak + " " + long(950, 40), "none": None, "": "x"}
+    rows = [(i, t, "s", 1, "x", 7, "k") for i, t in texts.items()] + [(None, "y", "s", 1, "x", 7, "k")]
+    _tables(spark, tmp_path, rows, SCHEMA.replace("doc_id long", "doc_id string"))
+    docs, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(spark, docs, str(tmp_path)))
+        kept[name] = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert set(texts) - set(kept["toxicity"]) == {str(i) for i in range(0, 90, 4)}
+    assert set(kept["line_dedup"]) == set(kept["toxicity"])
+    assert sum(line in (t or "") for t in kept["line_dedup"].values()) == 1
+    gone = set(kept["line_dedup"]) - set(kept["near_dup"])
+    assert len(gone) == 1 and gone <= {"a", "b"}
+    assert set(kept["near_dup"]) - set(kept["decontamination"]) == {"leak"}
+    assert {None, "", "none"} <= set(kept["decontamination"])
+
+
 def test_an_empty_table(spark, tmp_path):
     _tables(spark, tmp_path, [], SCHEMA)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
