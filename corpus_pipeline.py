@@ -1,15 +1,16 @@
 """A corpus from raw documents to a training mix: each stage filters or rewrites what the one before has kept.
 
-Rows that share a doc_id, or have none (or none that is a whole number), stay or go together where a stage decides by
-doc_id; null and empty texts pass all stages, the last one takes them with their block, without words; of equal
+Rows that share a doc_id, or have none, stay or go together where a stage decides by doc_id; ids that are texts and no
+whole numbers go by their 64-bit hash; null and empty texts pass all stages, the last one takes them with their block, without words; of equal
 documents the one with the least doc_id stays; texts of any length are worked on whole; other columns pass through, but for those whose
 names the operators give to what they add; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tessela.llm import decontam, line_dedup, mixing, near_dup, toxicity
 from tessela.llm.shared import written
@@ -18,9 +19,21 @@ from tessela.llm.shared import written
 ORACLE_SQL = None
 
 
+def _key(docs: DataFrame) -> Column:
+    """A row's id as a whole number: a text that is none has a hash of it."""
+    own = docs["doc_id"]
+    if not isinstance(docs.schema["doc_id"].dataType, StringType):
+        return own.try_cast("long")
+    return F.coalesce(own.try_cast("long"), F.when(own.isNotNull(), F.xxhash64(own)))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("doc_id", _key(docs))
+
+
 def _same(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     ids = ids.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(ids, docs["doc_id"].try_cast("long").eqNullSafe(ids["__id"]), how)
+    return docs.join(ids, _key(docs).eqNullSafe(ids["__id"]), how)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +44,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that many repeat; ``n_chars`` follows the text."""
-    out = line_dedup.dedup_lines(docs).select(*docs.columns)
+    own = docs if docs.schema["doc_id"].dataType != StringType() else _keyed(docs.withColumn("__own_id", F.col("doc_id")))
+    out = line_dedup.dedup_lines(own)
+    out = (out.withColumn("doc_id", F.col("__own_id")) if own is not docs else out).select(*docs.columns)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
@@ -40,12 +55,12 @@ def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return _same(docs, near_dup.near_duplicates(docs).filter("kept"), "left_semi")
+    return _same(docs, near_dup.near_duplicates(_keyed(docs)).filter("kept"), "left_semi")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of a benchmark."""
-    return _same(docs, decontam.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "left_anti")
+    return _same(docs, decontam.leaks(_keyed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
