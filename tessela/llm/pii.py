@@ -7,12 +7,14 @@ time, from
 
 - windows of at most ``TRAIN_DOCS`` documents (of those that hold a digit or an @ those with the least hashes of
   doc_id), at most ``WINDOWS`` a document, chosen by a hash of their place over the whole text; labels are the base spans;
-- ``EXAMPLES`` written-out sentences with base kinds and with others (telephone numbers without a plus, social security
-  and account numbers, cards written with points, IPv6 and hardware addresses, spelled-out mail addresses), beside
-  dates, prices, versions, times, ids and long numbers that are none.
-
-It reads the stretches of a text that lie within ``REACH`` characters of a digit, an @ or an "(at)": what has none of
-these is outside by definition. Stretches are cut into windows of ``WINDOW`` characters that overlap by ``OVERLAP``;
+- ``EXAMPLES`` sentences with base kinds and with others (telephone numbers without a plus, social security, account and
+  passport numbers, cards written with points, IPv6 and hardware addresses, spelled-out mail addresses), beside dates,
+  prices, versions, times, ids, codes and long numbers that are none. Half of what stands around them is cut from the
+  sampled documents, at most ``WINDOWS`` pieces of each; the rest is made up, with and without capitals and labels.
+
+Every kind that is learned holds a digit, an @ or an "(at)" in some spelling, and none reaches further than ``REACH``
+characters beyond these: names and street addresses by themselves aren't looked for. So the network reads the stretches
+of a text within ``REACH`` of such a character; the rest is outside by definition, not by its score. Stretches are cut into windows of ``WINDOW`` characters that overlap by ``OVERLAP``;
 scores of characters in two windows are averaged by their distance from the window's ends, and one Viterbi pass runs
 over the whole stretch, so spans across windows come out whole. A run tagged ``more`` that overlaps no base span is
 added as a span of kind ``model``; runs of base tags that the patterns reject (a card that fails its check) are not.
@@ -36,14 +38,14 @@ from tessela.llm.shared import sampled, written
 from tessela.llm.spans import Span, apart_from, rows_of, span_batches, span_schema
 from tessela.llm.tokens import mix64, pieces
 
-HIDDEN = 16
+HIDDEN = 32
 WINDOW = 96
 OVERLAP = 32
 REACH = 24
 TRAIN_DOCS = 300
 WINDOWS = 6
-EXAMPLES = 900
-STEPS = 200
+EXAMPLES = 3000
+STEPS = 400
 BATCH = 128
 SEED = 9
 #: Characters of stretches that are decoded side by side.
@@ -61,17 +63,18 @@ NUMBERS = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-_SINGLE = "@.-+()_%:/,;!?'\"=#*$&|<>\n"
-_N_CLASSES = 6 + len(_SINGLE)
+_SINGLE = "@.-+()_%:/,;!?'\"=#*$&|<>\n[]"
+_N_CLASSES = 8 + len(_SINGLE)
 _CLASS = np.full(128, 5, dtype=np.int64)
 _CLASS[[ord(" "), 9, 13, 11, 12]] = 0
 _CLASS[48:58], _CLASS[65:91], _CLASS[97:123] = 1, 2, 3
 for _i, _c in enumerate(_SINGLE):
     _CLASS[ord(_c)] = 6 + _i
+_CLASS[65:71], _CLASS[97:103] = _N_CLASSES - 2, _N_CLASSES - 1
 
 
 def classes(codes: np.ndarray) -> np.ndarray:
-    """Classes of code points: blank, digit, upper, lower, not ASCII (4), other (5), and marks of their own."""
+    """Classes of code points: blank, digit, upper, lower, not ASCII (4), other (5), marks of their own, upper and lower hex letters."""
     return np.where(codes < 128, _CLASS[np.minimum(codes, 127)], 4)
 
 
@@ -257,7 +260,7 @@ def stretches(text: str) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """A text's classes, and what lies within ``REACH`` of a digit, an @ or an "(at)"."""
     kind = classes(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32))
     hot = np.flatnonzero((kind == 1) | (kind == 6))
-    if "at)" in text or "at]" in text or "AT" in text:
+    if "(" in text or "[" in text:
         hot = np.union1d(hot, np.array([m.start() for m in _AT.finditer(text)], dtype=np.int64))
     if not len(hot):
         return kind, []
@@ -266,69 +269,123 @@ def stretches(text: str) -> tuple[np.ndarray, list[tuple[int, int]]]:
     return kind, list(zip(np.maximum(starts, 0).tolist(), np.minimum(ends, len(kind)).tolist(), strict=True))
 
 
-def examples(n: int = EXAMPLES, seed: int = SEED) -> list[tuple[str, list[tuple[int, int]]]]:
-    """Sentences with personal data of each kind, and with numbers that are none; spans, in code points, are of the kinds that base patterns don't know."""
+def examples(n: int = EXAMPLES, seed: int = SEED, contexts: list[str] | None = None) -> list[tuple[str, list[tuple[int, int]]]]:
+    """Sentences with personal data of each kind, and with numbers that are none; spans, in code points, are of the kinds that base patterns don't know.
+
+    Half of the sentences around the values are ``contexts``, if there are any, cut anywhere; the others are made-up
+    words with and without capitals, labels with a colon, or nothing at all.
+    """
     rng = np.random.default_rng(seed)
     num = lambda a, b: int(rng.integers(a, b))
-    word = lambda: "".join(rng.choice(list("abcdefghilmnoprstu"), num(2, 10)))
-    digits = lambda k: "".join(map(str, rng.integers(10, size=k)))
     pick = lambda *of: of[num(0, len(of))]
-    hexa = lambda k: "".join(rng.choice(list("0123456789abcdef"), k))
+    digits = lambda k: "".join(map(str, rng.integers(10, size=k)))
+    drawn = lambda of, k: "".join(rng.choice(list(of), k))
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    hexa = lambda k: drawn("0123456789abcdef", k)
+    fours = lambda t: " ".join(t[i : i + 4] for i in range(0, len(t), 4))
+
+    def word() -> str:
+        w = drawn("aaaabbcddeeeeeefghiiiijklllmmnnnnoooprrrrsssstttuuvwyzéñü", num(1, 11))
+        return (w, w, w, w.capitalize(), w.upper() if num(0, 3) == 0 else w)[num(0, 5)]
+
+    def name() -> str:
+        return drawn("abcdefghiklmnoprstuvw", num(1, 9))
 
     def card(sep: str) -> str:
         body = "4" + digits(14)
         body += next(c for c in "0123456789" if luhn(body + c))
         return sep.join(body[i : i + 4] for i in range(0, 16, 4))
 
+    def account() -> str:
+        body = drawn(upper, 2) + digits(2) + drawn(upper, 4 * num(0, 2)) + digits(num(10, 20)) + pick("", drawn(upper, 1) + digits(num(2, 6)))
+        return fours(body) if num(0, 2) else body
+
+    def telephone() -> str:
+        sep = pick("-", ".", " ")
+        return pick(
+            lambda: f"({num(100, 999)}){pick(' ', '')}{num(100, 999)}-{digits(4)}",
+            lambda: f"{num(200, 999)}{sep}{num(100, 999)}{sep}{digits(4)}",
+            lambda: f"{num(200, 999)}{sep}{num(100, 999)}{sep}{digits(4)}",
+            lambda: f"0{num(10, 999)}{pick('/', '-', ' ')}{digits(num(6, 9))}",
+            lambda: f"0{num(10, 99)} {digits(4)} {digits(4)}",
+            lambda: f"0{num(100, 999)} {digits(3)} {digits(4)}",
+            lambda: f"0{num(1000, 9999)} {digits(6)}",
+            lambda: f"0{num(1, 9)}{''.join(sep + digits(2) for _ in range(4))}",
+            lambda: f"{num(600, 999)} {pick(digits(3) + ' ' + digits(3), ' '.join(digits(2) for _ in range(3)))}",
+        )()
+
     def more() -> str:
-        return (
-            lambda: f"({num(100, 999)}) {num(100, 999)}-{digits(4)}",
-            lambda: f"{num(100, 999)}{(s := pick('-', '.', ' '))}{num(100, 999)}{s}{digits(4)}",
-            lambda: f"0{num(10, 999)}/{digits(num(6, 9))}",
-            lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
-            lambda: f"{pick('DE', 'FR', 'ES', 'GB')}{digits(2)} {' '.join(digits(4) for _ in range(4))} {digits(2)}",
-            lambda: f"{pick('DE', 'FR', 'ES', 'NL')}{digits(20)}",
+        at, dot = pick(" (at) ", "(at)", " [at] ", "[at]", " (At) ", " ( at ) "), pick(" (dot) ", ".", ".", " [dot] ")
+        mac = pick(":", "-").join(hexa(2) for _ in range(6))
+        return pick(
+            telephone,
+            telephone,
+            telephone,
+            lambda: f"{digits(3)}{(s := pick('-', '-', ' '))}{digits(2)}{s}{digits(4)}",
+            account,
+            account,
             lambda: card("."),
-            lambda: ":".join(hexa(4) for _ in range(8)),
-            lambda: pick(":", "-").join(hexa(2) for _ in range(6)),
-            lambda: f"{word()}.{word()}{pick(' (at) ', '(at)', ' [at] ', '[at]')}{word()}{pick(' (dot) ', '.', ' [dot] ')}{pick('com', 'org', 'de', 'fr')}",
-        )[num(0, 10)]()
+            lambda: ":".join(pick(hexa(4), hexa(4), hexa(num(1, 5)), "0") for _ in range(8)),
+            lambda: pick(mac, mac.upper()),
+            lambda: f"{name()}{pick('', '.' + name(), digits(2))}{at}{name()}{dot}{pick('com', 'org', 'de', 'fr', 'es', 'net')}",
+            lambda: pick(drawn(upper, 1) + digits(8), drawn(upper, 2) + digits(7)),
+        )()
 
     def other() -> str:
-        return (
-            lambda: f"{word()}.{num(1, 99)}@{word()}{num(1, 9)}.{word()}.com",
+        d, m, y = num(1, 32), num(1, 13), num(1850, 2040)
+        return pick(
+            lambda: f"{name()}.{num(1, 99)}@{name()}{num(1, 9)}.{name()}.com",
             lambda: ".".join(str(num(0, 256)) for _ in range(4)),
             lambda: card(pick("", " ", "-")),
             lambda: f"+{num(1, 99)} ({num(100, 999)}) {num(100, 999)}-{num(1000, 9999)}",
             lambda: digits(num(1, 22)),
-            lambda: f"20{num(10, 29)}-0{num(1, 9)}-{num(10, 28)}",
-            lambda: f"{num(1, 28)}.{num(1, 12)}.{num(1950, 2030)}",
-            lambda: f"{num(1, 12)}/{num(1, 28)}/{num(1950, 2030)}",
-            lambda: f"version {num(1, 9)}.{num(0, 19)}.{num(0, 99)}",
-            lambda: f"{num(1, 999)},{num(100, 999)}{pick('', '.50', ' EUR')}",
-            lambda: f"{num(10, 23)}:{num(10, 59)}{pick('', ':' + str(num(10, 59)))}",
-            lambda: f'"{hexa(num(16, 41))}"',
-            lambda: f"ISBN 978-{num(0, 9)}-{digits(4)}-{digits(4)}-{num(0, 9)}",
-            lambda: f"({num(1, 200)}) {word()} {num(1, 99)}-{num(1, 99)}",
+            lambda: digits(num(1, 5)),
+            lambda: f"{y}{(s := pick('-', '-', '/', '.'))}{m:02d}{s}{d:02d}",
+            lambda: f"{d:02d}{(s := pick('-', '/', '.'))}{m:02d}{s}{y}",
+            lambda: f"{d}{(s := pick('/', '.'))}{m}{pick('', s + str(y))}",
+            lambda: f"{d} {word()} {y}",
+            lambda: f"{y}{pick('-', '/')}{pick(y + num(1, 30), num(10, 99))}",
+            lambda: f"{pick('version ', 'v', '')}{num(1, 20)}.{num(0, 19)}{pick('', '.' + str(num(0, 99)))}",
+            lambda: f"{num(1, 999)},{num(100, 999)}{pick('', ',' + digits(3), ',' + digits(3) + ',' + digits(3))}{pick('', '.50', ' EUR', '.00 EUR')}",
+            lambda: f"{num(1, 99)} {digits(3)} {digits(3)}",
+            lambda: f"{num(0, 24):02d}:{num(0, 60):02d}{pick('', ':' + format(num(0, 60), '02d'))}",
+            lambda: f"{num(1, 200)}:{num(1, 40)}{pick('', '-' + str(num(1, 60)))}",
+            lambda: f"ISO {num(1000, 30000)}:{y}",
+            lambda: pick(f'"{hexa(num(16, 41))}"', hexa(num(7, 65)), "#" + hexa(6)),
+            lambda: f"ISBN 978-{num(0, 9)}-{digits(num(2, 5))}-{digits(num(4, 7))}-{num(0, 9)}",
+            lambda: f"({num(1, 200)}) {word()} {num(1, 99)}-{num(1, 999)}",
+            lambda: f"{word()} ({pick('at', 'in', 'of', 'is')} {word()}) {num(1, 99)}",
+            lambda: f"{num(1, 90)}.{digits(4)}, {num(1, 180)}.{digits(4)}",
+            lambda: f"{num(1, 99)} {pick('+', '-', '=', 'x', '%', 'x', '/')} {num(1, 99)} {pick('=', '')} {num(1, 999)}",
             lambda: f"{num(1, 9)}-{num(1, 9)} {word()} @{word()}",
+            lambda: f"{drawn(upper, num(1, 4))}{pick('', '-', ' ')}{num(1, 9999)}",
             lambda: f"{word()} {num(1, 999)} {word()} {num(1, 99)} {num(1, 999)}",
-            lambda: f"AKIA{''.join(rng.choice(list('ABCDEFGHIJKLMNOPQ0123456789'), 16))}",
+            lambda: f"AKIA{drawn(upper + '0123456789', 16)}",
             lambda: f"#{digits(num(3, 9))} | {num(1, 99)} | {num(1, 9)} |",
-        )[num(0, 18)]()
+        )()
+
+    def around(most: int) -> str:
+        if contexts and num(0, 2):
+            text = pick(*contexts)
+            a = num(0, max(1, len(text) - 20))
+            return text[a : a + num(0, 60)].strip()
+        label = pick("", "", word() + ":", word() + ",", word() + " no.", word() + "'s", "(" + word())
+        return " ".join([*(word() for _ in range(num(0, most))), label]).strip()
 
     out = []
     for _ in range(n):
         text, spans = "", []
         for _ in range(num(1, 4)):
-            text += " ".join(word() for _ in range(num(3, 9))) + " "
+            before = around(7)
+            text += before + (" " if before and before[-1] != "(" else "")
             if rng.random() < 0.45:
                 value = more()
                 spans.append((len(text), len(text) + len(value)))
                 text += value
             else:
                 text += other()
-            text += pick(" ", ". ", "!! ", "### ", ", ", "; ")
-        out.append((text + word(), spans))
+            text += pick(" ", " ", ". ", ", ", "; ", ") ", "\n", "!! ", "### ")
+        out.append(((text + around(5)).rstrip() if num(0, 2) else text.rstrip(), spans))
     return out
 
 
@@ -345,19 +402,32 @@ def _windows(text: str, spans: list[tuple[int, int]], most: int) -> list[tuple[n
     return [(np.pad(kind[a:b], (0, WINDOW - (b - a))), np.pad(y[a:b], (0, WINDOW - (b - a)))) for a, b in at[np.sort(chosen)].tolist()]
 
 
+def _contexts(text: str, most: int) -> list[str]:
+    """Pieces of a text without digits and marks of addresses, those with the least hashes of their places."""
+    at = np.arange(0, len(text), WINDOW)
+    at = at[np.argsort(mix64(at.astype(np.uint64) + np.uint64(SEED)), kind="stable")].tolist()
+    bare = (" ".join(text[a : a + WINDOW].split()) for a in at)
+    return [c for c in bare if len(c) >= 20 and not re.search(r"[0-9@(\[]", c)][:most]
+
+
 def fit(docs: DataFrame, rows: int = TRAIN_DOCS) -> Network:
     """Learns from the base spans in windows of a bounded sample, and from examples."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [w for t in batch.column(0) for w in _windows(t.as_py(), [], WINDOWS)]
-            yield pa.RecordBatch.from_arrays([pa.array([w[k] for w in found], type=pa.list_(pa.int64())) for k in (0, 1)], names=["x", "y"])
+            texts = [t.as_py() for t in batch.column(0)]
+            found = [w for t in texts for w in _windows(t, [], WINDOWS)]
+            around = [c for t in texts for c in _contexts(t, WINDOWS)]
+            lists = [pa.array([w[k] for w in found] + [None] * len(around), type=pa.list_(pa.int64())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*lists, pa.array([None] * len(found) + around, type=pa.string())], names=["x", "y", "around"])
 
     some = written(docs.filter(F.col("text").rlike("[0-9@]") & F.col("doc_id").isNotNull()).select("doc_id"))
     ids = F.broadcast(sampled(some, "doc_id", rows).select(F.col("doc_id").alias("__id")).distinct())
     texts = docs.join(ids, F.col("doc_id") == F.col("__id")).groupBy("doc_id").agg(F.max("text").alias("text")).select("text")
-    found = sorted((r["x"], r["y"]) for r in texts.mapInArrow(run, "x array<long>, y array<long>").collect())
-    made = [w for t, spans in examples() for w in _windows(t, spans, 1 << 30)]
+    rows = texts.mapInArrow(run, "x array<long>, y array<long>, around string").collect()
+    found = sorted((r["x"], r["y"]) for r in rows if r["x"] is not None)
+    contexts = sorted(r["around"] for r in rows if r["around"] is not None)
+    made = [w for t, spans in examples(contexts=contexts) for w in _windows(t, spans, 1 << 30)]
     x, y = (np.stack([np.array(w[k]) for w in [*found, *made]]) for k in (0, 1))
     network = Network()
     network.fit(x, y)

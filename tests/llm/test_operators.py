@@ -7,10 +7,12 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tessela.llm import decontam, licenses, line_dedup, mixing, near_dup, pii, quality, secrets, toxicity, warc
+from tests.llm import pii_lines
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -461,6 +463,26 @@ def test_the_network_finds_kinds_that_patterns_miss(spark, network):
     assert met / (met + wrong) >= 0.9
 
 
+def test_the_network_on_lines_written_by_hand(spark, network):
+    written = pii_lines.lines()
+    found = pii.scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(written)], "doc_id long, text string"), network)
+    met, missed, wrong = _against({r["doc_id"]: r["spans"] for r in found.collect()}, written)
+    assert len(written) > 60 and met + missed > 30
+    assert met / (met + missed) >= 0.9
+    assert met / (met + wrong) >= 0.9
+
+
+def test_overlapping_windows_agree_with_one_pass(network):
+    text = " ".join(t for t, _ in pii.examples(200, seed=17))
+    kind = pii.classes(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32))
+    assert len(kind) > 50 * pii.WINDOW
+    (whole,) = network._viterbi([network.emissions(kind[None])[0]])
+    (cut,) = network.tag([kind])
+    spans = lambda y: {tuple(x) for x in np.flatnonzero(np.diff(np.r_[0, y == pii.MORE, 0].astype(int))).reshape(-1, 2).tolist()}
+    assert len(spans(whole) & spans(cut)) >= 0.95 * len(spans(whole) | spans(cut)) > 0
+    assert (whole == cut).mean() > 0.99
+
+
 def test_scans_that_go_through_runs_once_agree_with_the_patterns():
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
