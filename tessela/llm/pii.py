@@ -46,7 +46,7 @@ TRAIN_DOCS = 300
 WINDOWS = 6
 EXAMPLES = 3000
 STEPS = 400
-BATCH = 128
+BATCH = 48
 SEED = 9
 #: Characters of stretches that are decoded side by side.
 SIDE_BY_SIDE = 1 << 18
