@@ -6,8 +6,10 @@ from records too few or too much alike to train any, a dictionary of their raw c
 a skippable frame that holds the dictionary, then the records. An archive needs nothing but itself to be read.
 
 Among records with equal payloads of at least ``REVISIT_BYTES`` bytes the one with the largest page_id is a
-response, the others are revisits that refer to it and carry no payload. Digests decide; the largest id of a digest
-is counted before the shuffle, and the join's hot digests are split by the engine.
+response, the others are revisits that refer to it and carry no payload. Digests decide. Only (digest, page_id) is
+shuffled to find the repeated ones, with the largest id of a digest taken before the shuffle. If at most
+``BROADCAST_ROWS`` digests are repeated they are broadcast and pages stay where they were read; more of them are joined
+by digest, where the engine splits hot ones.
 
 Tasks write under a name with their attempt's number, first with a suffix, then renamed. What was written is told
 by a manifest table, which only holds rows of attempts that Spark committed, so the files of lost or repeated
@@ -43,6 +45,8 @@ SAMPLE_BYTES = 2 << 20
 DICTIONARY_BYTES = 64 << 10
 PIECE_BYTES = 16 << 10
 REVISIT_BYTES = 1000
+#: Repeated digests that are broadcast, some 100 bytes each.
+BROADCAST_ROWS = 200_000
 LEVEL = 3
 
 #: The skippable frame that holds a dictionary, and what its content starts with.
@@ -117,11 +121,14 @@ def records(source: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]
         yield head, block
 
 
-def decided(pages: DataFrame) -> DataFrame:
+def decided(pages: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(page_id, url, html, digest, refers_to): what to write of each page."""
     pages = pages.select(F.col("page_id").try_cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     pages = pages.withColumn("digest", F.sha1(F.col("html").cast("binary")))
     again = pages.filter(F.octet_length("html") >= REVISIT_BYTES).groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "last")
+    again = written(again)
+    if again.count() <= broadcast_rows:
+        again = F.broadcast(again)
     refers_to = F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("last")), F.col("last"))
     return pages.join(again, "digest", "left").select("page_id", "url", "html", "digest", refers_to.alias("refers_to"))
 

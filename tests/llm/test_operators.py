@@ -180,12 +180,17 @@ def test_hypergeometric_and_tree(spark):
     assert max(sizes.values()) - min(sizes.values()) <= 1
 
 
-def test_warc(spark, tmp_path):
+@pytest.mark.parametrize("broadcast_rows", [warc.BROADCAST_ROWS, 0])
+def test_warc(spark, tmp_path, broadcast_rows):
     big = "<p>ä</p>" * 300
     pages = [(1, "u1", big), (2, "u2", big), (3, "u 3", big + "x"), (4, None, None), (5, "u5", "short"), (6, "u6", "short"), (2, "u2", big), (None, "u", big), (7, "u7", "r\r\n\r\nWARC/1.1\r\n" * 200)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2)
     folder = str(tmp_path / "w")
-    manifest = warc.write(warc.decided(df), folder)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    decided = warc.decided(df, broadcast_rows)
+    assert ("BroadcastHashJoin" in decided._jdf.queryExecution().executedPlan().toString()) == (broadcast_rows > 0)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    manifest = warc.write(decided, folder)
     found = warc.read(manifest, folder).collect()
     assert sorted((r["page_id"] or 0, bytes(r["payload"]).decode()) for r in found if r["record_type"] == "response") == sorted((i or 0, h or "") for i, _, h in pages if not (h == big and i in (1, None)))
     assert {r["page_id"]: r["refers_to"] for r in found if r["record_type"] == "revisit"} == {1: 2, None: 2}
