@@ -47,6 +47,8 @@ PIECE_BYTES = 16 << 10
 REVISIT_BYTES = 1000
 #: Repeated digests that are broadcast, some 100 bytes each.
 BROADCAST_ROWS = 200_000
+#: Archives that a task reads.
+READ_ARCHIVES = 8
 LEVEL = 3
 
 #: The skippable frame that holds a dictionary, and what its content starts with.
@@ -200,7 +202,9 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
     def table(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, (_, t) in zip(zip(*rows, strict=True), types, strict=True)], names=[n for n, _ in types])
 
-    files = manifest.select("path").repartition("path")
+    n = manifest.count()
+    tasks = max(-(-n // READ_ARCHIVES), min(n, manifest.sparkSession.sparkContext.defaultParallelism), 1)
+    files = manifest.select("path").repartition(tasks)  # a number, so that small rows with much behind them aren't put together
     return files.mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
