@@ -37,8 +37,12 @@ WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
 MAX_REPEAT = 2
 BLOCKS = 1024
-#: Words of the documents that are looked at to fill up a source, over what is missing.
+#: Words of the lots that a round of filling up looks at, over what a source lacks; whatever it is, the same lots are taken.
 SPARE = 16
+#: Lots that the documents of blocks left out are dealt to, for each source.
+LOTS = 1 << 20
+#: Lots to take that are broadcast, some 60 bytes each.
+BROADCAST_ROWS = 500_000
 TREE_DEPTH = 3
 PARTS = 4096
 SEED = 7
@@ -145,6 +149,39 @@ def _fitting(items: str | Column, room: Column, size: str, name: str, kind: str)
     return F.aggregate(items, start, step)
 
 
+def _top_up(spare: DataFrame, spare_words: int = SPARE) -> DataFrame:
+    """(source, lot, size, lacks) to (source, lot): the lots of each source that fill up what it lacks.
+
+    Lots are gone through in their order, and each that still fits is taken; at last comes the one that leaves the
+    least gap, if any makes it smaller. A round looks at the next lots of all sources, those that hold about
+    ``spare_words`` times what is lacking, and rounds go on until no lot that fits is left: one that didn't fit before
+    never will, as what is lacking only shrinks. So no row gets all lots of a source and none is passed over.
+    """
+    items = spare.select("source", "lot", "size")
+    state = written(spare.groupBy("source").agg(F.first("lacks").cast("double").alias("lacks"), F.lit(0).cast("bigint").alias("seen")))
+    took = items.select("source", "lot").limit(0)
+    while True:
+        now = state.select(F.col("source").alias("s"), "lacks", "seen")
+        left = items.join(now, F.col("source").eqNullSafe(F.col("s"))).filter((F.col("lot") >= F.col("seen")) & (F.col("size") <= F.col("lacks"))).drop("s")
+        reach = F.first("seen") + F.ceil(F.first("lacks") * spare_words * (LOTS - F.first("seen")) / F.sum("size"))
+        reach = left.groupBy("source").agg(F.least(F.lit(LOTS), reach).cast("bigint").alias("reach")).withColumnRenamed("source", "s")
+        look = left.join(reach, F.col("source").eqNullSafe(F.col("s"))).groupBy("source")
+        look = look.agg(F.first("lacks").alias("lacks"), F.first("reach").alias("seen"), F.array_sort(F.collect_list(F.when(F.col("lot") < F.col("reach"), F.struct("lot", "size")))).alias("lots"))
+        look = look.withColumn("fill", _fitting("lots", F.col("lacks"), "size", "lot", "bigint"))
+        look = written(look.select("source", (F.col("lacks") - F.col("fill.cum")).alias("lacks"), "seen", F.col("fill.took").alias("took")))
+        if look.isEmpty():
+            break
+        took = took.unionByName(look.select("source", F.explode("took").alias("lot")))
+        others = state.join(look.select(F.col("source").alias("s")), F.col("source").eqNullSafe(F.col("s")), "left_anti")
+        state = written(others.unionByName(look.select("source", "lacks", "seen")))
+    now = state.select(F.col("source").alias("s"), "lacks")
+    taken = took.select(F.col("source").alias("s"), F.col("lot").alias("l"))
+    gap = F.abs(F.col("lacks") - F.col("size"))
+    rest = items.join(now, F.col("source").eqNullSafe(F.col("s"))).drop("s").filter(gap < F.col("lacks"))
+    rest = rest.join(taken, F.col("source").eqNullSafe(F.col("s")) & (F.col("lot") == F.col("l")), "left_anti")
+    return took.unionByName(rest.groupBy("source").agg(F.min_by("lot", F.struct(gap, "lot")).alias("lot")))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TREE_DEPTH, seed: int = SEED) -> DataFrame:
     """``docs`` with ``__size``, ``__source_size``, ``__target`` and ``__draws``: the (shard, key) of each time the mix takes the document."""
     docs = docs.drop(*ADDED)
@@ -175,24 +212,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, depth: int = TREE_D
     shard_of = lambda j: F.filter("ends", lambda e: j < e["end"])[0]["shard"]
     each = each.select("source", "source_size", "target", F.col("b.hash").alias("block"), (F.col("place") >= F.col("cut")).alias("spare"), F.transform(draws, shard_of).alias("shards"), "lacks")
     each = written(each)
-    # documents of the blocks left out, in at most 2**20 lots by another hash: of each source's, those that fill up what it lacks
+    # documents of the blocks left out, in ``LOTS`` lots by another hash: of each source's, those that fill up what it lacks
     lot = F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("source")), 44)
     left_out = each.filter("spare").select(F.col("source").alias("s"), F.col("block").alias("b"), "lacks")
     spare = slim.filter("size > 0").join(left_out, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
     spare = spare.groupBy("source", lot.alias("lot")).agg(F.sum("size").alias("size"), F.first("lacks").alias("lacks")).filter("size < 2 * lacks")
     spare = written(spare)
-    share = spare.groupBy("source").agg((F.first("lacks") * SPARE * (1 << 20) / F.sum("size")).alias("first")).select(F.col("source").alias("s"), "first")
-    spare = spare.join(share, F.col("source").eqNullSafe(F.col("s"))).filter(F.col("lot") < F.col("first"))
-    spare = spare.groupBy("source").agg(F.first("lacks").alias("lacks"), F.array_sort(F.collect_list(F.struct("lot", "size"))).alias("lots"))
-    spare = spare.withColumn("fill", _fitting("lots", F.col("lacks"), "size", "lot", "bigint")).withColumn("lacks", F.col("lacks") - F.col("fill.cum"))
-    gaps = F.transform("lots", lambda x: F.struct(F.abs(F.col("lacks") - x["size"]).alias("gap"), x["lot"].alias("lot")))
-    last = F.array_min(F.filter(gaps, lambda x: (x["gap"] < F.col("lacks")) & ~F.array_contains("fill.took", x["lot"])))
-    lots = F.when(last.isNotNull(), F.concat("fill.took", F.array(last["lot"]))).otherwise(F.col("fill.took"))
-    best = written(spare.select(F.col("source").alias("__top_source"), F.explode(lots).alias("__top_lot")))
+    best = written(_top_up(spare).select(F.col("source").alias("__top_source"), F.col("lot").alias("__top_lot")))
+    if best.count() <= BROADCAST_ROWS:
+        best = F.broadcast(best)
     each = each.select(F.col("source").alias("__s"), F.col("block").alias("__b"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), F.col("shards").alias("__shards"), "spare")
     each = each.withColumn("__spare", F.col("spare")).drop("spare")
     out = sized.withColumn("__lot", lot).join(each, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")), "left")
-    out = out.join(F.broadcast(best), F.col("source").eqNullSafe(F.col("__top_source")) & (F.col("__lot") == F.col("__top_lot")) & F.col("__spare") & (F.col("__size") > 0), "left")
+    out = out.join(best, F.col("source").eqNullSafe(F.col("__top_source")) & (F.col("__lot") == F.col("__top_lot")) & F.col("__spare") & (F.col("__size") > 0), "left")
     topped = F.when(F.col("__top_lot").isNotNull(), F.array(F.pmod(F.xxhash64(F.lit(seed + 2), F.col("doc_id")), F.lit(1 << depth)))).otherwise(F.array().cast("array<bigint>"))
     shards = F.concat(F.coalesce("__shards", F.array().cast("array<bigint>")), topped)
     draws = F.transform(shards, lambda s, i: F.struct(s.alias("shard"), F.xxhash64(F.lit(seed + 3), F.col("doc_id"), i).alias("key")))

@@ -156,6 +156,30 @@ def test_mixing(spark, docs, rows, empty):
     assert mixing.mix(clash).columns == [*docs.columns, "target", "__size", "__source_size", "__target", "__draws"]
 
 
+@pytest.mark.parametrize("spare_words", [1, 16])
+def test_sources_are_topped_up_from_all_their_lots(spark, spare_words):
+    """As by going through all lots of a source in their order, however many a round looks at."""
+    rng = random.Random(11)
+    lots = {s: sorted((lot, rng.choice([1, 3, 40, 700, 900])) for lot in rng.sample(range(mixing.LOTS), 300)) for s in ("a", "b", None)}
+    lots["late"] = [(k, 500) for k in range(200)] + [(mixing.LOTS - 1, 7)]
+    lots["near"] = [(5, 90), (9, 150), (2, 108)]
+    lots["none"] = [(1, 300)]
+    lacks = {"a": 1000.5, "b": 37.0, None: 20_000.0, "late": 1007.0, "near": 100.0, "none": 150.0}
+    want = set()
+    for s, held in lots.items():
+        room, took = lacks[s], set()
+        for lot, size in sorted(held):
+            if size <= room:
+                took.add(lot)
+                room -= size
+        gaps = [(abs(room - size), lot) for lot, size in held if lot not in took and abs(room - size) < room]
+        want |= {(s, lot) for lot in took} | ({(s, min(gaps)[1])} if gaps else set())
+    rows = [(s, lot, size, lacks[s]) for s, held in lots.items() for lot, size in held]
+    found = mixing._top_up(spark.createDataFrame(rows, "source string, lot long, size long, lacks double").repartition(3), spare_words).collect()
+    assert len(found) == len(want)
+    assert {(r["source"], r["lot"]) for r in found} == want
+
+
 @pytest.mark.parametrize("long", [30_000, 100_000])
 def test_mix_meets_its_target_beside_a_long_document(spark, long):
     df = spark.createDataFrame([(i, "w " * (long if i == 250 else 200), "s") for i in range(501)], "doc_id long, text string, source string")
