@@ -6,8 +6,10 @@ Text comes in as strings; a conform step gives types.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessela.functions.dates import in_file_name
@@ -149,44 +151,93 @@ def html_files(spark: SparkSession, paths: str | list[str], sniffed: int = 2048)
     return raw.select("path", html.alias("html")).filter(F.lower(F.substring("html", 1, sniffed)).rlike("<(html|div|table)"))
 
 
-#: What is no content, and where texts are cut: before a tag of a table and behind any tag.
+#: What is no content, and the tags that tables are told by.
 _NO_CONTENT = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
-_CUT = r"(?i)(?=</?(?:table|tr|td|th)\b)|(?<=>)"
+_TAGS = re.compile(r"<(?:(/?table)|(tr)|t[dh])\b", re.IGNORECASE)
+#: Characters of cells that a task holds before it hands them on.
+_HELD = 8_000_000
+
+
+def _scanned(page: str) -> Iterator[tuple[int, int, int, int, str]]:
+    """(table, depth, line, cell, html) of a page's cells, in one go over its tags with a stack of the tables that are open."""
+    stack: list[list] = []  # of each: place, line, cell, where the cell begins
+
+    def ended(at: int) -> Iterator[tuple[int, int, int, int, str]]:
+        table, line, cell, begin = stack[-1]
+        if begin is not None:
+            yield table, len(stack), line, cell, page[begin:at]
+            stack[-1][3] = None
+
+    for tag in _TAGS.finditer(page):
+        at, kind = tag.start(), tag.lastindex
+        if kind == 1 and len(tag[1]) == 5:
+            stack.append([at, -1, -1, None])
+        elif stack:
+            yield from ended(at)
+            top = stack[-1]
+            if kind == 1:
+                stack.pop()
+            elif kind == 2:
+                top[1:3] = top[1] + 1, -1
+            elif top[1] >= 0:
+                top[2:4] = top[2] + 1, at
+    while stack:
+        yield from ended(len(page))
+        stack.pop()
+
+
+def _largest(page: str) -> Iterator[tuple[int, list[str]]]:
+    """(line, cells) of the page's largest table."""
+    tables: dict[int, dict[int, list[str]]] = {}
+    for table, _, line, _, text in _scanned(page):
+        tables.setdefault(table, {}).setdefault(line, []).append(text)
+    if tables:
+        yield from tables[max(tables, key=lambda t: (len(tables[t]) * len(tables[t].get(0, ())), -t))].items()
+
+
+def _by_page(html: DataFrame, name: str, content: str, scan: Callable[[str], Iterator[tuple]], fields: str) -> DataFrame:
+    """What a scan finds in each page, beside the page's name; tasks hand it on in parts."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, rows, held = [], [], 0
+            for i, page in enumerate(batch.column(1)):
+                for row in scan(page.as_py() or ""):
+                    own.append(i)
+                    rows.append(row)
+                    held += len(row[-1]) if isinstance(row[-1], str) else sum(map(len, row[-1]))
+                    if held > _HELD:
+                        yield taken(batch, own, rows)
+                        own, rows, held = [], [], 0
+            if rows:
+                yield taken(batch, own, rows)
+
+    kinds = [pa.list_(pa.string()) if kind == "array<string>" else pa.string() if kind == "string" else pa.int64() for kind in (f.split()[1] for f in fields.split(", "))]
+    names = [name, *(f.split()[0] for f in fields.split(", "))]
+
+    def taken(batch: pa.RecordBatch, own: list[int], rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), *columns], names=names)
+
+    pages = html.select(name, F.regexp_replace(content, _NO_CONTENT, "").alias("__page"))
+    return pages.mapInArrow(found, f"`{name}` {html.schema[name].dataType.simpleString()}, {fields}")
 
 
 def html_cells(html: DataFrame, name: str = "path", content: str = "html") -> DataFrame:
-    """(name, table, depth, line, cell, text): the cells of all tables of each page, by a scan with the running depth of table tags.
+    """(name, table, depth, line, cell, text): the cells of all tables of each page, by a scan that keeps the tables that are open.
 
     ``table`` is the place where a table begins. Cells and rows end where the next one begins or the table ends; a cell
     has the text of the tables within it too, and these are tables of their own. Closing tags without an opening one
-    count for nothing. A page is one value; its parts are gone through in order.
+    count for nothing. A page is one value, gone through once in its task, so pages aren't shuffled; rows of one name are pages of their own.
     """
-    parts = html.select(name, F.posexplode(F.split(F.regexp_replace(content, _NO_CONTENT, ""), _CUT)).alias("at", "part"))
-    tag = lambda t: F.col("part").rlike(rf"(?i)^<{t}\b")
-    page = Window.partitionBy(name).orderBy("at")
-    parts = parts.withColumn("__step", F.when(tag("table"), 1).when(tag("/table"), -1).otherwise(0)).withColumn("__sum", F.sum("__step").over(page))
-    low = F.least(F.lit(0), F.min("__sum").over(page))  # what was closed without being open
-    parts = parts.withColumn("__depth", F.col("__sum") - low).filter("__depth > 0")
-    # a part belongs to all the tables that it lies in
-    each = parts.select(name, "at", "part", F.col("__depth"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("__depth"))).alias("depth"))
-    own = F.col("depth") == F.col("__depth")
-    level = Window.partitionBy(name, "depth").orderBy("at")
-    each = each.withColumn("table", F.max(F.when(own & tag("table"), F.col("at"))).over(level))
-    rows = Window.partitionBy(name, "depth", "table").orderBy("at")
-    each = each.withColumn("line", F.sum((own & tag("tr")).cast("int")).over(rows) - 1)
-    cells = Window.partitionBy(name, "depth", "table", "line").orderBy("at")
-    each = each.withColumn("cell", F.sum((own & tag("t[dh]")).cast("int")).over(cells) - 1).filter("line >= 0 and cell >= 0")
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "part"))), lambda x: x["part"]), "")
-    return each.groupBy(name, "table", "depth", "line", "cell").agg(_plain(text).alias("text"))
+    cells = _by_page(html, name, content, _scanned, "table long, depth long, line long, cell long, text string")
+    return cells.withColumn("text", _plain(F.col("text")))
 
 
 def html_rows(html: DataFrame, name: str = "path", content: str = "html") -> DataFrame:
     """(name, line, cells) of the largest table (rows x cells of its first row; of equal ones the first) of each page, nested ones too."""
-    cells = html_cells(html, name, content)
-    sizes = cells.groupBy(name, "table").agg(F.countDistinct("line").alias("rows"), F.count_if(F.col("line") == 0).alias("width"))
-    best = sizes.groupBy(name).agg(F.max_by("table", F.struct(F.col("rows") * F.col("width"), -F.col("table"))).alias("table"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("cell", "text"))), lambda x: x["text"])
-    return cells.join(best, [name, "table"], "left_semi").groupBy(name, "line").agg(ordered.alias("cells"))
+    rows = _by_page(html, name, content, _largest, "line long, cells array<string>")
+    return rows.withColumn("cells", F.transform("cells", _plain))
 
 
 def _plain(cell: Column) -> Column:

@@ -89,6 +89,14 @@ def test_nested_tables_come_out_whole(spark):
     assert (1, "menu 123456") in depths
 
 
+def test_pages_are_gone_through_without_shuffles(spark):
+    page = "<table><tr><td>a<table><tr><td>" + "x" * 50 + "</table>b</td><td>c</table><td>no"
+    pages = spark.createDataFrame([(1, page), (None, page), (2, "<td>no<table><td>no<TR>no<td>yes<tré>")], "p int, html string")
+    rows = tables.html_rows(pages, "p")
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted((str(r["p"]), r["line"], r["cells"]) for r in rows.collect()) == [("1", 0, ["a" + "x" * 50 + "b", "c"]), ("2", 0, ["yes"]), ("None", 0, ["a" + "x" * 50 + "b", "c"])]
+
+
 def test_only_days_of_the_batch_are_read(spark, tmp_path):
     path = str(tmp_path / "fatos")
     spark.range(300).selectExpr("id Codigo", "date_add(date'2025-01-01', cast(id as int) % 100) DataSaida").write.partitionBy("DataSaida").parquet(path)
