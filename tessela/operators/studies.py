@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessela.functions.numbers import rounded
 from tessela.functions.text import strip, upper_or_null
-from tessela.operators.quality import offered, offered_where_found, wanted, without_outliers
+from tessela.operators.quality import asked, offered, offered_where_found, without_outliers
 from tessela.operators.segments import AREA_APARTMENT, AREA_HOUSE, ROOMS_APARTMENT, ROOMS_HOUSE, band_right, grouped_by_sets, luxury, parking
 from tessela.operators.tiers import best_clusters, pick_three
+from tessela.sources.kept import kept
 from tessela.sources.schema import column
 
 
@@ -64,17 +66,30 @@ MISSING_HOUSE = {"faixa": "Sem Faixa", "comodos": "Sem Faixa", "distrito": "Sem
 MISSING_APARTMENT = {"faixa": "nan", "comodos": "nan", "distrito": "<NA>", "bloco": "<NA>", "postal": "<NA>"}
 
 
+#: What studies look at of a listing, beside ``padrao``.
+LOOKED_AT = ("bairro", "cidade", "oferta", "quadra", "cep", "data_coleta", "area_util", "quartos", "vagas", "preco", "valor_m2")
+
+
+def _of_study(df: DataFrame, study: Study) -> Column:
+    """Whether a row is of the study's area (and, of the strict kind, of its offer)."""
+    if study.kind == "house-strict":
+        return asked(df, normalise=False, bairro=study.bairro, cidade=study.cidade, oferta=study.oferta)
+    return asked(df, bairro=study.bairro, cidade=study.cidade)
+
+
 def selected(df: DataFrame, study: Study, data_ref: str | None = None) -> DataFrame:
-    """The study's rows with ``vaga`` and ``valor``, outliers of each parking group removed."""
-    df = df.withColumn("vaga", parking(F.col("vagas"), PARKING))
+    """The study's rows with ``vaga`` and ``valor``, outliers of each parking group removed.
+
+    The rows of its area are kept before they are looked at several times, so ``df`` is worked out once.
+    """
+    df = df.filter(_of_study(df, study)).withColumn("vaga", parking(F.col("vagas"), PARKING)).withColumn("valor", F.col("preco" if study.house else "valor_m2"))
     if study.kind == "house-strict":
-        df = wanted(df, normalise=False, bairro=study.bairro, cidade=study.cidade, oferta=study.oferta)
         df = df.filter(F.col("data_coleta") == F.lit(data_ref).cast("date")) if data_ref else df
-    else:
-        df = wanted(df, bairro=study.bairro, cidade=study.cidade)
-        df = offered(df, study.oferta) if study.kind == "apt" else offered_where_found(df, study.oferta) if study.kind == "house" else df
-    df = df.withColumn("valor", F.col("preco" if study.house else "valor_m2")).filter("valor is not null")
-    return without_outliers(df, "valor", ["vaga"], few_groups=True)
+    elif study.kind == "apt":
+        df = offered(df, study.oferta)
+    df = kept(df)
+    df = offered_where_found(df, study.oferta) if study.kind == "house" else df
+    return without_outliers(df.filter("valor is not null"), "valor", ["vaga"], few_groups=True)
 
 
 def groups(df: DataFrame, study: Study, data_ref: str | None = None) -> DataFrame:
@@ -130,7 +145,13 @@ def results(df: DataFrame, study: Study, data_ref: str | None = None) -> DataFra
 
 
 def all_results(df: DataFrame, studies: tuple[Study, ...] = CATALOGUE, data_ref: str | None = None) -> DataFrame:
-    """The studies of a catalogue as one table; one without rows has none."""
+    """The studies of a catalogue as one table; one without rows has none.
+
+    The rows that any of them looks at are kept once, in the columns that they look at.
+    """
+    own = column(df, "padrao")
+    some = df.filter(reduce(lambda a, b: a | b, [_of_study(df, s) for s in studies]))
+    df = kept(some.select(*[c for c in df.columns if c in LOOKED_AT or c == own]))
     out = None
     for study in studies:
         part = results(df, study, data_ref)

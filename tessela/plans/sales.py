@@ -25,7 +25,7 @@ MONTH = ("1997-05-01", "1997-05-31")
 
 def _scaled(spark: SparkSession, sf: str, by: int) -> DataFrame:
     """Listings with areas times 5 (apartments) or 25 (houses), so that all bands occur."""
-    return valued(spark, sf).withColumn("area_util", F.col("area_util") * by)
+    return valued(spark, sf).select(*studies.LOOKED_AT).withColumn("area_util", F.col("area_util") * by)
 
 
 def study_apt(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,7 +48,7 @@ def study_house_strict(spark: SparkSession, sf: str) -> DataFrame:
 
 def study_tiers(spark: SparkSession, sf: str) -> DataFrame:
     """The tiers of the house study: of each parking group the nine clusters with the least sum of squares, and three of these."""
-    return studies.tier_rows(studies.selected(valued(spark, sf), HOUSE), DAY)
+    return studies.tier_rows(studies.selected(valued(spark, sf).select(*studies.LOOKED_AT), HOUSE), DAY)
 
 
 def studies_all(spark: SparkSession, sf: str) -> DataFrame:
