@@ -72,31 +72,41 @@ def sections(rank: DataFrame, top: int = 30) -> DataFrame:
     return long.withColumn("pos", pos).filter(F.col("pos") <= top).select(section.alias("secao"), "pos", "nome", rounded("valor", 2).alias("valor"))
 
 
+#: Entries of managers that go along with the contracts' rows.
+CARRIED = 1_000_000
+
+
 def managed(df: DataFrame, contract: str, value: str, commission: str, brokers: list[tuple[str, str, str]], managers: DataFrame) -> DataFrame:
     """One row per contract, side, broker paid and the broker's manager. ``brokers``: (side, broker column, payout column).
 
-    ``managers`` has (corretor, gerente), the last entry of a broker counts; brokers without manager drop out.
+    ``managers`` has (corretor, gerente), the last entry of a broker counts; brokers without manager drop out. A broker
+    may have very many contracts, so up to ``CARRIED`` managers go to the rows and these stay where they are; more are
+    joined by broker.
     """
     paid = F.array(*[F.struct(F.lit(s).alias("lado"), F.col(b).alias("corretor"), F.col(p).cast("double").alias("pago")) for s, b, p in brokers])
     each = df.select(F.col(contract).alias("contrato"), F.col(value).alias("vgv"), F.col(commission).alias("vgc"), F.explode(paid).alias("x")).select("contrato", "vgv", "vgc", "x.*")
     each = each.filter((F.col("pago") > 0) & F.col("corretor").isNotNull()).select("contrato", "vgv", "vgc", "lado", "corretor").distinct()
-    return each.join(managers, "corretor")
+    few = managers.limit(CARRIED + 1).count() <= CARRIED
+    return each.join(F.broadcast(managers) if few else managers, "corretor")
 
 
 def manager_detail(rows: DataFrame) -> DataFrame:
-    """(lista, gerente, corretor, valor): each contract's value once for a manager, in equal parts for its brokers there."""
-    listed = rows.select("contrato", "vgv", "lado", "gerente", "corretor").unionByName(rows.select("contrato", "vgv", F.lit("GERAL").alias("lado"), "gerente", "corretor").distinct())
-    count = listed.groupBy("contrato", "lado", "gerente").agg(F.count(F.lit(1)).alias("k"))
-    each = listed.join(count, ["contrato", "lado", "gerente"])
+    """(lista, gerente, corretor, valor): each contract's value once for a manager, in equal parts for its brokers there.
+
+    A contract's rows are read once: the first of a broker and manager, whatever the side, stands for both sides.
+    """
+    rows = rows.select("contrato", "vgv", "lado", "gerente", "corretor").dropna(subset=["contrato", "lado", "gerente"])
+    first = F.row_number().over(Window.partitionBy("contrato", "gerente", "corretor", "vgv").orderBy("lado")) == 1
+    listed = rows.withColumn("__first", first).withColumn("lado", F.explode(F.array_compact(F.array("lado", F.when(F.col("__first"), F.lit("GERAL"))))))
+    each = listed.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("contrato", "gerente", "lado")))
     return each.groupBy(F.col("lado").alias("lista"), "gerente", "corretor").agg(F.sum(F.col("vgv").cast("double") / F.col("k")).alias("valor"))
 
 
 def manager_commission(rows: DataFrame) -> DataFrame:
     """(lista, gerente, vgc): halved between the sides that have a manager, equal per manager; GERAL is both."""
-    one = rows.select("contrato", "vgc", "lado", "gerente").distinct()
-    per_side = one.groupBy("contrato", "lado").agg(F.count(F.lit(1)).alias("k"))
-    n_sides = per_side.groupBy("contrato").agg(F.count(F.lit(1)).alias("lados"))
-    each = one.join(per_side, ["contrato", "lado"]).join(n_sides, "contrato")
+    one = rows.select("contrato", "vgc", "lado", "gerente").dropna(subset=["contrato", "lado"]).distinct()
+    each = one.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("contrato", "lado")))
+    each = each.withColumn("lados", F.size(F.collect_set("lado").over(Window.partitionBy("contrato"))))
     share = F.col("vgc").cast("double") / F.col("lados") / F.col("k")
     each = each.select("gerente", F.explode(F.array("lado", F.lit("GERAL"))).alias("lista"), share.alias("vgc"))
     return each.groupBy("lista", "gerente").agg(rounded(F.sum("vgc"), 2, 3e-6).alias("vgc"))

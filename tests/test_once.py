@@ -5,8 +5,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tessela.operators import segments, studies, tiers
+from tessela.operators import awards, segments, studies, tiers
 from tessela.plans import catalogue
+from tessela.sources import files
 
 SF = "/root/testdata/sf0.001"
 ROWS = "(1, 'a', 10.0, 100.0, 5.0), (1, 'a', 10.0, 100.0, 5.0), (2, 'a', 30.0, null, 7.0), (null, 'b', 20.0, 300.0, null), (0, 'b', null, 500.0, 9.0)"
@@ -65,3 +66,41 @@ def test_a_catalogue_reads_its_listings_once(spark, tmp_path):
     out = studies.all_results(spark.read.parquet(path), (studies.Study("B1", "apt", "VENDA", bairro="B1"), studies.Study("B0", "house", "VENDA", bairro="B0")), "2025-01-01")
     assert not [f for f in out.inputFiles() if path in f]
     assert {r["estudo"] for r in out.filter("amostra > 0").collect()} == {"B1 (apt)", "B0 (house)"}
+
+
+def _managed(spark):
+    """One broker has all contracts; one of them on both sides, one contract without a key."""
+    df = spark.range(200).selectExpr("nullif(id, 7) c", "cast(100 + id as decimal(18,2)) v", "cast(id as decimal(18,4)) k", "'A' s1", "if(id % 2 = 0, 'A', concat('B', id % 3)) s2", "1 p")
+    return awards.managed(df, "c", "v", "k", [("VEND", "s1", "p"), ("CAP", "s2", "p")], spark.createDataFrame([("A", "M"), ("B0", "M"), ("B1", "N"), ("B2", None)], "corretor string, gerente string"))
+
+
+def test_brokers_with_very_many_contracts_stay_apart(spark):
+    rows = _managed(spark)
+    for out in (awards.manager_detail(rows), awards.manager_commission(rows)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(corretor" not in plan
+        assert plan.count("hashpartitioning(contrato") <= 3  # none of them where contracts lie together already
+    listed = rows.select("contrato", "vgv", "lado", "gerente", "corretor").unionByName(rows.select("contrato", "vgv", F.lit("GERAL").alias("lado"), "gerente", "corretor").distinct())
+    each = listed.join(listed.groupBy("contrato", "lado", "gerente").agg(F.count(F.lit(1)).alias("k")), ["contrato", "lado", "gerente"])
+    want = each.groupBy(F.col("lado").alias("lista"), "gerente", "corretor").agg(F.sum(F.col("vgv").cast("double") / F.col("k")).alias("valor"))
+    shown = lambda df: sorted((r["lista"], r["gerente"], r["corretor"], round(r["valor"], 6)) for r in df.collect())
+    assert shown(awards.manager_detail(rows)) == shown(want)
+
+
+def test_places_in_a_file_without_a_task_for_it(spark):
+    rows = spark.range(1000).selectExpr("if(id < 700, 'a', 'b') arquivo", "id posicao").filter("posicao % 10 <> 3")
+    out = files.ranked(rows, 64)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(arquivo" not in plan or "__block" in plan
+    got = {r["posicao"]: r["lugar"] for r in out.collect()}
+    want = [p for p in range(1000) if p % 10 != 3]
+    assert [got[p] for p in want] == list(range(1, 631)) + list(range(1, 271))
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
+def test_more_lines_are_more_files(spark, monkeypatch):
+    from tessela.plans import upkeep
+
+    monkeypatch.setattr(upkeep, "FILE_LINES", 1_000)
+    names = {r["arquivo"] for r in files.lines(spark, upkeep._unlike_files(spark, SF)).select("arquivo").distinct().collect()}
+    assert len(names) == 2 * -(-spark.read.parquet(f"{SF}/lineitem.parquet").count() // 1_000)
