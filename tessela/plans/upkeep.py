@@ -153,12 +153,17 @@ def html_nested(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("l_orderkey", F.col("line").cast("int").alias("line"), F.array_join("cells", "|").alias("cells"))
 
 
+#: Lines that a file has, where there are more than three files.
+FILE_LINES = 1_000_000
+
+
 def _unlike_files(spark: SparkSession, sf: str) -> list[str]:
-    """Lines of orders as files: one half with commas, the other with semicolons, other headers in another order and a byte order mark. Files are in order of the lines."""
+    """Lines of orders as files: one half with commas, the other with semicolons, other headers in another order and a byte order mark. Files are in order of the lines; the more lines, the more files."""
     df = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("codigo"), F.col("l_linenumber").alias("linha"), F.col("l_extendedprice").cast("decimal(18,2)").alias("preco"), F.concat(F.lit('Q "'), F.col("l_returnflag"), F.lit('", x;y')).alias("quadra"))
     base, out = folder(spark), []
+    parts = max(3, -(-df.count() // FILE_LINES))
     for part, sep, columns in ((0, ",", {"codigo": "Código", "linha": "n", "preco": "Preço", "quadra": "Quadra"}), (1, ";", {"quadra": "\ufeffQUADRA", "preco": "Valor Total", "codigo": "id anuncio", "linha": "N"})):
-        half = df.filter(F.col("codigo") % 2 == part).repartitionByRange(3, "codigo", "linha").sortWithinPartitions("codigo", "linha")
+        half = df.filter(F.col("codigo") % 2 == part).repartitionByRange(parts, "codigo", "linha").sortWithinPartitions("codigo", "linha")
         out.append(f"{base}/{part}")
         half.select(*[F.col(c).alias(name) for c, name in columns.items()]).write.option("header", True).option("sep", sep).option("escape", '"').csv(out[-1])
     return out
@@ -170,9 +175,8 @@ _FILE_NAMES = {"codigo": ("codigo", "id_anuncio"), "linha_id": ("n",), "preco":
 def files_unlike(spark: SparkSession, sf: str) -> DataFrame:
     """Files of two kinds read as one table, with a place for each row that counts on over all files."""
     rows = files.many_csv(spark, _unlike_files(spark, sf), names=_FILE_NAMES, required=("codigo", "preco"))
-    place = F.row_number().over(Window.partitionBy("arquivo").orderBy("posicao"))
     headers = F.col("posicao") - F.col("linha")
-    rows = rows.select(F.col("codigo").cast("long").alias("codigo"), F.col("linha_id").cast("int").alias("n"), F.col("preco").cast("double").alias("preco"), "quadra", "cep", (place == F.col("linha")).alias("na_ordem"), (headers >= 0).alias("depois"))
+    rows = files.ranked(rows).select(F.col("codigo").cast("long").alias("codigo"), F.col("linha_id").cast("int").alias("n"), F.col("preco").cast("double").alias("preco"), "quadra", "cep", (F.col("lugar") == F.col("linha")).alias("na_ordem"), (headers >= 0).alias("depois"))
     return rows
 
 
